@@ -1,6 +1,6 @@
 """All registered queries (importing this module fills the registry)."""
 
-from . import profile_queries, recommend_queries, text_queries  # noqa: F401
+from . import profile_queries, recommend_queries, stream_queries, text_queries  # noqa: F401
 from .registry import ORACLES, QUERIES
 
 __all__ = ["QUERIES", "ORACLES"]
