@@ -22,6 +22,12 @@ PUNCTUATION_PATTERN = r"[!-/:-@\[-`{-~]"
 # The characters Python's str.split() treats as white space.
 WHITESPACE_PATTERN = (r"[\t\n\x{0B}\f\r\x{1C}-\x{1F} \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
                       r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+")
+# The same white space as single characters (space excluded), for translate().
+WHITESPACE_CHARS = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680" + "".join(chr(c) for c in range(0x2000, 0x200B))
+                    + "\u2028\u2029\u202f\u205f\u3000")
+# Tags, then digits and punctuation, in one left-to-right pass: a tag is tried first at each
+# position, so the result equals removing tags and then the single characters.
+TAGS_DIGITS_PUNCTUATION_PATTERN = r"<[^<]+?>|[\p{Nd}!-/:-@\[-`{-~]"
 # A word for the term cloud: a letter, digit or underscore, then at least one more or an apostrophe.
 CLOUD_WORD_PATTERN = r"[\p{L}\p{N}_][\p{L}\p{N}_']+"
 
@@ -55,9 +61,16 @@ def strip_digits_punctuation(col) -> Column:
     return F.regexp_replace(_c(col), r"[\p{Nd}!-/:-@\[-`{-~]", "")
 
 
+def blank_split(col) -> Column:
+    """Split on white space: every white-space character becomes a blank (``translate``, no
+    regex) and the text is split on the blank (a literal, Java's fast path). Runs of white
+    space leave empty strings, which callers drop."""
+    return F.split(F.translate(_c(col), WHITESPACE_CHARS, " " * len(WHITESPACE_CHARS)), " ")
+
+
 def tokenize(col) -> Column:
     """T5: white-space tokens, empty strings dropped."""
-    return F.filter(F.split(_c(col), WHITESPACE_PATTERN), lambda t: t != F.lit(""))
+    return F.filter(blank_split(col), lambda t: t != F.lit(""))
 
 
 def split_sentences(col) -> Column:
@@ -77,14 +90,16 @@ def drop_stopwords(tokens, words=ENGLISH) -> Column:
 
 def s_stem(token: Column) -> Column:
     """Harman's S stemmer (1991) on one lower-case token: ies -> y (not after e or a),
-    es -> e (not after a, e or o), s -> '' (not after u or s); first matching rule only."""
+    es -> e (not after a, e or o), s -> '' (not after u or s); first matching rule only.
+    Suffix edits are substring operations (no regex per token)."""
     t = token
+    n = F.length(t)
     return (F.when(t.endswith("ies") & ~t.endswith("eies") & ~t.endswith("aies"),
-                   F.regexp_replace(t, "ies$", "y"))
+                   F.concat(t.substr(F.lit(1), n - 3), F.lit("y")))
              .when(t.endswith("es") & ~t.endswith("aes") & ~t.endswith("ees") & ~t.endswith("oes"),
-                   F.regexp_replace(t, "es$", "e"))
+                   t.substr(F.lit(1), n - 1))
              .when(t.endswith("s") & ~t.endswith("us") & ~t.endswith("ss"),
-                   F.regexp_replace(t, "s$", ""))
+                   t.substr(F.lit(1), n - 1))
              .otherwise(t))
 
 
@@ -113,6 +128,20 @@ def cloud_words(col, words=ENGLISH) -> Column:
     return drop_stopwords(found, words)
 
 
+def prepared_text(col, profile: str = "eda") -> Column:
+    """The deletions of a profile, before splitting into tokens; lower case is left for the
+    tokens (it neither makes nor removes white space, digits, punctuation or tag brackets, so
+    the order does not matter, and short ASCII tokens take the fast path)."""
+    c = _c(col)
+    if profile == "eda":
+        return F.regexp_replace(c, TAGS_DIGITS_PUNCTUATION_PATTERN, "")
+    if profile == "raw":
+        return strip_punctuation(c)
+    if profile == "stem":
+        return c
+    raise ValueError(f"no string-only form for profile {profile}")
+
+
 def clean_tokens(col, profile: str = "eda", words=ENGLISH, stem: bool = True) -> Column:
     """T12 chains, as token arrays.
 
@@ -190,6 +219,9 @@ def sql_clean_tokens(x: str, profile: str = "eda", stem: bool = True) -> str:
         return sql_lemmatize(toks) if stem else toks
     if profile == "raw":
         return sql_drop_stopwords(sql_tokenize(f"lower({sql_strip_punctuation(x)})"))
+    if profile == "notebook":
+        first = f"array_to_string({sql_lemmatize(sql_tokenize(f'lower({x})'))}, ' ')"
+        return sql_drop_stopwords(sql_tokenize(sql_strip_tags(sql_strip_punctuation(sql_strip_digits(first)))))
     raise ValueError(profile)
 
 

@@ -25,6 +25,34 @@ def vocabulary(df: DataFrame, tokens: str = "tokens", by: list[str] | None = Non
             .groupBy(*by, term).agg(F.count(F.lit(1)).alias("n")))
 
 
+def exploded_terms(df: DataFrame, text: str, profile: str = "eda", by: list[str] | None = None,
+                   stem: bool = True, words=None, term: str = "term") -> DataFrame:
+    """The tokens of a cleaning profile as rows (by..., term), equal to exploding
+    :func:`text.clean_tokens`. Only the string steps and the split run per text; stop-word
+    removal (a hash-set test) and the stemmer run on the exploded column as plain expressions,
+    so they compile into the same generated code as the count that follows."""
+    from ..functions.stopwords import ENGLISH
+    by = by or []
+    words = ENGLISH if words is None else words
+    split = tx.blank_split(tx.prepared_text(text, profile))
+    t = F.col(term)
+    rows = (df.select(*by, F.explode_outer(split).alias(term)).where(t.isNotNull() & (t != ""))
+            .select(*by, F.lower(t).alias(term)))
+    if profile in ("eda", "raw"):
+        rows = rows.where(~t.isin(list(words)))
+    if stem and profile in ("eda", "stem"):
+        rows = rows.select(*by, tx.s_stem(t).alias(term))
+    return rows
+
+
+def term_counts(df: DataFrame, text: str, profile: str = "eda", by: list[str] | None = None,
+                stem: bool = True) -> DataFrame:
+    """T13 straight from text: (by..., term, n)."""
+    by = by or []
+    return (exploded_terms(df, text, profile, by, stem)
+            .groupBy(*by, "term").agg(F.count(F.lit(1)).alias("n")))
+
+
 def rank_top(counts: DataFrame, k: int, order_cols: list[str], by: list[str] | None = None,
              rank_col: str = "rank") -> DataFrame:
     """Top ``k`` rows by count (ties by ``order_cols``), per group when ``by`` is given."""
@@ -43,8 +71,12 @@ def top_terms(df: DataFrame, tokens: str = "tokens", k: int = 20, by: list[str]
 
 def term_cloud_weights(df: DataFrame, text: str = "reviewText", k: int = 200) -> DataFrame:
     """The ``k`` most frequent cloud words with weight ``n / max(n)``."""
-    words = df.select(tx.cloud_words(text).alias("tokens"))
-    top = rank_top(vocabulary(words, "tokens", term="word"), k, ["word"])
+    from ..functions.stopwords import ENGLISH
+    found = F.regexp_extract_all(F.lower(F.col(text)), F.lit(tx.CLOUD_WORD_PATTERN), 0)
+    words = (df.select(F.explode_outer(found).alias("w")).where(F.col("w").isNotNull())
+             .select(F.regexp_replace("w", "'s$", "").alias("word")).where(~F.col("word").isin(ENGLISH)))
+    counts = words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    top = rank_top(counts, k, ["word"])
     peak = Window.orderBy(F.lit(1)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     return top.withColumn("weight", F.round(F.col("n") / F.max("n").over(peak), 6))
 

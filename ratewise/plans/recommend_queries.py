@@ -132,3 +132,13 @@ def q_als_val_rmse(spark, sf):
     split = rc.shuffle_split(enc)
     model = rc.fit_als(split.where(F.col("split") == "train").select("user", "item", "y"), rank=40, max_iter=5)
     return rc.rmse(model, split.where(F.col("split") == "val"))
+
+
+@query("logistic_mf_loss")
+def q_logistic_mf_loss(spark, sf):
+    from ..operators import mf
+    enc, _, _ = rc.interactions(_ratings(spark, sf))
+    split = rc.shuffle_split(enc)
+    _, _, history = mf.fit_logistic_mf(split.where(F.col("split") == "train"),
+                                       split.where(F.col("split") == "val"), rank=40, epochs=5)
+    return history.select("epoch", F.round("train_bce", 6).alias("train_bce"), F.round("val_bce", 6).alias("val_bce"))

@@ -65,8 +65,7 @@ def q_sentences(spark, sf):
 SELECT term, count(*) AS n FROM (SELECT unnest({tx.sql_clean_tokens('text', 'eda')}) AS term FROM documents)
 GROUP BY term"""))
 def q_vocabulary(spark, sf):
-    docs = table(spark, sf, "documents").select(tx.clean_tokens("text", "eda").alias("tokens"))
-    return terms.vocabulary(docs)
+    return terms.term_counts(table(spark, sf, "documents"), "text", "eda")
 
 
 @query("lemma_vocabulary", oracle(f"""
@@ -74,8 +73,7 @@ SELECT {tx.sql_s_stem('term')} AS term, sum(n) AS n FROM (
   SELECT term, count(*) AS n FROM (SELECT unnest({tx.sql_clean_tokens('text', 'eda', stem=False)}) AS term FROM documents)
   GROUP BY term) GROUP BY 1"""))
 def q_lemma_vocabulary(spark, sf):
-    docs = table(spark, sf, "documents").select(tx.clean_tokens("text", "eda", stem=False).alias("tokens"))
-    counts = terms.vocabulary(docs)
+    counts = terms.term_counts(table(spark, sf, "documents"), "text", "eda", stem=False)
     return terms.map_vocabulary(counts, terms.stem_mapping(counts))
 
 
@@ -94,8 +92,7 @@ SELECT term, n, row_number() OVER (ORDER BY n DESC, term) AS rank FROM (
   SELECT term, count(*) AS n FROM (SELECT unnest({tx.sql_clean_tokens('reviewText', 'raw')}) AS term FROM reviews)
   GROUP BY term) ORDER BY n DESC, term LIMIT 20""", text=True))
 def q_top_terms(spark, sf):
-    df = R(spark, sf, True).select(tx.clean_tokens("reviewText", "raw").alias("tokens"))
-    return terms.top_terms(df, "tokens", 20)
+    return terms.rank_top(terms.term_counts(R(spark, sf, True), "reviewText", "raw"), 20, ["term"])
 
 
 @query("top_terms_by_rating", oracle(f"""
@@ -106,9 +103,8 @@ SELECT overall, term, n, rank FROM (
     GROUP BY overall, term))
 WHERE rank <= 20""", text=True))
 def q_top_terms_by_rating(spark, sf):
-    df = (R(spark, sf, True).where(F.col("overall").isin(1, 2, 3, 4, 5))
-          .select("overall", tx.clean_tokens("reviewText", "eda").alias("tokens")))
-    return terms.top_terms(df, "tokens", 20, by=["overall"])
+    df = R(spark, sf, True).where(F.col("overall").isin(1, 2, 3, 4, 5))
+    return terms.rank_top(terms.term_counts(df, "reviewText", "eda", by=["overall"]), 20, ["term"], by=["overall"])
 
 
 @query("term_cloud_weights", oracle(f"""
