@@ -1,0 +1,19 @@
+"""Join helpers."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Rows of the small side below which it is broadcast (each executor holds a copy).
+BROADCAST_MAX_ROWS = 2_000_000
+
+
+def checked_join(big: DataFrame, small: DataFrame, on, how: str = "inner",
+                 max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Join with ``small`` broadcast only after its row count is checked against ``max_rows``;
+    above it, a shuffle-hash join building on ``small``. Use where static size estimates are
+    wrong (e.g. ``big`` comes out of an explode) and ``small`` is cheap to count (materialised)."""
+    n = small.count()
+    side = F.broadcast(small) if n <= max_rows else small.hint("shuffle_hash")
+    return big.join(side, on, how)

@@ -135,3 +135,30 @@ def q_review_length_histogram(spark, sf):
 @query("review_length_kde", oracle(kde_sql(f"CAST(len({EDA_SQL}) AS DOUBLE)", 100), text=True))
 def q_review_length_kde(spark, sf):
     return stats.kde(R(spark, sf, True), F.size(tx.clean_tokens("reviewText", "eda")).cast("double"), 100)
+
+
+_VOCAB_SQL = f"""counts AS (SELECT term, count(*) AS n FROM (
+    SELECT unnest({tx.sql_clean_tokens('text', 'eda', stem=False)}) AS term FROM documents) GROUP BY term)"""
+
+
+@query("spelling_corrections", oracle(f"""
+WITH {_VOCAB_SQL},
+freq AS (SELECT term AS variant, n AS fn FROM counts WHERE n >= 5),
+rare AS (SELECT term FROM counts WHERE n < 5),
+alpha AS (SELECT DISTINCT unnest(string_split(variant, '')) AS c FROM freq),
+pos AS (SELECT term, unnest(range(0, length(term) + 1)) AS i FROM rare),
+v AS (SELECT term, substring(term, 1, i) || substring(term, i + 2) AS variant FROM pos WHERE i < length(term)
+      UNION ALL
+      SELECT term, substring(term, 1, i) || substring(term, i + 2, 1) || substring(term, i + 1, 1) || substring(term, i + 3)
+      FROM pos WHERE i < length(term) - 1
+      UNION ALL
+      SELECT term, substring(term, 1, i) || c || substring(term, i + 2) FROM pos, alpha WHERE i < length(term) AND c <> ''
+      UNION ALL
+      SELECT term, substring(term, 1, i) || c || substring(term, i + 1) FROM pos, alpha WHERE c <> ''),
+cand AS (SELECT DISTINCT v.term, f.variant, f.fn FROM v JOIN freq f ON v.variant = f.variant WHERE v.variant <> v.term)
+SELECT term, variant AS replacement FROM (
+  SELECT term, variant, row_number() OVER (PARTITION BY term ORDER BY fn DESC, variant) AS rn FROM cand) WHERE rn = 1"""))
+def q_spelling_corrections(spark, sf):
+    from ..operators import spelling
+    counts = terms.term_counts(table(spark, sf, "documents"), "text", "eda", stem=False)
+    return spelling.spelling_mapping(counts, 5)

@@ -28,6 +28,9 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: st
                   conf: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.master(master).appName(app)
     settings = dict(DEFAULT_CONF)
+    if master.startswith("local"):
+        # local mode runs every task in the driver JVM
+        settings["spark.driver.memory"] = "8g"
     settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     settings.update(conf or {})
     for key, value in settings.items():

@@ -76,3 +76,33 @@ def test_clean_text_idempotent_without_mapping(spark, s):
     once = _eval(spark, [s], lambda c: tx.clean_text(c, "eda", stem=False))[0]
     twice = _eval(spark, [once], lambda c: tx.clean_text(c, "eda", stem=False))[0]
     assert once == twice
+
+
+def _one_edit(a, b):
+    if a == b:
+        return False
+    if abs(len(a) - len(b)) > 1:
+        return False
+    if len(a) == len(b):
+        diff = [i for i in range(len(a)) if a[i] != b[i]]
+        return len(diff) == 1 or (len(diff) == 2 and diff[1] == diff[0] + 1 and a[diff[0]] == b[diff[1]]
+                                  and a[diff[1]] == b[diff[0]])
+    s, t = (a, b) if len(a) < len(b) else (b, a)
+    return any(t[:i] + t[i + 1:] == s for i in range(len(t)))
+
+
+def test_spelling_matches_brute_force(spark):
+    from ratewise.operators import spelling
+    counts = {"the": 9, "hte": 1, "cat": 7, "cta": 1, "ca": 1, "cart": 6, "cats": 1, "café": 5, "cafe": 1,
+              "dog": 5, "dgo": 2, "zzz": 1, "at": 5, "a": 1}
+    df = spark.createDataFrame(list(counts.items()), "term string, n long")
+    got = {r.term: r.replacement for r in spelling.spelling_mapping(df, 5).collect()}
+    freq = {t: n for t, n in counts.items() if n >= 5}
+    want = {}
+    for t, n in counts.items():
+        if n < 5:
+            cands = sorted((-fn, f) for f, fn in freq.items() if _one_edit(t, f))
+            if cands:
+                want[t] = cands[0][1]
+    assert got == want
+    assert got["hte"] == "the" and got["cafe"] == "café" and "zzz" not in got
