@@ -233,7 +233,8 @@ def als_recommend(model, seen: DataFrame, k: int = 10, over_fetch: int = 50) ->
         unseen = cands.join(seen, ["user", "item"], "left_anti")
         return top_k_per_group(unseen, ["user"], [F.desc("score"), F.asc("item")], k)
 
-    first = finish(expand(model.recommendForAllUsers(k + over_fetch)))
+    # materialise once: it is read by the check below and by the result
+    first = cut_lineage(finish(expand(model.recommendForAllUsers(k + over_fetch))))
     short = first.groupBy("user").agg(F.count(F.lit(1)).alias("_got")).where(F.col("_got") >= k).select("user")
     n_seen = seen.groupBy("user").agg(F.count(F.lit(1)).alias("_n"))
     rest = n_seen.join(short, "user", "left_anti").where(F.col("_n") > over_fetch)

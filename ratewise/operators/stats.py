@@ -126,42 +126,52 @@ def category_counts(df: DataFrame, col: str = "verified") -> DataFrame:
     return df.groupBy(col).agg(F.count(F.lit(1)).alias("n"))
 
 
+def _value_counts(df: DataFrame, value) -> DataFrame:
+    """(x, c): distinct non-null values with their counts. Histogram and density read this
+    small table (its exchange is reused by the scalar subqueries), so the source - e.g. a
+    tokenised text - is scanned once."""
+    x = value if not isinstance(value, str) else _num(value)
+    return (df.select(x.alias("x")).where(F.col("x").isNotNull())
+            .groupBy("x").agg(F.count(F.lit(1)).alias("c")))
+
+
 def histogram(df: DataFrame, value, bins: int = 10) -> DataFrame:
     """Equal-width bins between min and max; the maximum falls into the last bin.
     Returns every bin, empty ones with n = 0: (bin, lower, upper, n)."""
-    x = value if not isinstance(value, str) else _num(value)
-    vals = df.select(x.alias("x")).where(F.col("x").isNotNull())
-    lo = vals.select(F.min("x")).scalar()
-    hi = vals.select(F.max("x")).scalar()
+    d = _value_counts(df, value)
+    lo = d.select(F.min("x")).scalar()
+    hi = d.select(F.max("x")).scalar()
     width = hi - lo
     bucket = F.when(width == 0, F.lit(1)).otherwise(
         F.least(F.floor(F.lit(float(bins)) * (F.col("x") - lo) / width) + 1, F.lit(bins))).cast("int")
-    counts = vals.groupBy(bucket.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
-    edges = vals.sparkSession.range(1, bins + 1).select(F.col("id").cast("int").alias("bin"))
+    counts = d.groupBy(bucket.alias("bin")).agg(F.sum("c").alias("n"))
+    edges = df.sparkSession.range(1, bins + 1).select(F.col("id").cast("int").alias("bin"))
     return (edges.join(counts, "bin", "left")
             .select("bin",
                     F.round(lo + (F.col("bin") - 1) * width / bins, 6).alias("lower"),
                     F.round(lo + F.col("bin") * width / bins, 6).alias("upper"),
-                    F.coalesce(F.col("n"), F.lit(0)).alias("n")))
+                    F.coalesce(F.col("n"), F.lit(0)).cast("long").alias("n")))
 
 
 def kde(df: DataFrame, value, grid: int = 200, cut: float = 3.0) -> DataFrame:
     """Gaussian kernel density on ``grid`` points from ``min - cut*h`` to ``max + cut*h``,
     Scott's bandwidth ``h = std * n^(-1/5)``.
 
-    Work is (distinct values) x grid: values are pre-aggregated to (x, count) first, then each
-    distinct value emits its contribution to every grid point, summed per point."""
-    x = value if not isinstance(value, str) else _num(value)
-    vals = df.select(x.alias("x")).where(F.col("x").isNotNull())
-    n = vals.select(F.count(F.lit(1))).scalar()
-    std = vals.select(F.stddev_samp("x")).scalar()
-    lo = vals.select(F.min("x")).scalar()
-    hi = vals.select(F.max("x")).scalar()
+    Work is (distinct values) x grid: values are pre-aggregated to (x, count) first (one scan
+    of the source), the moments come from that table, then each distinct value emits its
+    contribution to every grid point, summed per point."""
+    d = _value_counts(df, value)
+    n = d.select(F.sum("c")).scalar()
+    mean = d.select(F.sum(F.col("c") * F.col("x")) / F.sum("c")).scalar()
+    std = d.select(F.sqrt(F.sum(F.col("c") * F.pow(F.col("x") - mean, 2)) / (F.sum("c") - 1))).scalar()
+    lo = d.select(F.min("x")).scalar()
+    hi = d.select(F.max("x")).scalar()
     h = std * F.pow(n, F.lit(-0.2))
     start = lo - F.lit(cut) * h
     step = (hi - lo + F.lit(2 * cut) * h) / F.lit(grid - 1)
-    distinct = vals.groupBy("x").agg(F.count(F.lit(1)).alias("c"))
-    pts = distinct.select("x", "c", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("point"))
+    # each distinct value fans out to every grid point: spread the (small) table first
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    pts = d.repartition(parts).select("x", "c", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("point"))
     g = start + F.col("point") * step
     contrib = F.col("c") * F.exp(-0.5 * F.pow((g - F.col("x")) / h, 2))
     norm = n * h * F.lit(math.sqrt(2 * math.pi))

@@ -106,7 +106,11 @@ def train_job(ratings: DataFrame, model_path: str | None = None, rank: int = 40,
               reg: float = 0.1, seed: int = 42):
     """ids, features, split, ALS fit, validation RMSE, save. The encoded table is
     checkpointed so the iterative fit does not recompute the id assignment."""
-    enc, users, items = rc.interactions(ratings)
+    # the input and both id tables are read several times: materialise each once
+    ratings = cut_lineage(ratings.select("reviewerID", "asin", "overall", "unixReviewTime"))
+    users = cut_lineage(rc.build_id_index(ratings, "reviewerID", "user"))
+    items = cut_lineage(rc.build_id_index(ratings, "asin", "item"))
+    enc, users, items = rc.interactions(ratings, users=users, items=items)
     enc = cut_lineage(rc.shuffle_split(enc, seed))
     model = rc.fit_als(enc.where(F.col("split") == "train").select("user", "item", "y"), rank, max_iter, reg, seed)
     if model_path:

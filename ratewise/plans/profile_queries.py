@@ -372,3 +372,15 @@ SELECT asin, reviewerID, overall, unixReviewTime FROM reviews
 ORDER BY overall ASC, asin, reviewerID, unixReviewTime LIMIT 10"""))
 def q_worst_rated(spark, sf):
     return stats.worst_rated(R(spark, sf), 10)
+
+
+@query("user_history", oracle("""
+WITH pick AS (SELECT reviewerID FROM (SELECT DISTINCT reviewerID FROM reviews)
+              ORDER BY md5(concat('42|', reviewerID)), reviewerID LIMIT 1)
+SELECT asin, reviewerID, overall, unixReviewTime FROM reviews WHERE reviewerID IN (SELECT reviewerID FROM pick)"""))
+def q_user_history(spark, sf):
+    from ..operators import recommend as rc
+    ratings = R(spark, sf).select("asin", "reviewerID", "overall", "unixReviewTime")
+    pick = rc.sample_user(ratings).select("reviewerID")
+    # P15 for a user chosen by M8; the pick is one row (broadcast)
+    return ratings.join(F.broadcast(pick), "reviewerID", "left_semi")

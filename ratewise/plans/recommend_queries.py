@@ -118,9 +118,8 @@ def q_sample_user_item_reviews(spark, sf):
 
 @query("als_top10")
 def q_als_top10(spark, sf):
-    enc, users, items = rc.interactions(_ratings(spark, sf))
-    train = rc.shuffle_split(enc).where(F.col("split") == "train")
-    model = rc.fit_als(train.select("user", "item", "y"), rank=40, max_iter=5)
+    from . import jobs
+    model, enc, users, items, _ = jobs.train_job(_ratings(spark, sf), rank=40, max_iter=5)
     recs = rc.als_recommend(model, enc, k=10)
     return (recs.join(users, "user").join(items, "item")
             .select("reviewerID", F.col("rank").cast("int").alias("rank"), "asin", F.round("score", 6).alias("score")))
@@ -128,10 +127,9 @@ def q_als_top10(spark, sf):
 
 @query("als_val_rmse")
 def q_als_val_rmse(spark, sf):
-    enc, _, _ = rc.interactions(_ratings(spark, sf))
-    split = rc.shuffle_split(enc)
-    model = rc.fit_als(split.where(F.col("split") == "train").select("user", "item", "y"), rank=40, max_iter=5)
-    return rc.rmse(model, split.where(F.col("split") == "val"))
+    from . import jobs
+    _, _, _, _, val_rmse = jobs.train_job(_ratings(spark, sf), rank=40, max_iter=5)
+    return val_rmse
 
 
 @query("logistic_mf_loss")

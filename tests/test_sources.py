@@ -66,7 +66,7 @@ def test_contract_type_mismatch(spark):
 
 def test_training_extract_is_deterministic(spark):
     df = spark.range(2000).select(F.concat(F.lit("U"), F.col("id").cast("string")).alias("reviewerID"),
-                                  F.lit("B1").alias("asin"))
+                                  F.lit("B1").alias("asin"), F.lit(1).alias("unixReviewTime"))
     a = io.training_extract(df, 0.25).collect()
     b = io.training_extract(df, 0.25).collect()
     assert a == b and 350 < len(a) < 650
