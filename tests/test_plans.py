@@ -1,0 +1,30 @@
+"""Plan-shape guards: no all-pairs joins, partial top-k limits, partial aggregates."""
+
+import pytest
+
+import __spark_entry__ as entry
+
+SF = "/root/testdata/sf0.001"
+PURE = ["density_filter", "dedup_reviews", "dedup_exact", "fill_vote_by_product", "bias_top10",
+        "top_terms_by_rating", "top_bigrams", "rating_kde", "scatter_bins", "user_index", "train_split",
+        "unknown_user_top10", "message_roundtrip", "spelling_corrections", "review_length_histogram"]
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("name", PURE)
+def test_no_all_pairs_join(spark, name):
+    plan = _plan(entry.queries()[name](spark, SF))
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_topk_uses_partial_window_limit(spark):
+    plan = _plan(entry.queries()["bias_top10"](spark, SF))
+    assert "WindowGroupLimit" in plan
+
+
+def test_dedup_is_partial_aggregate(spark):
+    plan = _plan(entry.queries()["dedup_reviews"](spark, SF))
+    assert "partial_min" in plan and "Window" not in plan
