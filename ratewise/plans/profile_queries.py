@@ -125,7 +125,7 @@ def q_since(spark, sf):
 
 
 @query("min_text_length", oracle("""
-SELECT asin, reviewerID, unixReviewTime, length(reviewText) AS text_len FROM reviews
+SELECT asin, reviewerID, unixReviewTime, CAST(length(reviewText) AS INTEGER) AS text_len FROM reviews
 WHERE length(reviewText) >= 5""", text=True))
 def q_min_text_length(spark, sf):
     return (prep.min_text_length(R(spark, sf, True), 5)
@@ -158,7 +158,7 @@ def q_distinct_items(spark, sf):
 
 @query("merge_summary", oracle("""
 SELECT asin, reviewerID, unixReviewTime, md5(concat_ws(' ', reviewText, summary)) AS text_md5,
-       length(concat_ws(' ', reviewText, summary)) AS text_len FROM reviews""", text=True))
+       CAST(length(concat_ws(' ', reviewText, summary)) AS INTEGER) AS text_len FROM reviews""", text=True))
 def q_merge_summary(spark, sf):
     df = prep.merge_summary(R(spark, sf, True))
     return df.select("asin", "reviewerID", "unixReviewTime", F.md5("reviewText").alias("text_md5"),

@@ -14,7 +14,8 @@ EDA_SQL = tx.sql_clean_tokens("reviewText", "eda")
 
 
 @query("strip_tags", oracle(f"""
-SELECT page_id, md5({tx.sql_strip_tags('html')}) AS text_md5, length({tx.sql_strip_tags('html')}) AS text_len
+SELECT page_id, md5({tx.sql_strip_tags('html')}) AS text_md5,
+       CAST(length({tx.sql_strip_tags('html')}) AS INTEGER) AS text_len
 FROM pages"""))
 def q_strip_tags(spark, sf):
     s = tx.strip_tags("html")
@@ -24,7 +25,7 @@ def q_strip_tags(spark, sf):
 def _token_summary_sql(profile):
     toks = tx.sql_clean_tokens("text", profile)
     return f"""
-SELECT doc_id, len({toks}) AS n_tokens, md5(array_to_string({toks}, ' ')) AS tokens_md5 FROM documents"""
+SELECT doc_id, CAST(len({toks}) AS INTEGER) AS n_tokens, md5(array_to_string({toks}, ' ')) AS tokens_md5 FROM documents"""
 
 
 def _token_summary(spark, sf, profile):
@@ -48,7 +49,7 @@ def q_clean_tokens_raw(spark, sf):
     return _token_summary(spark, sf, "raw")
 
 
-@query("word_count", oracle(f"SELECT doc_id, len({tx.sql_tokenize('lower(text)')}) AS n_words FROM documents"))
+@query("word_count", oracle(f"SELECT doc_id, CAST(len({tx.sql_tokenize('lower(text)')}) AS INTEGER) AS n_words FROM documents"))
 def q_word_count(spark, sf):
     return table(spark, sf, "documents").select("doc_id", tx.word_count(tx.tokenize(tx.lower("text"))).alias("n_words"))
 
@@ -69,7 +70,7 @@ def q_vocabulary(spark, sf):
 
 
 @query("lemma_vocabulary", oracle(f"""
-SELECT {tx.sql_s_stem('term')} AS term, sum(n) AS n FROM (
+SELECT {tx.sql_s_stem('term')} AS term, CAST(sum(n) AS BIGINT) AS n FROM (
   SELECT term, count(*) AS n FROM (SELECT unnest({tx.sql_clean_tokens('text', 'eda', stem=False)}) AS term FROM documents)
   GROUP BY term) GROUP BY 1"""))
 def q_lemma_vocabulary(spark, sf):
@@ -88,7 +89,7 @@ def q_lemma_tokens(spark, sf):
 
 
 @query("top_terms", oracle(f"""
-SELECT term, n, row_number() OVER (ORDER BY n DESC, term) AS rank FROM (
+SELECT term, n, CAST(row_number() OVER (ORDER BY n DESC, term) AS INTEGER) AS rank FROM (
   SELECT term, count(*) AS n FROM (SELECT unnest({tx.sql_clean_tokens('reviewText', 'raw')}) AS term FROM reviews)
   GROUP BY term) ORDER BY n DESC, term LIMIT 20""", text=True))
 def q_top_terms(spark, sf):
@@ -97,7 +98,7 @@ def q_top_terms(spark, sf):
 
 @query("top_terms_by_rating", oracle(f"""
 SELECT overall, term, n, rank FROM (
-  SELECT overall, term, n, row_number() OVER (PARTITION BY overall ORDER BY n DESC, term) AS rank FROM (
+  SELECT overall, term, n, CAST(row_number() OVER (PARTITION BY overall ORDER BY n DESC, term) AS INTEGER) AS rank FROM (
     SELECT overall, term, count(*) AS n FROM (
       SELECT overall, unnest({EDA_SQL}) AS term FROM reviews WHERE overall IN (1, 2, 3, 4, 5))
     GROUP BY overall, term))
@@ -110,7 +111,7 @@ def q_top_terms_by_rating(spark, sf):
 @query("term_cloud_weights", oracle(f"""
 WITH c AS (SELECT word, count(*) AS n FROM (SELECT unnest({tx.sql_cloud_words('reviewText')}) AS word FROM reviews)
            GROUP BY word),
-t AS (SELECT word, n, row_number() OVER (ORDER BY n DESC, word) AS rank FROM c ORDER BY n DESC, word LIMIT 200)
+t AS (SELECT word, n, CAST(row_number() OVER (ORDER BY n DESC, word) AS INTEGER) AS rank FROM c ORDER BY n DESC, word LIMIT 200)
 SELECT word, n, rank, round(n / max(n) OVER (), 6) AS weight FROM t""", text=True))
 def q_term_cloud_weights(spark, sf):
     return terms.term_cloud_weights(R(spark, sf, True), "reviewText", 200)
@@ -120,7 +121,7 @@ def q_term_cloud_weights(spark, sf):
 WITH c AS (SELECT bigram, count(*) AS n FROM (
              SELECT unnest({tx.sql_bigrams('toks')}) AS bigram FROM (SELECT {EDA_SQL} AS toks FROM reviews))
            GROUP BY bigram HAVING count(*) >= 10)
-SELECT bigram, n, row_number() OVER (ORDER BY n DESC, bigram) AS rank FROM c ORDER BY n DESC, bigram LIMIT 25""",
+SELECT bigram, n, CAST(row_number() OVER (ORDER BY n DESC, bigram) AS INTEGER) AS rank FROM c ORDER BY n DESC, bigram LIMIT 25""",
                                   text=True))
 def q_top_bigrams(spark, sf):
     df = R(spark, sf, True).select(tx.clean_tokens("reviewText", "eda").alias("tokens"))
