@@ -13,7 +13,6 @@ Scale notes
 
 from __future__ import annotations
 
-import math
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F

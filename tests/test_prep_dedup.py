@@ -1,5 +1,4 @@
 from hypothesis import given, settings, strategies as st
-from pyspark.sql import functions as F
 
 from ratewise.operators import dedup, prep
 from ratewise.schema import REVIEW_SCHEMA

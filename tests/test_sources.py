@@ -3,7 +3,7 @@ import json
 from pyspark.sql import functions as F
 
 from ratewise.operators import prep
-from ratewise.schema import LOAD_CONTRACT, REVIEW_COLUMNS
+from ratewise.schema import LOAD_CONTRACT, REVIEW_COLUMNS, REVIEW_SCHEMA
 from ratewise.sources import reviews as io
 from ratewise.sources.contract import check_contract
 
@@ -48,8 +48,9 @@ def test_records_array(spark, tmp):
 
 
 def test_contract_and_clustered_write(spark, tmp):
-    df = spark.createDataFrame([dict(FULL), dict(FULL, summary=None, reviewerID="U2")],
-                               schema=io.REVIEW_SCHEMA if hasattr(io, "REVIEW_SCHEMA") else None)
+    df = spark.createDataFrame([tuple(FULL[c] for c in REVIEW_COLUMNS),
+                                tuple(dict(FULL, summary=None, reviewerID="U2")[c] for c in REVIEW_COLUMNS)],
+                               schema=REVIEW_SCHEMA)
     valid, rejected = check_contract(df, LOAD_CONTRACT)
     assert valid.count() == 1
     assert [r["reason"] for r in rejected.collect()] == ["summary is null"]
