@@ -71,7 +71,10 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: materialise into the shared checkpoint folder so that lost
     executors do not force recomputation of the whole lineage."""
     checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    cp = df.checkpoint(eager=True)
+    # fresh attribute ids: a checkpoint keeps its input's ids, and joining two tables that share
+    # ids makes Spark rewrite one side, which can lose its recorded partitioning
+    return cp.select(*[cp[c].alias(c) for c in cp.columns])
 
 
 def local_path(path: str) -> str:
