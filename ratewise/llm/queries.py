@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import linededup
+from . import licenses, linededup, mixing
 from .common import table
 
 QUERIES = {}
@@ -46,3 +46,22 @@ SELECT d.doc_id, d.source, coalesce(g.n_lines, 0) AS n_lines, coalesce(g.n_dropp
        CASE WHEN d.text IS NOT NULL THEN g.text END AS text
 FROM (SELECT row_number() OVER () AS rowid, * FROM documents) d LEFT JOIN g ON g.r = d.rowid
 """
+
+
+@query
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return licenses.scan(docs)
+
+
+ORACLES["op4_license_scan"] = licenses.oracle()
+
+
+@query
+def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text")
+    return (mixing.mix(docs).drop("text")
+            .withColumns({"factor": F.round("factor", 6), "p": F.round("p", 6)}))
+
+
+ORACLES["op3_source_mixing"] = mixing.oracle()
