@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import licenses, linededup, mixing
+from . import licenses, linededup, mixing, neardup
 from .common import table
 
 QUERIES = {}
@@ -65,3 +65,8 @@ def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op3_source_mixing"] = mixing.oracle()
+
+
+@query
+def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), words=4)
