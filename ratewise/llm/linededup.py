@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import stored
+
 #: A line is boilerplate if more than this share of the host's pages hold it ...
 RATIO = 0.08
 #: ... and at least this many of them do (a share of very few pages says nothing).
@@ -61,12 +63,13 @@ def drop_boilerplate(pages: DataFrame, host: str = "source", text: str = "text",
     with 0 lines. Empty text: one blank line. Repeated rows count as separate pages. Other
     columns pass through; a column called ``n_lines`` or ``n_dropped`` is replaced.
 
-    The pages are joined to one row per host; Spark broadcasts that table only while it is under
-    ``spark.sql.autoBroadcastJoinThreshold`` and else splits a hot host's partition.
+    The pages are joined to one row per host. That table is written first, so Spark knows its
+    size: it broadcasts it only under ``spark.sql.autoBroadcastJoinThreshold`` (the pages are then
+    not shuffled) and else shuffles and splits a hot host's partition.
     """
     names = [c for c in pages.columns if c not in ("n_lines", "n_dropped")]
-    drop = (boilerplate(pages, host, text, ratio, min_pages)
-            .select(F.col("host").alias("__host"), F.col("dropped").alias("__dropped")))
+    drop = stored(boilerplate(pages, host, text, ratio, min_pages)
+                  .select(F.col("host").alias("__host"), F.col("dropped").alias("__dropped")), "boilerplate")
     joined = pages.join(drop, F.col(host).eqNullSafe(F.col("__host")), "left")
     lines = F.split(F.col(text), "\n")
     kept = F.filter(lines, lambda x: (F.trim(x, F.lit(BLANKS)) == "")
