@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import licenses, linededup, mixing, neardup
+from . import langid, licenses, linededup, mixing, neardup, packing
 from .common import table
 
+#: Files of public tokenizers (see their README); any other path can be given to the operators.
+WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
+
 QUERIES = {}
 ORACLES = {}
 
@@ -70,3 +75,17 @@ ORACLES["op3_source_mixing"] = mixing.oracle()
 @query
 def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), words=4)
+
+
+@query
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    fold = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4))
+    model = langid.fit(docs.where(fold != 2), PIECES)
+    held_out = F.coalesce(fold == 2, F.lit(False)).alias("held_out")
+    return langid.identify(docs, model).select("doc_id", held_out, "lang_pred", "score")
+
+
+@query
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), WORD_TOKENIZER)
