@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, licenses, linededup, mixing, neardup, packing
+from . import langid, licenses, linededup, mixing, neardup, packing, warc
 from .common import table
 
 #: Files of public tokenizers (see their README); any other path can be given to the operators.
@@ -89,3 +89,18 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), WORD_TOKENIZER)
+
+
+@query
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
+ORACLES["op10_warc"] = f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+q AS (SELECT page_id, strlen(body) AS payload_bytes, sha256(body) AS payload_digest,
+             min(page_id) OVER (PARTITION BY body) AS first FROM p),
+r AS (SELECT *, payload_bytes >= {warc.REVISIT_BYTES} AND page_id <> first AS again FROM q)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN again THEN first END AS refers_to FROM r
+"""
