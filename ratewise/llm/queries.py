@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, licenses, linededup, mixing, neardup, packing, warc
+from . import langid, licenses, linededup, metricjoin, mixing, neardup, orderminhash, packing, warc
 from .common import table
 
 #: Files of public tokenizers (see their README); any other path can be given to the operators.
@@ -104,3 +104,13 @@ r AS (SELECT *, payload_bytes >= {warc.REVISIT_BYTES} AND page_id <> first AS ag
 SELECT page_id, payload_bytes, payload_digest, CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
        CASE WHEN again THEN first END AS refers_to FROM r
 """
+
+
+@query
+def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metricjoin.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op7_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return orderminhash.fingerprints(table(spark, sf_dir, "documents"))
