@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, licenses, linededup, metricjoin, mixing, neardup, orderminhash, packing, warc
+from . import langid, licenses, linededup, metricjoin, mixing, neardup, orderminhash, packing, quality, warc
 from .common import table
 
 #: Files of public tokenizers (see their README); any other path can be given to the operators.
@@ -114,3 +114,8 @@ def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orderminhash.fingerprints(table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"))
