@@ -9,6 +9,7 @@ scorer over hashed features, which also judges texts on which the labellers are
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,9 +30,12 @@ DECAY = 1e-4
 #: Features are shares of a text's tokens, times this.
 SCALE = 20.0
 THRESHOLD = 0.5
+#: Prior knowledge of the label model: a detector finds its fault in at most this share of good
+#: texts (its limits are set where good texts do not come).
+DETECTOR_ERROR = 0.0005
 
 _TAIL = re.compile(r"[^\w\s]+$")
-_RUN = re.compile(r"([^\w\s])\1\1")
+_RUN = re.compile(r"([^\w\s.])\1")
 _END = re.compile(r"[.!?…。！？][\"'”»)]*(?:\s|$)")
 
 
@@ -47,12 +51,12 @@ def _low_high(x: float, low: float, high: float, low_vote: int, high_vote: int)
 def _signs(text, words, lines):
     """Signs among the letters of a text."""
     signs = sum(map(text.count, "#$%&*|<>{}[]=+~^_\\@"))
-    return _low_high(_share(signs, len(text)), 0.005, 0.05, 1, 0)
+    return 0 if _share(signs, len(text)) >= 0.05 else -1
 
 
 def _runs(text, words, lines):
-    """Tokens with the same sign three times in a row."""
-    return _low_high(_share(sum(1 for _ in _RUN.finditer(text)), len(words)), 0.0, 0.1, 1, 0)
+    """Signs (but full stops) that follow themselves."""
+    return 0 if _share(sum(1 for _ in _RUN.finditer(text)), len(words)) >= 0.1 else -1
 
 
 def _bars(text, words, lines):
@@ -83,16 +87,30 @@ def _repeats(text, words, lines):
     return 0 if len(lines) >= 4 and len(set(lines)) < 0.6 * len(lines) else -1
 
 
-def _variety(text, words, lines):
-    """Different words among all."""
-    return 0 if len(words) >= 30 and len(set(words)) < 0.15 * len(words) else -1
+def _shouting(text, words, lines):
+    """Words in capitals."""
+    return 0 if _share(sum(1 for w in words if len(w) > 2 and w.isupper()), len(words)) >= 0.3 else -1
 
 
-def _stub(text, words, lines):
-    return 0 if len(words) < 5 else -1
+def _stutter(text, words, lines):
+    """Words that follow themselves."""
+    again = sum(map(str.__eq__, words, words[1:]))
+    return 0 if len(words) >= 8 and _share(again, len(words)) >= 0.08 else -1
 
 
-LABELLERS = [_signs, _runs, _bars, _sentences, _short_words, _word_length, _repeats, _variety, _stub]
+def _dominant(text, words, lines):
+    """The share of the most common word."""
+    return 0 if len(words) >= 20 and max(Counter(words).values()) >= 0.2 * len(words) else -1
+
+
+def _wordless(text, words, lines):
+    return -1 if any(map(str.isalpha, text)) else 0
+
+
+#: Judges vote good or bad or not at all; detectors look for one fault and vote bad or not at all.
+JUDGES = [_sentences, _short_words, _word_length]
+DETECTORS = [_signs, _runs, _bars, _repeats, _shouting, _stutter, _dominant, _wordless]
+LABELLERS = JUDGES + DETECTORS
 
 
 def votes(text: str | None) -> str:
@@ -105,54 +123,62 @@ def votes(text: str | None) -> str:
 def label_model(patterns: dict[str, int], rounds: int = 100) -> tuple[dict[str, float], list[dict]]:
     """Posterior probability of good for each vote pattern, and each labeller's estimates.
 
-    Labellers vote independently given the true label, each with its own probabilities of voting
-    good, bad or nothing for good and for bad texts; started from the majority vote. There are at
-    most 3 ** labellers patterns, whatever the corpus.
+    Labellers vote independently given the true label, each with its own probabilities on good and
+    on bad texts: a judge of voting good if it votes (silence says nothing, so short texts are not
+    bad for being short), a detector of finding its fault, rarely in good texts. Started from the rule that a text with
+    a fault is bad. There are at most 3 ** labellers patterns, whatever the corpus.
     """
     if not patterns:
         return {}, []
     keys = sorted(patterns)
     n = np.array([patterns[k] for k in keys], float)
     vote = np.array([["-+.".index(c) for c in k] for k in keys])
-    balance = (vote == 1).sum(axis=1) - (vote == 0).sum(axis=1)
-    good = np.clip(0.5 + 0.2 * balance, 0.05, 0.95)
-    one = np.eye(3)[vote]  # [pattern, labeller, vote]
+    detects = np.arange(len(LABELLERS)) >= len(JUDGES)
+    bad = (vote == 0).astype(float)
+    fine = ((vote == 1) | (detects & (vote == 2))).astype(float)
+    good = np.where(bad[:, detects].any(axis=1), 0.1, 0.9)
     for _ in range(rounds):
         theta, prior = [], []
         for w in (n * (1 - good), n * good):
-            theta.append((np.einsum("p,plv->lv", w, one) + 0.1) / (w.sum() + 0.3))
+            theta.append((w @ fine + 0.1) / (w @ (fine + bad) + 0.2))
             prior.append((w.sum() + 1) / (n.sum() + 2))
-        log = [np.log(p) + np.einsum("plv,lv->p", one, np.log(t)) for p, t in zip(prior, theta)]
+        theta[1] = np.where(detects, np.maximum(theta[1], 1 - DETECTOR_ERROR), theta[1])
+        log = [np.log(p) + fine @ np.log(t) + bad @ np.log(1 - t) for p, t in zip(prior, theta)]
         new = 1 / (1 + np.exp(np.clip(log[0] - log[1], -50, 50)))
         done = np.abs(new - good).max() < 1e-9
         good = new
         if done:
             break
-    report = [{"labeller": f.__name__.strip("_"), "good_if_good": float(theta[1][i, 1]), "bad_if_good": float(theta[1][i, 0]),
-               "good_if_bad": float(theta[0][i, 1]), "bad_if_bad": float(theta[0][i, 0])} for i, f in enumerate(LABELLERS)]
+    report = [{"labeller": f.__name__.strip("_"), "fine_if_good": float(theta[1][i]), "bad_if_bad": float(1 - theta[0][i])}
+              for i, f in enumerate(LABELLERS)]
     return dict(zip(keys, good.tolist())), report
 
 
 _FEATURES: dict[str, list[int]] = {}
+_AGAIN, _FRESH = (xxhash.xxh3_64_intdigest(x) % BUCKETS for x in ("r:again", "r:fresh"))
 
 
 def _token_features(token: str) -> list[int]:
     tail = _TAIL.search(token)
     core = token[:tail.start()] if tail else token
-    names = ["w:" + core.lower(), f"n:{min(len(core), 16)}", "t:" + (tail[0] if tail else "")]
+    case = "upper" if core.isupper() and len(core) > 2 else "other"
+    names = ["w:" + core.lower(), f"n:{min(len(core), 16)}", f"c:{case}", "t:" + (tail[0] if tail else "")]
     return [xxhash.xxh3_64_intdigest(x) % BUCKETS for x in names]
 
 
 def features(text: str | None) -> np.ndarray:
-    """Buckets of a text's tokens: the word, its length and the signs at its end."""
+    """Buckets of a text's tokens: the word, its length, its case, the signs at its end, and whether
+    it follows itself."""
     if len(_FEATURES) > 300_000:
         _FEATURES.clear()
-    out = []
+    out, before = [], None
     for t in (text or "").split():
         f = _FEATURES.get(t)
         if f is None:
             f = _FEATURES[t] = _token_features(t)
         out += f
+        out.append(_AGAIN if t == before else _FRESH)
+        before = t
     return np.array(out, np.int32)
 
 
@@ -223,8 +249,8 @@ def classify(docs: DataFrame, key: str = "doc_id", text: str = "text", most: int
     """(key, votes, posterior, score, kept), one row per row of ``docs``: the labellers' votes, the
     label model's probability of good, the scorer's, and whether the latter reaches ``THRESHOLD``.
 
-    Null or empty text is voted on as a text without words and scored by the bias alone; it is
-    never kept. Null keys are scored but not fitted on. Equal texts have equal results. An empty
+    Null or empty text is voted on as a text without words and scored by the bias alone; text
+    without a letter is never kept. Null keys are scored but not fitted on. Equal texts have equal results. An empty
     table gives no rows. Other columns are ignored.
     """
     spark = docs.sparkSession
@@ -235,6 +261,6 @@ def classify(docs: DataFrame, key: str = "doc_id", text: str = "text", most: int
     w, bias = fit_scorer(named, posterior, most)
     shared = spark.sparkContext.broadcast((posterior, w, bias))
     out = named.mapInPandas(_judge(shared), "doc long, votes string, posterior double, score double")
-    stub = F.substring("votes", -1, 1) == "-"
+    wordless = F.substring("votes", -1, 1) == "-"
     return out.select(F.col("doc").alias(key), "votes", "posterior", "score",
-                      ((F.col("score") >= THRESHOLD) & ~(stub & (F.col("posterior") < THRESHOLD))).alias("kept"))
+                      ((F.col("score") >= THRESHOLD) & ~wordless).alias("kept"))
