@@ -27,10 +27,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = langid.fit(docs, PIECES)
     if not model.langs:
         return docs.select(*COLUMNS)
-    row = F.struct(*COLUMNS)
-    found = langid.identify(docs.select(row.alias("row"), F.col("text").alias("text")), model, key="row")
+    found = langid.identify(docs, model, keep=COLUMNS)
     return (found.where((F.col("lang_pred") != langid.UNDETERMINED) & (F.col("score") >= LEAST_SCORE))
-            .select("row.*", "lang_pred")
             .withColumn("lang", F.coalesce("lang", "lang_pred")).select(*COLUMNS))
 
 

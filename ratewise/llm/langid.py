@@ -15,8 +15,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 from pyspark.sql.window import Window
 
 from .common import ship, stored
@@ -229,34 +231,35 @@ def fit(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", lan
     return Model(pieces, langs, p)
 
 
-_MODELS: dict[int, Model] = {}
+_MODELS: dict[str, Model] = {}
 
 
-def _score(shared):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _score(shared, keep, text):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = _MODELS.get(shared.value[0])
         if model is None:  # one model at a time, with its memory, for all tasks of a worker
             _MODELS.clear()
             model = _MODELS[shared.value[0]] = Model(*shared.value[1:])
         for b in batches:
-            got = [x for i in range(0, len(b), 256) for x in model.predict(list(b["text"].iloc[i:i + 256]))]
-            b = b.drop(columns="text")
-            b["lang_pred"] = [x for x, _ in got]
-            b["score"] = np.array([s for _, s in got], float)
-            yield b
+            texts = b.column(text).to_pylist()
+            got = [x for i in range(0, len(texts), 256) for x in model.predict(texts[i:i + 256])]
+            columns = [b.column(c) for c in keep]
+            columns += [pa.array([x for x, _ in got], pa.string()), pa.array([s for _, s in got], pa.float64())]
+            yield pa.RecordBatch.from_arrays(columns, [*keep, "lang_pred", "score"])
     return run
 
 
-def identify(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, lang_pred, score), one row per row of ``docs``: a language of the model and its
-    posterior probability; ``und`` and 0 if the text is null or has no letter, or the model knows
-    no language. Ties go to the first language by name. Null keys and repeated rows are scored
-    like any other; other columns are ignored."""
+def identify(docs: DataFrame, model: Model, keep: list[str] | None = None, text: str = "text") -> DataFrame:
+    """The columns ``keep`` (``doc_id`` by default), ``lang_pred`` and ``score``, one row per row of
+    ``docs``: a language of the model and its posterior probability; ``und`` and 0 if the text is
+    null or has no letter, or the model knows no language. Ties go to the first language by name.
+    Null keys and repeated rows are scored like any other. Columns of ``docs`` called ``lang_pred``
+    or ``score`` are replaced, other columns are ignored."""
     import uuid
 
     spark = docs.sparkSession
     ship(spark)
+    keep = [c for c in keep or ["doc_id"] if c not in ("lang_pred", "score")]
     shared = spark.sparkContext.broadcast((uuid.uuid4().hex, model.pieces, model.langs, model.p))
-    named = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    kind = dict(named.dtypes)["key"]
-    return named.mapInPandas(_score(shared), f"key {kind}, lang_pred string, score double").withColumnRenamed("key", key)
+    schema = StructType([*[docs.schema[c] for c in keep], StructField("lang_pred", StringType()), StructField("score", DoubleType())])
+    return docs.select(*dict.fromkeys([*keep, text])).mapInArrow(_score(shared, keep, text), schema)

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import DoubleType
 
-from .common import ship, stored
+from .common import map_frames, ship, stored
 from .components import components
 
 TREES = 16
@@ -112,7 +112,7 @@ def _sign(words: int):
 def signatures(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """(doc, text) -> (doc, n, set_key, sig)."""
     ship(docs.sparkSession)
-    return docs.mapInPandas(_sign(words), "doc long, n long, set_key string, sig binary")
+    return map_frames(docs, _sign(words), "doc long, n long, set_key string, sig binary")
 
 
 def regions(classes: DataFrame, members: DataFrame | None, level: int) -> DataFrame:
@@ -159,7 +159,7 @@ def confirmed(pairs: DataFrame, named: DataFrame, reps: DataFrame, words: int) -
     need = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
     need = reps.join(need, "id", "left_semi")
     texts = named.join(need.select("doc"), "doc", "left_semi").dropDuplicates(["doc", "text"])
-    sets = stored(texts.mapInPandas(_sets(words), "doc long, set_key string, set array<long>")
+    sets = stored(map_frames(texts, _sets(words), "doc long, set_key string, set array<long>")
                   .join(need, ["set_key", "doc"]).select("id", "set"), "sets")
     one = pairs.join(sets.select(F.col("id").alias("a"), F.col("set").alias("sa")), "a")
     two = one.join(sets.select(F.col("id").alias("b"), F.col("set").alias("sb")), "b")

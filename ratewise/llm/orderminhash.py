@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import ship, stored
+from .common import map_frames, ship, stored
 
 K = 6
 M = 32
@@ -151,7 +151,7 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     ship(docs.sparkSession)
     named = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text")).withColumn("tie", F.monotonically_increasing_id())
     ordered = named.repartitionByRange("doc", "tie").sortWithinPartitions("doc", "tie")
-    along = stored(ordered.mapInPandas(_along, f"{_RESULT}, part int, end string, text string"), "along")
+    along = stored(map_frames(ordered, _along, f"{_RESULT}, part int, end string, text string"), "along")
     first = along.where("end = 'first'").select("part", F.col("text").alias("after"))
     # one narrow row per task: the next task that has rows, or the first of all
     every = Window.orderBy("part")
@@ -159,5 +159,5 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
                  .withColumn("next", F.coalesce("next", F.min("part").over(Window.partitionBy()))))
     last = along.where("end = 'last'").select("doc", "text", "part").join(following, "part")
     ends = last.join(first.withColumnRenamed("part", "next"), "next").select("doc", "text", "after")
-    out = along.where("end IS NULL").select(*_COLUMNS).union(ends.mapInPandas(_across, _RESULT))
+    out = along.where("end IS NULL").select(*_COLUMNS).union(map_frames(ends, _across, _RESULT))
     return out.withColumnRenamed("doc", key)

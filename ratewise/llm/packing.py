@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import ship, stored
+from .common import map_frames, ship, stored
 
 CAPACITY = 2048
 END_ID = 1
@@ -169,13 +169,13 @@ def _place(places):
         p = places.value
         starts = (p["length"].to_numpy() << 44) | p["first"].to_numpy()
         for b in batches:
-            k = b["number"].to_numpy()
-            i = np.searchsorted(starts, (b["length"].to_numpy() << 44) | k, side="right") - 1
+            k, length = b["number"].to_numpy(np.int64), b["length"].to_numpy(np.int64)
+            i = np.searchsorted(starts, (length << 44) | k, side="right") - 1
             row = p.iloc[i]
             at = k - row["first"].to_numpy()
             copies = row["copies"].to_numpy()
             b["sequence_id"] = row["sequence"].to_numpy() + at // copies
-            b["offset"] = row["offset"].to_numpy() + at % copies * b["length"].to_numpy()
+            b["offset"] = row["offset"].to_numpy() + at % copies * length
             yield b[["doc", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]]
     return run
 
@@ -194,8 +194,8 @@ def pack(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text",
     spark = docs.sparkSession
     ship(spark)
     named = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text"))
-    pieces = stored(named.mapInPandas(_cut(path, capacity, end_id),
-                    "doc long, start long, length long, ids_crc32 long, doc_tokens long, part long, number long"), "pieces")
+    pieces = stored(map_frames(named, _cut(path, capacity, end_id),
+                               "doc long, start long, length long, ids_crc32 long, doc_tokens long, part long, number long"), "pieces")
     dealt = pieces.groupBy("length", "part").agg(F.count("*").alias("n"))
     before = F.sum("n").over(Window.partitionBy("length").orderBy("part")
                              .rowsBetween(Window.unboundedPreceding, -1))
@@ -204,7 +204,7 @@ def pack(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text",
     places = plan(histogram, capacity).sort_values(["length", "first"], ignore_index=True)
     numbered = (pieces.join(dealt.select("length", "part", "before"), ["length", "part"])
                 .withColumn("number", F.col("number") + F.col("before")))
-    placed = numbered.select("doc", "start", "length", "ids_crc32", "doc_tokens", "number").mapInPandas(
-        _place(spark.sparkContext.broadcast(places)),
+    placed = map_frames(
+        numbered.select("doc", "start", "length", "ids_crc32", "doc_tokens", "number"), _place(spark.sparkContext.broadcast(places)),
         "doc long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
     return placed.withColumnRenamed("doc", key)

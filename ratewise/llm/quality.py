@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship, stored
+from .common import map_frames, ship, stored
 
 #: The scorer is fitted on at most so many documents, those with the smallest hash of their key;
 #: the labellers' accuracies come from all documents, and all are scored.
@@ -256,11 +256,11 @@ def classify(docs: DataFrame, key: str = "doc_id", text: str = "text", most: int
     spark = docs.sparkSession
     ship(spark)
     named = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text"))
-    patterns = named.mapInPandas(_vote, "doc long, votes string").groupBy("votes").count().collect()
+    patterns = map_frames(named, _vote, "doc long, votes string").groupBy("votes").count().collect()
     posterior, _ = label_model({r["votes"]: r["count"] for r in patterns})
     w, bias = fit_scorer(named, posterior, most)
     shared = spark.sparkContext.broadcast((posterior, w, bias))
-    out = named.mapInPandas(_judge(shared), "doc long, votes string, posterior double, score double")
+    out = map_frames(named, _judge(shared), "doc long, votes string, posterior double, score double")
     wordless = F.substring("votes", -1, 1) == "-"
     return out.select(F.col("doc").alias(key), "votes", "posterior", "score",
                       ((F.col("score") >= THRESHOLD) & ~wordless).alias("kept"))
