@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,3 +41,17 @@ def components(links: DataFrame, a: str, b: str, max_rounds: int = 60) -> DataFr
                 edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
         before = now
     raise RuntimeError("components did not converge")
+
+
+def local_roots(near: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For nodes ``a`` (rows) and ``b`` (columns) of one block and their link matrix: the smallest
+    node of each one's linked set within the block. A block thus hands on a star for each set
+    instead of all its links."""
+    most = np.iinfo(np.int64).max
+    la, lb = a.copy(), b.copy()
+    while True:
+        new_a = np.minimum(la, np.where(near, lb, most).min(axis=1))
+        new_b = np.minimum(lb, np.where(near, new_a[:, None], most).min(axis=0))
+        if (new_a == la).all() and (new_b == lb).all():
+            return la, lb
+        la, lb = new_a, new_b

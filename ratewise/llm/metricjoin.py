@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .common import ship, stored
-from .components import components
+from .components import components, local_roots
 
 COSINE = 0.98
 #: Distinct vectors of a label for each pivot, and the most pivots of a label.
@@ -75,14 +75,7 @@ def _compare(cosine: float):
         a, b = own["id"].to_numpy(), other["id"].to_numpy()
         near |= a[:, None] == b[None, :]
         linked = near @ other["weight"].to_numpy()
-        most = np.iinfo(np.int64).max
-        la, lb = a.copy(), b.copy()
-        while True:
-            new_a = np.minimum(la, np.where(near, lb, most).min(axis=1))
-            new_b = np.minimum(lb, np.where(near, new_a[:, None], most).min(axis=0))
-            if (new_a == la).all() and (new_b == lb).all():
-                break
-            la, lb = new_a, new_b
+        la, lb = local_roots(near, a, b)
         joined = lb != b
         return pd.DataFrame({"id": np.concatenate([a, b[joined]]),
                              "linked": np.concatenate([linked, np.zeros(joined.sum(), np.int64)]),

@@ -10,9 +10,9 @@ The work is linear in the documents even inside a group of thousands of near cop
 1. equal sets are one class, represented by the smallest document;
 2. in each region every class is paired with the region's smallest class (a star), at each depth
    the region reaches; the pairs are confirmed on full sets and joined to components;
-3. pairs of one region that are still in different components are compared exhaustively on their
-   signatures - in small regions as rows, in large ones as blocks of rows in numpy, which emit
-   likely links only - and the likely links are confirmed on full sets.
+3. pairs of one region that are still in different components are compared exhaustively: in small
+   regions as rows, whose likely pairs are confirmed on full sets; in large ones as blocks of full
+   sets, each of which hands on a star for every linked set and not all its links.
 
 Step 3 leaves no pair of a region out, so a link is lost only if its documents share no region in
 any tree: at similarity 0.8 that is (1 - 0.8**4)**16 = 0.02 %, at 0.85 0.0008 %.
@@ -31,7 +31,7 @@ from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import DoubleType
 
 from .common import map_frames, ship, stored
-from .components import components
+from .components import components, local_roots
 
 TREES = 16
 #: Region depths in min-hashes; the last is the length of a tree's signature.
@@ -39,7 +39,7 @@ DEPTHS = (4, 6, 8)
 #: A region with more classes than this goes deeper, and is compared in blocks.
 LARGE = 32
 #: Classes in a block.
-BLOCK = 512
+BLOCK = 256
 WORDS = 4
 #: Links need 100 * intersection >= PERCENT * union.
 PERCENT = 80
@@ -152,15 +152,18 @@ def _sets(words: int):
     return run
 
 
-def confirmed(pairs: DataFrame, named: DataFrame, reps: DataFrame, words: int) -> DataFrame:
-    """The pairs (a, b) of classes that are links on their full shingle sets. Only the texts that
-    represent a class in a pair are read again."""
-    pairs = stored(pairs, "pairs")
-    need = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-    need = reps.join(need, "id", "left_semi")
+def class_sets(ids: DataFrame, named: DataFrame, reps: DataFrame, words: int) -> DataFrame:
+    """(id, set) of the classes ``ids``. Only the texts that represent one of them are read again."""
+    need = reps.join(ids.distinct(), "id", "left_semi")
     texts = named.join(need.select("doc"), "doc", "left_semi").dropDuplicates(["doc", "text"])
-    sets = stored(map_frames(texts, _sets(words), "doc long, set_key string, set array<long>")
+    return stored(map_frames(texts, _sets(words), "doc long, set_key string, set array<long>")
                   .join(need, ["set_key", "doc"]).select("id", "set"), "sets")
+
+
+def confirmed(pairs: DataFrame, named: DataFrame, reps: DataFrame, words: int) -> DataFrame:
+    """The pairs (a, b) of classes that are links on their full shingle sets."""
+    pairs = stored(pairs, "pairs")
+    sets = class_sets(pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))), named, reps, words)
     one = pairs.join(sets.select(F.col("id").alias("a"), F.col("set").alias("sa")), "a")
     two = one.join(sets.select(F.col("id").alias("b"), F.col("set").alias("sb")), "b")
     both = F.size(F.array_intersect("sa", "sb"))
@@ -180,32 +183,49 @@ def _small_cross(region: DataFrame, comp: DataFrame) -> DataFrame:
             .where("a < b AND root <> root_b").select("a", "b"))
 
 
-def _compare_blocks(group: pd.DataFrame) -> pd.DataFrame:
-    """Likely links between components, of the rows of one or two blocks."""
-    left = group[group["side"] == 0]
-    right = group[group["side"] == 1]
-    same = not len(right)
-    right = left if same else right
-    x = np.stack([np.frombuffer(s, "<u4") for s in left["sig"]]) if len(left) else np.empty((0, _FUNCS), np.uint32)
-    y = x if same else np.stack([np.frombuffer(s, "<u4") for s in right["sig"]])
-    li, ri = left["id"].to_numpy(), right["id"].to_numpy()
-    lr, rr = left["root"].to_numpy(), right["root"].to_numpy()
-    out = []
-    for i in range(len(li)):
-        alike = (y == x[i]).sum(axis=1) >= LIKELY * _FUNCS
-        alike &= rr != lr[i]
-        for j in np.flatnonzero(alike):
-            if not same or li[i] < ri[j]:
-                out.append((min(li[i], ri[j]), max(li[i], ri[j])))
-    return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
-
-
-def _large_cross(region: DataFrame, comp: DataFrame, classes: DataFrame) -> DataFrame:
-    """Likely links of large regions between different components.
+def overlaps(left: list[np.ndarray], right: list[np.ndarray] | None, width: int = 4096) -> np.ndarray:
+    """Sizes of the intersections of all left with all right sets (of the left ones among themselves
+    without right), as products of 0/1 matrices of ``width`` shingles each."""
+    sets = left + (right or [])
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    _, column, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = times > 1  # a shingle of one set alone is in no intersection
+    number = np.cumsum(shared) - 1
+    owner, column = owner[shared[column]], number[column[shared[column]]]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    n = len(left)
+    out = np.zeros((n, len(right) if right is not None else n))
+    for lo in range(0, int(shared.sum()), width):
+        i, j = np.searchsorted(column, [lo, lo + width])
+        m = np.zeros((len(sets), width), np.float32)
+        m[owner[i:j], column[i:j] - lo] = 1
+        out += m[:n] @ (m[n:] if right is not None else m).T
+    return out
+
+
+def _link_blocks(group: pd.DataFrame) -> pd.DataFrame:
+    """Links of one block, or of one block with another, on full sets: each class with the smallest
+    of those it is linked to, directly or through others of the block."""
+    left, right = group[group["side"] == 0], group[group["side"] == 1]
+    a = left["id"].to_numpy()
+    ls = [np.asarray(s, np.int64) for s in left["set"]]
+    b, rs = (right["id"].to_numpy(), [np.asarray(s, np.int64) for s in right["set"]]) if len(right) else (a, None)
+    if not len(a):
+        return pd.DataFrame({"a": [], "b": []}, dtype="int64")
+    both = overlaps(ls, rs)
+    na, nb = np.array([len(s) for s in ls]), np.array([len(s) for s in (ls if rs is None else rs)])
+    la, lb = local_roots(100 * both >= PERCENT * (na[:, None] + nb[None, :] - both), a, b)
+    ids, roots = (a, la) if rs is None else (np.concatenate([a, b]), np.concatenate([la, lb]))
+    return pd.DataFrame({"a": roots[roots != ids], "b": ids[roots != ids]})
+
+
+def _large_cross(region: DataFrame, comp: DataFrame, named: DataFrame, reps: DataFrame, words: int) -> DataFrame:
+    """Links of large regions between different components, on full sets.
 
     A region's classes are dealt to blocks of about ``BLOCK``: those of a component of that size
     by themselves, the others together. Two blocks meet in one group unless both are of one
-    component; each group is bounded by two blocks.
+    component; a group holds two blocks, however large the region.
     """
     rows = region.where(F.col("n_in") > LARGE).select("region", "id").join(comp, "id", "left")
     rows = rows.withColumn("root", F.coalesce("root", "id"))
@@ -230,8 +250,9 @@ def _large_cross(region: DataFrame, comp: DataFrame, classes: DataFrame) -> Data
               .select("meet", "region", F.col("own2").alias("own"), F.col("block2").alias("block"), F.lit(1).alias("side")))
     sides = first.union(second).select("meet", "side", F.col("region").alias("rg"), F.col("own").alias("ow"), F.col("block").alias("bl"))
     dealt = rows.join(sides, (F.col("region") == F.col("rg")) & (F.col("block") == F.col("bl")) & F.col("own").eqNullSafe(F.col("ow")))
-    dealt = dealt.select("meet", "side", "id", "root").join(classes.select("id", "sig"), "id")
-    return dealt.groupBy("meet").applyInPandas(_compare_blocks, "a long, b long")
+    dealt = stored(dealt.select("meet", "side", "id"), "dealt")
+    sets = class_sets(dealt.select("id"), named, reps, words)
+    return dealt.join(sets, "id").groupBy("meet").applyInPandas(_link_blocks, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS) -> DataFrame:
@@ -262,9 +283,9 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     links = stored(confirmed(_likely(stars, classes), named, reps, words), "links")
     comp = components(links, "a", "b").select(F.col("node").alias("id"), "root")
 
-    rest = (_likely(_small_cross(levels[0], comp).distinct(), classes)
-            .union(_large_cross(levels[0], comp, classes))).distinct()
-    links = links.union(confirmed(rest, named, reps, words))
+    rest = _likely(_small_cross(levels[0], comp).distinct(), classes)
+    links = (links.union(confirmed(rest, named, reps, words))
+             .union(_large_cross(levels[0], comp, named, reps, words)))
     # rows that repeat a key with other texts are one document: the key links their classes
     of_doc = real.join(reps.select("set_key", "id"), "set_key").select("doc", "id").distinct()
     split = (of_doc.groupBy("doc").agg(F.min("id").alias("a"), F.count("*").alias("k")).where("k > 1")
