@@ -39,13 +39,16 @@ class WordIds:
     forgotten when it has ``most`` entries.
     """
 
-    def __init__(self, path: str, most: int = 600_000):
+    def __init__(self, path: str, most: int = 1_000_000):
         import os
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.most = most
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.chunks: dict[str, bytes] = {"": b""}
         self.cores: dict[str, bytes] = {}
 
@@ -57,17 +60,27 @@ class WordIds:
             return (chunk.lower() if chunk.isascii() else chunk,)
         return (core.lower() if core.isascii() else core, chunk[len(core):])
 
-    def learn(self, chunks) -> None:
-        if len(self.chunks) > self.most:
-            self.chunks = {"": b""}
-        if len(self.cores) > self.most:
-            self.cores = {}
-        new = {c: self._parts(c) for c in chunks if c not in self.chunks}
+    def _encode(self, cores: list[str]) -> None:
+        """Cores of letters alone are one word each, so many are given to the tokenizer as one text
+        and told apart by the tokens that end a word; if that count is off, and for all other
+        cores, each is a text of its own."""
+        words = [c for c in cores if c.isalpha()]
+        ids = np.array(self.tokenizer.encode(" ".join(words), add_special_tokens=False).ids, "<u4")
+        ends = np.flatnonzero(self.ends[ids]) + 1
+        if len(ends) == len(words):
+            raw, lo = ids.tobytes(), 0
+            for w, hi in zip(words, (4 * ends).tolist()):
+                self.cores[w] = raw[lo:hi]
+                lo = hi
+        rest = [c for c in cores if c not in self.cores]
+        for core, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
+            self.cores[core] = np.array(e.ids, "<u4").tobytes()
+
+    def learn(self, chunks: list[str]) -> None:
+        new = {c: self._parts(c) for c in chunks}
         cores = list({p for parts in new.values() for p in parts if p not in self.cores})
-        for i in range(0, len(cores), 4096):
-            some = cores[i:i + 4096]
-            for core, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                self.cores[core] = np.array(e.ids, "<u4").tobytes()
+        if cores:
+            self._encode(cores)
         for c, parts in new.items():
             self.chunks[c] = b"".join([self.cores[p] for p in parts])
 
@@ -76,8 +89,12 @@ class WordIds:
         try:
             return b"".join([self.chunks[c] for c in chunks])
         except KeyError:
-            self.learn(set(chunks))
-            return b"".join([self.chunks[c] for c in chunks])
+            pass
+        if len(self.chunks) > self.most:
+            self.chunks, self.cores = {"": b""}, {}
+        known = self.chunks
+        self.learn([c for c in chunks if c not in known])
+        return b"".join([known[c] for c in chunks])
 
 
 _TOKENIZERS: dict[str, WordIds] = {}
@@ -93,7 +110,6 @@ def _cut(path: str, capacity: int, end_id: int):
         for b in batches:
             for lo in range(0, len(b), 2000):
                 some = b.iloc[lo:lo + 2000]
-                words.learn({c for t in some["text"] if t for c in t.replace("\n", " ").split(" ")})
                 rows = []
                 for doc, text in zip(some["doc"], some["text"]):
                     raw = (words.ids(text) if text else b"") + end
