@@ -1,8 +1,9 @@
 """Text cleaning as native column expressions (no Python per row).
 
-Each step is a ``Column -> Column`` function, so a cleaning chain stays inside whole-stage
-codegen and array lambdas (``filter``, ``transform``) run in the JVM. ``sql_*`` helpers give the
-same steps in DuckDB SQL for the oracles.
+Each step is a ``Column -> Column`` function that runs in the JVM. String steps compile into
+whole-stage code; array lambdas (``filter``, ``transform``) are interpreted, so counting operators
+explode tokens and work on plain columns instead (``operators/terms.py``). ``sql_*`` helpers give
+the same steps in DuckDB SQL for the oracles.
 """
 
 from __future__ import annotations
@@ -90,11 +91,13 @@ def drop_stopwords(tokens, words=ENGLISH) -> Column:
 
 def s_stem(token: Column) -> Column:
     """Harman's S stemmer (1991) on one lower-case token: ies -> y (not after e or a),
-    es -> e (not after a, e or o), s -> '' (not after u or s); first matching rule only.
-    Suffix edits are substring operations (no regex per token)."""
+    es -> e (not after a, e or o), s -> '' (not after u or s); first matching rule only; tokens of
+    up to three characters stay ("is", "was", a lone "s"). Suffix edits are substring operations
+    (no regex per token)."""
     t = token
     n = F.length(t)
-    return (F.when(t.endswith("ies") & ~t.endswith("eies") & ~t.endswith("aies"),
+    return (F.when(n <= 3, t)
+             .when(t.endswith("ies") & ~t.endswith("eies") & ~t.endswith("aies"),
                    F.concat(t.substr(F.lit(1), n - 3), F.lit("y")))
              .when(t.endswith("es") & ~t.endswith("aes") & ~t.endswith("ees") & ~t.endswith("oes"),
                    t.substr(F.lit(1), n - 1))
@@ -120,14 +123,6 @@ def bigrams(tokens) -> Column:
                   ).otherwise(F.array().cast("array<string>"))
 
 
-def cloud_words(col, words=ENGLISH) -> Column:
-    """T16 tokens: words of two or more characters, lower case, possessive 's dropped, stop
-    words out."""
-    found = F.regexp_extract_all(F.lower(_c(col)), F.lit(CLOUD_WORD_PATTERN), 0)
-    found = F.transform(found, lambda t: F.regexp_replace(t, "'s$", ""))
-    return drop_stopwords(found, words)
-
-
 def prepared_text(col, profile: str = "eda") -> Column:
     """The deletions of a profile, before splitting into tokens; lower case is left for the
     tokens (it neither makes nor removes white space, digits, punctuation or tag brackets, so
@@ -148,11 +143,11 @@ def clean_tokens(col, profile: str = "eda", words=ENGLISH, stem: bool = True) ->
     * ``eda``: tags, lower, digits, punctuation, tokens, stop words, lemma.
     * ``stem``: lower, white-space tokens, stem.
     * ``raw``: punctuation, lower, tokens, stop words (the top-words chart).
-    * ``notebook``: lower, tokens, lemma, digits, punctuation, tags, tokens, stop words; all
-      sentences are kept.
+    * ``notebook``: tags, lower, digits, punctuation, tokens, stop words, lemma over the words of
+      all sentences (as ``eda``; it differs in what is done before: summary merged, null filled).
     """
     c = _c(col)
-    if profile == "eda":
+    if profile in ("eda", "notebook"):
         toks = drop_stopwords(tokenize(strip_digits_punctuation(lower(strip_tags(c)))), words)
         return lemmatize(toks) if stem else toks
     if profile == "stem":
@@ -160,9 +155,6 @@ def clean_tokens(col, profile: str = "eda", words=ENGLISH, stem: bool = True) ->
         return lemmatize(toks) if stem else toks
     if profile == "raw":
         return drop_stopwords(tokenize(lower(strip_punctuation(c))), words)
-    if profile == "notebook":
-        first = join_tokens(lemmatize(tokenize(lower(c))) if stem else tokenize(lower(c)))
-        return drop_stopwords(tokenize(strip_tags(strip_digits_punctuation(first))), words)
     raise ValueError(f"unknown profile {profile}")
 
 
@@ -198,7 +190,7 @@ def sql_drop_stopwords(toks: str, words=ENGLISH) -> str:
 
 
 def sql_s_stem(t: str) -> str:
-    return (f"CASE WHEN ends_with({t}, 'ies') AND NOT ends_with({t}, 'eies') AND NOT ends_with({t}, 'aies') "
+    return (f"CASE WHEN length({t}) <= 3 THEN {t} WHEN ends_with({t}, 'ies') AND NOT ends_with({t}, 'eies') AND NOT ends_with({t}, 'aies') "
             f"THEN regexp_replace({t}, 'ies$', 'y') "
             f"WHEN ends_with({t}, 'es') AND NOT ends_with({t}, 'aes') AND NOT ends_with({t}, 'ees') "
             f"AND NOT ends_with({t}, 'oes') THEN regexp_replace({t}, 'es$', 'e') "
@@ -211,7 +203,7 @@ def sql_lemmatize(toks: str) -> str:
 
 
 def sql_clean_tokens(x: str, profile: str = "eda", stem: bool = True) -> str:
-    if profile == "eda":
+    if profile in ("eda", "notebook"):
         toks = sql_drop_stopwords(sql_tokenize(sql_strip_punctuation(sql_strip_digits(f"lower({sql_strip_tags(x)})"))))
         return sql_lemmatize(toks) if stem else toks
     if profile == "stem":
@@ -219,9 +211,6 @@ def sql_clean_tokens(x: str, profile: str = "eda", stem: bool = True) -> str:
         return sql_lemmatize(toks) if stem else toks
     if profile == "raw":
         return sql_drop_stopwords(sql_tokenize(f"lower({sql_strip_punctuation(x)})"))
-    if profile == "notebook":
-        first = f"array_to_string({sql_lemmatize(sql_tokenize(f'lower({x})'))}, ' ')"
-        return sql_drop_stopwords(sql_tokenize(sql_strip_tags(sql_strip_punctuation(sql_strip_digits(first)))))
     raise ValueError(profile)
 
 
@@ -233,4 +222,5 @@ def sql_bigrams(toks: str) -> str:
 def sql_cloud_words(x: str, words=ENGLISH) -> str:
     found = f"regexp_extract_all(lower({x}), '{CLOUD_WORD_PATTERN.replace(chr(39), chr(39) * 2)}')"
     found = f"list_transform({found}, lambda t: regexp_replace(t, '''s$', ''))"
+    found = f"list_filter({found}, lambda t: NOT regexp_full_match(t, '{DIGITS_PATTERN}'))"
     return sql_drop_stopwords(found, words)

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from . import prep
 
 
@@ -43,5 +44,9 @@ def density_filter(df: DataFrame, since_ts: int = prep.SINCE_2013, min_text: int
                    min_item_ratings: int = 3, min_user_reviews: int = 3) -> DataFrame:
     """F3 core: P4, P5, J1, J2 (J2 counts what J1 left), P7."""
     recent = prep.min_text_length(prep.since(df, since_ts), min_text)
-    kept = keep_active_users(keep_popular_items(recent, min_item_ratings), min_user_reviews)
+    # the two counts read keys alone, materialised; the text is read with the final rows only
+    keys = cut_lineage(recent.select("asin", "reviewerID", "overall"))
+    items = cut_lineage(item_counts(keys, min_item_ratings).select("asin"))
+    users = user_counts(keys.join(items, "asin", "left_semi"), min_user_reviews).select("reviewerID")
+    kept = recent.join(items, "asin", "left_semi").join(users, "reviewerID", "left_semi")
     return kept.select("reviewerID", "asin", "overall", "reviewText")

@@ -42,16 +42,6 @@ def min_text_length(df: DataFrame, n: int = 5, col: str = "reviewText") -> DataF
     return df.where(F.length(col) >= n)
 
 
-def drop_columns(df: DataFrame, *cols: str) -> DataFrame:
-    """P6."""
-    return df.drop(*cols)
-
-
-def select_columns(df: DataFrame, *cols: str) -> DataFrame:
-    """P7."""
-    return df.select(*cols)
-
-
 def merge_summary(df: DataFrame, text: str = "reviewText", summary: str = "summary") -> DataFrame:
     """``text + ' ' + summary``; a null part is skipped (no stray blank); summary dropped."""
     return df.withColumn(text, F.concat_ws(" ", F.col(text), F.col(summary))).drop(summary)
@@ -109,11 +99,6 @@ def fill_vote_by_product(df: DataFrame, col: str = "vote", key: str = "asin",
     return out
 
 
-def rename(df: DataFrame, old: str, new: str) -> DataFrame:
-    """P14."""
-    return df.withColumnRenamed(old, new)
-
-
 def history_of(df: DataFrame, user: str, col: str = "reviewerID") -> DataFrame:
     """The rows of one user."""
     return df.where(F.col(col) == F.lit(user))
@@ -133,25 +118,24 @@ def minmax_scale(df: DataFrame, col: str = "overall", out: str = "y") -> DataFra
 
 
 def numeric_columns(df: DataFrame, max_columns: int = 10) -> DataFrame:
-    """Which numeric/boolean columns qualify for the scatter matrix: no nulls and more than
-    one distinct value; the first ``max_columns`` in schema order are kept.
+    """Which numeric columns (booleans are not) qualify for the scatter matrix: no nulls and
+    more than one distinct value, i.e. a minimum below the maximum; the first ``max_columns`` in
+    schema order are kept.
 
-    Returns one row per numeric column with its counts (one aggregate pass)."""
-    fields = [f for f in df.schema.fields if isinstance(f.dataType, (NumericType, BooleanType))]
+    Returns one row per numeric column: (position, column, nulls, varies, keep), in one pass."""
+    fields = [f for f in df.schema.fields if isinstance(f.dataType, NumericType)]
     if not fields:
         return df.sparkSession.createDataFrame([], "position int, column string, nulls bigint, "
-                                                   "distinct_values bigint, keep boolean")
+                                                   "varies boolean, keep boolean")
     aggs = []
-    for f in fields:
-        aggs += [F.count_if(F.col(f.name).isNull()).alias(f"n_{f.name}"),
-                 F.count_distinct(F.col(f.name)).alias(f"d_{f.name}")]
-    stats = df.agg(*aggs)
+    for i, f in enumerate(fields):
+        aggs += [F.count_if(F.col(f.name).isNull()).alias(f"n{i}"),
+                 F.coalesce(F.min(f.name) < F.max(f.name), F.lit(False)).alias(f"v{i}")]
     rows = F.array(*[F.struct(F.lit(i + 1).alias("position"), F.lit(f.name).alias("column"),
-                              F.col(f"n_{f.name}").alias("nulls"),
-                              F.col(f"d_{f.name}").alias("distinct_values"))
+                              F.col(f"n{i}").alias("nulls"), F.col(f"v{i}").alias("varies"))
                      for i, f in enumerate(fields)])
-    out = stats.select(F.inline(rows))
-    eligible = (F.col("nulls") == 0) & (F.col("distinct_values") > 1)
+    out = df.agg(*aggs).select(F.inline(rows))
+    eligible = (F.col("nulls") == 0) & F.col("varies")
     # running count of eligible columns over at most len(schema) rows: bounded, one partition
     from pyspark.sql import Window
     w = Window.orderBy("position").rowsBetween(Window.unboundedPreceding, 0)

@@ -8,7 +8,8 @@ Scale notes
   product: user u's answer lies among the first ``k + n_u`` ranked items, so each user emits
   ``k + n_u`` candidate ranks (linear in the ratings). Long candidate ranges are cut into chunks
   that are spread over tasks, so a user holding a large share of all ratings is not one task.
-* ALS (M3a) is Spark ML's blocked ALS; its top-k scoring is the built-in blocked product.
+* ALS (M3a) is Spark ML's blocked ALS. Factor models are asked for stated users only, scored in
+  bounded blocks against all items (``recommend``); users without factors get the fallback.
 """
 
 from __future__ import annotations
@@ -23,18 +24,16 @@ from .stats import top_k_per_group
 CHUNK = 4096
 
 
-def _partitions(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
-def dense_index(keys: DataFrame, order: list, out: str = "id", partitions: int | None = None) -> DataFrame:
+def dense_index(keys: DataFrame, order: list, out: str = "id") -> DataFrame:
     """0..n-1 over the distinct rows of ``keys`` in ``order`` (ties must not exist).
 
     Range partition + per-partition sort; each row's id is its position in its partition plus
-    the row count of all earlier partitions."""
-    n = partitions or _partitions(keys)
-    ranged = keys.repartitionByRange(n, *order).sortWithinPartitions(*order)
-    tagged = ranged.withColumn("_pid", F.spark_partition_id()).withColumn("_m", F.monotonically_increasing_id())
+    the row count of all earlier partitions. The partitioned rows are materialised with their
+    partition and position first: the bounds of a range partitioning come from a sample, so a
+    second evaluation could cut elsewhere, and sizes and positions must be of one and the same."""
+    ranged = keys.repartitionByRange(*order).sortWithinPartitions(*order)
+    tagged = cut_lineage(ranged.withColumn("_pid", F.spark_partition_id())
+                         .withColumn("_m", F.monotonically_increasing_id()))
     sizes = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"), F.min("_m").alias("_m0"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_pid", "_m0", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
@@ -134,17 +133,20 @@ def top_unseen_by_rank(ratings: DataFrame, ranked: DataFrame, k: int = 10, user:
 
     Candidates are ranks 1..min(k + n_u, n_items); each user's range is cut into chunks of
     ``chunk`` ranks, chunks are spread round-robin, then expanded, joined to the ranking on the
-    rank, anti-joined with what the user rated, and limited per user (partial limit first)."""
+    rank, anti-joined with what the user rated, and limited per user (partial limit first).
+    The expanded side is far larger than the chunk rows it comes from, which is all Spark sees
+    of its size, so both joins are fixed as sort-merge joins: no candidates are broadcast, and
+    the low ranks that every user asks for are split by the skew rule."""
     n_items = ranked.select(F.count(F.lit(1))).scalar()
     need = ratings.groupBy(user).agg(F.count(F.lit(1)).alias("_n")).select(
         user, F.least(F.col("_n") + F.lit(k), n_items).alias("_need"))
     chunks = need.select(user, "_need", F.explode(F.sequence(
         F.lit(0), F.ceil(F.col("_need") / F.lit(chunk)).cast("int") - 1)).alias("_c"))
-    chunks = chunks.repartition(_partitions(ratings))
+    chunks = chunks.repartition(user, "_c")
     cand = chunks.select(user, F.explode(F.sequence(
         F.col("_c") * chunk + 1, F.least((F.col("_c") + 1) * chunk, F.col("_need")).cast("int"))).alias("rank"))
-    cand = cand.join(ranked.select("rank", item), "rank")
-    unseen = cand.join(ratings.select(user, item), [user, item], "left_anti")
+    cand = cand.hint("merge").join(ranked.select("rank", item), "rank")
+    unseen = cand.join(ratings.select(user, item).hint("merge"), [user, item], "left_anti")
     return top_k_per_group(unseen, [user], [F.asc("rank")], k, rank_col="pos").drop("rank") \
         .withColumnRenamed("pos", "rank")
 
@@ -210,35 +212,123 @@ def fit_als(train: DataFrame, rank: int = 40, max_iter: int = 5, reg: float = 0.
     return als.fit(train)
 
 
+def als_factors(model) -> tuple[DataFrame, DataFrame]:
+    """The model's factor tables (user, w, b) and (item, w, b), in the form of M3b's; ALS has no
+    biases."""
+    def table(factors, key):
+        return factors.select(F.col("id").alias(key), F.col("features").cast("array<double>").alias("w"),
+                              F.lit(0.0).alias("b"))
+    return table(model.userFactors, "user"), table(model.itemFactors, "item")
+
+
+def attach_factors(pairs: DataFrame, users: DataFrame, items: DataFrame) -> DataFrame:
+    """(user, item, ...) with ``wu``, ``bu``, ``wi``, ``bi``. No pair is lost: a user or item
+    without factors has null vectors and bias 0."""
+    return (pairs.join(users.select("user", F.col("w").alias("wu"), F.col("b").alias("bu")), "user", "left")
+            .join(items.select("item", F.col("w").alias("wi"), F.col("b").alias("bi")), "item", "left")
+            .withColumns({"bu": F.coalesce("bu", F.lit(0.0)), "bi": F.coalesce("bi", F.lit(0.0))}))
+
+
+def score_pairs(pairs: DataFrame, users: DataFrame, items: DataFrame, logistic: bool = False) -> DataFrame:
+    """M5: ``score`` = u.v + bu + bi for each pair (its sigmoid if ``logistic``); the product is 0
+    where a side has no factors. ``cold`` marks those pairs."""
+    j = attach_factors(pairs, users, items)
+    cold = F.col("wu").isNull() | F.col("wi").isNull()
+    dot = F.aggregate(F.zip_with("wu", "wi", lambda x, y: x * y), F.lit(0.0), lambda acc, x: acc + x)
+    z = F.coalesce(dot, F.lit(0.0)) + F.col("bu") + F.col("bi")
+    score = F.lit(1.0) / (F.lit(1.0) + F.exp(-z)) if logistic else z
+    return j.withColumns({"score": score, "cold": cold}).drop("wu", "wi", "bu", "bi")
+
+
 def rmse(model, data: DataFrame, target: str = "y") -> DataFrame:
-    """M7: root mean squared error of the model on ``data`` as a one-row table."""
-    pred = model.transform(data).where(~F.isnan("prediction"))
-    return pred.agg(F.sqrt(F.avg(F.pow(F.col("prediction") - F.col(target), 2))).alias("rmse"),
-                    F.count(F.lit(1)).alias("n"))
-
-
-def als_recommend(model, seen: DataFrame, k: int = 10, over_fetch: int = 50) -> DataFrame:
-    """M6 with ALS: top ``k`` unseen items per user, exact.
-
-    First pass asks the blocked recommender for ``k + over_fetch`` items per user and removes
-    rated ones. Users left with fewer than ``k`` (they rated many of their best items) are asked
-    again for ``k + n_u`` items, which always suffices."""
-    seen = seen.select("user", "item").distinct()
-
-    def expand(recs):
-        return recs.select("user", F.inline("recommendations")).select("user", "item", F.col("rating").alias("score"))
-
-    def finish(cands):
-        unseen = cands.join(seen, ["user", "item"], "left_anti")
-        return top_k_per_group(unseen, ["user"], [F.desc("score"), F.asc("item")], k)
-
-    # materialise once: it is read by the check below and by the result
-    first = cut_lineage(finish(expand(model.recommendForAllUsers(k + over_fetch))))
-    short = first.groupBy("user").agg(F.count(F.lit(1)).alias("_got")).where(F.col("_got") >= k).select("user")
-    n_seen = seen.groupBy("user").agg(F.count(F.lit(1)).alias("_n"))
-    rest = n_seen.join(short, "user", "left_anti").where(F.col("_n") > over_fetch)
-    max_rest = rest.select(F.max("_n")).first()[0]
-    if max_rest is None:
-        return first
-    second = finish(expand(model.recommendForUserSubset(rest.select("user"), int(max_rest) + k)))
-    return first.join(rest.select("user"), "user", "left_anti").unionByName(second)
+    """M7: root mean squared error of the model on all pairs of ``data`` as a one-row table
+    (rmse, n, cold); a pair with an unknown user or item is predicted by 0 and counted in ``cold``."""
+    pred = score_pairs(data, *als_factors(model))
+    return pred.agg(F.sqrt(F.avg(F.pow(F.col("score") - F.col(target), 2))).alias("rmse"),
+                    F.count(F.lit(1)).alias("n"), F.count_if("cold").alias("cold"))
+
+
+#: Requested users and candidate items that one task scores against each other.
+USER_BLOCK = 512
+ITEM_BLOCK = 8192
+
+
+def _score_block(k: int, logistic: bool):
+    def run(group):
+        """The ``k`` best unseen items of the block for each user of the block."""
+        import numpy as np
+        import pandas as pd
+
+        users, items = group[group["kind"] == 0], group[group["kind"] == 1].sort_values("item")
+        out = {"user": [], "item": [], "score": []}
+        if len(users) and len(items):
+            z = (np.stack(users["w"]) @ np.stack(items["w"]).T + users["b"].to_numpy()[:, None] + items["b"].to_numpy())
+            seen = group[group["kind"] == 2]
+            row = {u: i for i, u in enumerate(users["user"])}
+            z[seen["user"].map(row).to_numpy(int), np.searchsorted(items["item"].to_numpy(), seen["item"].to_numpy())] = -np.inf
+            best = np.argsort(-z, axis=1, kind="stable")[:, :k]  # ties: the smaller item first
+            score = np.take_along_axis(z, best, axis=1)
+            there = np.isfinite(score)
+            out["user"] = np.broadcast_to(users["user"].to_numpy()[:, None], best.shape)[there]
+            out["item"] = items["item"].to_numpy()[best][there]
+            out["score"] = 1 / (1 + np.exp(-score[there])) if logistic else score[there]
+        return pd.DataFrame(out).astype({"user": "int64", "item": "int64", "score": "float64"})
+    return run
+
+
+def recommend(requested: DataFrame, users: DataFrame, items: DataFrame, seen: DataFrame, k: int = 10,
+              logistic: bool = False) -> DataFrame:
+    """M6 (J5 + J6 + M5 + K3): (user, rank, item, score), the ``k`` best unseen items of each
+    requested user, for any factor tables (user, w, b) and (item, w, b).
+
+    ``requested`` is a stated set of users, scored against all items: users and items are dealt to
+    blocks of bounded size, a task scores one user block against one item block as a matrix
+    product, drops what was seen and hands on at most ``k`` rows per user. No (user, item) pair
+    becomes a row. A heavy user's seen items are spread over the item blocks. Users without
+    factors are not answered here: see :func:`recommend_all`."""
+    ask = requested.select("user").where("user IS NOT NULL").distinct().join(users.select("user", "w", "b"), "user")
+    n_ask, n_items = ask.select(F.count(F.lit(1))).scalar(), items.select(F.count(F.lit(1))).scalar()
+    blocks = lambda n, size: F.greatest(F.ceil(n / F.lit(size)), F.lit(1)).cast("int")
+    ub, ib = blocks(n_ask, USER_BLOCK), blocks(n_items, ITEM_BLOCK)
+    user_block, item_block = F.pmod(F.xxhash64("user"), ub).cast("int"), F.pmod(F.xxhash64("item"), ib).cast("int")
+    none = F.lit(None)
+    u = ask.select(F.lit(0).alias("kind"), user_block.alias("ub"), F.explode(F.sequence(F.lit(0), ib - 1)).alias("ib"),
+                   F.col("user").cast("long"), none.cast("long").alias("item"), "w", "b")
+    i = items.select(F.lit(1).alias("kind"), F.explode(F.sequence(F.lit(0), ub - 1)).alias("ub"), item_block.alias("ib"),
+                     none.cast("long").alias("user"), F.col("item").cast("long"), "w", "b")
+    s = (seen.select("user", "item").distinct().join(ask.select("user"), "user", "left_semi")
+         .join(items.select("item"), "item", "left_semi")
+         .select(F.lit(2).alias("kind"), user_block.alias("ub"), item_block.alias("ib"),
+                 F.col("user").cast("long"), F.col("item").cast("long"), none.cast("array<double>").alias("w"),
+                 none.cast("double").alias("b")))
+    best = u.unionByName(i).unionByName(s).groupBy("ub", "ib").applyInPandas(
+        _score_block(k, logistic), "user long, item long, score double")
+    return top_k_per_group(best, ["user"], [F.desc("score"), F.asc("item")], k).select(
+        F.col("user").cast("int").alias("user"), F.col("rank").cast("int").alias("rank"),
+        F.col("item").cast("int").alias("item"), "score")
+
+
+def recommend_all(requested: DataFrame, users: DataFrame, items: DataFrame, seen: DataFrame,
+                  fallback: DataFrame, k: int = 10, logistic: bool = False) -> DataFrame:
+    """M6, complete: (user, rank, item, score, source). Users with factors are answered by
+    :func:`recommend` (``personal``); the others get the first ``k`` items of ``fallback`` (item,
+    score, rank) that they have not seen (``fallback``)."""
+    personal = recommend(requested, users, items, seen, k, logistic).withColumn("source", F.lit("personal"))
+    cold = requested.select("user").where("user IS NOT NULL").distinct().join(users.select("user"), "user", "left_anti")
+    cold = cut_lineage(cold)
+    cold_seen = seen.select("user", "item").distinct().join(cold, "user", "left_semi")
+    some = top_unseen_by_rank(cold_seen, fallback, k, "user", "item")
+    none = (cold.join(cold_seen.select("user").distinct(), "user", "left_anti")
+            # k rows, whatever the tables
+            .join(F.broadcast(fallback.where(F.col("rank") <= k).select("rank", "item"))))
+    other = (some.select("user", "rank", "item").unionByName(none.select("user", "rank", "item"))
+             .join(fallback.select("item", "score"), "item"))
+    return personal.unionByName(other.select("user", F.col("rank").cast("int").alias("rank"), F.col("item").cast("int").alias("item"),
+                                             F.col("score").cast("double").alias("score"), F.lit("fallback").alias("source")))
+
+
+def fallback_items(enc: DataFrame, target: str = "y", shrink: float = 10.0) -> DataFrame:
+    """(item, score, rank): all items by shrunken mean of ``target``, for users without factors."""
+    mu = global_mean(enc, target)
+    scored = item_biases(enc, mu, shrink, "item", target).select("item", (mu + F.col("bi")).alias("score"))
+    return rank_items(scored, "score", "item")

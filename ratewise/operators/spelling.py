@@ -2,10 +2,9 @@
 
 A rare term (count below ``min_count``) is replaced by the most frequent frequent term within
 one edit (delete, insert, replace or swap adjacent characters); ties go to the smaller term; a
-rare term with no such neighbour stays. Exact and without all-pairs work: each rare term
-generates all its one-edit variants over the alphabet of the frequent terms and those variants
-are equi-joined to the frequent vocabulary on the whole string (a unique key, so no key group
-multiplies). Work is linear in (rare terms x term length x alphabet).
+rare term with no such neighbour stays. Two terms one edit apart share a key among themselves and
+their strings with one character deleted, so both sides emit length + 1 keys per term and are
+equi-joined on them; the edit is then checked on the pair. No alphabet, no all-pairs work.
 """
 
 from __future__ import annotations
@@ -14,52 +13,31 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .joins import checked_join
 
 
-def alphabet(frequent: DataFrame, term: str = "term") -> list[str]:
-    """Distinct characters of the frequent terms (bounded by the character set)."""
-    chars = frequent.select(F.explode(F.split(F.col(term), "")).alias("c")).where(F.col("c") != "").distinct()
-    return sorted(r["c"] for r in chars.collect())
-
-
-def one_edit_variants(df: DataFrame, chars: list[str], term: str = "term") -> DataFrame:
-    """(term, variant) for every string one edit away from ``term``."""
+def deletion_keys(df: DataFrame, term: str, key: str = "key") -> DataFrame:
+    """``df`` with one row per distinct key of ``term``: the term and each one-character deletion."""
     t = F.col(term)
-    n = F.length(t)
-    alpha = F.array(*[F.lit(c) for c in chars]) if chars else F.array().cast("array<string>")
-
-    def left(i):   # first i characters
-        return F.substring(t, 1, i) if isinstance(i, int) else t.substr(F.lit(1), i)
+    drop = F.transform(F.sequence(F.lit(1), F.length(t)),
+                       lambda i: F.concat(t.substr(F.lit(1), i - 1), t.substr(i + 1, F.length(t))))
+    keys = F.when(F.length(t) == 0, F.array(t)).otherwise(F.array_distinct(F.concat(F.array(t), drop)))
+    return df.select("*", F.explode(keys).alias(key))
 
-    def right(i):  # characters after position i (1-based start i + 1)
-        return t.substr(i + 1, n)
 
-    pos = df.select(term, F.explode(F.sequence(F.lit(0), n)).alias("i"))
-    i = F.col("i")
-    deletes = F.when(i < n, F.array(F.concat(left(i), right(i + 1))))
-    one = F.lit(1)
-    swaps = F.when(i < n - 1, F.array(F.concat(left(i), t.substr(i + 2, one), t.substr(i + 1, one), right(i + 2))))
-    replaces = F.when(i < n, F.transform(alpha, lambda c: F.concat(left(i), c, right(i + 1))))
-    inserts = F.transform(alpha, lambda c: F.concat(left(i), c, right(i)))
-    empty = F.array().cast("array<string>")
-    allv = F.concat(F.coalesce(deletes, empty), F.coalesce(swaps, empty), F.coalesce(replaces, empty), inserts)
-    # duplicates (e.g. deleting either of two equal letters) are harmless downstream: no distinct
-    return pos.select(term, F.explode(allv).alias("variant")).where(F.col("variant") != F.col(term))
+def one_edit(a, b) -> F.Column:
+    """Whether two terms are one deletion, insertion, replacement or adjacent swap apart."""
+    swapped = F.exists(F.sequence(F.lit(1), F.greatest(F.length(a) - 1, F.lit(1))), lambda i: F.concat(
+        a.substr(F.lit(1), i - 1), a.substr(i + 1, F.lit(1)), a.substr(i, F.lit(1)), a.substr(i + 2, F.length(a))) == b)
+    return (F.levenshtein(a, b) == 1) | ((F.length(a) == F.length(b)) & (F.length(a) > 1) & (a != b) & swapped)
 
 
 def spelling_mapping(counts: DataFrame, min_count: int = 5, term: str = "term") -> DataFrame:
     """(term, replacement) for rare terms that have a frequent neighbour."""
     counts = cut_lineage(counts.select(term, "n"))
     frequent = counts.where(F.col("n") >= min_count).select(F.col(term).alias("variant"), F.col("n").alias("fn"))
-    # each rare term fans out into ~2 x alphabet x length variants: spread the (small, often
-    # coalesced to one partition) rare-term table over all shuffle partitions first
-    parts = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rare = counts.where(F.col("n") < min_count).select(term).repartition(parts)
-    chars = alphabet(frequent, "variant")
-    # Variants stream into the join with the frequent vocabulary and into a partial aggregate.
-    # The join side is chosen by a counted size (static estimates do not grow through explode,
-    # and would broadcast the variants instead).
-    cand = checked_join(one_edit_variants(rare, chars, term), frequent, "variant")
-    best = cand.groupBy(term).agg(F.min(F.struct((-F.col("fn")).alias("k"), F.col("variant").alias("v"))).alias("b"))
+    rare = counts.where(F.col("n") < min_count).select(term)
+    pairs = (deletion_keys(rare, term).hint("merge").join(deletion_keys(frequent, "variant"), "key")
+             .where(one_edit(F.col(term), F.col("variant"))))
+    # a pair that shares several keys is harmless: the best neighbour is a minimum
+    best = pairs.groupBy(term).agg(F.min(F.struct((-F.col("fn")).alias("k"), F.col("variant").alias("v"))).alias("b"))
     return best.select(term, F.col("b.v").alias("replacement"))

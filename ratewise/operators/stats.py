@@ -9,12 +9,15 @@ plan (MergeScalarSubqueries), so they cost one extra aggregate pass, not one per
 from __future__ import annotations
 
 import math
+from functools import reduce
 from itertools import combinations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, NumericType
 
+from ..session import cut_lineage
+
 
 def _num(col: str):
     return F.col(col).cast("double")
@@ -54,26 +57,60 @@ def numeric_column_names(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, (NumericType, BooleanType))]
 
 
-def describe_numeric(df: DataFrame, cols: list[str] | None = None, exact: bool = True) -> DataFrame:
-    """Count, mean, std, min, quartiles, max per numeric column.
-
-    ``exact`` uses ``percentile`` (linear interpolation, as pandas); its buffer holds one entry
-    per distinct value, so for high-cardinality columns at scale pass ``exact=False``
-    (``percentile_approx``)."""
+QUARTILES = (0.25, 0.5, 0.75)
+
+
+def exact_quantiles(df: DataFrame, cols: list[str], qs=QUARTILES) -> DataFrame:
+    """(column, q, value): quantiles with linear interpolation (as pandas) of the non-null values.
+
+    Distinct values are counted with a partial aggregate, range-partitioned by (column, value) and
+    materialised; a running count within each partition plus the column's count in all earlier
+    partitions gives every value its positions. No task holds a column's values."""
+    pairs = F.array(*[F.struct(F.lit(i).alias("i"), _num(c).alias("x")) for i, c in enumerate(cols)])
+    counts = (df.select(F.inline(pairs)).where(F.col("x").isNotNull())
+              .groupBy("i", "x").agg(F.count(F.lit(1)).alias("c")))
+    placed = cut_lineage(counts.repartitionByRange("i", "x").sortWithinPartitions("i", "x")
+                         .withColumn("p", F.spark_partition_id()))
+    # one row per partition and column
+    part = placed.groupBy("i", "p").agg(F.sum("c").alias("n"))
+    earlier = Window.partitionBy("i").orderBy("p").rowsBetween(Window.unboundedPreceding, -1)
+    every = Window.partitionBy("i")
+    part = part.select("i", "p", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"),
+                       F.sum("n").over(every).alias("total"))
+    running = Window.partitionBy("p", "i").orderBy("x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    at = (placed.withColumn("upto", F.sum("c").over(running)).join(part, ["i", "p"])
+          .select("i", "x", "total", (F.col("before") + F.col("upto") - F.col("c")).alias("first"),
+                  (F.col("before") + F.col("upto") - 1).alias("last")))
+    wanted = F.array(*[F.lit(float(q)) for q in qs])
+    h = (F.col("total") - 1) * F.col("q")
+    low, high = F.floor(h), F.ceil(h)
+    at = at.select("*", F.explode(wanted).alias("q"))
+    hit = at.select("i", "q", "x", (h - low).alias("f"), ((F.col("first") <= low) & (low <= F.col("last"))).alias("lo"),
+                    ((F.col("first") <= high) & (high <= F.col("last"))).alias("hi")).where("lo OR hi")
+    got = hit.groupBy("i", "q").agg(F.max(F.when(F.col("lo"), F.col("x"))).alias("a"),
+                                    F.max(F.when(F.col("hi"), F.col("x"))).alias("b"), F.max("f").alias("f"))
+    names = F.array(*[F.lit(c) for c in cols])
+    return got.select(F.get(names, F.col("i")).alias("column"), "q",
+                      (F.col("a") + (F.col("b") - F.col("a")) * F.col("f")).alias("value"))
+
+
+def describe_numeric(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
+    """Count, mean, std, min, quartiles (exact), max per numeric column."""
     cols = cols or numeric_column_names(df)
     aggs = []
     for i, c in enumerate(cols):
         x = _num(c)
-        q = (F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))) if exact
-             else F.percentile_approx(x, [0.25, 0.5, 0.75], 10000))
         aggs += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"m{i}"), F.stddev_samp(x).alias(f"s{i}"),
-                 F.min(x).alias(f"lo{i}"), q.alias(f"q{i}"), F.max(x).alias(f"hi{i}")]
-    row = df.agg(*aggs)
-    return _unpivot(row, [F.struct(
+                 F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}")]
+    rows = _unpivot(df.agg(*aggs), [F.struct(
         F.lit(c).alias("column"), F.col(f"n{i}").alias("count"), F.col(f"m{i}").alias("mean"),
-        F.col(f"s{i}").alias("std"), F.col(f"lo{i}").alias("min"), F.col(f"q{i}")[0].alias("p25"),
-        F.col(f"q{i}")[1].alias("p50"), F.col(f"q{i}")[2].alias("p75"), F.col(f"hi{i}").alias("max"))
+        F.col(f"s{i}").alias("std"), F.col(f"lo{i}").alias("min"), F.col(f"hi{i}").alias("max"))
         for i, c in enumerate(cols)])
+    pick = lambda q: F.max(F.when(F.col("q") == q, F.col("value")))
+    quartiles = exact_quantiles(df, cols).groupBy("column").agg(
+        *[pick(q).alias(name) for q, name in zip(QUARTILES, ("p25", "p50", "p75"))])
+    return (rows.join(quartiles, "column", "left")
+            .select("column", "count", "mean", "std", "min", "p25", "p50", "p75", "max"))
 
 
 def mean_rating(df: DataFrame, col: str = "overall") -> DataFrame:
@@ -127,12 +164,11 @@ def category_counts(df: DataFrame, col: str = "verified") -> DataFrame:
 
 
 def _value_counts(df: DataFrame, value) -> DataFrame:
-    """(x, c): distinct non-null values with their counts. Histogram and density read this
-    small table (its exchange is reused by the scalar subqueries), so the source - e.g. a
-    tokenised text - is scanned once."""
+    """(x, c): distinct non-null values with their counts, materialised. Histogram and density read
+    this table several times, so the source - e.g. a tokenised text - is scanned once."""
     x = value if not isinstance(value, str) else _num(value)
-    return (df.select(x.alias("x")).where(F.col("x").isNotNull())
-            .groupBy("x").agg(F.count(F.lit(1)).alias("c")))
+    return cut_lineage(df.select(x.alias("x")).where(F.col("x").isNotNull())
+                       .groupBy("x").agg(F.count(F.lit(1)).alias("c")))
 
 
 def histogram(df: DataFrame, value, bins: int = 10) -> DataFrame:
@@ -157,27 +193,27 @@ def kde(df: DataFrame, value, grid: int = 200, cut: float = 3.0) -> DataFrame:
     """Gaussian kernel density on ``grid`` points from ``min - cut*h`` to ``max + cut*h``,
     Scott's bandwidth ``h = std * n^(-1/5)``.
 
-    Work is (distinct values) x grid: values are pre-aggregated to (x, count) first (one scan
+    A constant or one-row column has no spread and gives null densities; a column without values
+    gives no rows. Work is (distinct values) x grid: values are pre-aggregated to (x, count) first (one scan
     of the source), the moments come from that table, then each distinct value emits its
     contribution to every grid point, summed per point."""
     d = _value_counts(df, value)
     n = d.select(F.sum("c")).scalar()
     mean = d.select(F.sum(F.col("c") * F.col("x")) / F.sum("c")).scalar()
-    std = d.select(F.sqrt(F.sum(F.col("c") * F.pow(F.col("x") - mean, 2)) / (F.sum("c") - 1))).scalar()
+    std = d.select(F.sqrt(F.try_divide(F.sum(F.col("c") * F.pow(F.col("x") - mean, 2)), F.sum("c") - 1))).scalar()
     lo = d.select(F.min("x")).scalar()
     hi = d.select(F.max("x")).scalar()
     h = std * F.pow(n, F.lit(-0.2))
     start = lo - F.lit(cut) * h
     step = (hi - lo + F.lit(2 * cut) * h) / F.lit(grid - 1)
     # each distinct value fans out to every grid point: spread the (small) table first
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    pts = d.repartition(parts).select("x", "c", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("point"))
+    pts = d.repartition("x").select("x", "c", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("point"))
     g = start + F.col("point") * step
-    contrib = F.col("c") * F.exp(-0.5 * F.pow((g - F.col("x")) / h, 2))
+    contrib = F.col("c") * F.exp(-0.5 * F.pow(F.try_divide(g - F.col("x"), h), 2))
     norm = n * h * F.lit(math.sqrt(2 * math.pi))
     return (pts.groupBy("point").agg(F.sum(contrib).alias("s"))
             .select(F.col("point").cast("int").alias("point"), F.round(start + F.col("point") * step, 6).alias("x"),
-                    F.round(F.col("s") / norm, 6).alias("density")))
+                    F.round(F.try_divide(F.col("s"), norm), 6).alias("density")))
 
 
 def correlation_matrix(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
@@ -191,9 +227,8 @@ def correlation_matrix(df: DataFrame, cols: list[str] | None = None) -> DataFram
 
 
 def scatter_bins(df: DataFrame, cols: list[str], bins: int = 10) -> DataFrame:
-    """2-D equal-width bin counts for each pair of columns (the scatter matrix as a table).
-    One pass: each row emits one (pair, bin, bin) cell per pair, counted with a partial
-    aggregate."""
+    """A20, off the diagonal: 2-D equal-width bin counts for each pair of columns. One pass: each
+    row emits one (pair, bin, bin) cell per pair, counted with a partial aggregate."""
     b = {}
     for c in cols:
         x = _num(c)
@@ -208,19 +243,49 @@ def scatter_bins(df: DataFrame, cols: list[str], bins: int = 10) -> DataFrame:
             .groupBy("col_a", "col_b", "bin_a", "bin_b").agg(F.count(F.lit(1)).alias("n")))
 
 
-RATED_ORDER = ("asin", "reviewerID", "unixReviewTime")
+def scatter_columns(df: DataFrame, max_columns: int = 10) -> list[str]:
+    """The columns that P18 keeps (at most ``max_columns`` names)."""
+    from .prep import numeric_columns
+    return [r["column"] for r in numeric_columns(df, max_columns).where("keep").orderBy("position").collect()]
 
 
-def best_rated(df: DataFrame, n: int = 10, ascending: bool = False,
-               cols: tuple[str, ...] = ("asin", "reviewerID", "overall", "unixReviewTime")) -> DataFrame:
-    """K1: the first ``n`` review rows by rating (desc), ties by asin, reviewer, time."""
-    first = F.asc("overall") if ascending else F.desc("overall")
-    return df.select(*cols).orderBy(first, *[F.asc(c) for c in RATED_ORDER]).limit(n)
+def scatter_matrix(df: DataFrame, bins: int = 10, grid: int = 50, max_columns: int = 10) -> dict[str, DataFrame]:
+    """The scatter matrix of the columns that P18 keeps, as tables: ``cells`` (pair, bin, bin,
+    n, and the pair's correlation beside it) and ``diagonal`` (column, point, x, density)."""
+    cols = scatter_columns(df, max_columns)
+    if not cols:
+        empty = df.sparkSession.createDataFrame
+        return {"cells": empty([], "col_a string, col_b string, bin_a int, bin_b int, n bigint, corr double"),
+                "diagonal": empty([], "column string, point int, x double, density double")}
+    diagonal = [kde(df, c, grid).select(F.lit(c).alias("column"), "point", "x", "density") for c in cols]
+    if len(cols) == 1:
+        cells = df.sparkSession.createDataFrame([], "col_a string, col_b string, bin_a int, bin_b int, n bigint, corr double")
+    else:
+        # one row per pair of at most max_columns columns
+        cells = scatter_bins(df, cols, bins).join(F.broadcast(correlation_matrix(df, cols)), ["col_a", "col_b"])
+    return {"cells": cells, "diagonal": reduce(lambda x, y: x.unionByName(y), diagonal)}
 
 
-def worst_rated(df: DataFrame, n: int = 10) -> DataFrame:
+RATED_ORDER = ("asin", "reviewerID", "unixReviewTime")
+
+
+def best_rated(df: DataFrame, n: int = 10, ascending: bool = False,
+               cols: tuple[str, ...] = ("asin", "reviewerID", "overall", "unixReviewTime"),
+               by_product: bool = False, min_reviews: int = 3) -> DataFrame:
+    """K1: the first ``n`` review rows by rating (desc), ties by asin, reviewer, time. With
+    ``by_product`` the first ``n`` products with ``min_reviews`` ratings or more by mean rating,
+    ties by number of ratings (desc), asin: (asin, mean_rating, n_reviews)."""
+    way = F.asc if ascending else F.desc
+    if by_product:
+        means = df.groupBy("asin").agg(F.avg("overall").alias("mean_rating"), F.count("overall").alias("n_reviews"))
+        return (means.where(F.col("n_reviews") >= min_reviews)
+                .orderBy(way("mean_rating"), F.desc("n_reviews"), F.asc("asin")).limit(n))
+    return df.select(*cols).orderBy(way("overall"), *[F.asc(c) for c in RATED_ORDER]).limit(n)
+
+
+def worst_rated(df: DataFrame, n: int = 10, **options) -> DataFrame:
     """K1: ascending."""
-    return best_rated(df, n, ascending=True)
+    return best_rated(df, n, ascending=True, **options)
 
 
 def top_k_per_group(df: DataFrame, group: list[str], order: list, k: int,

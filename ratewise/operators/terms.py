@@ -25,32 +25,25 @@ def vocabulary(df: DataFrame, tokens: str = "tokens", by: list[str] | None = Non
             .groupBy(*by, term).agg(F.count(F.lit(1)).alias("n")))
 
 
-def exploded_terms(df: DataFrame, text: str, profile: str = "eda", by: list[str] | None = None,
-                   stem: bool = True, words=None, term: str = "term") -> DataFrame:
-    """The tokens of a cleaning profile as rows (by..., term), equal to exploding
-    :func:`text.clean_tokens`. Only the string steps and the split run per text; stop-word
-    removal (a hash-set test) and the stemmer run on the exploded column as plain expressions,
-    so they compile into the same generated code as the count that follows."""
+def term_counts(df: DataFrame, text: str, profile: str = "eda", by: list[str] | None = None,
+                stem: bool = True, words=None, term: str = "term") -> DataFrame:
+    """T13 straight from text: (by..., term, n), equal to counting :func:`text.clean_tokens`.
+
+    Raw tokens are counted first (map-side); lower case, stop words and the stemmer then work once
+    per distinct token and group, and the counts are added up again."""
     from ..functions.stopwords import ENGLISH
     by = by or []
     words = ENGLISH if words is None else words
     split = tx.blank_split(tx.prepared_text(text, profile))
     t = F.col(term)
-    rows = (df.select(*by, F.explode_outer(split).alias(term)).where(t.isNotNull() & (t != ""))
-            .select(*by, F.lower(t).alias(term)))
+    raw = (df.select(*by, F.explode_outer(split).alias(term)).where(t.isNotNull() & (t != ""))
+           .groupBy(*by, term).agg(F.count(F.lit(1)).alias("n")))
+    low = raw.select(*by, F.lower(t).alias(term), "n")
     if profile in ("eda", "raw"):
-        rows = rows.where(~t.isin(list(words)))
+        low = low.where(~t.isin(list(words)))
     if stem and profile in ("eda", "stem"):
-        rows = rows.select(*by, tx.s_stem(t).alias(term))
-    return rows
-
-
-def term_counts(df: DataFrame, text: str, profile: str = "eda", by: list[str] | None = None,
-                stem: bool = True) -> DataFrame:
-    """T13 straight from text: (by..., term, n)."""
-    by = by or []
-    return (exploded_terms(df, text, profile, by, stem)
-            .groupBy(*by, "term").agg(F.count(F.lit(1)).alias("n")))
+        low = low.select(*by, tx.s_stem(t).alias(term), "n")
+    return low.groupBy(*by, term).agg(F.sum("n").alias("n"))
 
 
 def rank_top(counts: DataFrame, k: int, order_cols: list[str], by: list[str] | None = None,
@@ -69,13 +62,27 @@ def top_terms(df: DataFrame, tokens: str = "tokens", k: int = 20, by: list[str]
     return rank_top(vocabulary(df, tokens, by), k, ["term"], by)
 
 
+def fold_plurals(counts: DataFrame, word: str = "word") -> DataFrame:
+    """(word, n) with a word in -s (not -ss) added to its form without the s where that occurs."""
+    plural = F.col(word).endswith("s") & ~F.col(word).endswith("ss")
+    single = F.when(plural, F.col(word).substr(F.lit(1), F.length(word) - 1))
+    other = counts.select(F.col(word).alias("_single"))
+    folded = counts.withColumn("_to", single).join(other, F.col("_to") == F.col("_single"), "left")
+    return (folded.select(F.coalesce("_single", word).alias(word), "n")
+            .groupBy(word).agg(F.sum("n").alias("n")))
+
+
 def term_cloud_weights(df: DataFrame, text: str = "reviewText", k: int = 200) -> DataFrame:
-    """The ``k`` most frequent cloud words with weight ``n / max(n)``."""
+    """The ``k`` most frequent cloud words with weight ``n / max(n)``. Numbers are left out and
+    plurals folded; word pairs are not counted."""
     from ..functions.stopwords import ENGLISH
     found = F.regexp_extract_all(F.lower(F.col(text)), F.lit(tx.CLOUD_WORD_PATTERN), 0)
-    words = (df.select(F.explode_outer(found).alias("w")).where(F.col("w").isNotNull())
-             .select(F.regexp_replace("w", "'s$", "").alias("word")).where(~F.col("word").isin(ENGLISH)))
-    counts = words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    # raw words are counted first; possessives, numbers and stop words are seen to once per word
+    raw = (df.select(F.explode_outer(found).alias("w")).where(F.col("w").isNotNull())
+           .groupBy("w").agg(F.count(F.lit(1)).alias("n")))
+    words = (raw.select(F.regexp_replace("w", "'s$", "").alias("word"), "n")
+             .where(~F.col("word").rlike(f"^{tx.DIGITS_PATTERN}$") & ~F.col("word").isin(ENGLISH)))
+    counts = fold_plurals(words.groupBy("word").agg(F.sum("n").alias("n")))
     top = rank_top(counts, k, ["word"])
     peak = Window.orderBy(F.lit(1)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     return top.withColumn("weight", F.round(F.col("n") / F.max("n").over(peak), 6))

@@ -37,29 +37,36 @@ def q_density_filter(spark, sf):
 
 
 @query("item_counts", oracle("""
-SELECT asin, count(overall) AS num_ratings FROM reviews GROUP BY asin HAVING count(overall) >= 3"""))
+SELECT asin, count(overall) AS num_ratings FROM reviews GROUP BY asin HAVING count(overall) >= 30"""))
 def q_item_counts(spark, sf):
-    return density.item_counts(R(spark, sf), 3)
+    return density.item_counts(R(spark, sf), 30)
 
 
 @query("user_counts", oracle("""
-SELECT reviewerID, count(*) AS review_count FROM reviews GROUP BY reviewerID HAVING count(*) >= 3"""))
+SELECT reviewerID, count(*) AS review_count FROM reviews GROUP BY reviewerID HAVING count(*) >= 42"""))
 def q_user_counts(spark, sf):
-    return density.user_counts(R(spark, sf), 3)
+    return density.user_counts(R(spark, sf), 42)
+
+
+_TEXT_OUT = "asin, reviewerID, overall, verified, summary, unixReviewTime, vote, md5(reviewText) AS text_md5"
+
+
+def _text_out(df):
+    return df.select(*NO_TEXT, F.md5("reviewText").alias("text_md5"))
 
 
 @query("popular_item_rows", oracle(f"""
-SELECT {_no_text_sql()} FROM reviews
-WHERE asin IN (SELECT asin FROM reviews GROUP BY asin HAVING count(overall) >= 5)"""))
+SELECT {_TEXT_OUT} FROM reviews
+WHERE asin IN (SELECT asin FROM reviews GROUP BY asin HAVING count(overall) >= 32)""", text=True))
 def q_popular_item_rows(spark, sf):
-    return density.keep_popular_items(R(spark, sf), 5).select(*NO_TEXT)
+    return _text_out(density.keep_popular_items(R(spark, sf, True), 32))
 
 
 @query("active_user_rows", oracle(f"""
-SELECT {_no_text_sql()} FROM reviews
-WHERE reviewerID IN (SELECT reviewerID FROM reviews GROUP BY reviewerID HAVING count(*) >= 45)"""))
+SELECT {_TEXT_OUT} FROM reviews
+WHERE reviewerID IN (SELECT reviewerID FROM reviews GROUP BY reviewerID HAVING count(*) >= 45)""", text=True))
 def q_active_user_rows(spark, sf):
-    return density.keep_active_users(R(spark, sf), 45).select(*NO_TEXT)
+    return _text_out(density.keep_active_users(R(spark, sf, True), 45))
 
 
 @query("row_count", oracle("SELECT count(*) AS rows FROM reviews"))
@@ -93,13 +100,6 @@ def q_table_info(spark, sf):
     return stats.table_info(R(spark, sf, True)).withColumnRenamed("column", "column_name")
 
 
-_TEXT_OUT = "asin, reviewerID, overall, verified, summary, unixReviewTime, vote, md5(reviewText) AS text_md5"
-
-
-def _text_out(df):
-    return df.select(*NO_TEXT, F.md5("reviewText").alias("text_md5"))
-
-
 @query("drop_incomplete", oracle(f"""
 SELECT {_TEXT_OUT} FROM reviews WHERE {' AND '.join(f'{c} IS NOT NULL' for c in REVIEW_COLUMNS)}""", text=True))
 def q_drop_incomplete(spark, sf):
@@ -114,14 +114,14 @@ def q_incomplete_rows(spark, sf):
     return _text_out(prep.incomplete_rows(R(spark, sf, True), cols))
 
 
-@query("only_verified", oracle(f"SELECT {_no_text_sql()} FROM reviews WHERE verified"))
+@query("only_verified", oracle(f"SELECT {_TEXT_OUT} FROM reviews WHERE verified", text=True))
 def q_only_verified(spark, sf):
-    return prep.only_verified(R(spark, sf)).select(*NO_TEXT)
+    return _text_out(prep.only_verified(R(spark, sf, True)))
 
 
-@query("since_filter", oracle(f"SELECT {_no_text_sql()} FROM reviews WHERE unixReviewTime >= {FIXTURE_SINCE}"))
+@query("since_filter", oracle(f"SELECT {_TEXT_OUT} FROM reviews WHERE unixReviewTime >= {FIXTURE_SINCE}", text=True))
 def q_since(spark, sf):
-    return prep.since(R(spark, sf), FIXTURE_SINCE).select(*NO_TEXT)
+    return _text_out(prep.since(R(spark, sf, True), FIXTURE_SINCE))
 
 
 @query("min_text_length", oracle("""
@@ -132,18 +132,31 @@ def q_min_text_length(spark, sf):
             .select("asin", "reviewerID", "unixReviewTime", F.length("reviewText").alias("text_len")))
 
 
-@query("dedup_exact", oracle(f"SELECT DISTINCT {_no_text_sql()} FROM reviews"))
+def _with_copies(spark, sf, change=None):
+    """The reviews and, a second time, those of a quarter of the products (changed, if told to):
+    the given tables hold next to no duplicates."""
+    df = R(spark, sf, True)
+    again = df.where(F.substring(F.md5("asin"), 1, 1) < "4")
+    return df.unionByName(change(again) if change else again)
+
+
+_COPIES = "SELECT * FROM reviews UNION ALL SELECT {} FROM reviews WHERE substr(md5(asin), 1, 1) < '4'"
+
+
+@query("dedup_exact", oracle(f"SELECT {_TEXT_OUT} FROM (SELECT DISTINCT * FROM ({_COPIES.format('*')}))", text=True))
 def q_dedup_exact(spark, sf):
-    return dedup.drop_exact_duplicates(R(spark, sf).select(*NO_TEXT))
+    return _text_out(dedup.drop_exact_duplicates(_with_copies(spark, sf)))
 
 
 @query("dedup_reviews", oracle(f"""
-SELECT {_no_text_sql()} FROM (
+SELECT {_TEXT_OUT} FROM (
   SELECT *, row_number() OVER (PARTITION BY asin, reviewerID, unixReviewTime
-      ORDER BY overall NULLS FIRST, verified NULLS FIRST, summary NULLS FIRST, vote NULLS FIRST) AS rn
-  FROM reviews) WHERE rn = 1"""))
+      ORDER BY overall NULLS FIRST, verified NULLS FIRST, reviewText NULLS FIRST, summary NULLS FIRST, vote NULLS FIRST) AS rn
+  FROM ({_COPIES.format('asin, overall - 1 AS overall, verified, reviewText, reviewerID, summary, unixReviewTime, vote')}))
+WHERE rn = 1""", text=True))
 def q_dedup_reviews(spark, sf):
-    return dedup.drop_duplicate_reviews(R(spark, sf).select(*NO_TEXT))
+    lower = lambda df: df.withColumn("overall", F.col("overall") - 1)
+    return _text_out(dedup.drop_duplicate_reviews(_with_copies(spark, sf, lower)))
 
 
 @query("distinct_users", oracle("SELECT DISTINCT reviewerID FROM reviews"))
@@ -207,18 +220,18 @@ def q_minmax_scale(spark, sf):
     return prep.minmax_scale(R(spark, sf)).select("asin", "reviewerID", "unixReviewTime", "y")
 
 
-_NUMERIC = ["overall", "verified", "unixReviewTime", "vote"]
+_NUMERIC = ["overall", "unixReviewTime", "vote"]
 
 
 def _numeric_view(spark, sf):
-    return R(spark, sf).select(*_NUMERIC).withColumn("vote", prep.vote_number("vote"))
+    return R(spark, sf).select("overall", "verified", "unixReviewTime", prep.vote_number("vote").alias("vote"))
 
 
 @query("numeric_columns", oracle(f"""
-WITH r AS (SELECT overall, verified, unixReviewTime, {VOTE_SQL} AS vote FROM reviews),
-c AS ({' UNION ALL '.join(f"SELECT {i + 1} AS position, '{c}' AS column_name, count(*) FILTER (WHERE {c} IS NULL) AS nulls, count(DISTINCT {c}) AS distinct_values FROM r" for i, c in enumerate(_NUMERIC))})
-SELECT *, (nulls = 0 AND distinct_values > 1) AND
-       sum(CASE WHEN nulls = 0 AND distinct_values > 1 THEN 1 ELSE 0 END) OVER (ORDER BY position) <= 10 AS keep
+WITH r AS (SELECT overall, unixReviewTime, {VOTE_SQL} AS vote FROM reviews),
+c AS ({' UNION ALL '.join(f"SELECT {i + 1} AS position, '{c}' AS column_name, count(*) FILTER (WHERE {c} IS NULL) AS nulls, count(DISTINCT {c}) > 1 AS varies FROM r" for i, c in enumerate(_NUMERIC))})
+SELECT *, (nulls = 0 AND varies) AND
+       sum(CASE WHEN nulls = 0 AND varies THEN 1 ELSE 0 END) OVER (ORDER BY position) <= 10 AS keep
 FROM c"""))
 def q_numeric_columns(spark, sf):
     return prep.numeric_columns(_numeric_view(spark, sf)).withColumnRenamed("column", "column_name")
@@ -341,7 +354,8 @@ def q_correlation_matrix(spark, sf):
     return stats.correlation_matrix(_numeric_view(spark, sf), _CORR)
 
 
-_SCATTER = ["overall", "verified", "unixReviewTime"]
+# the columns that numeric_columns keeps
+_SCATTER = ["overall", "unixReviewTime"]
 
 
 def _bin_sql(c, bins=10):
@@ -351,13 +365,26 @@ def _bin_sql(c, bins=10):
 
 
 @query("scatter_bins", oracle("""
-WITH r AS (SELECT overall, CAST(verified AS DOUBLE) AS verified, CAST(unixReviewTime AS DOUBLE) AS unixReviewTime
-           FROM reviews)
+WITH r AS (SELECT overall, CAST(unixReviewTime AS DOUBLE) AS unixReviewTime FROM reviews)
 """ + "\nUNION ALL ".join(
-    f"SELECT '{a}' AS col_a, '{b}' AS col_b, {_bin_sql(a)} AS bin_a, {_bin_sql(b)} AS bin_b, count(*) AS n "
+    f"SELECT '{a}' AS col_a, '{b}' AS col_b, {_bin_sql(a)} AS bin_a, {_bin_sql(b)} AS bin_b, count(*) AS n, "
+    f"(SELECT round(corr({a}, {b}), 6) FROM r) AS corr "
     f"FROM r GROUP BY 1, 2, 3, 4" for i, a in enumerate(_SCATTER) for b in _SCATTER[i + 1:])))
 def q_scatter_bins(spark, sf):
-    return stats.scatter_bins(_numeric_view(spark, sf), _SCATTER, 10)
+    return stats.scatter_matrix(_numeric_view(spark, sf))["cells"]
+
+
+@query("scatter_diagonal", oracle("\nUNION ALL ".join(
+    f"SELECT '{c}' AS column_name, point, round(x, 2) AS x, density FROM ({kde_sql(f'CAST({c} AS DOUBLE)', 50)})" for c in _SCATTER)))
+def q_scatter_diagonal(spark, sf):
+    out = stats.scatter_matrix(_numeric_view(spark, sf))["diagonal"]
+    return out.withColumnRenamed("column", "column_name").withColumn("x", F.round("x", 2))
+
+
+@query("constant_kde", oracle("SELECT point, CAST(3 AS DOUBLE) AS x, CAST(NULL AS DOUBLE) AS density "
+                              "FROM (SELECT CAST(range AS INTEGER) AS point FROM range(0, 20)) WHERE EXISTS (SELECT 1 FROM reviews)"))
+def q_constant_kde(spark, sf):
+    return stats.kde(R(spark, sf).withColumn("three", F.lit(3.0)), "three", 20)
 
 
 @query("best_rated", oracle("""
@@ -374,6 +401,24 @@ def q_worst_rated(spark, sf):
     return stats.worst_rated(R(spark, sf), 10)
 
 
+def _by_product_sql(way):
+    return f"""
+SELECT asin, round(avg(overall), 6) AS mean_rating, count(overall) AS n_reviews FROM reviews GROUP BY asin
+HAVING count(overall) >= 20 ORDER BY avg(overall) {way}, n_reviews DESC, asin LIMIT 10"""
+
+
+@query("best_products", oracle(_by_product_sql("DESC")))
+def q_best_products(spark, sf):
+    out = stats.best_rated(R(spark, sf), 10, by_product=True, min_reviews=20)
+    return out.withColumn("mean_rating", F.round("mean_rating", 6))
+
+
+@query("worst_products", oracle(_by_product_sql("ASC")))
+def q_worst_products(spark, sf):
+    out = stats.worst_rated(R(spark, sf), 10, by_product=True, min_reviews=20)
+    return out.withColumn("mean_rating", F.round("mean_rating", 6))
+
+
 @query("user_history", oracle("""
 WITH pick AS (SELECT reviewerID FROM (SELECT DISTINCT reviewerID FROM reviews)
               ORDER BY md5(concat('42|', reviewerID)), reviewerID LIMIT 1)

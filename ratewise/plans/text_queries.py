@@ -49,6 +49,16 @@ def q_clean_tokens_raw(spark, sf):
     return _token_summary(spark, sf, "raw")
 
 
+@query("notebook_pages", oracle(f"""
+SELECT page_id, CAST(len(toks) AS INTEGER) AS n_tokens, md5(array_to_string(toks, ' ')) AS tokens_md5
+FROM (SELECT page_id, {tx.sql_lemmatize(tx.sql_drop_stopwords(tx.sql_tokenize(tx.sql_strip_punctuation(tx.sql_strip_digits(f"lower({tx.sql_strip_tags('html')})")))))} AS toks FROM pages)"""))
+def q_notebook_pages(spark, sf):
+    """The notebook profile on texts that hold tags."""
+    toks = tx.clean_tokens("html", "notebook")
+    return table(spark, sf, "pages").select(
+        "page_id", F.size(toks).alias("n_tokens"), F.md5(F.array_join(toks, " ")).alias("tokens_md5"))
+
+
 @query("word_count", oracle(f"SELECT doc_id, CAST(len({tx.sql_tokenize('lower(text)')}) AS INTEGER) AS n_words FROM documents"))
 def q_word_count(spark, sf):
     return table(spark, sf, "documents").select("doc_id", tx.word_count(tx.tokenize(tx.lower("text"))).alias("n_words"))
@@ -111,7 +121,10 @@ def q_top_terms_by_rating(spark, sf):
 @query("term_cloud_weights", oracle(f"""
 WITH c AS (SELECT word, count(*) AS n FROM (SELECT unnest({tx.sql_cloud_words('reviewText')}) AS word FROM reviews)
            GROUP BY word),
-t AS (SELECT word, n, CAST(row_number() OVER (ORDER BY n DESC, word) AS INTEGER) AS rank FROM c ORDER BY n DESC, word LIMIT 200)
+p AS (SELECT CASE WHEN ends_with(word, 's') AND NOT ends_with(word, 'ss') AND left(word, length(word) - 1) IN (SELECT word FROM c)
+                  THEN left(word, length(word) - 1) ELSE word END AS word, n FROM c),
+q AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM p GROUP BY word),
+t AS (SELECT word, n, CAST(row_number() OVER (ORDER BY n DESC, word) AS INTEGER) AS rank FROM q ORDER BY n DESC, word LIMIT 200)
 SELECT word, n, rank, round(n / max(n) OVER (), 6) AS weight FROM t""", text=True))
 def q_term_cloud_weights(spark, sf):
     return terms.term_cloud_weights(R(spark, sf, True), "reviewText", 200)

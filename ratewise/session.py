@@ -7,7 +7,6 @@ joins (the size check is AQE's, against ``spark.sql.autoBroadcastJoinThreshold``
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -26,14 +25,16 @@ DEFAULT_CONF = {
 }
 
 
-def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: str = "ratewise",
+def build_session(master: str = "local[*]", shuffle_partitions: int | None = None, app: str = "ratewise",
                   conf: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.master(master).appName(app)
     settings = dict(DEFAULT_CONF)
     if master.startswith("local"):
         # local mode runs every task in the driver JVM
         settings["spark.driver.memory"] = "8g"
-    settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+        shuffle_partitions = shuffle_partitions or 8
+    if shuffle_partitions:  # on a cluster the caller's or Spark's own setting holds
+        settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     settings.update(conf or {})
     for key, value in settings.items():
         builder = builder.config(key, value)
@@ -46,8 +47,8 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: st
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the setting must point at shared storage and is only read here. Where it is
-    unset (local tests) a private folder is created and registered.
+    On a cluster the setting must point at shared storage and is only read here; it is an error
+    if it is unset. Under a local master (tests) a private folder is created and registered.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -55,6 +56,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="ratewise-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
     sc.setCheckpointDir(configured)
@@ -76,10 +79,3 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     # ids makes Spark rewrite one side, which can lose its recorded partitioning
     return cp.select(*[cp[c].alias(c) for c in cp.columns])
 
-
-def local_path(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-def exists(path: str) -> bool:
-    return os.path.exists(local_path(path))

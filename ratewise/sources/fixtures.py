@@ -18,13 +18,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _parallelism(spark: SparkSession) -> int:
-    try:
-        return spark.sparkContext.defaultParallelism
-    except Exception:  # noqa: BLE001 - sessions without a SparkContext handle (Spark Connect)
-        return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
 def reviews_view(spark: SparkSession, sf_dir: str, with_text: bool = True) -> DataFrame:
     """Reviews with the 8-column review schema; ``with_text=False`` fills reviewText with null
     and skips the documents join (use it where text is not read)."""
@@ -33,14 +26,11 @@ def reviews_view(spark: SparkSession, sf_dir: str, with_text: bool = True) -> Da
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
     df = li.join(orders, li.l_orderkey == orders.o_orderkey)
     if with_text:
-        # The driver's files hold one row group each, so a scan is one task. This table stands in
-        # for a stored review table of many files: spread it round-robin (skew-proof) before the
-        # per-row text work so that work runs on every core. A no-op in effect at cluster scale.
-        df = df.repartition(_parallelism(spark))
         docs = table(spark, sf_dir, "documents").select("doc_id", "text")
         n_docs = docs.select(F.count(F.lit(1))).scalar()
         df = df.withColumn("_doc", (F.col("l_orderkey") * 7 + F.col("l_linenumber")) % n_docs)
-        df = df.join(docs, F.col("_doc") == docs.doc_id)
+        # dealt by the join key: co-located with the documents where those are too many to broadcast
+        df = df.repartition("_doc").join(docs, F.col("_doc") == docs.doc_id)
         text = F.col("text")
     else:
         text = F.lit(None).cast("string")
@@ -81,7 +71,3 @@ FROM lineitem l
 JOIN orders o ON l.l_orderkey = o.o_orderkey
 """
 
-
-def with_reviews(sql: str, with_text: bool = True) -> str:
-    """Prefix an oracle query with the reviews CTE."""
-    return f"WITH reviews AS ({reviews_sql(with_text)})\n{sql}"
