@@ -161,11 +161,15 @@ def vocabulary(path: str) -> list[str]:
 
 
 def fit_rows(docs: DataFrame, key: str, text: str, lang: str, per_lang: int) -> DataFrame:
-    """(lang, text) of at most ``per_lang`` documents of each language. The limit is applied in
-    every task before the shuffle, and only keys are ranked."""
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("key"), "key"))
+    """(lang, text) of at most ``per_lang`` documents of each language, those with the smallest hash
+    of their key. Each language is first thinned to about four times as many by a bound on the hash
+    that follows from its count, so the ranking of a common language is a small task."""
     rows = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull() & F.col(key).isNotNull())
-    chosen = (rows.select(F.col(key).alias("key"), F.col(lang).alias("lang"))
+    keys = rows.select(F.col(key).alias("key"), F.col(lang).alias("lang"),
+                       (F.pmod(F.xxhash64(key), F.lit(1 << 31)) / float(1 << 31)).alias("h"))
+    share = stored(keys.groupBy("lang").agg(F.least(F.lit(4.0 * per_lang + 64) / F.count("*"), F.lit(1.0)).alias("share")), "shares")
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("h", "key"))
+    chosen = (keys.join(share, "lang").where("h <= share")
               .withColumn("rank", rank).where(F.col("rank") <= per_lang).select("key", "lang"))
     chosen = stored(chosen, "chosen").withColumnsRenamed({"key": "k", "lang": "l"})
     return rows.join(chosen, (rows[key] == chosen["k"]) & (rows[lang] == chosen["l"]), "left_semi").select(
