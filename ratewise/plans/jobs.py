@@ -12,26 +12,44 @@ from ..operators import recommend as rc
 from ..schema import CLEAN_CONTRACT, FILTERED_CONTRACT, LOAD_CONTRACT
 from ..session import cut_lineage
 from ..sources import reviews as io
+from ..sources.contract import contract_reasons
 from ..streaming import messages as ms
 
 REQUIRED = ["asin", "overall", "reviewText", "reviewerID", "unixReviewTime"]
 
 
-def load_job(spark: SparkSession, src: str, out: str) -> dict:
-    """read JSON (malformed lines set aside), drop incomplete rows and exact duplicates,
-    check the contract, write. Returns the counts."""
+def load_job(spark: SparkSession, src: str, out: str, rejects: str | None = None) -> dict:
+    """read JSON, drop incomplete rows and exact duplicates, check the contract, write. Nothing
+    that is set aside is lost: malformed lines go to ``<rejects>/malformed``, rows that break the
+    contract to ``<rejects>/contract`` (``<out>-rejects`` by default).
+
+    The counts come from the pass that does the work: the malformed lines are counted as they are
+    written; of the others each step's rows are observed while the checked rows are materialised,
+    and both writes read that copy."""
+    rejects = rejects or f"{out}-rejects"
     good, bad = io.read_reviews(spark, src, quarantine=True)
-    obs = Observation("load")
-    cleaned = dedup.drop_exact_duplicates(prep.drop_incomplete(good)).observe(obs, F.count(F.lit(1)).alias("written"))
-    rejected = io.write_table(cleaned, out, contract=LOAD_CONTRACT)
-    return {**obs.get, "malformed": bad.count(), "rejected": rejected.count()}
+    seen = {name: Observation(name) for name in ("malformed", "read", "complete", "distinct", "rejected")}
+    n = F.count(F.lit(1)).alias("n")
+    bad.select("line").observe(seen["malformed"], n).write.mode("overwrite").parquet(f"{rejects}/malformed")
+    complete = prep.drop_incomplete(good.observe(seen["read"], n)).observe(seen["complete"], n)
+    distinct = dedup.drop_exact_duplicates(complete).observe(seen["distinct"], n)
+    reasons = distinct.withColumn("_reasons", contract_reasons(distinct, LOAD_CONTRACT))
+    checked = cut_lineage(reasons.observe(seen["rejected"], F.count_if(F.size("_reasons") > 0).alias("n")))
+    checked.where(F.size("_reasons") == 0).drop("_reasons").write.mode("overwrite").parquet(out)
+    (checked.where(F.size("_reasons") > 0).withColumn("reason", F.array_join("_reasons", "; ")).drop("_reasons")
+     .write.mode("overwrite").parquet(f"{rejects}/contract"))
+    got = {name: o.get["n"] for name, o in seen.items()}
+    return {"malformed": got["malformed"], "incomplete": got["read"] - got["complete"],
+            "duplicates": got["complete"] - got["distinct"], "rejected": got["rejected"],
+            "written": got["distinct"] - got["rejected"]}
 
 
 def clean_reviews(df: DataFrame) -> DataFrame:
-    """F2 transform: required fields present, exact duplicates out, verified only, summary merged
-    into the text, feedback label, one row per (asin, reviewer, time), vote parsed and filled with
-    the global mean, text lower-cased, tokenised and stemmed."""
-    df = dedup.drop_exact_duplicates(prep.drop_incomplete(df, REQUIRED))
+    """F2 transform: required fields present, verified only, summary merged into the text, feedback
+    label, one row per (asin, reviewer, time) - which exact duplicates share, so they need no step
+    of their own -, vote parsed and filled with the global mean, text lower-cased, tokenised and
+    stemmed."""
+    df = prep.drop_incomplete(df, REQUIRED)
     df = prep.label_feedback(prep.merge_summary(prep.only_verified(df)))
     df = dedup.drop_duplicate_reviews(df)
     df = prep.fill_vote_global(df)
@@ -54,9 +72,12 @@ def density_filter_job(spark: SparkSession, src: str, out: str, since_ts: int =
 
 def eda_tables(df: DataFrame) -> dict[str, DataFrame]:
     """every profile table, lazily (each is small; run the ones you need)."""
-    tokens = df.select("overall", tx.clean_tokens("reviewText", "eda").alias("tokens"))
     parsed = df.withColumn("vote", prep.vote_number("vote"))
     numeric = [c for c in stats.numeric_column_names(parsed)]
+    # the text is cleaned once for the three tables that need whole token lists
+    tokens = cut_lineage(df.select(tx.clean_tokens("reviewText", "eda").alias("tokens")))
+    rated = df.where(F.col("overall").isin(1, 2, 3, 4, 5))
+    scatter = stats.scatter_matrix(parsed)
     return {
         "describe": stats.describe_numeric(parsed),
         "info": stats.table_info(df),
@@ -64,19 +85,22 @@ def eda_tables(df: DataFrame) -> dict[str, DataFrame]:
         "review_length_kde": stats.kde(tokens, F.size("tokens").cast("double")),
         "vote_histogram": stats.histogram(parsed, "vote", 20),
         "vote_kde": stats.kde(parsed, "vote"),
-        "top_terms_by_rating": terms.top_terms(tokens.where(F.col("overall").isin(1, 2, 3, 4, 5)), "tokens", 20,
-                                               by=["overall"]),
+        "top_terms_by_rating": terms.rank_top(terms.term_counts(rated, "reviewText", "eda", by=["overall"]), 20,
+                                              ["term"], by=["overall"]),
         "verified_counts": stats.category_counts(df, "verified"),
         "rating_histogram": stats.histogram(df, "overall", 10),
         "mean_rating": stats.mean_rating(df),
         "top_products": stats.value_counts_top(df, "asin", 10),
         "best_rated": stats.best_rated(df, 10),
         "worst_rated": stats.worst_rated(df, 10),
+        "best_products": stats.best_rated(df, 10, by_product=True),
+        "worst_products": stats.worst_rated(df, 10, by_product=True),
         "term_cloud": terms.term_cloud_weights(df, "reviewText", 200),
-        "top_terms": terms.top_terms(df.select(tx.clean_tokens("reviewText", "raw").alias("tokens")), "tokens", 20),
+        "top_terms": terms.rank_top(terms.term_counts(df, "reviewText", "raw"), 20, ["term"]),
         "top_bigrams": terms.top_bigrams(tokens, "tokens", 25, 10),
         "correlation": stats.correlation_matrix(parsed, numeric),
-        "scatter_bins": stats.scatter_bins(parsed, [c for c in numeric if c != "vote"], 10),
+        "scatter_cells": scatter["cells"],
+        "scatter_diagonal": scatter["diagonal"],
     }
 
 
@@ -120,21 +144,33 @@ def train_job(ratings: DataFrame, model_path: str | None = None, rank: int = 40,
     return model, enc, users, items, rc.rmse(model, enc.where(F.col("split") == "val"))
 
 
+def als_answers(model, enc: DataFrame, users: DataFrame, items: DataFrame, requested: DataFrame, k: int = 10) -> DataFrame:
+    """(reviewerID, rank, asin, score, source): top-k unseen of the requested users (rows with the id
+    ``user``), complete: a user that the model has not seen gets the fallback list."""
+    uf, itf = rc.als_factors(model)
+    recs = rc.recommend_all(requested, uf, itf, enc, rc.fallback_items(enc), k)
+    named = rc.decode_ids(rc.decode_ids(recs, users, "reviewerID", "user"), items, "asin", "item")
+    return named.select("reviewerID", "rank", "asin", F.round("score", 6).alias("score"), "source")
+
+
 def recommend_job(model, enc: DataFrame, users: DataFrame, items: DataFrame, reviews: DataFrame,
-                  k: int = 10, publish_to: str | None = None, store: str | None = None, fmt: str = "json"):
-    """top-k unseen per user, decoded; optionally published as messages and appended to the
-    recommendation table. Returns (recommendations, reviews of the recommended items)."""
-    recs = (rc.als_recommend(model, enc, k).join(users, "user").join(items, "item")
-            .select("reviewerID", F.col("rank").cast("int").alias("rank"), "asin", "score"))
+                  requested: DataFrame, k: int = 10, publish_to: str | None = None, store: str | None = None,
+                  run_id: str = "0", fmt: str = "json"):
+    """top-k unseen of the requested users, decoded; optionally published as messages and
+    appended to the recommendation table under ``run_id``. Returns (recommendations, reviews of the
+    recommended items)."""
+    recs = cut_lineage(als_answers(model, enc, users, items, requested, k))
     if publish_to:
         ms.publish(ms.encode_messages(recs), publish_to, fmt=fmt)
     if store:
-        io.append_rows(recs, store)
+        io.append_rows(recs, store, run_id)
     return recs, rc.reviews_of(reviews, recs.select("asin"), bounded=False)
 
 
 def consume_job(spark: SparkSession, source: str, sink: str, checkpoint: str, fmt: str = "json",
                 starting_offsets: str = "latest"):
-    """F8: messages -> decoded rows -> idempotent per-batch sink."""
-    stream = ms.consume(spark, source, fmt=fmt, starting_offsets=starting_offsets)
-    return ms.sink_batches(ms.explode_recommendations(ms.decode_messages(stream)), sink, checkpoint)
+    """F8: messages -> decoded rows (``<sink>/rows``) and rejected messages (``<sink>/rejects``), both
+    in idempotent per-batch folders."""
+    stream = ms.decode_messages(ms.consume(spark, source, fmt=fmt, starting_offsets=starting_offsets))
+    return ms.sink_batches(stream, sink, checkpoint,
+                           outputs={"rows": ms.explode_recommendations, "rejects": ms.rejected_messages})

@@ -43,7 +43,47 @@ def q_recommendation_stream(spark, sf):
     rows = ms.explode_recommendations(ms.decode_messages(stream), 10)
     q = ms.sink_batches(rows, sink, scratch_path(spark, "recs-ckpt"))
     q.awaitTermination()
-    return _decoded_rows(spark.read.parquet(sink).drop("batch_id"))
+    return _decoded_rows(spark.read.parquet(sink).drop("query_id", "batch_id"))
+
+
+_BROKEN_SQL = """
+SELECT reviewerID AS key, 'malformed' AS reason FROM (SELECT DISTINCT reviewerID FROM reviews) WHERE substr(md5(reviewerID), 1, 1) = '0'
+UNION ALL
+SELECT reviewerID AS key, 'lists of unequal length' AS reason FROM (SELECT DISTINCT reviewerID FROM reviews) WHERE substr(md5(reviewerID), 1, 1) = '1'"""
+
+
+def _published(spark, sf):
+    """A topic of every user's messages, some of them cut off or with a score too few."""
+    topic = scratch_path(spark, "topic")
+    recs = rc.recommend_bias(_ratings(spark, sf), 10)
+    h = F.substring(F.md5("key"), 1, 1)
+    messages = ms.encode_messages(recs).withColumn(
+        "value", F.when(h == "0", F.expr("substring(value, 1, length(value) - 1)"))
+        .when(h == "1", F.regexp_replace("value", r",[^,\]]*\]\}$", "]}")).otherwise(F.col("value")))
+    ms.publish(messages, topic, fmt="json")
+    return topic
+
+
+@query("consume_rejects", oracle(_BROKEN_SQL))
+def q_consume_rejects(spark, sf):
+    from . import jobs
+    sink = scratch_path(spark, "consumed")
+    jobs.consume_job(spark, _published(spark, sf), sink, scratch_path(spark, "ckpt"), starting_offsets="earliest").awaitTermination()
+    return spark.read.parquet(f"{sink}/rejects").select("key", "reason")
+
+
+@query("consume_replay", oracle(BIAS_TOP10_SQL.replace("FROM ranked, g WHERE rank <= 10", """FROM ranked, g
+WHERE rank <= 10 AND substr(md5(u), 1, 1) <> '0' AND NOT (rank = 10 AND substr(md5(u), 1, 1) = '1')""")))
+def q_consume_replay(spark, sf):
+    """A second consumer with a checkpoint of its own replays the topic into the same sink: each
+    run's rows are whole, none is overwritten."""
+    from . import jobs
+    sink, topic = scratch_path(spark, "consumed"), _published(spark, sf)
+    for _ in range(2):
+        jobs.consume_job(spark, topic, sink, scratch_path(spark, "ckpt"), starting_offsets="earliest").awaitTermination()
+    rows = spark.read.parquet(f"{sink}/rows")
+    twice = rows.groupBy("key", "rank", "asin", "overall").agg(F.count_distinct("query_id").alias("n")).where("n = 2")
+    return _decoded_rows(twice)
 
 
 def _filtered_ratings(spark, sf):

@@ -8,6 +8,8 @@ shape and is what the tests use.
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,7 +39,8 @@ def decode_messages(messages: DataFrame, value: str = "value") -> DataFrame:
 
 def explode_recommendations(decoded: DataFrame, limit: int = 10, key: str = "key") -> DataFrame:
     """R2: pair the lists by position, first ``limit`` entries: (key, rank, asin, overall).
-    Lists of unequal length pair up to the shorter one; short lists are fine."""
+    Lists of unequal length pair up to the shorter one (:func:`rejected_messages` has them too);
+    short lists are fine."""
     pairs = F.arrays_zip(F.slice("asin", 1, limit).alias("a"), F.slice("overall", 1, limit).alias("o"))
     ok = decoded.where(F.col("ok"))
     out = ok.select(key, F.posexplode(pairs).alias("pos", "p"))
@@ -46,6 +49,14 @@ def explode_recommendations(decoded: DataFrame, limit: int = 10, key: str = "key
                     F.col("p.o").alias("overall")))
 
 
+def rejected_messages(decoded: DataFrame, key: str = "key", value: str = "value") -> DataFrame:
+    """(key, value, reason): messages that did not parse, or whose lists are of unequal length and
+    so lose their tail in :func:`explode_recommendations`."""
+    uneven = F.col("ok") & (F.coalesce(F.size("asin"), F.lit(0)) != F.coalesce(F.size("overall"), F.lit(0)))
+    reason = F.when(~F.col("ok"), "malformed").when(uneven, "lists of unequal length")
+    return decoded.select(key, value, reason.alias("reason")).where("reason IS NOT NULL")
+
+
 def publish(messages: DataFrame, target: str, fmt: str = "json", topic: str = TOPIC, **options) -> None:
     """Batch publish. ``fmt='kafka'``: ``target`` is the bootstrap servers; otherwise a
     folder of JSON lines (one record per message)."""
@@ -58,21 +69,36 @@ def publish(messages: DataFrame, target: str, fmt: str = "json", topic: str = TO
 
 def consume(spark: SparkSession, source: str, fmt: str = "json", topic: str = TOPIC,
             starting_offsets: str = "latest", **options) -> DataFrame:
-    """A stream of (key, value) messages. For Kafka ``starting_offsets`` is
-    ``latest`` (S11) or ``earliest`` (replay, S12); a file source always starts from the
-    files not yet seen by its checkpoint."""
+    """A stream of (key, value) messages: those that arrive from now on (``latest``, S11)
+    or all (``earliest``, replay, S12). A file's arrival is its modification time."""
+    if starting_offsets not in ("latest", "earliest"):
+        raise ValueError(f"starting_offsets: {starting_offsets}")
     if fmt == "kafka":
         return (spark.readStream.format("kafka").option("kafka.bootstrap.servers", source)
                 .option("subscribe", topic).option("startingOffsets", starting_offsets).options(**options).load()
                 .select(F.col("key").cast("string"), F.col("value").cast("string")))
-    return spark.readStream.schema("key string, value string").format(fmt).options(**options).load(source)
-
-
-def sink_batches(stream: DataFrame, path: str, checkpoint: str, trigger_available_now: bool = True):
-    """Write each micro-batch into its own ``batch_id=<n>`` folder, overwriting it. A batch
-    replayed after a failure rewrites the same folder, so rows are never doubled."""
+    stream = spark.readStream.schema("key string, value string").format(fmt).options(**options).load(source)
+    if starting_offsets == "latest":
+        # fixed now, when the consumer starts: a literal, not a time per batch
+        now = F.timestamp_millis(F.lit(int(time.time() * 1000)))
+        stream = stream.where(F.col("_metadata.file_modification_time") >= now)
+    return stream.select("key", "value")
+
+
+def sink_batches(stream: DataFrame, path: str, checkpoint: str, trigger_available_now: bool = True,
+                 outputs=None):
+    """Write each micro-batch into its own ``query_id=<id>/batch_id=<n>`` folder, overwriting it.
+    A batch replayed after a failure rewrites the same folder, so rows are never doubled; a query
+    with a new checkpoint counts its batches from 0 again but has another id, so it never
+    overwrites rows of an earlier one. ``outputs`` maps a folder below ``path`` to a function of
+    the batch (one sink for several results); the batch itself is written by default."""
     def write(batch: DataFrame, batch_id: int):
-        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        batch = batch.persist()
+        for folder, of in (outputs or {"": lambda x: x}).items():
+            target = f"{path}/{folder}" if folder else path
+            of(batch).write.mode("overwrite").parquet(f"{target}/query_id={query}/batch_id={batch_id}")
+        batch.unpersist()
 
     writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if trigger_available_now else writer
@@ -89,8 +115,9 @@ def fallback_array(top: DataFrame, rank: str = "rank", item: str = "asin", score
 def serve_requests(requests: DataFrame, recs: DataFrame, fallback, user: str = "reviewerID") -> DataFrame:
     """Each request (a row with ``user``) gets that user's stored top-k; a user without
     stored recommendations gets ``fallback`` (see :func:`fallback_array`). Works on a stream
-    (stream-static join) or a batch."""
-    known = requests.join(recs, user, "inner").withColumn("source", F.lit("personal"))
-    unknown = (requests.join(recs.select(user).distinct(), user, "left_anti")
-               .select("*", F.inline(fallback)).withColumn("source", F.lit("fallback")))
-    return known.unionByName(unknown)
+    (stream-static join) or a batch: one left join with one row per user, whose list is bounded."""
+    lists = recs.groupBy(user).agg(F.sort_array(F.collect_list(F.struct(
+        F.col("rank").cast("int").alias("rank"), "asin", F.col("score").cast("double").alias("score")))).alias("_recs"))
+    source = F.when(F.col("_recs").isNull(), "fallback").otherwise("personal")
+    joined = requests.join(lists, user, "left").withColumn("source", source)
+    return joined.select(*requests.columns, "source", F.inline(F.coalesce("_recs", fallback)))
