@@ -22,7 +22,7 @@ from .common import map_frames, ship, stored
 
 #: The scorer is fitted on at most so many documents, those with the smallest hash of their key;
 #: the labellers' accuracies come from all documents, and all are scored.
-FIT_DOCS = 10_000
+FIT_DOCS = 5_000
 BUCKETS = 1 << 16
 EPOCHS = 15
 RATE = 0.5
@@ -190,9 +190,13 @@ def _vote(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def _featurise(posterior):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            f = [features(t) for t in b["text"]]
+            f, share = [], []
+            for t in b["text"]:
+                bucket, n = np.unique(features(t), return_counts=True)
+                f.append(bucket)
+                share.append((n * (SCALE / max(n.sum(), 1))).astype(np.float32))
             q = [posterior.value[votes(t)] for t in b["text"]]
-            yield pd.DataFrame({"features": f, "goal": q})
+            yield pd.DataFrame({"features": f, "shares": share, "goal": q})
     return run
 
 
@@ -205,11 +209,10 @@ def _gradient(shared):
         w, bias = shared.value
         total = np.zeros(BUCKETS + 1)
         for b in batches:
-            for f, goal in zip(b["features"], b["goal"]):
-                miss = 1 / (1 + np.exp(-_logit(w, bias, f))) - goal
+            for f, share, goal in zip(b["features"], b["shares"], b["goal"]):
+                miss = 1 / (1 + np.exp(-(bias + w[f] @ share))) - goal
                 total[BUCKETS] += miss
-                if len(f):
-                    np.add.at(total, f, miss * SCALE / len(f))
+                total[f] += miss * share  # a text's buckets are distinct
         at = np.flatnonzero(total)
         yield pd.DataFrame({"bucket": at, "g": total[at]})
     return run
@@ -221,7 +224,7 @@ def fit_scorer(docs: DataFrame, posterior: dict[str, float], most: int = FIT_DOC
     spark = docs.sparkSession
     chosen = stored(docs.where("doc IS NOT NULL").select("doc").orderBy(F.xxhash64("doc"), "doc").limit(most), "chosen")
     rows = docs.join(chosen.distinct(), "doc", "left_semi")
-    rows = stored(rows.mapInPandas(_featurise(spark.sparkContext.broadcast(posterior)), "features array<int>, goal double"), "features")
+    rows = stored(rows.mapInPandas(_featurise(spark.sparkContext.broadcast(posterior)), "features array<int>, shares array<float>, goal double"), "features")
     n = max(rows.count(), 1)
     w, bias, m, v = np.zeros(BUCKETS), 0.0, np.zeros(BUCKETS + 1), np.zeros(BUCKETS + 1)
     for epoch in range(1, epochs + 1):
