@@ -319,8 +319,9 @@ def recommend_all(requested: DataFrame, users: DataFrame, items: DataFrame, seen
     cold_seen = seen.select("user", "item").distinct().join(cold, "user", "left_semi")
     some = top_unseen_by_rank(cold_seen, fallback, k, "user", "item")
     none = (cold.join(cold_seen.select("user").distinct(), "user", "left_anti")
+            .select("user", F.explode(F.sequence(F.lit(1), F.lit(k))).alias("rank"))
             # k rows, whatever the tables
-            .join(F.broadcast(fallback.where(F.col("rank") <= k).select("rank", "item"))))
+            .join(F.broadcast(fallback.where(F.col("rank") <= k).select("rank", "item")), "rank"))
     other = (some.select("user", "rank", "item").unionByName(none.select("user", "rank", "item"))
              .join(fallback.select("item", "score"), "item"))
     return personal.unionByName(other.select("user", F.col("rank").cast("int").alias("rank"), F.col("item").cast("int").alias("item"),

@@ -12,7 +12,7 @@ SF = "/root/testdata/sf0.001"
 def _write_json(spark, tmp):
     path = f"{tmp}/reviews_json"
     reviews_view(spark, SF, True).write.json(path)
-    with open(f"{tmp}/bad.json", "w") as f:
+    with open(f"{path}/bad.json", "w") as f:
         f.write("{bad json\n")
     return path
 
@@ -21,7 +21,10 @@ def test_load_and_clean_jobs(spark, tmp):
     src = _write_json(spark, tmp)
     counts = jobs.load_job(spark, src, f"{tmp}/loaded")
     assert counts["written"] == 3318  # rows without any null (FIXTURES)
-    assert counts["malformed"] == 0 and counts["rejected"] == 0
+    assert counts == {"malformed": 1, "incomplete": 6000 - 3318, "duplicates": 0, "rejected": 0, "written": 3318}
+    assert spark.read.parquet(f"{tmp}/loaded").count() == 3318
+    assert [r.line for r in spark.read.parquet(f"{tmp}/loaded-rejects/malformed").collect()] == ["{bad json"]
+    assert spark.read.parquet(f"{tmp}/loaded-rejects/contract").count() == 0
     rejected = jobs.clean_load_job(spark, src, f"{tmp}/clean")
     assert rejected.count() == 0
     clean = spark.read.parquet(f"{tmp}/clean")
@@ -42,14 +45,17 @@ def test_train_recommend_consume(spark, tmp):
     assert val.first().n > 0
     loaded = io.load_als(f"{tmp}/model/als")
     assert loaded.rank == 4
-    recs, item_reviews = jobs.recommend_job(loaded, enc, users, items, ratings, k=3,
-                                            publish_to=f"{tmp}/topic", store=f"{tmp}/recs")
+    for _ in range(2):  # a run that is repeated replaces its rows
+        recs, item_reviews = jobs.recommend_job(loaded, enc, users, items, ratings, users, k=3,
+                                                store=f"{tmp}/recs", run_id="a")
+    jobs.ms.publish(jobs.ms.encode_messages(recs), f"{tmp}/topic")
     n_recs = recs.count()
     assert n_recs == 3 * users.count()
     assert spark.read.parquet(f"{tmp}/recs").count() == n_recs
     q = jobs.consume_job(spark, f"{tmp}/topic", f"{tmp}/sink", f"{tmp}/ckpt", starting_offsets="earliest")
     q.awaitTermination()
-    assert spark.read.parquet(f"{tmp}/sink").count() == n_recs
+    assert spark.read.parquet(f"{tmp}/sink/rows").count() == n_recs
+    assert spark.read.parquet(f"{tmp}/sink/rejects").count() == 0
     assert item_reviews.count() > 0
 
 

@@ -7,7 +7,7 @@ import __spark_entry__ as entry
 SF = "/root/testdata/sf0.001"
 PURE = ["density_filter", "dedup_reviews", "dedup_exact", "fill_vote_by_product", "bias_top10",
         "top_terms_by_rating", "top_bigrams", "rating_kde", "scatter_bins", "user_index", "train_split",
-        "unknown_user_top10", "message_roundtrip", "spelling_corrections", "review_length_histogram"]
+        "unknown_user_top10", "als_top10", "recommend_users", "message_roundtrip", "spelling_corrections", "review_length_histogram"]
 
 
 def _plan(df):
@@ -28,3 +28,24 @@ def test_topk_uses_partial_window_limit(spark):
 def test_dedup_is_partial_aggregate(spark):
     plan = _plan(entry.queries()["dedup_reviews"](spark, SF))
     assert "partial_min" in plan and "Window" not in plan
+
+
+def _final(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_topk_broadcasts_nothing_exploded(spark):
+    plan = _final(entry.queries()["bias_top10"](spark, SF))
+    under = [block.split("Exchange")[0] for block in plan.split("BroadcastExchange")[1:]]
+    assert not any("Generate explode" in b for b in under)
+
+
+def test_quartiles_do_not_meet_in_one_partition(spark):
+    plan = _plan(entry.queries()["describe_numeric"](spark, SF))
+    assert "percentile" not in plan
+
+
+def test_lengths_are_computed_once(spark):
+    df = entry.queries()["review_length_histogram"](spark, SF)
+    assert "regexp_replace" not in _plan(df)  # the cleaned texts were counted into a stored table

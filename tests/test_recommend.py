@@ -78,21 +78,51 @@ def test_top_items_and_sample_user(spark):
     assert rc.sample_user(df).count() == 1
 
 
-def test_als_recommend_excludes_seen(spark):
+def test_recommend_matches_brute_force_for_requested_users(spark):
+    """One user holds a third of the ratings, one is outside the factor tables, one has no rating."""
+    rnd = random.Random(3)
+    seen = {(0, i) for i in range(45)} | {(u, rnd.randrange(60)) for u in range(1, 12) for _ in range(8)} | {(50, 3)}
+    users = [(u, [rnd.gauss(0, 1) for _ in range(3)], rnd.gauss(0, 1)) for u in range(12)]
+    items = [(i, [rnd.gauss(0, 1) for _ in range(3)], rnd.gauss(0, 1)) for i in range(60)]
+    uf = spark.createDataFrame(users, "user int, w array<double>, b double")
+    itf = spark.createDataFrame(items, "item int, w array<double>, b double")
+    enc = spark.createDataFrame([(u, i, 1.0 / (1 + i)) for u, i in seen], "user int, item int, y double")
+    ask = spark.createDataFrame([(0,), (3,), (3,), (50,), (60,), (None,)], "user int")
+    out = rc.recommend_all(ask, uf, itf, enc, rc.fallback_items(enc), k=5).collect()
+    got = {}
+    for r in sorted(out, key=lambda r: r["rank"]):
+        got.setdefault(r.user, []).append((r["rank"], r.item, r.source))
+    for u in (0, 3):
+        z = {i: sum(a * b for a, b in zip(users[u][1], w)) + users[u][2] + b for i, w, b in items if (u, i) not in seen}
+        want = sorted(z, key=lambda i: (-z[i], i))[:5]
+        assert got[u] == [(k + 1, i, "personal") for k, i in enumerate(want)]
+    order = [r.item for r in rc.fallback_items(enc).orderBy("rank").collect()]
+    assert [i for _, i, _ in got[60]] == order[:5]
+    assert [i for _, i, _ in got[50]] == [i for i in order if i != 3][:5]
+    assert set(got) == {0, 3, 50, 60} and {s for _, _, s in got[60]} == {"fallback"}
+
+
+def test_als_answers_are_complete(spark):
     rnd = random.Random(3)
     rows = [(f"U{u}", f"B{i}", float(rnd.randint(1, 5))) for u in range(30) for i in range(20) if rnd.random() < 0.5]
-    df = spark.createDataFrame(rows, RATINGS)
-    enc, users, items = rc.interactions(df)
-    model = rc.fit_als(enc.select("user", "item", "y"), rank=4, max_iter=3)
-    recs = rc.als_recommend(model, enc, k=5, over_fetch=2)
+    enc, users, items = rc.interactions(spark.createDataFrame(rows, RATINGS))
+    model = rc.fit_als(enc.where("user > 1").select("user", "item", "y"), rank=4, max_iter=3)
+    uf, itf = rc.als_factors(model)
+    out = rc.recommend_all(users, uf, itf, enc, rc.fallback_items(enc), k=5).collect()
     seen = {(r.user, r.item) for r in enc.select("user", "item").collect()}
-    out = recs.collect()
-    assert out and all((r.user, r.item) not in seen for r in out)
-    per_user = {}
-    for r in out:
-        per_user.setdefault(r.user, []).append(r.rank)
-    n_items = len({i for _, i, _ in rows})
-    for u, ranks in per_user.items():
-        n_seen = sum(1 for s in seen if s[0] == u)
-        assert sorted(ranks) == list(range(1, min(5, n_items - n_seen) + 1))
-    assert rc.rmse(model, enc).first().rmse < 1.0
+    assert all((r.user, r.item) not in seen for r in out)
+    assert {r.user for r in out} == {r.user for r in users.collect()}
+    assert {r.user for r in out if r.source == "fallback"} == {0, 1}
+    scored = rc.rmse(model, enc).first()
+    assert scored.rmse < 1.0 and scored.n == enc.count() and scored.cold == enc.where("user <= 1").count()
+
+
+def test_ids_do_not_depend_on_exchange_reuse(spark):
+    import __spark_entry__ as entry
+    from tools.check_oracle import compare
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        for name in ("user_index", "item_index", "bias_top10"):
+            assert compare(spark, "/root/testdata/sf0.001", name, entry)
+    finally:
+        spark.conf.unset("spark.sql.exchange.reuse")

@@ -68,3 +68,17 @@ def test_bias_topk_under_skew(spark):
     for u in {r[4] for r in rows}:
         unseen = n_items - len({a for uu, a in seen if uu == u})
         assert per_user[u] == min(5, unseen)
+
+
+def test_hot_user_is_clustered_over_several_files(spark, tmp):
+    from ratewise.sources import reviews as io
+    df = spark.range(40000).selectExpr("concat('B', id % 5000) AS asin", "CASE WHEN id % 3 = 0 THEN 'hot' ELSE concat('U', id % 997) END AS reviewerID",
+                                       "CAST(id % 5 AS double) AS overall", "CAST(id AS int) AS unixReviewTime")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        io.write_table(df, f"{tmp}/clustered", cluster_by="reviewerID")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    hot = io.read_user_rows(spark, f"{tmp}/clustered", "hot")
+    assert hot.count() == 13334
+    assert hot.selectExpr("_metadata.file_name").distinct().count() > 1

@@ -45,3 +45,21 @@ def test_best_worst(spark):
                                "asin string, reviewerID string, overall double, unixReviewTime int")
     assert [r.asin for r in stats.best_rated(df, 2).collect()] == ["B1", "B2"]
     assert [r.asin for r in stats.worst_rated(df, 1).collect()] == ["B3"]
+
+
+def test_kde_without_spread_is_null(spark):
+    for rows in ([(3.0,)] * 5, [(3.0,)]):
+        out = stats.kde(spark.createDataFrame(rows, "x double"), "x", 10).collect()
+        assert len(out) == 10 and all(r.density is None for r in out)
+    assert stats.kde(spark.createDataFrame([(None,)], "x double"), "x", 10).count() == 0
+
+
+def test_quantiles_with_ties_nulls_and_empty_columns(spark):
+    xs = [1.0] * 40 + [2.0, 5.0, None, 7.5, None, 9.0, 9.0]
+    df = spark.createDataFrame([(x, None) for x in xs], "x double, y double")
+    d = {r.column: r for r in stats.describe_numeric(df, ["x", "y"]).collect()}
+    known = [x for x in xs if x is not None]
+    assert (d["x"].p25, d["x"].p50, d["x"].p75) == tuple(np.quantile(known, [0.25, 0.5, 0.75]))
+    assert d["y"]["count"] == 0 and d["y"].p50 is None
+    q = {(r.column, r.q): r.value for r in stats.exact_quantiles(df, ["x"], (0.9, 0.99)).collect()}
+    assert abs(q["x", 0.9] - np.quantile(known, 0.9)) < 1e-12 and abs(q["x", 0.99] - np.quantile(known, 0.99)) < 1e-12

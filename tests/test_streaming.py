@@ -1,8 +1,6 @@
 import json
 import os
 
-from pyspark.sql import functions as F
-
 from ratewise.streaming import messages as ms
 
 
@@ -41,18 +39,33 @@ def test_stream_equals_batch_and_replay_is_idempotent(spark, tmp):
                                  "reviewerID string, rank int, asin string, score double")
     ms.publish(ms.encode_messages(recs), topic)
     sink, ckpt = os.path.join(tmp, "sink"), os.path.join(tmp, "ckpt")
-    q = ms.sink_batches(ms.explode_recommendations(ms.decode_messages(ms.consume(spark, topic))), sink, ckpt)
+    q = ms.sink_batches(ms.explode_recommendations(ms.decode_messages(ms.consume(spark, topic, starting_offsets="earliest"))), sink, ckpt)
     q.awaitTermination()
-    streamed = sorted(tuple(r) for r in spark.read.parquet(sink).drop("batch_id").collect())
+    streamed = sorted(tuple(r) for r in spark.read.parquet(sink).drop("query_id", "batch_id").collect())
     batch = sorted(tuple(r) for r in ms.explode_recommendations(
         ms.decode_messages(spark.read.schema("key string, value string").json(topic))).collect())
     assert streamed == batch
-    # the same batch written twice (a replay) leaves one copy
-    df = spark.read.parquet(sink)
-    first = df.where(F.col("batch_id") == 0).drop("batch_id")
-    first.write.mode("overwrite").parquet(os.path.join(sink + "2", "batch_id=0"))
-    first.write.mode("overwrite").parquet(os.path.join(sink + "2", "batch_id=0"))
-    assert spark.read.parquet(sink + "2").count() == first.count()
+    # a second query with a new checkpoint starts at batch 0 again: it must not touch the first's rows
+    q = ms.sink_batches(ms.explode_recommendations(ms.decode_messages(
+        ms.consume(spark, topic, starting_offsets="earliest"))), sink, ckpt + "2")
+    q.awaitTermination()
+    rows = spark.read.parquet(sink)
+    assert rows.count() == 2 * len(batch) and rows.select("query_id").distinct().count() == 2
+    # the same checkpoint once more: nothing new, nothing doubled
+    q = ms.sink_batches(ms.explode_recommendations(ms.decode_messages(
+        ms.consume(spark, topic, starting_offsets="earliest"))), sink, ckpt)
+    q.awaitTermination()
+    assert spark.read.parquet(sink).count() == 2 * len(batch)
+    # a consumer that starts now does not see what was published before
+    late = ms.sink_batches(ms.consume(spark, topic), sink + "3", ckpt + "3")
+    late.awaitTermination()
+    assert not os.path.exists(sink + "3") or spark.read.schema("key string").parquet(sink + "3").count() == 0
+
+
+def test_rejected_messages(spark):
+    df = ms.decode_messages(_msgs(spark, ['{"asin": ["A", "B"], "overall": [1.0]}', "{bad", '{"asin": ["A"], "overall": [1.0]}']))
+    assert sorted((r.key, r.reason) for r in ms.rejected_messages(df).collect()) == [
+        ("U0", "lists of unequal length"), ("U1", "malformed")]
 
 
 def test_serve_requests_fallback(spark):

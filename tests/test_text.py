@@ -35,7 +35,7 @@ def test_whitespace_like_python(spark):
 def test_s_stemmer(spark):
     words = ["ponies", "aies", "eies", "horses", "toes", "cats", "bus", "glass", "is", "s", "ies"]
     out = _eval(spark, [" ".join(words)], lambda c: tx.lemmatize(tx.tokenize(c)))[0]
-    assert out == ["pony", "aie", "eie", "horse", "toe", "cat", "bus", "glass", "i", "", "y"]
+    assert out == ["pony", "aie", "eie", "horse", "toe", "cat", "bus", "glass", "is", "s", "ies"]
 
 
 def test_stopwords_keep_repeats(spark):
@@ -68,6 +68,14 @@ def test_term_cloud(spark):
     df = spark.createDataFrame([("The dog's bone, the DOG!",)], "reviewText string")
     out = {r.word: (r.n, r.weight) for r in terms.term_cloud_weights(df).collect()}
     assert out == {"dog": (2, 1.0), "bone": (1, 0.5)}
+    df = spark.createDataFrame([("10 10 10 toy toys toys glass bus a1",)], "reviewText string")
+    out = {r.word: r.n for r in terms.term_cloud_weights(df).collect()}
+    assert out == {"toy": 3, "glass": 1, "bus": 1, "a1": 1}  # numbers out, plurals folded
+
+
+def test_notebook_profile_strips_tags_first(spark):
+    got = _eval(spark, ["<br>Great <b>dogs</b>. Cats. This was 5 stars"], lambda c: tx.clean_text(c, "notebook"))
+    assert got == ["great dog cat star"]
 
 
 @settings(max_examples=20, deadline=None)
