@@ -51,16 +51,62 @@ def stretches(word: str) -> list[str]:
     return [word[i:i + LONGEST] for i in range(0, len(word), LONGEST)]
 
 
+_A = np.uint64(0x9E3779B97F4A7C15)
+_BITS = 20
+
+
+def _extend(h: np.ndarray, letters: np.ndarray) -> np.ndarray:
+    """Hashes of strings that are one letter longer."""
+    h = (h + letters + np.uint64(1)) * _A
+    return h ^ (h >> np.uint64(29))
+
+
+class Pieces:
+    """The numbers of the vocabulary's pieces by 64-bit hashes of their letters, for many strings at
+    once. ``none`` is the number of what is no piece, ``none + 1`` that of a letter that is none."""
+
+    def __init__(self, pieces: dict[str, int]):
+        self.pieces, self.none = pieces, len(pieces)
+        self.longest = max(map(len, pieces), default=1)
+        h, ids = [np.empty(0, np.uint64)], [np.empty(0, np.int32)]
+        for n in {len(x) for x in pieces}:
+            some = [x for x in pieces if len(x) == n]
+            letters = np.frombuffer("".join(some).encode("utf-32-le"), "<u4").astype(np.uint64).reshape(-1, n)
+            one = np.zeros(len(some), np.uint64)
+            for k in range(n):
+                one = _extend(one, letters[:, k])
+            h.append(one)
+            ids.append(np.array([pieces[x] for x in some], np.int32))
+        h, ids = np.concatenate(h), np.concatenate(ids)
+        order = np.argsort(h)
+        self.hashes, self.ids = h[order], ids[order]
+        self.some = np.zeros(1 << _BITS, bool)  # most strings are no pieces: one look tells
+        self.some[(h >> np.uint64(64 - _BITS)).astype(np.int64)] = True
+
+    def find(self, h: np.ndarray) -> np.ndarray:
+        out = np.full(len(h), self.none, np.int32)
+        maybe = np.flatnonzero(self.some[(h >> np.uint64(64 - _BITS)).astype(np.int64)])
+        if len(maybe):
+            at = np.minimum(np.searchsorted(self.hashes, h[maybe]), len(self.hashes) - 1)
+            out[maybe] = np.where(self.hashes[at] == h[maybe], self.ids[at], self.none)
+        return out
+
+
 class Lattice:
-    """All segmentations of words of one length: ``ids[w, j, k]`` is the piece of word ``w`` that
-    starts at ``j`` and has ``k + 1`` letters, or ``len(pieces)``, the piece of probability 0;
-    single letters without a piece are ``len(pieces) + 1``."""
+    """All segmentations of words of one length: ``ids[:, j, k]`` are the pieces of the words that
+    start at ``j`` and have ``k + 1`` letters."""
 
-    def __init__(self, words: list[str], pieces: dict[str, int], longest: int):
+    def __init__(self, words: list[str], pieces: Pieces):
         n = len(words[0])
-        none, self.n, self.longest = len(pieces), n, min(longest, n)
-        self.ids = np.array([[[pieces.get(w[j:j + k + 1], none + (k == 0)) if j + k < n else none
-                               for k in range(self.longest)] for j in range(n)] for w in words], np.int32)
+        self.n, self.longest = n, min(pieces.longest, n)
+        letters = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64).reshape(len(words), n)
+        self.ids = np.full((len(words), n, self.longest), pieces.none, np.int32)
+        for j in range(n):
+            h = np.zeros(len(words), np.uint64)
+            for k in range(min(self.longest, n - j)):
+                h = _extend(h, letters[:, j + k])
+                found = pieces.find(h)
+                self.ids[:, j, k] = np.where(found == pieces.none, pieces.none + 1, found) if k == 0 else found
 
     def forward(self, p: np.ndarray) -> np.ndarray:
         """[word, end, language]: summed probability of all segmentations of the first letters."""
@@ -89,7 +135,7 @@ class Lattice:
                 np.add.at(into, ids, a[:, j] * p[ids] * b[:, j + k + 1] * scale)
 
 
-def lattices(words: list[str], pieces: dict[str, int], longest: int, most: int = 4096):
+def lattices(words: list[str], pieces: Pieces, most: int = 2048):
     """(positions, lattice) for groups of words of equal length."""
     by: dict[int, list[int]] = {}
     for i, w in enumerate(words):
@@ -97,15 +143,15 @@ def lattices(words: list[str], pieces: dict[str, int], longest: int, most: int =
     for some in by.values():
         for i in range(0, len(some), most):
             at = some[i:i + most]
-            yield at, Lattice([words[x] for x in at], pieces, longest)
+            yield at, Lattice([words[x] for x in at], pieces)
 
 
 class Model:
     """Piece probabilities ``p[piece, language]``, with a memory of scored words."""
 
-    def __init__(self, pieces: dict[str, int], langs: list[str], p: np.ndarray, most: int = 300_000):
+    def __init__(self, pieces: dict[str, int], langs: list[str], p: np.ndarray, most: int = 800_000):
         self.pieces, self.langs, self.p, self.most = pieces, langs, p, most
-        self.longest = max(map(len, pieces), default=1)
+        self.index = Pieces(pieces)
         self.forget()
 
     def forget(self):
@@ -122,7 +168,7 @@ class Model:
                 parts.append(s)
                 owner.append(i)
         logs = np.empty((len(parts), len(self.langs)))
-        for at, lattice in lattices(parts, self.pieces, self.longest):
+        for at, lattice in lattices(parts, self.index):
             logs[at] = np.log(lattice.forward(self.p)[:, -1])
         total = np.zeros((len(new), len(self.langs)))
         np.add.at(total, owner, logs)
@@ -186,13 +232,13 @@ def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def _expect(shared):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         pieces, langs, p = shared.value
-        index, longest = {x: i for i, x in enumerate(langs)}, max(map(len, pieces))
+        index, known = {x: i for i, x in enumerate(langs)}, Pieces(pieces)
         into = np.zeros_like(p)
         for b in batches:
             words, at = np.unique(b["word"].to_numpy(object), return_inverse=True)
             counts = np.zeros((len(words), len(langs)))
             np.add.at(counts, (at, b["lang"].map(index).to_numpy()), b["n"].to_numpy())
-            for some, lattice in lattices(list(words), pieces, longest):
+            for some, lattice in lattices(list(words), known):
                 lattice.expected(p, counts[some], into)
         i, j = np.nonzero(into[:len(pieces)])
         yield pd.DataFrame({"piece": i, "lang": j, "n": into[i, j]})
