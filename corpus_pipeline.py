@@ -56,8 +56,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents sampled so that the token shares of sources, languages and topics meet the
-    targets. The sample is the stage's purpose; nothing else is dropped."""
-    return mixing.mix(docs).where("sampled").select(*COLUMNS)
+    targets, ``mixing.KEEP`` of the tokens. The sample is the stage's purpose; nothing else is dropped."""
+    return mixing.mix(docs, sweeps=None, keep=mixing.KEEP).where("sampled").select(*COLUMNS)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -8,6 +8,7 @@ DataFrame operations are used.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -16,12 +17,21 @@ from pyspark.sql import functions as F
 from ..session import cut_lineage
 
 DIMS = ("source", "lang", "topic")
-#: Sweeps over the three dimensions. The cells of one run are never empty in a pattern that makes
-#: raking diverge (the starting table is its own support), so the error falls geometrically.
+#: Sweeps over the three dimensions in the SQL form. Where the targets can all be met the error falls
+#: geometrically. They cannot where a value of one dimension only occurs with a value of another whose
+#: target differs (one document with a source and a language of its own): there the error stays
+#: whatever the sweeps, so it is measured and reported.
 SWEEPS = 5
+#: Measured sweeps end when no marginal is off its target by more than this share, when a sweep
+#: lessens the error by less than a hundredth, or after so many.
+CLOSE = 0.005
+MOST_SWEEPS = 30
+#: The sample holds this share of the tokens (in expectation) where a target size is asked for.
+KEEP = 0.5
 #: Targets are the present shares to this power, normalised: 1 keeps the mix, 0 makes it flat.
 TEMPERATURE = {"source": 0.7, "lang": 0.7, "topic": 0.9}
 SEED = "mix-1"
+_LOG = logging.getLogger(__name__)
 #: ASCII blanks; a token for weighting is a maximal run of other characters.
 TOKEN = r"[^ \t\n\r\f]+"
 
@@ -56,17 +66,28 @@ def targets(cell: DataFrame, dim: str, temperature: float) -> DataFrame:
         (F.pow("b", F.lit(temperature)) / F.col("flat") * F.col("all")).alias("goal"))
 
 
-def rake(cell: DataFrame, goals: dict[str, DataFrame], sweeps: int = SWEEPS) -> DataFrame:
+def residual(fitted: DataFrame, goals: dict[str, DataFrame]) -> dict[str, float]:
+    """By dimension, the largest share by which a value's weight is off its goal."""
+    off = [fitted.groupBy(F.col(d).alias("__v")).agg(F.sum("weight").alias("__now"))
+           .join(goals[d], F.col("__v").eqNullSafe(F.col("k")))
+           .agg(F.max(F.abs(F.try_divide("__now", "goal") - 1)).alias("off")).select(F.lit(d).alias("dim"), "off")
+           for d in DIMS]
+    return {r["dim"]: r["off"] or 0.0 for r in off[0].unionByName(off[1]).unionByName(off[2]).collect()}
+
+
+def rake(cell: DataFrame, goals: dict[str, DataFrame], sweeps: int | None = SWEEPS) -> DataFrame:
     """``cell`` with ``weight`` raked to ``goals`` (per dimension a table (k, goal)).
 
     Each step is a partial aggregate per value and a join of the small marginal table; the
     lineage is cut after every sweep. A value without a goal gets weight 0; goals of values
-    that no cell has are unreachable and are left out of the total.
+    that no cell has are unreachable and are left out of the total. ``sweeps`` None: until the
+    measured residual is under ``CLOSE`` or falls no more; what is left of it is logged.
     """
     fitted = cut_lineage(cell.withColumn("weight", F.col("base")))
     # a goal is needed in every sweep: computed once
     goals = {d: cut_lineage(g) for d, g in goals.items()}
-    for _ in range(sweeps):
+    last = None
+    for sweep in range(MOST_SWEEPS if sweeps is None else sweeps):
         for dim in DIMS:
             now = fitted.groupBy(F.col(dim).alias("__v")).agg(F.sum("weight").alias("__now"))
             scale = (now.join(goals[dim], F.col("__v").eqNullSafe(F.col("k")), "left")
@@ -74,9 +95,40 @@ def rake(cell: DataFrame, goals: dict[str, DataFrame], sweeps: int = SWEEPS) ->
             fitted = (fitted.join(scale, F.col(dim).eqNullSafe(F.col("__v")))
                       .select(*DIMS, "base", (F.col("weight") * F.col("__f")).alias("weight")))
         fitted = cut_lineage(fitted)
+        if sweeps is None:
+            off = residual(fitted, goals)
+            worst = max(off.values())
+            if worst <= CLOSE or (last is not None and worst > 0.99 * last):
+                break
+            last = worst
+    if sweeps is None:
+        level = logging.INFO if worst <= CLOSE else logging.WARNING
+        _LOG.log(level, "raking: %d sweeps, largest residual by dimension %s", sweep + 1,
+                 {d: round(x, 4) for d, x in off.items()})
     return fitted
 
 
+def calibrate(fitted: DataFrame, keep: float) -> float | None:
+    """The scale c for which ``sum(base * min(1, c * factor))`` is ``keep`` times ``sum(base)``; None
+    where every reachable token is needed.
+
+    The sum is concave and piecewise linear in c, so Newton's steps from the left reach the root in
+    finitely many; each is one partial aggregate over the cells.
+    """
+    factor = F.col("weight") / F.col("base")
+    all_, reach = fitted.agg(F.sum("base"), F.sum(F.when(F.col("weight") > 0, F.col("base")))).first()
+    if not all_ or not reach or keep * all_ >= reach:
+        return None
+    c = 0.0
+    while True:
+        whole = F.lit(c) * factor >= 1
+        full, slope = fitted.agg(F.sum(F.when(whole, F.col("base")).otherwise(0.0)),
+                                 F.sum(F.when(whole, 0.0).otherwise(F.col("weight")))).first()
+        if not slope or (after := (keep * all_ - full) / slope) <= c * (1 + 1e-12):
+            return c
+        c = after
+
+
 def uniform(key: Column, seed: str = SEED) -> Column:
     """A fixed number in [0, 1) for each key: the first 8 hex digits of an md5."""
     digest = F.md5(F.concat(F.lit(seed + ":"), F.coalesce(key.cast("string"), F.lit("null"))).cast("binary"))
@@ -85,13 +137,16 @@ def uniform(key: Column, seed: str = SEED) -> Column:
 
 def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source",
         lang: str = "lang", topic_of: Callable[[Column], Column] = topic,
-        temperature: dict[str, float] | None = None, sweeps: int = SWEEPS,
-        seed: str = SEED) -> DataFrame:
+        temperature: dict[str, float] | None = None, sweeps: int | None = SWEEPS,
+        seed: str = SEED, keep: float | None = None) -> DataFrame:
     """Every row of ``docs`` with ``topic``, ``tokens``, ``factor`` (raked weight over token weight
     of its cell), ``p`` (its sampling probability) and ``sampled``.
 
+    With ``keep``, ``p = min(1, c * factor)``, where c is such that the sample holds this share of
+    the tokens in expectation: a cell that is too small for its target is kept whole and does not
+    thin out the others, whose shares stay in the raked proportions. Without, as in the SQL form,
     ``p = factor / largest factor``, so that no probability has to be cut at 1 and the expected
-    token shares are the raked ones. A document is sampled if the fixed uniform number of its key
+    token shares are the raked ones; the sample's size is then set by the rarest cell. A document is sampled if the fixed uniform number of its key
     is below ``p``: repeated rows are kept or dropped together. Null source or language is a value
     of its own. Null, empty or blank text has 0 tokens, no cell, factor and p 0, and is not
     sampled. An empty table gives no rows. Columns with the names of results are replaced.
@@ -105,10 +160,15 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
     fitted = rake(cell, {d: targets(cell, d, temperature[d]) for d in DIMS}, sweeps)
     factor = fitted.select(*[F.col(d).alias(f"__{d}") for d in DIMS],
                            (F.col("weight") / F.col("base")).alias("factor"))
-    top = factor.agg(F.max("factor").alias("__top"))
     same = (F.col(source).eqNullSafe(F.col("__source")) & F.col(lang).eqNullSafe(F.col("__lang"))
             & (F.col("topic") == F.col("__topic")) & (F.col("tokens") > 0))
-    share = factor.join(F.broadcast(top)).withColumn("__p", F.try_divide("factor", "__top"))
+    if keep is None:
+        top = factor.agg(F.max("factor").alias("__top"))
+        share = factor.join(F.broadcast(top)).withColumn("__p", F.try_divide("factor", "__top"))
+    else:
+        c = calibrate(fitted, keep)
+        whole = (F.col("factor") > 0).cast("double")
+        share = factor.withColumn("__p", whole if c is None else F.least(F.lit(1.0), F.lit(c) * F.col("factor")))
     out = extra.join(share, same, "left")
     p = F.coalesce(F.col("__p"), F.lit(0.0))
     return out.select(*extra.columns, F.coalesce(F.col("factor"), F.lit(0.0)).alias("factor"),
