@@ -42,6 +42,21 @@ SENTENCES = {
     "gpl.hope": "this program is distributed in the hope that it will be useful but without any "
                 "warranty without even the implied warranty of merchantability or fitness for a "
                 "particular purpose",
+    # the official notices as the splitter cuts them: "free software; you can" (GPL-2) or
+    # "free software: you can" (GPL-3), "WARRANTY; without"
+    "gpl3.terms": "you can redistribute it and or modify it under the terms of the gnu general public "
+                  "license as published by the free software foundation either version 3 of the "
+                  "license or at your option any later version",
+    "gpl2.terms": "you can redistribute it and or modify it under the terms of the gnu general public "
+                  "license as published by the free software foundation either version 2 of the "
+                  "license or at your option any later version",
+    # GPL-2 has "Foundation; either" too
+    "gpl.terms": "you can redistribute it and or modify it under the terms of the gnu general public "
+                 "license as published by the free software foundation",
+    "gpl2.either": "either version 2 of the license or at your option any later version",
+    "gpl3.either": "either version 3 of the license or at your option any later version",
+    "gpl.useful": "this program is distributed in the hope that it will be useful but without any warranty",
+    "gpl.implied": "without even the implied warranty of merchantability or fitness for a particular purpose",
     "gpl.details": "see the gnu general public license for more details",
     "bsd.redistribute": "redistribution and use in source and binary forms with or without "
                         "modification are permitted provided that the following conditions are met",
@@ -50,18 +65,30 @@ SENTENCES = {
     "bsd.binary": "redistributions in binary form must reproduce the above copyright notice this "
                   "list of conditions and the following disclaimer in the documentation and or "
                   "other materials provided with the distribution",
+    "bsd.advertising": "all advertising materials mentioning features or use of this software must "
+                       "display the following acknowledgement",
     "isc.grant": "permission to use copy modify and or distribute this software for any purpose "
                  "with or without fee is hereby granted provided that the above copyright notice "
                  "and this permission notice appear in all copies",
     "mpl2.subject": "this source code form is subject to the terms of the mozilla public license v 2 0",
+    # cut after "v."; only version 2.0 speaks of a "Source Code Form"
+    "mpl2.form": "this source code form is subject to the terms of the mozilla public license v",
     "ccbync4.notice": "licensed under cc by nc 4 0",
     "ccby4.notice": "licensed under cc by 4 0",
     "ccbysa4.notice": "licensed under cc by sa 4 0",
     "cc0.notice": "licensed under cc0 1 0",
     "unlicense.free": "this is free and unencumbered software released into the public domain",
+    "ccbync4.work": "this work is licensed under cc by nc 4 0",
+    "ccby4.work": "this work is licensed under cc by 4 0",
+    "ccbysa4.work": "this work is licensed under cc by sa 4 0",
     "reserved": "all rights reserved",
 }
 
+#: Sentences known by their end, as they name an organisation: end -> identifier. Only a sentence that
+#: holds ``ENDING_SIGN`` in its raw text is compared.
+ENDINGS = {"to endorse or promote products derived from this software without specific prior written permission": "bsd.endorse"}
+ENDING_SIGN = "(?i)endorse"
+
 #: Rule -> (licence, ordered sentence identifiers; others may stand between them).
 RULES = {
     "apache2-notice": ("Apache-2.0", ["apache2.notice"]),
@@ -72,17 +99,30 @@ RULES = {
     "gpl3-notice": ("GPL-3.0", ["gpl3.notice"]),
     "gpl3-header": ("GPL-3.0-or-later", ["gpl.free", "gpl.hope", "gpl.details"]),
     "gpl2-header": ("GPL-2.0-or-later", ["gpl2.free", "gpl.hope", "gpl.details"]),
+    "gpl3-header-cut": ("GPL-3.0-or-later", ["gpl3.terms", "gpl.useful", "gpl.implied", "gpl.details"]),
+    "gpl2-header-cut": ("GPL-2.0-or-later", ["gpl2.terms", "gpl.useful", "gpl.implied", "gpl.details"]),
+    "gpl3-header-either": ("GPL-3.0-or-later", ["gpl.terms", "gpl3.either", "gpl.useful", "gpl.implied", "gpl.details"]),
+    "gpl2-header-either": ("GPL-2.0-or-later", ["gpl.terms", "gpl2.either", "gpl.useful", "gpl.implied", "gpl.details"]),
     "bsd2-text": ("BSD-2-Clause", ["bsd.redistribute", "bsd.source", "bsd.binary"]),
+    "bsd3-text": ("BSD-3-Clause", ["bsd.redistribute", "bsd.source", "bsd.binary", "bsd.endorse"]),
+    "bsd4-text": ("BSD-4-Clause", ["bsd.redistribute", "bsd.source", "bsd.binary", "bsd.advertising", "bsd.endorse"]),
     "isc-text": ("ISC", ["isc.grant"]),
     "mpl2-notice": ("MPL-2.0", ["mpl2.subject"]),
+    "mpl2-header": ("MPL-2.0", ["mpl2.form"]),
     "cc-by-nc-4-notice": ("CC-BY-NC-4.0", ["ccbync4.notice"]),
+    "cc-by-nc-4-work": ("CC-BY-NC-4.0", ["ccbync4.work"]),
     "cc-by-4-notice": ("CC-BY-4.0", ["ccby4.notice"]),
+    "cc-by-4-work": ("CC-BY-4.0", ["ccby4.work"]),
     "cc-by-sa-4-notice": ("CC-BY-SA-4.0", ["ccbysa4.notice"]),
+    "cc-by-sa-4-work": ("CC-BY-SA-4.0", ["ccbysa4.work"]),
     "cc0-notice": ("CC0-1.0", ["cc0.notice"]),
     "unlicense-text": ("Unlicense", ["unlicense.free"]),
     "all-rights-reserved": ("LicenseRef-all-rights-reserved", ["reserved"]),
 }
 
+#: A rule that gives way where another matches, as the other's text holds its own: rule -> others.
+GIVES_WAY = {"bsd2-text": ["bsd3-text", "bsd4-text"], "bsd3-text": ["bsd4-text"]}
+
 #: A sentence ends at . ! ? ; or : before blank space or the end, or at a blank line.
 SENTENCE_END = r"[.!?;:]+(?:\s+|$)|\n\s*\n"
 NOT_WORD = r"[^a-z0-9]+"
@@ -111,8 +151,13 @@ def licence_sentences(docs: DataFrame, text: str, known: dict[str, str] = SENTEN
     shortest = min(map(len, known.values()))
     ids = F.create_map(*[F.lit(x) for k, v in known.items() for x in (v, k)])
 
+    def by_end(s):
+        n = normalise(s)
+        return F.coalesce(*[F.when(F.endswith(n, F.lit(end)), k) for end, k in ENDINGS.items()])
+
     def identify(s):
-        return F.when(F.length(s) >= shortest, F.try_element_at(ids, normalise(s)))
+        return F.when(F.length(s) >= shortest, F.coalesce(
+            F.try_element_at(ids, normalise(s)), F.when(F.rlike(s, F.lit(ENDING_SIGN)), by_end(s))))
 
     units = sentences(F.col(text), lambda p: identify(p).isNotNull())
     found = F.transform(units, lambda s, i: F.struct(i.cast("long").alias("pos"), identify(s).alias("id")))
@@ -126,19 +171,26 @@ def scan(docs: DataFrame, text: str = "text", known: dict[str, str] = SENTENCES,
     rule's first sentence stands) and ``sentence_ids`` (all identifiers in order).
 
     A rule matches if its identifiers occur in this order, with any known or unknown sentences
-    between them. Null or empty text: no row. Repeated rows give repeated results. Columns of
-    ``docs`` with the names of results are replaced. Nothing is shuffled.
+    between them, and no rule that it gives way to matches. Null or empty text: no row. Repeated
+    rows give repeated results. Columns of ``docs`` with the names of results are replaced. Nothing is shuffled.
     """
     out = ["licence", "rule", "first_sentence", "sentence_ids"]
     keep = [c for c in docs.columns if c != text and c not in out]
     hits = licence_sentences(docs, text, known).where(F.size("__hits") > 0)
     joined = F.concat(F.lit("|"), F.array_join(F.col("__hits.id"), "|"), F.lit("|"))
 
-    def match(name, licence, ids):
+    def like(ids):
         # each identifier is followed by "|", shared with the next one's leading "|"
         pattern = "%" + "%".join(f"|{i}|" if k == 0 else f"{i}|" for k, i in enumerate(ids)) + "%"
+        return F.col("__joined").like(pattern.replace("_", r"\_"))
+
+    def match(name, licence, ids):
         first = F.filter(F.col("__hits"), lambda h: h["id"] == ids[0])[0]["pos"]
-        return F.when(F.col("__joined").like(pattern.replace("_", r"\_")),
+        matched = like(ids)
+        for other in GIVES_WAY.get(name, []):
+            if other in rules:
+                matched = matched & ~like(rules[other][1])
+        return F.when(matched,
                       F.struct(F.lit(licence).alias("licence"), F.lit(name).alias("rule"),
                                first.alias("first_sentence")))
 
@@ -150,7 +202,7 @@ def scan(docs: DataFrame, text: str = "text", known: dict[str, str] = SENTENCES,
 
 
 def oracle(table: str = "documents") -> str:
-    """The same in DuckDB SQL."""
+    """The same in DuckDB SQL, but for ``ENDINGS`` and ``GIVES_WAY`` (BSD-3 and BSD-4), which it lacks."""
     quote = lambda s: "'" + s.replace("'", "''") + "'"
     known = ", ".join(f"({quote(v)}, {quote(k)})" for k, v in SENTENCES.items())
     rows = ", ".join(
