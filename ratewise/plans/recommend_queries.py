@@ -148,8 +148,7 @@ def _split(spark, sf):
 def q_logistic_mf_loss(spark, sf):
     from ..operators import mf
     split, _, _ = _split(spark, sf)
-    _, _, history = mf.fit_logistic_mf(split.where(F.col("split") == "train"),
-                                       split.where(F.col("split") == "val"), rank=8, epochs=2, batches=2)
+    _, _, history = mf.fit_logistic_mf(split.where(F.col("split") == "train"), split.where(F.col("split") == "val"))
     return history.select("epoch", F.round("train_bce", 6).alias("train_bce"), F.round("val_bce", 6).alias("val_bce"),
                           "val_n", "val_cold")
 
