@@ -22,7 +22,7 @@ from .common import map_frames, ship, stored
 
 #: The scorer is fitted on at most so many documents, those with the smallest hash of their key;
 #: the labellers' accuracies come from all documents, and all are scored.
-FIT_DOCS = 5_000
+FIT_DOCS = 10_000
 BUCKETS = 1 << 16
 EPOCHS = 15
 RATE = 0.5

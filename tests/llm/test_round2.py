@@ -5,7 +5,7 @@ import logging
 import pytest
 
 import corpus_pipeline
-from ratewise.llm import mixing
+from ratewise.llm import mixing, quality
 from tests.llm.test_documents import SCHEMA
 
 
@@ -35,3 +35,7 @@ def test_a_residual_that_cannot_go_is_measured_and_reported(spark, caplog):
         caplog.clear()
         mixing.mix(corpus(spark, [("xx", "own")]), sweeps=None, keep=0.5).count()
         assert [r.levelname for r in caplog.records] == ["WARNING"] and "source" in caplog.text
+
+
+def test_quality_is_fitted_on_the_documents_its_figures_are_for():
+    assert quality.FIT_DOCS == 10_000
