@@ -67,3 +67,14 @@ def test_eda_and_notebook_tables(spark):
     nb = jobs.notebook_tables(jobs.notebook_clean(df))
     assert nb["feedback_counts"].first().good > 0
     assert {r.column for r in nb["numeric_columns"].collect()} >= {"overall", "vote"}
+
+
+def test_json_arrays_have_a_bounded_size(spark, tmp):
+    from ratewise.plans import job_queries
+    df = spark.range(3000).selectExpr("concat('i', id % 7) AS asin", "id").unionByName(
+        spark.range(1000).selectExpr("'same' AS asin", "cast(1 AS long) AS id"))
+    job_queries.write_arrays(df, f"{tmp}/arrays", rows=64)
+    sizes = [len(json.loads(r.value)) for r in spark.read.option("wholetext", True).text(f"{tmp}/arrays").collect()]
+    assert max(sizes) <= 64 and sum(sizes) == 4000
+    back = io.read_records_array(spark, f"{tmp}/arrays").select("asin", "id")
+    assert back.exceptAll(df).count() == 0 and df.exceptAll(back).count() == 0
