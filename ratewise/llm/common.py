@@ -11,6 +11,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..session import scratch_path
 
@@ -24,12 +25,11 @@ def ship(spark: SparkSession) -> None:
     if sc.applicationId in _SHIPPED:
         return
     top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    name, root = os.path.basename(top), os.path.dirname(top)
+    name = os.path.basename(top)
     stage = tempfile.mkdtemp(prefix="ratewise-ship-")
     shutil.copytree(top, os.path.join(stage, name), ignore=shutil.ignore_patterns("__pycache__"))
     sc.addPyFile(shutil.make_archive(os.path.join(stage, f"{name}-src"), "zip", stage, name))
     _SHIPPED.add(sc.applicationId)
-    assert root
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -48,8 +48,21 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def null_safe_text(col) -> F.Column:
-    return F.coalesce(col, F.lit(""))
+def numbered(rows: DataFrame, by: str, order: list[str], name: str) -> DataFrame:
+    """``rows`` with a column ``name``: 0, 1, 2, ... within each value of ``by``, ascending by ``order``.
+
+    ``by`` and ``order`` together must tell rows apart (or equal rows must be interchangeable), and
+    ``by`` must not be null. One range shuffle; a value of ``by`` that holds most rows is spread over
+    many tasks, as ``order`` cuts it. What is joined back is one row per value and task.
+    """
+    spread = rows.repartitionByRange(by, *order).sortWithinPartitions(by, *order)
+    placed = stored(spread.withColumn("place_", F.monotonically_increasing_id()), "placed")
+    task = F.shiftright("place_", 33).alias("task_")
+    runs = placed.groupBy(by, task).agg(F.min("place_").alias("first_"), F.count("*").alias("n_"))
+    earlier = F.sum("n_").over(Window.partitionBy(by).orderBy("task_").rowsBetween(Window.unboundedPreceding, -1))
+    runs = stored(runs.withColumn("shift_", F.coalesce(earlier, F.lit(0)) - F.col("first_")).select(by, "task_", "shift_"), "runs")
+    return (placed.withColumn("task_", F.shiftright("place_", 33)).join(runs, [by, "task_"])
+            .withColumn(name, F.col("place_") + F.col("shift_")).select(*rows.columns, name))
 
 
 _ARROW = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "boolean": pa.bool_(),

@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, licenses, linededup, metricjoin, mixing, neardup, orderminhash, packing, quality, warc
+from . import (langid, licenses, linededup, merkle, metricjoin, mixing, neardup, orderminhash, packing, quality, sharding,
+               variants, warc)
 from .common import table
 
 #: Files of public tokenizers (see their README); any other path can be given to the operators.
@@ -119,3 +120,24 @@ def op7_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verify(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op11_merkle_manifest"] = merkle.oracle()
+
+
+@query
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.variants(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op12_spelling_variants"] = variants.oracle()
+
+
+@query
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(table(spark, sf_dir, "documents"))
