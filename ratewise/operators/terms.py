@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
+from ..session import cut_lineage
 from .stats import top_k_per_group
 
 
@@ -88,6 +89,56 @@ def term_cloud_weights(df: DataFrame, text: str = "reviewText", k: int = 200) ->
     return top.withColumn("weight", F.round(F.col("n") / F.max("n").over(peak), 6))
 
 
+#: A word pair stands in the cloud as one entry if its likelihood ratio is above this (fixed value).
+PAIR_SCORE = 30.0
+
+
+def term_cloud_pairs(df: DataFrame, text: str = "reviewText", k: int = 200, least: float = PAIR_SCORE) -> DataFrame:
+    """T16 with word pairs: (word, n, rank, weight) of the ``k`` heaviest entries, words and pairs.
+
+    Words are those of :func:`term_cloud_weights`, in order, stop words and numbers left out (two words
+    with only such words between them are no neighbours). A pair whose Dunning ratio is above ``least``
+    is an entry of its own, and its occurrences are taken away from both of its words. Pairs are counted
+    map-side on raw words; plurals are folded on distinct words and pairs."""
+    from ..functions.stopwords import ENGLISH
+    from .sentences import log_likelihood
+    found = F.regexp_extract_all(F.lower(F.col(text)), F.lit(tx.CLOUD_WORD_PATTERN), 0)
+    pairs = F.transform("w", lambda w, i: F.struct(w.alias("a"), F.get(F.col("w"), i + 1).alias("b")))
+    raw = (df.select(found.alias("w")).select(F.explode_outer(pairs).alias("p")).where("p IS NOT NULL")
+           .groupBy("p.a", "p.b").agg(F.count(F.lit(1)).alias("n")))
+    raw = cut_lineage(raw)
+
+    def word(c: str):
+        w = F.regexp_replace(c, "'s$", "")
+        return F.when(~w.rlike(f"^{tx.DIGITS_PATTERN}$") & ~w.isin(ENGLISH), w)
+
+    named = raw.select(word("a").alias("a"), word("b").alias("b"), "n")
+    words = named.where("a IS NOT NULL").groupBy(F.col("a").alias("word")).agg(F.sum("n").alias("n"))
+    words = cut_lineage(words)
+    plural = F.col("word").endswith("s") & ~F.col("word").endswith("ss")
+    single = words.withColumn("to", F.when(plural, F.expr("left(word, length(word) - 1)")))
+    folds = single.join(words.select(F.col("word").alias("to")), "to", "left_semi").select("word", "to")
+    one = map_vocabulary(words.withColumnRenamed("word", "term"), folds.select(F.col("word").alias("term"), F.col("to").alias("replacement")))
+    one = cut_lineage(one.withColumnRenamed("term", "word"))
+    two = named.where("a IS NOT NULL AND b IS NOT NULL").groupBy("a", "b").agg(F.sum("n").alias("n"))
+    for side in ("a", "b"):
+        two = (two.join(folds.select(F.col("word").alias(side), F.col("to").alias(f"to_{side}")), side, "left")
+               .withColumn(side, F.coalesce(f"to_{side}", side)).drop(f"to_{side}"))
+    two = two.groupBy("a", "b").agg(F.sum("n").alias("n"))
+    total = one.select(F.sum("n")).scalar()
+    scored = (two.join(one.select(F.col("word").alias("a"), F.col("n").alias("n_a")), "a")
+              .join(one.select(F.col("word").alias("b"), F.col("n").alias("n_b")), "b"))
+    kept = cut_lineage(scored.where((F.col("n_a") < total) & (F.col("n_b") < total)
+                                    & (log_likelihood(F.col("n"), F.col("n_a"), F.col("n_b"), total) > least)).select("a", "b", "n"))
+    taken = (kept.select(F.col("a").alias("word"), "n").union(kept.select(F.col("b").alias("word"), "n"))
+             .groupBy("word").agg(F.sum("n").alias("t")))
+    rest = one.join(taken, "word", "left").select("word", (F.col("n") - F.coalesce("t", F.lit(0))).alias("n")).where("n > 0")
+    entries = rest.unionByName(kept.select(F.concat_ws(" ", "a", "b").alias("word"), "n"))
+    top = rank_top(entries, k, ["word"])
+    peak = Window.orderBy(F.lit(1)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    return top.withColumn("weight", F.round(F.col("n") / F.max("n").over(peak), 6))
+
+
 def top_bigrams(df: DataFrame, tokens: str = "tokens", k: int = 25, min_count: int = 10) -> DataFrame:
     """Adjacent pairs within a text seen at least ``min_count`` times, top ``k``."""
     pairs = df.select(tx.bigrams(tokens).alias("pairs"))
