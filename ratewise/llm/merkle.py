@@ -141,9 +141,15 @@ _BLOCK = pa.schema([("tree", pa.string()), ("block", pa.int64()), ("height", pa.
 _BLOCK_DDL = "tree string, block long, height int, n int, root binary, nodes binary, docs array<long>, tampered array<binary>"
 
 
+def _rows(b: pa.RecordBatch) -> Iterator[dict]:
+    """One block at a time, as a batch may hold thousands of them: at most 2 ** HEIGHT leaves."""
+    for i in range(b.num_rows):
+        yield {name: column[i].as_py() for name, column in zip(b.schema.names, b.columns)}
+
+
 def _build_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        for row in b.to_pylist():  # one block at a time: at most 2 ** HEIGHT leaves
+        for row in _rows(b):
             members = row["members"]
             nodes = build([m["node"] for m in members], row["height"])
             yield pa.RecordBatch.from_pylist([{
@@ -183,7 +189,7 @@ def _child_ways(height: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("tree", pa.string()), ("pos", pa.int64()), ("node", pa.binary()), ("way", pa.binary())])
         for b in batches:
-            for row in b.to_pylist():
+            for row in _rows(b):
                 at = layout(row["height"])[-1].tolist()
                 yield pa.RecordBatch.from_pylist([
                     {"tree": row["tree"], "pos": (row["block"] << height) + i, "node": row["nodes"][at[i]:at[i] + SIZE],
@@ -204,7 +210,7 @@ def _proofs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     schema = pa.schema([("doc_id", pa.int64()), ("leaf", pa.string()), ("subroot", pa.string()), ("root", pa.string()),
                         ("proof_sha256", pa.string()), ("folded_root", pa.string()), ("verified", pa.bool_())])
     for b in batches:
-        for row in b.to_pylist():
+        for row in _rows(b):
             at, subroot, root = layout(row["height"])[-1].tolist(), row["subroot"].hex(), row["root"].hex()
             out = []
             for i, (doc, other) in enumerate(zip(row["docs"], row["tampered"])):
