@@ -201,8 +201,9 @@ def descend(levels: list[DataFrame], above: DataFrame, height: int = HEIGHT) ->
     """(tree, pos, way) for the leaves of a tower whose roots have the ways ``above`` (tree, pos, way)."""
     for blocks in reversed(levels):
         joined = blocks.join(above.select("tree", F.col("pos").alias("block"), F.col("way").alias("above")), ["tree", "block"])
-        above = joined.select("tree", "block", "height", "n", "nodes", "above").mapInArrow(
-            _child_ways(height), "tree string, pos long, node binary, way binary")
+        # stored: a task never has more than one of these Python steps
+        above = stored(joined.select("tree", "block", "height", "n", "nodes", "above").mapInArrow(
+            _child_ways(height), "tree string, pos long, node binary, way binary"), "ways")
     return above
 
 
