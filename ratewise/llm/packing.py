@@ -10,11 +10,14 @@ per length used up, so it stays small for any corpus; documents take their place
 
 from __future__ import annotations
 
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,98 +31,159 @@ END_ID = 1
 #: them (all but the apostrophe, which starts contractions).
 SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
+#: Chunks whose ids are gathered at once.
+PART_CHUNKS = 1 << 20
+
+
+def _gather(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Places of the runs (start, length), one after the other."""
+    before = np.cumsum(lengths) - lengths
+    return np.repeat(starts - before, lengths) + np.arange(int(lengths.sum()))
+
+
+class Runs:
+    """Id sequences in one array."""
+
+    def __init__(self, sequences: list[bytes]):
+        self.lengths = np.fromiter(map(len, sequences), np.int64, len(sequences)) // 4
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        self.ids = np.frombuffer(b"".join(sequences), "<u4")
+
 
 class WordIds:
-    """Token ids (little-endian unsigned 32-bit) of a text.
+    """Token ids (little-endian unsigned 32-bit) of whole columns of texts.
 
     Blanks and line feeds always part the tokenizer's words, so a text's ids are its blank-free
-    chunks' ids in a row; the ids of a chunk are remembered. ASCII letters are lower-cased by the
-    tokenizer, and signs at a chunk's end are words of their own, so a new chunk is looked up by
-    its lower-cased core and its signs before the tokenizer is asked. The memory is bounded: it is
-    forgotten when it has ``most`` entries.
+    chunks' ids in a row. A column is split and dictionary-encoded by Arrow, and only its distinct
+    chunks are looked at. Signs at a chunk's end are a word of their own if a letter stands before
+    them, and stays a letter when the tokenizer composes and lower-cases it; so distinct chunks become
+    fewer cores and tails. What is tokenised is gathered by array operations. The ids of cores are
+    remembered over columns; the memory is forgotten when it has ``most`` entries.
     """
 
-    def __init__(self, path: str, most: int = 1_000_000):
+    def __init__(self, path: str, most: int = 600_000):
         import os
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.most = most
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self.chunks: dict[str, bytes] = {"": b""}
-        self.cores: dict[str, bytes] = {}
-
-    def _parts(self, chunk: str) -> tuple[str, ...]:
-        if "<|" in chunk:  # may hold a special token, which is found before anything is cut
-            return (chunk,)
-        core = chunk.rstrip(SIGNS)
-        if not core or core == chunk or not core[-1].isalpha():
-            return (chunk.lower() if chunk.isascii() else chunk,)
-        return (core.lower() if core.isascii() else core, chunk[len(core):])
-
-    def _encode(self, cores: list[str]) -> None:
+        self.letters: dict[str, bool] = {"": False}
+        self.known, self.most = {"": b""}, most
+
+    def _letter(self, c: str) -> bool:
+        """Whether the character is only letters after composing and lower-casing."""
+        if c not in self.letters:
+            self.letters[c] = c.isalpha() and unicodedata.normalize("NFC", c).lower().isalpha()
+        return self.letters[c]
+
+    def _learn(self, cores: list[str]) -> None:
         """Cores of letters alone are one word each, so many are given to the tokenizer as one text
         and told apart by the tokens that end a word; if that count is off, and for all other
         cores, each is a text of its own."""
-        words = [c for c in cores if c.isalpha()]
-        ids = np.array(self.tokenizer.encode(" ".join(words), add_special_tokens=False).ids, "<u4")
-        ends = np.flatnonzero(self.ends[ids]) + 1
-        if len(ends) == len(words):
-            raw, lo = ids.tobytes(), 0
-            for w, hi in zip(words, (4 * ends).tolist()):
-                self.cores[w] = raw[lo:hi]
-                lo = hi
-        rest = [c for c in cores if c not in self.cores]
-        for core, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
-            self.cores[core] = np.array(e.ids, "<u4").tobytes()
-
-    def learn(self, chunks: list[str]) -> None:
-        new = {c: self._parts(c) for c in chunks}
-        cores = list({p for parts in new.values() for p in parts if p not in self.cores})
-        if cores:
-            self._encode(cores)
-        for c, parts in new.items():
-            self.chunks[c] = b"".join([self.cores[p] for p in parts])
+        letter, known = self._letter, self.known
+        words = [c for c in cores if c.isalpha() and (c.isascii() or all(map(letter, c)))]
+        groups = [words[lo:lo + 500] for lo in range(0, len(words), 500)]
+        for g, e in zip(groups, self.tokenizer.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False)):
+            ids = np.array(e.ids, "<u4")
+            stops = np.flatnonzero(self.ends[ids]) + 1
+            if len(stops) == len(g):
+                raw, lo = ids.tobytes(), 0
+                for c, hi in zip(g, (4 * stops).tolist()):
+                    known[c] = raw[lo:hi]
+                    lo = hi
+        rest = [c for c in cores if c not in known]
+        for c, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
+            known[c] = np.array(e.ids, "<u4").tobytes()
+
+    def _encode(self, cores: list[str]) -> Runs:
+        if len(self.known) > self.most:
+            self.known = {"": b""}
+        known = self.known
+        self._learn([c for c in cores if c not in known])
+        return Runs([known[c] for c in cores])
+
+    def _chunks(self, distinct: pa.Array) -> Runs:
+        """Ids of distinct chunks, by cores and tails."""
+        core = pc.ascii_rtrim(distinct, SIGNS)
+        last = pc.dictionary_encode(pc.utf8_slice_codeunits(core, -1))
+        letter = np.array([self._letter(c) for c in last.dictionary.to_pylist()] or [False])
+        # a special token is found before anything is cut, and as it is written
+        special = pc.match_substring(distinct, "<|").to_numpy(zero_copy_only=False)
+        cut = letter[last.indices.to_numpy()] & ~special if len(distinct) else np.empty(0, bool)
+        core = pc.if_else(pa.array(cut), core, distinct)
+        core = pc.if_else(pa.array(special), core, pc.ascii_lower(core))
+        # what is left of a chunk behind its core; the core has as many bytes, lower-cased or not
+        n = pc.binary_length(core).to_numpy().astype(np.int64)
+        size = pc.binary_length(distinct).to_numpy().astype(np.int64)
+        has = n < size
+        left = (n - size)[has].tolist()
+        tails = np.full(len(distinct), "", object)
+        tails[has] = [c[k:] for c, k in zip(distinct.filter(pa.array(has)).to_pylist(), left)]
+        both = []
+        for column in (core, pa.array(tails, pa.string())):
+            d = pc.dictionary_encode(column)
+            both.append((self._encode(d.dictionary.to_pylist()), d.indices.to_numpy()))
+        (heads, h), (ends, t) = both
+        pool = np.concatenate([heads.ids, ends.ids])
+        starts = np.stack([heads.starts[h], ends.starts[t] + len(heads.ids)], axis=1).ravel()
+        lengths = np.stack([heads.lengths[h], ends.lengths[t]], axis=1).ravel()
+        out = Runs([])
+        out.ids = pool[_gather(starts, lengths)]
+        out.lengths = lengths.reshape(-1, 2).sum(axis=1)
+        out.starts = np.cumsum(out.lengths) - out.lengths
+        return out
+
+    def columns(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(ids, offsets) of consecutive parts of a column; null is empty text. The parts bound the
+        memory of the gathered ids, not the work."""
+        texts = pc.replace_substring(pc.fill_null(texts, ""), "\n", " ")
+        lists = pc.split_pattern(texts, " ")
+        offsets = lists.offsets.to_numpy().astype(np.int64)
+        coded = pc.dictionary_encode(lists.flatten())
+        runs, codes = self._chunks(coded.dictionary), coded.indices.to_numpy()
+        offsets -= offsets[0] if len(offsets) else 0
+        row = 0
+        while row < len(texts):
+            stop = max(row + 1, int(np.searchsorted(offsets, offsets[row] + PART_CHUNKS, side="right")) - 1)
+            some = codes[offsets[row]:offsets[stop]]
+            lengths = runs.lengths[some]
+            ids = runs.ids[_gather(runs.starts[some], lengths)]
+            ends = np.concatenate([[0], np.cumsum(lengths)])
+            yield ids, ends[offsets[row:stop + 1] - offsets[row]]
+            row = stop
 
     def ids(self, text: str) -> bytes:
-        chunks = text.replace("\n", " ").split(" ")
-        try:
-            return b"".join([self.chunks[c] for c in chunks])
-        except KeyError:
-            pass
-        if len(self.chunks) > self.most:
-            self.chunks, self.cores = {"": b""}, {}
-        known = self.chunks
-        self.learn([c for c in chunks if c not in known])
-        return b"".join([known[c] for c in chunks])
+        return b"".join(ids.tobytes() for ids, _ in self.columns(pa.array([text], pa.string())))
 
 
 _TOKENIZERS: dict[str, WordIds] = {}
+_PIECE = ["doc", "start", "length", "ids_crc32", "doc_tokens", "part", "number"]
 
 
 def _cut(path: str, capacity: int, end_id: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _TOKENIZERS.get(path)
         if words is None:
             words = _TOKENIZERS[path] = WordIds(path)
         part, seen = TaskContext.get().partitionId(), [0] * (capacity + 1)
         end = np.array([end_id], "<u4").tobytes()
         for b in batches:
-            for lo in range(0, len(b), 2000):
-                some = b.iloc[lo:lo + 2000]
+            docs, at = b.column(0).to_pylist(), 0
+            for ids, offsets in words.columns(b.column(1)):
                 rows = []
-                for doc, text in zip(some["doc"], some["text"]):
-                    raw = (words.ids(text) if text else b"") + end
+                for lo, hi in zip(offsets[:-1].tolist(), offsets[1:].tolist()):
+                    raw = ids[lo:hi].tobytes() + end
                     n = len(raw) // 4
                     for start in range(0, n, capacity):
                         piece = raw[4 * start:4 * (start + capacity)]
                         length = len(piece) // 4
-                        rows.append((doc, start, length, zlib.crc32(piece), n, part, seen[length]))
+                        rows.append((docs[at], start, length, zlib.crc32(piece), n, part, seen[length]))
                         seen[length] += 1
-                yield pd.DataFrame(rows, columns=["doc", "start", "length", "ids_crc32", "doc_tokens", "part", "number"]).astype({"doc": "Int64"})
+                    at += 1
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], _PIECE)
     return run
 
 
@@ -210,8 +274,7 @@ def pack(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text",
     spark = docs.sparkSession
     ship(spark)
     named = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text"))
-    pieces = stored(map_frames(named, _cut(path, capacity, end_id),
-                               "doc long, start long, length long, ids_crc32 long, doc_tokens long, part long, number long"), "pieces")
+    pieces = stored(named.mapInArrow(_cut(path, capacity, end_id), ", ".join(f"{c} long" for c in _PIECE)), "pieces")
     dealt = pieces.groupBy("length", "part").agg(F.count("*").alias("n"))
     before = F.sum("n").over(Window.partitionBy("length").orderBy("part")
                              .rowsBetween(Window.unboundedPreceding, -1))
