@@ -26,9 +26,6 @@ WHITESPACE_PATTERN = (r"[\t\n\x{0B}\f\r\x{1C}-\x{1F} \x{85}\x{A0}\x{1680}\x{2000
 # The same white space as single characters (space excluded), for translate().
 WHITESPACE_CHARS = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680" + "".join(chr(c) for c in range(0x2000, 0x200B))
                     + "\u2028\u2029\u202f\u205f\u3000")
-# Tags, then digits and punctuation, in one left-to-right pass: a tag is tried first at each
-# position, so the result equals removing tags and then the single characters.
-TAGS_DIGITS_PUNCTUATION_PATTERN = r"<[^<]+?>|[\p{Nd}!-/:-@\[-`{-~]"
 # A word for the term cloud: a letter, digit or underscore, then at least one more or an apostrophe.
 CLOUD_WORD_PATTERN = r"[\p{L}\p{N}_][\p{L}\p{N}_']+"
 
@@ -123,18 +120,25 @@ def bigrams(tokens) -> Column:
                   ).otherwise(F.array().cast("array<string>"))
 
 
-def prepared_text(col, profile: str = "eda") -> Column:
-    """The deletions of a profile, before splitting into tokens; lower case is left for the
-    tokens (it neither makes nor removes white space, digits, punctuation or tag brackets, so
-    the order does not matter, and short ASCII tokens take the fast path)."""
+def pieces(col, profile: str = "eda") -> Column:
+    """A text cut at blanks and line feeds, for counting; only tags, which may hold blanks, are seen to
+    before. Plain byte operations where the text has no ``<``."""
     c = _c(col)
     if profile == "eda":
-        return F.regexp_replace(c, TAGS_DIGITS_PUNCTUATION_PATTERN, "")
+        c = F.when(F.contains(c, F.lit("<")), strip_tags(c)).otherwise(c)
+    return F.split(F.replace(c, F.lit("\n"), F.lit(" ")), " ")
+
+
+def prepared_piece(c: Column, profile: str = "eda") -> Column:
+    """The character deletions of a profile on one piece; lower case is left for the tokens (it neither
+    makes nor removes white space, digits or punctuation, so the order does not matter)."""
+    if profile == "eda":
+        return strip_digits_punctuation(c)
     if profile == "raw":
         return strip_punctuation(c)
     if profile == "stem":
         return c
-    raise ValueError(f"no string-only form for profile {profile}")
+    raise ValueError(f"no piecewise form for profile {profile}")
 
 
 def clean_tokens(col, profile: str = "eda", words=ENGLISH, stem: bool = True) -> Column:

@@ -8,10 +8,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType, BooleanType
 
+from ..session import cut_lineage
+
 # Fixed value: 2013-01-01 00:00:00 UTC, the reference's cut-off for recent reviews.
 SINCE_2013 = 1356998400
 
@@ -80,10 +82,32 @@ def fill_vote_global(df: DataFrame, col: str = "vote") -> DataFrame:
     return parsed.withColumn(col, F.coalesce(F.col(col), mean))
 
 
+def back_fill(df: DataFrame, col: str, order: list[str]) -> DataFrame:
+    """``df`` with a null ``col`` taking the next value that is not null, in ascending ``order`` (columns
+    that tell rows apart, as file and position); what comes after the last value stays null.
+
+    Rows are range-partitioned by the order and stored once. Inside a partition the value is carried
+    back by one pass over a descending sort; between partitions the first value of each goes to the
+    partitions before it that end without one: a table of one row per partition."""
+    spread = cut_lineage(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id()))
+    down = [F.desc(c) for c in order]
+    back = Window.partitionBy("_part").orderBy(*down).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    inside = spread.withColumn("_next", F.last(col, ignorenulls=True).over(back))
+    ahead = F.min_by(F.col(col), F.struct(*order)).alias("_first")
+    # the first value of each partition, then the nearest one of the later partitions
+    firsts = (spread.select("_part").distinct()
+              .join(spread.where(F.col(col).isNotNull()).groupBy("_part").agg(ahead), "_part", "left"))
+    later = Window.orderBy(F.desc("_part")).rowsBetween(Window.unboundedPreceding, -1)
+    firsts = firsts.select("_part", F.last("_first", ignorenulls=True).over(later).alias("_carry"))
+    return (inside.join(F.broadcast(firsts), "_part")  # one row per partition
+            .withColumn(col, F.coalesce("_next", "_carry")).drop("_part", "_next", "_carry"))
+
+
 def fill_vote_by_product(df: DataFrame, col: str = "vote", key: str = "asin",
-                         to_int: bool = True) -> DataFrame:
-    """Null vote -> mean vote of the same product; products without any vote take the
-    global mean (the reference back-fills in file order, which a distributed table lacks).
+                         to_int: bool = True, order: list[str] | None = None) -> DataFrame:
+    """Null vote -> mean vote of the same product; products without any vote take the next vote
+    in file order if ``order`` names the columns that give it (file and position; see
+    :func:`back_fill`), and what is then left the global mean.
 
     The per-product mean is an aggregate joined back on the key rather than a window, so a
     product holding a large share of all rows is pre-aggregated map-side and never sorted in
@@ -91,9 +115,10 @@ def fill_vote_by_product(df: DataFrame, col: str = "vote", key: str = "asin",
     parsed = df.withColumn(col, vote_number(col))
     means = parsed.groupBy(key).agg(F.avg(col).alias("_key_mean"))
     overall_mean = parsed.select(F.avg(col)).scalar()
-    out = (parsed.join(means, key, "left")
-           .withColumn(col, F.coalesce(F.col(col), F.col("_key_mean"), overall_mean))
-           .drop("_key_mean"))
+    out = parsed.join(means, key, "left").withColumn(col, F.coalesce(F.col(col), F.col("_key_mean"))).drop("_key_mean")
+    if order:
+        out = back_fill(out, col, order).select(*parsed.columns)
+    out = out.withColumn(col, F.coalesce(F.col(col), overall_mean))
     if to_int:
         out = out.withColumn(col, F.col(col).cast("int"))
     return out

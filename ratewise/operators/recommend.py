@@ -251,9 +251,11 @@ def rmse(model, data: DataFrame, target: str = "y") -> DataFrame:
 #: Requested users and candidate items that one task scores against each other.
 USER_BLOCK = 512
 ITEM_BLOCK = 8192
+#: Item blocks that one round looks at, at most.
+ROUND_BLOCKS = 256
 
 
-def _score_block(k: int, logistic: bool):
+def _score_block(k: int):
     def run(group):
         """The ``k`` best unseen items of the block for each user of the block."""
         import numpy as np
@@ -271,41 +273,77 @@ def _score_block(k: int, logistic: bool):
             there = np.isfinite(score)
             out["user"] = np.broadcast_to(users["user"].to_numpy()[:, None], best.shape)[there]
             out["item"] = items["item"].to_numpy()[best][there]
-            out["score"] = 1 / (1 + np.exp(-score[there])) if logistic else score[there]
+            out["score"] = score[there]
         return pd.DataFrame(out).astype({"user": "int64", "item": "int64", "score": "float64"})
     return run
 
 
+def _norm(w: str):
+    return F.sqrt(F.aggregate(w, F.lit(0.0), lambda acc, x: acc + x * x))
+
+
 def recommend(requested: DataFrame, users: DataFrame, items: DataFrame, seen: DataFrame, k: int = 10,
-              logistic: bool = False) -> DataFrame:
+              logistic: bool = False, item_block: int = ITEM_BLOCK, log: list | None = None) -> DataFrame:
     """M6 (J5 + J6 + M5 + K3): (user, rank, item, score), the ``k`` best unseen items of each
-    requested user, for any factor tables (user, w, b) and (item, w, b).
-
-    ``requested`` is a stated set of users, scored against all items: users and items are dealt to
-    blocks of bounded size, a task scores one user block against one item block as a matrix
-    product, drops what was seen and hands on at most ``k`` rows per user. No (user, item) pair
-    becomes a row. A heavy user's seen items are spread over the item blocks. Users without
-    factors are not answered here: see :func:`recommend_all`."""
+    requested user, for any factor tables (user, w, b) and (item, w, b). Exact.
+
+    Items stand in blocks by falling vector norm, each with its largest norm and bias. By
+    Cauchy-Schwarz no item of a block scores above |u| * norm + bias, so a user whose ``k``-th score
+    beats that is done with the block, and one whose score beats the bound of all that is left is done.
+    Rounds look at 1, 2, 4, ... blocks; only users that still need one of them are sent there, and an
+    item block is copied once for every group of such users. A task scores a group against a block as a
+    matrix product, drops what was seen and hands on at most ``k`` rows per user; no (user, item) pair
+    becomes a row. The driver sees one row per item block. Users without factors are not answered here:
+    see :func:`recommend_all`. ``log`` gets one entry per round: its blocks, users and (user, block) pairs."""
     ask = requested.select("user").where("user IS NOT NULL").distinct().join(users.select("user", "w", "b"), "user")
-    n_ask, n_items = ask.select(F.count(F.lit(1))).scalar(), items.select(F.count(F.lit(1))).scalar()
-    blocks = lambda n, size: F.greatest(F.ceil(n / F.lit(size)), F.lit(1)).cast("int")
-    ub, ib = blocks(n_ask, USER_BLOCK), blocks(n_items, ITEM_BLOCK)
-    user_block, item_block = F.pmod(F.xxhash64("user"), ub).cast("int"), F.pmod(F.xxhash64("item"), ib).cast("int")
+    active = cut_lineage(ask.select("user", "w", "b", _norm("w").alias("norm"), F.lit(float("-inf")).alias("kth")))
+    placed = dense_index(items.select("item", "w", "b", _norm("w").alias("norm")), [F.desc("norm"), F.asc("item")], "place")
+    placed = cut_lineage(placed.withColumn("block", F.floor(F.col("place") / item_block).cast("int")).drop("place"))
+    meta = placed.groupBy("block").agg(F.max("norm").alias("norm"), F.max("b").alias("b")).orderBy("block").collect()
+    rest = [(0.0, float("-inf"))] * (len(meta) + 1)  # the largest norm and bias from a block on
+    for j in range(len(meta) - 1, -1, -1):
+        rest[j] = max(rest[j + 1][0], meta[j]["norm"]), max(rest[j + 1][1], meta[j]["b"])
+
+    def may_beat(norm, bias):
+        bound = F.col("norm") * norm + bias + F.col("b")
+        return bound + F.lit(1e-9) * (F.abs(bound) + 1) >= F.col("kth")  # ties and rounding stay in
+
     none = F.lit(None)
-    u = ask.select(F.lit(0).alias("kind"), user_block.alias("ub"), F.explode(F.sequence(F.lit(0), ib - 1)).alias("ib"),
-                   F.col("user").cast("long"), none.cast("long").alias("item"), "w", "b")
-    i = items.select(F.lit(1).alias("kind"), F.explode(F.sequence(F.lit(0), ub - 1)).alias("ub"), item_block.alias("ib"),
-                     none.cast("long").alias("user"), F.col("item").cast("long"), "w", "b")
-    s = (seen.select("user", "item").distinct().join(ask.select("user"), "user", "left_semi")
-         .join(items.select("item"), "item", "left_semi")
-         .select(F.lit(2).alias("kind"), user_block.alias("ub"), item_block.alias("ib"),
-                 F.col("user").cast("long"), F.col("item").cast("long"), none.cast("array<double>").alias("w"),
-                 none.cast("double").alias("b")))
-    best = u.unionByName(i).unionByName(s).groupBy("ub", "ib").applyInPandas(
-        _score_block(k, logistic), "user long, item long, score double")
+    best, start, width = None, 0, 1
+    while start < len(meta):
+        stop = min(len(meta), start + width)
+        n_active = active.count()
+        if not n_active:
+            break
+        table = F.array(*[F.struct(F.lit(j).alias("block"), F.lit(meta[j]["norm"]).alias("norm"), F.lit(meta[j]["b"]).alias("bias"))
+                          for j in range(start, stop)])
+        groups = F.lit(max(1, -(-n_active // USER_BLOCK)))
+        needed = F.filter(table, lambda t: may_beat(t["norm"], t["bias"]))
+        u = cut_lineage(active.select("user", "w", "b", F.pmod(F.xxhash64("user"), groups).cast("int").alias("ub"), F.explode(needed["block"]).alias("ib")))
+        if log is not None:
+            log.append({"blocks": (start, stop), "users": n_active, "pairs": u.count()})
+        i = (placed.where(F.col("block").between(start, stop - 1)).withColumnRenamed("block", "ib")
+             .join(u.select("ub", "ib").distinct(), "ib")
+             .select(F.lit(1).alias("kind"), "ub", "ib", none.cast("long").alias("user"), F.col("item").cast("long"), "w", "b"))
+        s = (seen.select("user", "item").distinct().join(placed.select("item", F.col("block").alias("ib")), "item")
+             .join(u.select("user", "ib", "ub"), ["user", "ib"])
+             .select(F.lit(2).alias("kind"), "ub", "ib", F.col("user").cast("long"), F.col("item").cast("long"),
+                     none.cast("array<double>").alias("w"), none.cast("double").alias("b")))
+        rows = u.select(F.lit(0).alias("kind"), "ub", "ib", F.col("user").cast("long"), none.cast("long").alias("item"), "w", "b")
+        found = rows.unionByName(i).unionByName(s).groupBy("ub", "ib").applyInPandas(_score_block(k), "user long, item long, score double")
+        found = found if best is None else best.unionByName(found)
+        best = cut_lineage(top_k_per_group(found, ["user"], [F.desc("score"), F.asc("item")], k).select("user", "item", "score", "rank"))
+        kth = best.where(F.col("rank") == k).select("user", F.col("score").alias("kth_"))
+        best = best.drop("rank")
+        active = (active.join(kth, "user", "left").withColumn("kth", F.coalesce("kth_", "kth")).drop("kth_"))
+        active = cut_lineage(active.where(may_beat(F.lit(rest[stop][0]), F.lit(rest[stop][1]))))
+        start, width = stop, min(2 * width, ROUND_BLOCKS)
+    if best is None:
+        best = requested.sparkSession.createDataFrame([], "user long, item long, score double")
+    score = F.lit(1.0) / (F.lit(1.0) + F.exp(-F.col("score"))) if logistic else F.col("score")
     return top_k_per_group(best, ["user"], [F.desc("score"), F.asc("item")], k).select(
         F.col("user").cast("int").alias("user"), F.col("rank").cast("int").alias("rank"),
-        F.col("item").cast("int").alias("item"), "score")
+        F.col("item").cast("int").alias("item"), score.alias("score"))
 
 
 def recommend_all(requested: DataFrame, users: DataFrame, items: DataFrame, seen: DataFrame,

@@ -8,6 +8,9 @@ and re-aggregated wherever only counts are needed.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,16 +33,18 @@ def term_counts(df: DataFrame, text: str, profile: str = "eda", by: list[str] |
                 stem: bool = True, words=None, term: str = "term") -> DataFrame:
     """T13 straight from text: (by..., term, n), equal to counting :func:`text.clean_tokens`.
 
-    Raw tokens are counted first (map-side); lower case, stop words and the stemmer then work once
-    per distinct token and group, and the counts are added up again."""
+    The text itself is only cut at blanks and line feeds (tags are removed first where there is a
+    ``<`` at all). The pieces are counted map-side, and all other steps - deletions, other white space,
+    lower case, stop words, stemmer -, which look at single characters or words, work once per distinct
+    piece and group; the counts are added up again."""
     from ..functions.stopwords import ENGLISH
     by = by or []
     words = ENGLISH if words is None else words
-    split = tx.blank_split(tx.prepared_text(text, profile))
     t = F.col(term)
-    raw = (df.select(*by, F.explode_outer(split).alias(term)).where(t.isNotNull() & (t != ""))
+    raw = (df.select(*by, F.explode_outer(tx.pieces(text, profile)).alias(term)).where(t.isNotNull() & (t != ""))
            .groupBy(*by, term).agg(F.count(F.lit(1)).alias("n")))
-    low = raw.select(*by, F.lower(t).alias(term), "n")
+    low = raw.select(*by, F.explode(tx.blank_split(tx.prepared_piece(t, profile))).alias(term), "n").where(t != "")
+    low = low.select(*by, F.lower(t).alias(term), "n")
     if profile in ("eda", "raw"):
         low = low.where(~t.isin(list(words)))
     if stem and profile in ("eda", "stem"):
@@ -161,6 +166,22 @@ def map_vocabulary(counts: DataFrame, mapping: DataFrame, by: list[str] | None =
     return mapped.groupBy(*by, "term").agg(F.sum("n").alias("n"))
 
 
+def normaliser_mapping(vocab: DataFrame, make, term: str = "term") -> DataFrame:
+    """(term, replacement) from a Python normaliser, run once per distinct term.
+
+    ``make()`` returns the function ``str -> str``; it is called once per task, before the first
+    batch, so models or dictionaries are loaded there and not per word. Terms come in Arrow batches.
+    A null result leaves the term as it is (see :func:`map_vocabulary`, :func:`map_terms`)."""
+    @F.pandas_udf("string")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        fn = make()
+        for words in batches:
+            yield pd.Series([fn(w) for w in words], dtype=object)
+
+    distinct = cut_lineage(vocab.select(F.col(term).alias("term")).where(F.col(term).isNotNull()).distinct())
+    return cut_lineage(distinct.select("term", run("term").alias("replacement")))
+
+
 def map_terms(df: DataFrame, key: str, tokens: str, mapping: DataFrame, out: str | None = None) -> DataFrame:
     """T9-T11 on token arrays with a user table: explode with position, left-join the mapping,
     rebuild each array in position order. Each group is one text (bounded by its length)."""

@@ -1,6 +1,6 @@
 """All registered queries (importing this module fills the registry)."""
 
-from . import job_queries, language_queries, profile_queries, recommend_queries, stream_queries, text_queries  # noqa: F401
+from . import job_queries, language_queries, profile_queries, recommend_queries, service_queries, stream_queries, text_queries  # noqa: F401
 from .registry import ORACLES, QUERIES
 
 __all__ = ["QUERIES", "ORACLES"]

@@ -155,10 +155,13 @@ def als_answers(model, enc: DataFrame, users: DataFrame, items: DataFrame, reque
 
 def recommend_job(model, enc: DataFrame, users: DataFrame, items: DataFrame, reviews: DataFrame,
                   requested: DataFrame, k: int = 10, publish_to: str | None = None, store: str | None = None,
-                  run_id: str = "0", fmt: str = "json"):
+                  run_id: str | None = None, fmt: str = "json"):
     """top-k unseen of the requested users, decoded; optionally published as messages and
-    appended to the recommendation table under ``run_id``. Returns (recommendations, reviews of the
-    recommended items)."""
+    appended to the recommendation table under ``run_id``, which has no default: a run that is repeated
+    under its id replaces its own rows, any other id adds to the table. Returns (recommendations,
+    reviews of the recommended items)."""
+    if store and not run_id:
+        raise ValueError("storing recommendations needs the id of the run")
     recs = cut_lineage(als_answers(model, enc, users, items, requested, k))
     if publish_to:
         ms.publish(ms.encode_messages(recs), publish_to, fmt=fmt)
@@ -171,6 +174,6 @@ def consume_job(spark: SparkSession, source: str, sink: str, checkpoint: str, fm
                 starting_offsets: str = "latest"):
     """F8: messages -> decoded rows (``<sink>/rows``) and rejected messages (``<sink>/rejects``), both
     in idempotent per-batch folders."""
-    stream = ms.decode_messages(ms.consume(spark, source, fmt=fmt, starting_offsets=starting_offsets))
+    stream = ms.decode_messages(ms.consume(spark, source, fmt=fmt, starting_offsets=starting_offsets, checkpoint=checkpoint))
     return ms.sink_batches(stream, sink, checkpoint,
                            outputs={"rows": ms.explode_recommendations, "rejects": ms.rejected_messages})

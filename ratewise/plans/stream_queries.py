@@ -122,7 +122,7 @@ def q_serve_requests(spark, sf):
     ratings = _filtered_ratings(spark, sf)
     # materialise the recommendation table once; every micro-batch joins the stored copy
     recs_path = scratch_path(spark, "recs-table")
-    rc.recommend_bias(ratings, 10).write.parquet(recs_path)
+    ms.grouped_lists(rc.recommend_bias(ratings, 10)).write.parquet(recs_path)
     recs = spark.read.parquet(recs_path)
     fallback = ms.fallback_array(rc.top_items(ratings, 10))
     events_path = f"{sf.rstrip('/')}/{{events.parquet}}"

@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from ..schema import MESSAGE_SCHEMA
 
 TOPIC = "recommendation_topic"
-MESSAGE_DDL = "asin array<string>, overall array<double>"
 
 
 def encode_messages(recs: DataFrame, user: str = "reviewerID", item: str = "asin", score: str = "score",
@@ -50,38 +49,60 @@ def explode_recommendations(decoded: DataFrame, limit: int = 10, key: str = "key
 
 
 def rejected_messages(decoded: DataFrame, key: str = "key", value: str = "value") -> DataFrame:
-    """(key, value, reason): messages that did not parse, or whose lists are of unequal length and
-    so lose their tail in :func:`explode_recommendations`."""
+    """(key, value, reason): messages that did not parse, or whose lists are of unequal length or hold
+    null entries and so lose some in :func:`explode_recommendations`."""
     uneven = F.col("ok") & (F.coalesce(F.size("asin"), F.lit(0)) != F.coalesce(F.size("overall"), F.lit(0)))
-    reason = F.when(~F.col("ok"), "malformed").when(uneven, "lists of unequal length")
+    holes = F.exists("asin", lambda x: x.isNull()) | F.exists("overall", lambda x: x.isNull())
+    reason = (F.when(~F.col("ok"), "malformed").when(uneven, "lists of unequal length")
+              .when(F.col("ok") & F.coalesce(holes, F.lit(False)), "null entries"))
     return decoded.select(key, value, reason.alias("reason")).where("reason IS NOT NULL")
 
 
 def publish(messages: DataFrame, target: str, fmt: str = "json", topic: str = TOPIC, **options) -> None:
-    """Batch publish. ``fmt='kafka'``: ``target`` is the bootstrap servers; otherwise a
-    folder of JSON lines (one record per message)."""
-    if fmt == "kafka":
+    """Batch publish. ``fmt='kafka'``: ``target`` is the bootstrap servers; ``log``: a folder log;
+    otherwise a folder of JSON lines (one record per message)."""
+    if fmt == "log":
+        from . import folder_log
+        folder_log.append(messages, target)
+    elif fmt == "kafka":
         (messages.select(F.col("key").cast("string"), F.col("value").cast("string")).write.format("kafka")
          .option("kafka.bootstrap.servers", target).option("topic", topic).options(**options).save())
     else:
         messages.write.mode("append").format(fmt).options(**options).save(target)
 
 
+def first_start(spark: SparkSession, checkpoint: str) -> int:
+    """Milliseconds of the first start of the consumer with this checkpoint: written beside the
+    checkpoint by the first start, read by all later ones."""
+    path = f"{checkpoint.rstrip('/')}-first-start"
+    spark.range(1).select(F.lit(str(int(time.time() * 1000))).alias("value")).coalesce(1).write.mode("ignore").text(path)
+    return int(spark.read.text(path).first()["value"])
+
+
 def consume(spark: SparkSession, source: str, fmt: str = "json", topic: str = TOPIC,
-            starting_offsets: str = "latest", **options) -> DataFrame:
-    """A stream of (key, value) messages: those that arrive from now on (``latest``, S11)
-    or all (``earliest``, replay, S12). A file's arrival is its modification time."""
+            starting_offsets: str = "latest", checkpoint: str | None = None, **options) -> DataFrame:
+    """A stream of (key, value) messages: those that arrive from the first start on
+    (``latest``, S11) or all (``earliest``, replay, S12).
+
+    ``latest`` holds for the first start with a checkpoint only: messages that are published while the
+    consumer is down are read after it. Kafka keeps that in its offsets. Files are told apart by their
+    modification time and the time of the first start, kept beside ``checkpoint``, which is then
+    required. ``fmt="log"`` reads a folder log (``folder_log.py``), whose offsets are positions."""
     if starting_offsets not in ("latest", "earliest"):
         raise ValueError(f"starting_offsets: {starting_offsets}")
     if fmt == "kafka":
         return (spark.readStream.format("kafka").option("kafka.bootstrap.servers", source)
                 .option("subscribe", topic).option("startingOffsets", starting_offsets).options(**options).load()
                 .select(F.col("key").cast("string"), F.col("value").cast("string")))
+    if starting_offsets == "latest" and not checkpoint:
+        raise ValueError("consuming from the latest message on needs the checkpoint of the query, to keep the start")
+    if fmt == "log":
+        from . import folder_log
+        return folder_log.read_stream(spark, source, starting_offsets, checkpoint)
     stream = spark.readStream.schema("key string, value string").format(fmt).options(**options).load(source)
     if starting_offsets == "latest":
-        # fixed now, when the consumer starts: a literal, not a time per batch
-        now = F.timestamp_millis(F.lit(int(time.time() * 1000)))
-        stream = stream.where(F.col("_metadata.file_modification_time") >= now)
+        start = F.timestamp_millis(F.lit(first_start(spark, checkpoint)))
+        stream = stream.where(F.col("_metadata.file_modification_time") >= start)
     return stream.select("key", "value")
 
 
@@ -112,12 +133,19 @@ def fallback_array(top: DataFrame, rank: str = "rank", item: str = "asin", score
                               F.lit(float(r[score])).alias("score")) for r in rows])
 
 
+def grouped_lists(recs: DataFrame, user: str = "reviewerID") -> DataFrame:
+    """(user, _recs): one row per user with the bounded top-k list; store it once, so that no
+    micro-batch groups the recommendations again."""
+    return recs.groupBy(user).agg(F.sort_array(F.collect_list(F.struct(
+        F.col("rank").cast("int").alias("rank"), "asin", F.col("score").cast("double").alias("score")))).alias("_recs"))
+
+
 def serve_requests(requests: DataFrame, recs: DataFrame, fallback, user: str = "reviewerID") -> DataFrame:
     """Each request (a row with ``user``) gets that user's stored top-k; a user without
     stored recommendations gets ``fallback`` (see :func:`fallback_array`). Works on a stream
-    (stream-static join) or a batch: one left join with one row per user, whose list is bounded."""
-    lists = recs.groupBy(user).agg(F.sort_array(F.collect_list(F.struct(
-        F.col("rank").cast("int").alias("rank"), "asin", F.col("score").cast("double").alias("score")))).alias("_recs"))
+    (stream-static join) or a batch: one left join with one row per user, whose list is bounded.
+    ``recs`` is a recommendation table or its :func:`grouped_lists`."""
+    lists = recs if "_recs" in recs.columns else grouped_lists(recs, user)
     source = F.when(F.col("_recs").isNull(), "fallback").otherwise("personal")
     joined = requests.join(lists, user, "left").withColumn("source", source)
     return joined.select(*requests.columns, "source", F.inline(F.coalesce("_recs", fallback)))

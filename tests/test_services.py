@@ -1,0 +1,269 @@
+"""Top-k by norm bounds, binned density, file-order fill, indexed tables, durable offsets, the
+vocabulary hook and run ids."""
+
+import json
+import math
+import os
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from ratewise.operators import dedup, prep, stats, terms
+from ratewise.operators import recommend as rc
+from ratewise.plans import jobs
+from ratewise.sources import reviews as io
+from ratewise.streaming import folder_log
+from ratewise.streaming import messages as ms
+
+
+# ---- top-k by norm bounds
+
+def plain_top(users, items, seen, ask, k):
+    out = {}
+    for u, w, b in users:
+        if u in ask:
+            z = {i: sum(x * y for x, y in zip(w, v)) + b + c for i, v, c in items if (u, i) not in seen}
+            out[u] = sorted(z, key=lambda i: (-z[i], i))[:k]
+    return out
+
+
+@pytest.mark.parametrize("spread", [0.0, 1.5])
+def test_norm_bounds_lose_nothing_and_skip_blocks(spark, spread):
+    rnd = random.Random(11)
+    users = [(u, [rnd.gauss(0, 1) for _ in range(4)], rnd.gauss(0, 1)) for u in range(40)]
+    items = [(i, [rnd.gauss(0, 1) * math.exp(-spread * (i % 50) / 10) for _ in range(4)], rnd.gauss(0, 0.1)) for i in range(400)]
+    # one user has seen almost everything, among it all of the largest vectors
+    seen = {(0, i) for i in range(395)} | {(u, rnd.randrange(400)) for u in range(40) for _ in range(6)} | {(99, 1)}
+    ask = {0, 1, 5, 6, 7, 30}
+    log = []
+    got = {}
+    out = rc.recommend(spark.createDataFrame([(u,) for u in ask] + [(None,), (99,)], "user int"),
+                       spark.createDataFrame(users, "user int, w array<double>, b double"),
+                       spark.createDataFrame(items, "item int, w array<double>, b double"),
+                       spark.createDataFrame(sorted(seen), "user int, item int"), 7, item_block=16, log=log)
+    for r in sorted(out.collect(), key=lambda r: r["rank"]):
+        got.setdefault(r.user, []).append(r.item)
+    assert got == plain_top(users, items, seen, ask, 7)
+    pairs = sum(x["pairs"] for x in log)
+    blocks = math.ceil(400 / 16)
+    assert log[0]["blocks"] == (0, 1) and log[0]["users"] == len(ask)
+    if spread:
+        assert pairs < 0.6 * len(ask) * blocks  # the small vectors are looked at for the user without a top list only
+        assert log[-1]["users"] < len(ask)
+    else:
+        assert pairs <= len(ask) * blocks
+
+
+def test_equal_scores_are_ranked_by_item(spark):
+    items = spark.createDataFrame([(i, [1.0, 0.0], 0.0) for i in range(50)], "item int, w array<double>, b double")
+    users = spark.createDataFrame([(1, [1.0, 0.0], 0.0)], "user int, w array<double>, b double")
+    none = spark.createDataFrame([], "user int, item int")
+    got = rc.recommend(users, users, items, none, 5, item_block=4).orderBy("rank").collect()
+    assert [r.item for r in got] == [0, 1, 2, 3, 4]
+    assert rc.recommend(users, users, items.limit(0), none, 5).count() == 0
+    assert rc.recommend(users.limit(0), users, items, none, 5).count() == 0
+
+
+def test_als_recovers_planted_ratings(spark):
+    rnd = random.Random(2)
+    a, b = [[rnd.random() + 0.2, rnd.random()] for _ in range(80)], [[rnd.random() + 0.2, rnd.random()] for _ in range(60)]
+    rows = [(u, i, x[0] * y[0] + x[1] * y[1]) for u, x in enumerate(a) for i, y in enumerate(b) if rnd.random() < 0.6]
+    df = spark.createDataFrame(rows, "user int, item int, y double")
+    held = (F.col("user") * 7 + F.col("item")) % 10 == 0
+    model = rc.fit_als(df.where(~held), rank=4, max_iter=10, reg=0.005)
+    got = rc.rmse(model, df.where(held)).first()
+    spread = df.where(held).select(F.stddev("y")).first()[0]
+    assert got.rmse < 0.1 * spread and got.cold == 0
+
+
+# ---- density
+
+@pytest.mark.parametrize("cells", [256, 4096])
+def test_binned_density_is_within_its_bound(spark, cells):
+    rnd = random.Random(3)
+    xs = [rnd.gauss(0, 1) if rnd.random() < 0.7 else rnd.gauss(6, 0.5) for _ in range(3000)]
+    df = spark.createDataFrame([(x,) for x in xs] + [(None,)], "x double")
+    exact = {r.point: r for r in stats.kde(df, "x", 60).collect()}
+    got = {r.point: r for r in stats.kde_binned(df, "x", 60, cells=cells).collect()}
+    h = df.select(F.stddev_samp("x")).first()[0] * 3000 ** -0.2
+    bound = stats.kde_binned_error(h, max(xs) - min(xs), cells) + 1e-6  # kde rounds to six places
+    assert got.keys() == exact.keys()
+    assert all(got[p].x == exact[p].x and abs(got[p].density - exact[p].density) <= bound for p in exact)
+
+
+def test_binned_density_of_odd_columns(spark):
+    same = stats.kde_binned(spark.createDataFrame([(2.0,)] * 5, "x double"), "x", 9).collect()
+    assert [r.density for r in same] == [None] * 9
+    assert stats.kde_binned(spark.createDataFrame([(None,)], "x double"), "x", 9).count() == 0
+    d = stats.describe_numeric(spark.createDataFrame([(1.0, True, "a")], "x double, y boolean, z string"))
+    assert [r.column for r in d.collect()] == ["x"]
+
+
+# ---- file order
+
+@pytest.mark.parametrize("parts", [1, 7])
+def test_back_fill_follows_the_order_over_partitions(spark, parts):
+    rnd = random.Random(parts)
+    rows = [(f"f{i // 40}", i % 40, rnd.choice([None, None, None, None, float(i)])) for i in range(200)]
+    rows[120:165] = [(f, i, None) for f, i, _ in rows[120:165]]  # a hole that is longer than a partition
+    rows[-3:] = [(f, i, None) for f, i, _ in rows[-3:]]
+    df = spark.createDataFrame(rows, "file string, pos int, v double").repartition(5)
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = {(r.file, r.pos): r.v for r in prep.back_fill(df, "v", ["file", "pos"]).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    after, want = None, {}
+    for f, i, v in sorted(rows, reverse=True):
+        after = v if v is not None else after
+        want[f, i] = after
+    assert got == want and got["f4", 39] is None
+
+
+def test_products_without_votes_take_the_next_vote(spark):
+    rows = [(1, "A", "3"), (2, "B", None), (3, "C", "1,007"), (4, "A", None), (5, "D", None)]
+    df = spark.createDataFrame(rows, "pos int, asin string, vote string")
+    got = {r.pos: r.vote for r in prep.fill_vote_by_product(df, order=["pos"]).collect()}
+    assert got == {1: 3, 2: 1007, 3: 1007, 4: 3, 5: 505}
+    assert {r.pos: r.vote for r in prep.fill_vote_by_product(df).collect()}[2] == 505
+
+
+# ---- indexes
+
+def rows_scanned(df):
+    """What the scan of an executed plan handed on: whole row groups less what the page index leaves out."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    if plan.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+        plan = plan.executedPlan()
+    return plan.collectLeaves().apply(0).metrics().apply("numOutputRows").value()
+
+
+def test_a_look_up_reads_few_row_groups(spark, tmp):
+    df = spark.range(60000).select(F.concat(F.lit("U"), F.pmod(F.xxhash64("id"), F.lit(20000)).cast("string")).alias("reviewerID"), "id").repartition(1)
+    small = {"parquet.block.size": "20000", "parquet.page.size": "2000", "parquet.block.size.row.check.min": "100"}
+    io.write_table(df, f"{tmp}/plain", **small)
+    io.write_table(df, f"{tmp}/indexed", index=["reviewerID"], **small)
+    user = df.first()["reviewerID"]
+    want = sorted(r.id for r in df.where(F.col("reviewerID") == user).collect())
+    found = io.read_user_rows(spark, f"{tmp}/indexed", user)
+    assert sorted(r.id for r in found.collect()) == want
+    plain, indexed = (rows_scanned(io.read_user_rows(spark, f"{tmp}/{t}", user)) for t in ("plain", "indexed"))
+    # absent, but between the smallest and the largest user of every group: only the filter can tell
+    absent = [rows_scanned(io.read_user_rows(spark, f"{tmp}/{t}", "U1zzz")) for t in ("plain", "indexed")]
+    assert len(want) <= indexed < plain / 3 and absent[1] <= absent[0] / 5
+
+
+def test_bucketed_tables_join_and_group_without_an_exchange(spark, tmp):
+    rnd = random.Random(1)
+    rows = [(f"U{rnd.randrange(50)}", f"B{rnd.randrange(30)}", 1.0) for _ in range(500)]
+    df = spark.createDataFrame(rows, "reviewerID string, asin string, overall double")
+    io.write_bucketed(df, "by_user", "reviewerID", 4, ["reviewerID"], f"{tmp}/by_user")
+    io.write_bucketed(rc.build_id_index(df, "reviewerID", "user"), "user_ids", "reviewerID", 4, path=f"{tmp}/ids")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        from ratewise.operators import density
+        active = density.keep_active_users(spark.table("by_user"), 9)
+        encoded = rc.encode_ids(spark.table("by_user"), spark.table("user_ids"), "reviewerID", "user")
+        for q in (active, encoded):
+            assert "Exchange" not in q._jdf.queryExecution().executedPlan().toString()
+        per = {}
+        for u, _, _ in rows:
+            per[u] = per.get(u, 0) + 1
+        assert active.count() == sum(n for n in per.values() if n >= 9) and encoded.count() == 500
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql("DROP TABLE by_user")
+        spark.sql("DROP TABLE user_ids")
+
+
+# ---- messages
+
+def recs(spark, users):
+    return spark.createDataFrame([(u, 1, f"B{u}", 4.0) for u in users], "reviewerID string, rank int, asin string, score double")
+
+
+@pytest.mark.parametrize("fmt", ["log", "json"])
+@pytest.mark.parametrize("before", [True, False])
+def test_messages_of_a_pause_are_read_after_it(spark, tmp, fmt, before):
+    topic, sink, checkpoint = f"{tmp}/topic", f"{tmp}/sink", f"{tmp}/ckpt"
+    os.makedirs(topic)
+    if before:
+        ms.publish(ms.encode_messages(recs(spark, ["old"])), topic, fmt=fmt)
+
+    def run():
+        jobs.consume_job(spark, topic, sink, checkpoint, fmt=fmt).awaitTermination()
+        if not os.path.exists(f"{sink}/rows"):
+            return []
+        return sorted(r.key for r in spark.read.schema("key string").parquet(f"{sink}/rows").collect())
+    import time
+    time.sleep(0.05)
+    assert run() == []  # no batch: nothing is committed, only the start is kept
+    time.sleep(0.05)
+    ms.publish(ms.encode_messages(recs(spark, ["a", "b"])), topic, fmt=fmt)
+    assert run() == ["a", "b"]
+    assert run() == ["a", "b"]
+    ms.publish(ms.encode_messages(recs(spark, ["c"])), topic, fmt=fmt)
+    ms.publish(ms.encode_messages(recs(spark, ["d"])), topic, fmt=fmt)
+    assert run() == ["a", "b", "c", "d"]
+    replay = ms.sink_batches(ms.consume(spark, topic, fmt=fmt, starting_offsets="earliest"), f"{tmp}/all", f"{tmp}/ckpt2")
+    replay.awaitTermination()
+    assert spark.read.parquet(f"{tmp}/all").count() == 4 + before
+
+
+def test_log_segments_are_whole_and_numbered(spark, tmp):
+    folder_log.append(spark.createDataFrame([(f"k{i}", 'a "quoted"\nvalue é') for i in range(50)], "key string, value string").repartition(3), f"{tmp}/log")
+    folder_log.append(spark.createDataFrame([("k", None)], "key string, value string"), f"{tmp}/log")
+    names = sorted(os.listdir(f"{tmp}/log"))
+    assert names == [f"{i:020d}.jsonl" for i in range(len(names))] and folder_log.end(f"{tmp}/log") == len(names)
+    rows = [json.loads(x) for n in names for x in open(f"{tmp}/log/{n}", encoding="utf-8")]
+    assert len(rows) == 51 and {"key": "k", "value": None} in rows and folder_log.end(f"{tmp}/none") == 0
+    with pytest.raises(ValueError):
+        folder_log.end("s3a://bucket/log")
+    with pytest.raises(ValueError):
+        ms.consume(spark, f"{tmp}/log")
+
+
+def test_null_entries_are_rejected(spark):
+    df = ms.decode_messages(spark.createDataFrame([("a", '{"asin":["A",null],"overall":[1,2]}'), ("b", '{"asin":["A"],"overall":[null]}'),
+                                                   ("c", '{"asin":["A"],"overall":[1]}')], "key string, value string"))
+    assert {r.key: r.reason for r in ms.rejected_messages(df).collect()} == {"a": "null entries", "b": "null entries"}
+
+
+def test_storing_recommendations_needs_a_run(spark, tmp):
+    with pytest.raises(ValueError):
+        jobs.recommend_job(None, None, None, None, None, None, store=f"{tmp}/recs")
+
+
+# ---- vocabulary hook, dedup, preview
+
+def test_a_normaliser_is_called_once_per_distinct_term(spark, tmp):
+    log = f"{tmp}/calls"
+
+    def make():
+        with open(f"{log}-made", "a") as f:
+            f.write("x")
+
+        def fn(word):
+            with open(log, "a") as f:
+                f.write(word + "\n")
+            return None if word == "keep" else word.upper()
+        return fn
+    tokens = spark.createDataFrame([(i, ["red", "blue", "keep", "red"]) for i in range(200)], "id int, tokens array<string>")
+    mapping = terms.normaliser_mapping(terms.vocabulary(tokens), make)
+    for _ in range(2):  # the mapping is stored: using it twice does not call again
+        out = terms.map_terms(tokens, "id", "tokens", mapping).collect()
+    assert all(r.tokens == ["RED", "BLUE", "keep", "RED"] for r in out) and len(out) == 200
+    assert sorted(open(log).read().split()) == ["blue", "keep", "red"]
+    assert len(open(f"{log}-made").read()) <= 4  # once a task
+
+
+def test_keyed_dedup_keeps_the_smallest_row_of_each_key(spark):
+    rows = [("A", "U", 1, "long text", None), ("A", "U", 1, "long text", 2.0), ("A", "U", 2, None, 1.0), ("A", None, 1, "b", 1.0), ("A", None, 1, "a", 9.0)] * 2
+    df = spark.createDataFrame(rows, "asin string, reviewerID string, unixReviewTime int, reviewText string, overall double")
+    got = sorted((tuple(r) for r in dedup.drop_duplicate_reviews(df).collect()), key=str)
+    assert got == sorted([("A", "U", 1, "long text", None), ("A", "U", 2, None, 1.0), ("A", None, 1, "a", 9.0)], key=str)
+    assert io.preview(df, 3).count() == 3
