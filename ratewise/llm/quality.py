@@ -48,63 +48,74 @@ def _low_high(x: float, low: float, high: float, low_vote: int, high_vote: int)
     return low_vote if x <= low else high_vote if x >= high else -1
 
 
-def _signs(text, words, lines):
+class Reading:
+    """A text with its tokens, their counts and its lines, read once for all labellers and features."""
+
+    def __init__(self, text: str | None):
+        self.text = text or ""
+        self.words = self.text.split()
+        self.n = len(self.words)
+        self.counts = Counter(self.words)
+        self.again = sum(map(str.__eq__, self.words, self.words[1:]))  # words that follow themselves
+
+
+def _signs(r: Reading):
     """Signs among the letters of a text."""
-    signs = sum(map(text.count, "#$%&*|<>{}[]=+~^_\\@"))
-    return 0 if _share(signs, len(text)) >= 0.05 else -1
+    signs = sum(map(r.text.count, "#$%&*|<>{}[]=+~^_\\@"))
+    return 0 if _share(signs, len(r.text)) >= 0.05 else -1
 
 
-def _runs(text, words, lines):
+def _runs(r: Reading):
     """Signs (but full stops) that follow themselves."""
-    return 0 if _share(sum(1 for _ in _RUN.finditer(text)), len(words)) >= 0.1 else -1
+    return 0 if _share(sum(1 for _ in _RUN.finditer(r.text)), r.n) >= 0.1 else -1
 
 
-def _bars(text, words, lines):
+def _bars(r: Reading):
     """Tokens without any letter or digit."""
-    alone = sum(map(words.count, ("|", "-", "*", "#", "/", "=", ">", "•")))
-    return 0 if _share(alone, len(words)) > 0.1 else -1
+    alone = sum(r.counts[x] for x in ("|", "-", "*", "#", "/", "=", ">", "•"))
+    return 0 if _share(alone, r.n) > 0.1 else -1
 
 
-def _sentences(text, words, lines):
+def _sentences(r: Reading):
     """Words per sentence end."""
-    ends = sum(1 for _ in _END.finditer(text))
-    return -1 if len(words) < 8 else 0 if ends * 200 < len(words) else 1 if ends * 40 >= len(words) else -1
+    ends = sum(1 for _ in _END.finditer(r.text))
+    return -1 if r.n < 8 else 0 if ends * 200 < r.n else 1 if ends * 40 >= r.n else -1
 
 
-def _short_words(text, words, lines):
+def _short_words(r: Reading):
     """Prose has many words of up to three letters; lists of terms have few."""
-    short = sum(1 for w in words if len(w) <= 3 and w.isalpha())
-    return -1 if len(words) < 8 else _low_high(_share(short, len(words)), 0.08, 0.2, 0, 1)
+    short = sum(n for w, n in r.counts.items() if len(w) <= 3 and w.isalpha())
+    return -1 if r.n < 8 else _low_high(_share(short, r.n), 0.08, 0.2, 0, 1)
 
 
-def _word_length(text, words, lines):
-    mean = _share(sum(map(len, words)), len(words))
+def _word_length(r: Reading):
+    mean = _share(sum(len(w) * n for w, n in r.counts.items()), r.n)
     return 0 if mean < 2 or mean > 14 else 1 if 3 <= mean <= 9 else -1
 
 
-def _repeats(text, words, lines):
+def _repeats(r: Reading):
     """Lines that stand in the text more than once."""
+    lines = [x for x in r.text.split("\n") if x.strip()]
     return 0 if len(lines) >= 4 and len(set(lines)) < 0.6 * len(lines) else -1
 
 
-def _shouting(text, words, lines):
+def _shouting(r: Reading):
     """Words in capitals."""
-    return 0 if _share(sum(1 for w in words if len(w) > 2 and w.isupper()), len(words)) >= 0.3 else -1
+    return 0 if _share(sum(n for w, n in r.counts.items() if w.isupper() and len(w) > 2), r.n) >= 0.3 else -1
 
 
-def _stutter(text, words, lines):
+def _stutter(r: Reading):
     """Words that follow themselves."""
-    again = sum(map(str.__eq__, words, words[1:]))
-    return 0 if len(words) >= 8 and _share(again, len(words)) >= 0.08 else -1
+    return 0 if r.n >= 8 and _share(r.again, r.n) >= 0.08 else -1
 
 
-def _dominant(text, words, lines):
+def _dominant(r: Reading):
     """The share of the most common word."""
-    return 0 if len(words) >= 20 and max(Counter(words).values()) >= 0.2 * len(words) else -1
+    return 0 if r.n >= 20 and max(r.counts.values()) >= 0.2 * r.n else -1
 
 
-def _wordless(text, words, lines):
-    return -1 if any(map(str.isalpha, text)) else 0
+def _wordless(r: Reading):
+    return -1 if any(map(str.isalpha, r.text)) else 0
 
 
 #: Judges vote good or bad or not at all; detectors look for one fault and vote bad or not at all.
@@ -113,11 +124,9 @@ DETECTORS = [_signs, _runs, _bars, _repeats, _shouting, _stutter, _dominant, _wo
 LABELLERS = JUDGES + DETECTORS
 
 
-def votes(text: str | None) -> str:
+def votes(r: Reading) -> str:
     """One sign per labeller: ``+`` good, ``-`` bad, ``.`` no vote."""
-    text = text or ""
-    words, lines = text.split(), [x for x in text.split("\n") if x.strip()]
-    return "".join("-+."[f(text, words, lines)] for f in LABELLERS)
+    return "".join("-+."[f(r)] for f in LABELLERS)
 
 
 def label_model(patterns: dict[str, int], rounds: int = 100) -> tuple[dict[str, float], list[dict]]:
@@ -154,7 +163,6 @@ def label_model(patterns: dict[str, int], rounds: int = 100) -> tuple[dict[str,
     return dict(zip(keys, good.tolist())), report
 
 
-_FEATURES: dict[str, list[int]] = {}
 _AGAIN, _FRESH = (xxhash.xxh3_64_intdigest(x) % BUCKETS for x in ("r:again", "r:fresh"))
 
 
@@ -166,42 +174,72 @@ def _token_features(token: str) -> list[int]:
     return [xxhash.xxh3_64_intdigest(x) % BUCKETS for x in names]
 
 
-def features(text: str | None) -> np.ndarray:
-    """Buckets of a text's tokens: the word, its length, its case, the signs at its end, and whether
-    it follows itself."""
-    if len(_FEATURES) > 300_000:
-        _FEATURES.clear()
-    out, before = [], None
-    for t in (text or "").split():
-        f = _FEATURES.get(t)
-        if f is None:
-            f = _FEATURES[t] = _token_features(t)
-        out += f
-        out.append(_AGAIN if t == before else _FRESH)
-        before = t
-    return np.array(out, np.int32)
+class Lexicon:
+    """The feature buckets of tokens, looked up by row; forgotten when it has ``most`` tokens."""
+
+    def __init__(self, most: int = 300_000):
+        self.most = most
+        self.clear()
+
+    def clear(self) -> None:
+        self.rows: dict[str, int] = {}
+        self.buckets = np.empty((1024, 4), np.int32)
+
+    def find(self, tokens) -> np.ndarray:
+        """(token, 4) buckets."""
+        if len(self.rows) > self.most:
+            self.clear()
+        rows = self.rows
+        try:
+            at = [rows[t] for t in tokens]
+        except KeyError:
+            for t in tokens:
+                if t not in rows:
+                    n = len(rows)
+                    if n == len(self.buckets):
+                        self.buckets = np.concatenate([self.buckets, np.empty_like(self.buckets)])
+                    self.buckets[n] = _token_features(t)
+                    rows[t] = n
+            at = [rows[t] for t in tokens]
+        return self.buckets[at]
+
+
+_LEXICON = Lexicon()
+
+
+def features(r: Reading) -> tuple[np.ndarray, np.ndarray]:
+    """(buckets, counts), a bucket possibly more than once: of every token the word, its length, its
+    case, the signs at its end, and whether it follows itself."""
+    if not r.n:
+        return np.empty(0, np.int32), np.empty(0)
+    n = np.fromiter(r.counts.values(), float, len(r.counts))
+    bucket = np.append(_LEXICON.find(r.counts), [_AGAIN, _FRESH])
+    return bucket, np.append(np.repeat(n, 4), [r.again, r.n - r.again])
 
 
 def _vote(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for b in batches:
-        yield pd.DataFrame({"doc": b["doc"], "votes": [votes(t) for t in b["text"]]})
+        yield pd.DataFrame({"doc": b["doc"], "votes": [votes(Reading(t)) for t in b["text"]]})
 
 
 def _featurise(posterior):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            f, share = [], []
+            f, share, q = [], [], []
             for t in b["text"]:
-                bucket, n = np.unique(features(t), return_counts=True)
-                f.append(bucket)
-                share.append((n * (SCALE / max(n.sum(), 1))).astype(np.float32))
-            q = [posterior.value[votes(t)] for t in b["text"]]
+                r = Reading(t)
+                every, counts = features(r)
+                bucket, at = np.unique(every, return_inverse=True)
+                n = np.bincount(at, counts, len(bucket))
+                f.append(bucket[n > 0])
+                share.append((n[n > 0] * (SCALE / max(n.sum(), 1))).astype(np.float32))
+                q.append(posterior.value[votes(r)])
             yield pd.DataFrame({"features": f, "shares": share, "goal": q})
     return run
 
 
-def _logit(w: np.ndarray, bias: float, f: np.ndarray) -> float:
-    return bias + (SCALE * w[f].mean() if len(f) else 0.0)
+def _logit(w: np.ndarray, bias: float, bucket: np.ndarray, n: np.ndarray) -> float:
+    return bias + (SCALE * (w[bucket] @ n) / n.sum() if len(n) else 0.0)
 
 
 def _gradient(shared):
@@ -242,8 +280,12 @@ def _judge(shared):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         posterior, w, bias = shared.value
         for b in batches:
-            v = [votes(t) for t in b["text"]]
-            z = np.array([_logit(w, bias, features(t)) for t in b["text"]], float)
+            v, z = [], []
+            for t in b["text"]:
+                r = Reading(t)
+                v.append(votes(r))
+                z.append(_logit(w, bias, *features(r)))
+            z = np.array(z, float)
             yield pd.DataFrame({"doc": b["doc"], "votes": v, "posterior": [posterior[x] for x in v], "score": 1 / (1 + np.exp(-z))})
     return run
 
