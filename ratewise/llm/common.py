@@ -48,6 +48,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, or with as many underscores as it takes, so that ``df`` has no such column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def numbered(rows: DataFrame, by: str, order: list[str], name: str) -> DataFrame:
     """``rows`` with a column ``name``: 0, 1, 2, ... within each value of ``by``, ascending by ``order``.
 

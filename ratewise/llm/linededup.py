@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import fresh, stored
 
 #: A line is boilerplate if more than this share of the host's pages hold it ...
 RATIO = 0.08
@@ -68,17 +68,17 @@ def drop_boilerplate(pages: DataFrame, host: str = "source", text: str = "text",
     not shuffled) and else shuffles and splits a hot host's partition.
     """
     names = [c for c in pages.columns if c not in ("n_lines", "n_dropped")]
-    drop = stored(boilerplate(pages, host, text, ratio, min_pages)
-                  .select(F.col("host").alias("__host"), F.col("dropped").alias("__dropped")), "boilerplate")
-    joined = pages.join(drop, F.col(host).eqNullSafe(F.col("__host")), "left")
+    own, left = fresh(pages, "boilerplate"), fresh(pages, "left")  # no column of the pages can clash
+    drop = stored(boilerplate(pages, host, text, ratio, min_pages), "boilerplate").select(F.struct("host", "dropped").alias(own))
+    joined = pages.join(drop, F.col(host).eqNullSafe(F.col(f"{own}.host")), "left")
     lines = F.split(F.col(text), "\n")
     kept = F.filter(lines, lambda x: (F.trim(x, F.lit(BLANKS)) == "")
-                    | ~F.array_contains(F.col("__dropped"), line_key(x)))
-    has = F.col("__dropped").isNotNull() & F.col(text).isNotNull()
-    joined = joined.withColumn("__kept", F.when(has, kept))
+                    | ~F.array_contains(F.col(f"{own}.dropped"), line_key(x)))
+    has = F.col(own).isNotNull() & F.col(text).isNotNull()
+    joined = joined.withColumn(left, F.when(has, kept))
     total = F.when(F.col(text).isNull(), 0).otherwise(F.size(lines)).cast("long")
     return joined.select(
-        *[F.when(has, F.array_join("__kept", "\n")).otherwise(F.col(c)).alias(c) if c == text
+        *[F.when(has, F.array_join(left, "\n")).otherwise(F.col(c)).alias(c) if c == text
           else F.col(c) for c in names],
         total.alias("n_lines"),
-        F.when(has, F.size(lines) - F.size("__kept")).otherwise(0).cast("long").alias("n_dropped"))
+        F.when(has, F.size(lines) - F.size(left)).otherwise(0).cast("long").alias("n_dropped"))

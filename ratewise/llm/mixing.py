@@ -15,9 +15,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
+from .common import fresh
 
 DIMS = ("source", "lang", "topic")
-#: Sweeps over the three dimensions in the SQL form. Where the targets can all be met the error falls
+#: Sweeps over the three dimensions if a number is asked for. Where the targets can all be met the error falls
 #: geometrically. They cannot where a value of one dimension only occurs with a value of another whose
 #: target differs (one document with a source and a language of its own): there the error stays
 #: whatever the sweeps, so it is measured and reported.
@@ -57,8 +58,15 @@ def cells(docs: DataFrame) -> DataFrame:
             .agg(F.sum("tokens").cast("double").alias("base")))
 
 
-def targets(cell: DataFrame, dim: str, temperature: float) -> DataFrame:
-    """(dim, goal): token weight that each value of ``dim`` is to have."""
+def targets(cell: DataFrame, dim: str, temperature: float, shares: dict | DataFrame | None = None) -> DataFrame:
+    """(k, goal): token weight that each value of ``dim`` is to have: by target ``shares`` (value ->
+    share, or a table (k, share); they are normalised, and a value without one is to have none), or by
+    the present shares to the power ``temperature``."""
+    if shares is not None:
+        if isinstance(shares, dict):
+            shares = cell.sparkSession.createDataFrame(list(shares.items()), "k string, share double")
+        total = cell.agg(F.sum("base").alias("all")).join(F.broadcast(shares.agg(F.sum("share").alias("shares"))))  # one row
+        return shares.join(F.broadcast(total)).select("k", (F.col("share") / F.col("shares") * F.col("all")).alias("goal"))
     now = cell.groupBy(dim).agg(F.sum("base").alias("b"))
     total = now.agg(F.sum("b").alias("all"), F.sum(F.pow("b", F.lit(temperature))).alias("flat"))
     return now.join(F.broadcast(total)).select(
@@ -136,15 +144,19 @@ def uniform(key: Column, seed: str = SEED) -> Column:
 
 
 def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source",
-        lang: str = "lang", topic_of: Callable[[Column], Column] = topic,
+        lang: str = "lang", topic_of: Callable[[Column], Column] | str = topic,
         temperature: dict[str, float] | None = None, sweeps: int | None = SWEEPS,
-        seed: str = SEED, keep: float | None = None) -> DataFrame:
+        seed: str = SEED, keep: float | None = None, goals: dict[str, dict | DataFrame] | None = None) -> DataFrame:
     """Every row of ``docs`` with ``topic``, ``tokens``, ``factor`` (raked weight over token weight
     of its cell), ``p`` (its sampling probability) and ``sampled``.
 
+    ``goals`` names the target weights of a dimension (``source``, ``lang``, ``topic``) as {value: share}
+    or a table (k, share); dimensions without goals get theirs by ``temperature`` from the present
+    shares. ``topic_of`` makes the topic from the text column, or names the column that holds it.
+
     With ``keep``, ``p = min(1, c * factor)``, where c is such that the sample holds this share of
     the tokens in expectation: a cell that is too small for its target is kept whole and does not
-    thin out the others, whose shares stay in the raked proportions. Without, as in the SQL form,
+    thin out the others, whose shares stay in the raked proportions. Without,
     ``p = factor / largest factor``, so that no probability has to be cut at 1 and the expected
     token shares are the raked ones; the sample's size is then set by the rarest cell. A document is sampled if the fixed uniform number of its key
     is below ``p``: repeated rows are kept or dropped together. Null source or language is a value
@@ -153,56 +165,65 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
     """
     temperature = temperature or TEMPERATURE
     added = ("topic", "tokens", "factor", "p", "sampled")
-    docs = docs.select(*[c for c in docs.columns if c not in added])
-    extra = docs.withColumns({"topic": topic_of(F.col(text)), "tokens": tokens(F.col(text))})
+    made = F.col(topic_of) if isinstance(topic_of, str) else topic_of(F.col(text))
+    extra = docs.select(*[c for c in docs.columns if c not in added], made.alias("topic"), tokens(F.col(text)).alias("tokens"))
     narrow = extra.select(F.col(source).alias("source"), F.col(lang).alias("lang"), "topic", "tokens")
     cell = cut_lineage(cells(narrow))
-    fitted = rake(cell, {d: targets(cell, d, temperature[d]) for d in DIMS}, sweeps)
-    factor = fitted.select(*[F.col(d).alias(f"__{d}") for d in DIMS],
-                           (F.col("weight") / F.col("base")).alias("factor"))
-    same = (F.col(source).eqNullSafe(F.col("__source")) & F.col(lang).eqNullSafe(F.col("__lang"))
-            & (F.col("topic") == F.col("__topic")) & (F.col("tokens") > 0))
+    fitted = rake(cell, {d: targets(cell, d, temperature[d], (goals or {}).get(d)) for d in DIMS}, sweeps)
+    factor = fitted.withColumn("factor", F.col("weight") / F.col("base"))
     if keep is None:
-        top = factor.agg(F.max("factor").alias("__top"))
-        share = factor.join(F.broadcast(top)).withColumn("__p", F.try_divide("factor", "__top"))
+        top = factor.agg(F.max("factor").alias("top"))
+        p = F.try_divide("factor", "top")
+        factor = factor.join(F.broadcast(top))
     else:
         c = calibrate(fitted, keep)
-        whole = (F.col("factor") > 0).cast("double")
-        share = factor.withColumn("__p", whole if c is None else F.least(F.lit(1.0), F.lit(c) * F.col("factor")))
+        p = (F.col("factor") > 0).cast("double") if c is None else F.least(F.lit(1.0), F.lit(c) * F.col("factor"))
+    # one column with a name of its own, so that no column of the documents can clash
+    own = fresh(extra, "cell")
+    share = factor.select(F.struct(*DIMS, "factor", p.alias("p")).alias(own))
+    found = lambda f: F.col(f"{own}.{f}")
+    same = (F.col(source).eqNullSafe(found("source")) & F.col(lang).eqNullSafe(found("lang"))
+            & F.col("topic").eqNullSafe(found("topic")) & (F.col("tokens") > 0))
     out = extra.join(share, same, "left")
-    p = F.coalesce(F.col("__p"), F.lit(0.0))
-    return out.select(*extra.columns, F.coalesce(F.col("factor"), F.lit(0.0)).alias("factor"),
+    p = F.coalesce(found("p"), F.lit(0.0))
+    return out.select(*extra.columns, F.coalesce(found("factor"), F.lit(0.0)).alias("factor"),
                       p.alias("p"), (uniform(F.col(key), seed) < p).alias("sampled"))
 
 
 def oracle() -> str:
-    """The same in DuckDB SQL; the sweeps are written out."""
+    """The registered query in DuckDB SQL: sweeps until the residual is small or falls no more, then c
+    from the cells in falling order of their factor: the first cell that is not kept whole gives it."""
     low = "coalesce(text, '')"
-    parts = [f"""d AS (SELECT doc_id, source, lang,
+    goals = ",\n".join(
+        f"t_{d} AS MATERIALIZED (SELECT {d} AS k, pow(b, {TEMPERATURE[d]}) / sum(pow(b, {TEMPERATURE[d]})) OVER () * sum(b) OVER () AS goal "
+        f"FROM (SELECT {d}, sum(base) AS b FROM c GROUP BY {d}))" for d in DIMS)
+    inner = "SELECT r.*, " + ", ".join(f"t_{d}.goal AS g_{d}" for d in DIMS) + " FROM r " + " ".join(
+        f"JOIN t_{d} ON r.{d} IS NOT DISTINCT FROM t_{d}.k" for d in DIMS) + " WHERE NOT done"
+    for d in DIMS:
+        inner = f"SELECT * REPLACE (w * g_{d} / sum(w) OVER (PARTITION BY {d}) AS w) FROM ({inner})"
+    off = "greatest(" + ", ".join(f"abs(sum(w) OVER (PARTITION BY {d}) / g_{d} - 1)" for d in DIMS) + ")"
+    return f"""
+WITH RECURSIVE d AS MATERIALIZED (SELECT doc_id, source, lang,
   CASE WHEN contains({low}, ' | ') OR contains({low}, '%%%') THEN 'markup'
        WHEN contains({low}, 'License') OR contains({low}, 'All rights reserved') THEN 'legal'
        WHEN contains({low}, '@') THEN 'contact'
        WHEN length({low}) - length(replace({low}, chr(10), '')) >= 12 THEN 'list' ELSE 'prose' END AS topic,
-  CAST(coalesce(len(regexp_extract_all(text, '[^ \\t\\n\\r\\f]+')), 0) AS BIGINT) AS tokens FROM documents)""",
-             "c AS MATERIALIZED (SELECT source, lang, topic, CAST(sum(tokens) AS DOUBLE) AS base, "
-             "CAST(sum(tokens) AS DOUBLE) AS w FROM d WHERE tokens > 0 GROUP BY ALL)"]
-    for dim in DIMS:
-        t = TEMPERATURE[dim]
-        parts.append(f"t_{dim} AS MATERIALIZED (SELECT {dim} AS k, pow(b, {t}) / sum(pow(b, {t})) OVER () * sum(b) OVER () AS goal "
-                     f"FROM (SELECT {dim}, sum(base) AS b FROM c GROUP BY {dim}))")
-    last = "c"
-    for s in range(SWEEPS):
-        for dim in DIMS:
-            name = f"r{s}_{dim}"
-            parts.append(f"{name} AS MATERIALIZED (SELECT source, lang, topic, base, w * goal / sum(w) OVER (PARTITION BY {dim}) AS w "
-                         f"FROM {last} JOIN t_{dim} ON {dim} IS NOT DISTINCT FROM k)")
-            last = name
-    parts.append(f"f AS (SELECT source, lang, topic, w / base AS factor, w / base / max(w / base) OVER () AS p FROM {last})")
-    return "WITH " + ",\n".join(parts) + f"""
+  CAST(coalesce(len(regexp_extract_all(text, '[^ \\t\\n\\r\\f]+')), 0) AS BIGINT) AS tokens FROM documents),
+c AS MATERIALIZED (SELECT source, lang, topic, CAST(sum(tokens) AS DOUBLE) AS base FROM d WHERE tokens > 0 GROUP BY ALL),
+{goals},
+r(sweep, source, lang, topic, base, w, off, done) AS (
+  SELECT 0, source, lang, topic, base, base, CAST(NULL AS DOUBLE), false FROM c
+  UNION ALL
+  SELECT sweep + 1, source, lang, topic, base, w, worst, worst <= {CLOSE} OR coalesce(worst > 0.99 * off, false) OR sweep + 1 >= {MOST_SWEEPS}
+  FROM (SELECT *, max(each) OVER () AS worst FROM (SELECT *, {off} AS each FROM ({inner})))),
+f AS MATERIALIZED (SELECT source, lang, topic, base, w, w / base AS factor FROM r WHERE sweep = (SELECT max(sweep) FROM r)),
+q AS (SELECT factor, {KEEP} * sum(base) OVER () - coalesce(sum(base) OVER (ORDER BY factor DESC RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW EXCLUDE GROUP), 0) AS need,
+             sum(w) OVER (ORDER BY factor DESC RANGE BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS rest FROM f),
+k AS (SELECT max_by(need / rest, factor) AS c FROM q WHERE need / rest * factor <= 1)
 SELECT d.doc_id, d.source, d.lang, d.topic, d.tokens, round(coalesce(f.factor, 0), 6) AS factor,
-       round(coalesce(f.p, 0), 6) AS p,
+       round(coalesce(least(1, k.c * f.factor), 0), 6) AS p,
        CAST('0x' || substr(md5('{SEED}:' || coalesce(CAST(doc_id AS VARCHAR), 'null')), 1, 8) AS BIGINT) / 4294967296.0
-         < coalesce(f.p, 0) AS sampled
-FROM d LEFT JOIN f ON d.source IS NOT DISTINCT FROM f.source AND d.lang IS NOT DISTINCT FROM f.lang
+         < coalesce(least(1, k.c * f.factor), 0) AS sampled
+FROM d CROSS JOIN k LEFT JOIN f ON d.source IS NOT DISTINCT FROM f.source AND d.lang IS NOT DISTINCT FROM f.lang
   AND d.topic = f.topic AND d.tokens > 0
 """

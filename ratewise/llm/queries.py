@@ -66,7 +66,7 @@ ORACLES["op4_license_scan"] = licenses.oracle()
 @query
 def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text")
-    return (mixing.mix(docs).drop("text")
+    return (mixing.mix(docs, sweeps=None, keep=mixing.KEEP).drop("text")
             .withColumns({"factor": F.round("factor", 6), "p": F.round("p", 6)}))
 
 
