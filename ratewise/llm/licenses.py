@@ -7,9 +7,14 @@ ordered identifiers of one of its rules.
 
 from __future__ import annotations
 
+import re
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import fresh
+
 #: Sentences of public licence texts and notices, normalised as ``normalise`` does.
 SENTENCES = {
     "apache2.notice": "licensed under the apache license version 2 0",
@@ -82,12 +87,37 @@ SENTENCES = {
     "ccby4.work": "this work is licensed under cc by 4 0",
     "ccbysa4.work": "this work is licensed under cc by sa 4 0",
     "reserved": "all rights reserved",
+    "lgpl.terms": "you can redistribute it and or modify it under the terms of the gnu lesser general public "
+                  "license as published by the free software foundation",
+    "lgpl21.either": "either version 2 1 of the license or at your option any later version",
+    "lgpl3.terms": "you can redistribute it and or modify it under the terms of the gnu lesser general public "
+                   "license as published by the free software foundation either version 3 of the license "
+                   "or at your option any later version",
+    "lgpl.details": "see the gnu lesser general public license for more details",
+    "agpl3.terms": "you can redistribute it and or modify it under the terms of the gnu affero general public "
+                   "license as published by the free software foundation either version 3 of the license "
+                   "or at your option any later version",
+    "agpl.details": "see the gnu affero general public license for more details",
+    "zlib.asis": "this software is provided as is without any express or implied warranty",
+    "zlib.grant": "permission is granted to anyone to use this software for any purpose including commercial "
+                  "applications and to alter it and redistribute it freely subject to the following restrictions",
+    "bsl.notice": "distributed under the boost software license version 1 0",
+    "epl2.terms": "this program and the accompanying materials are made available under the terms of the eclipse "
+                  "public license 2 0 which is available at https www eclipse org legal epl 2 0",
+    # cut after "v."
+    "epl.v": "this program and the accompanying materials are made available under the terms of the eclipse public license v",
+    "epl2.which": "2 0 which is available at https www eclipse org legal epl 2 0",
 }
 
-#: Sentences known by their end, as they name an organisation: end -> identifier. Only a sentence that
-#: holds ``ENDING_SIGN`` in its raw text is compared.
+#: Licences known by their tag "SPDX-License-Identifier: <id>".
+SPDX = ["0BSD", "AGPL-3.0-only", "AGPL-3.0-or-later", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "BSL-1.0", "CC0-1.0", "CC-BY-4.0",
+        "CC-BY-NC-4.0", "CC-BY-SA-4.0", "EPL-2.0", "GPL-2.0", "GPL-2.0-only", "GPL-2.0-or-later", "GPL-3.0", "GPL-3.0-only",
+        "GPL-3.0-or-later", "ISC", "LGPL-2.1-only", "LGPL-2.1-or-later", "LGPL-3.0-only", "LGPL-3.0-or-later", "MIT", "MPL-2.0",
+        "Unlicense", "Zlib"]
+SENTENCES |= {f"spdx.{x.lower()}": "spdx license identifier " + re.sub("[^a-z0-9]+", " ", x.lower()) for x in SPDX}
+
+#: Sentences known by their end, as they name an organisation: end -> identifier.
 ENDINGS = {"to endorse or promote products derived from this software without specific prior written permission": "bsd.endorse"}
-ENDING_SIGN = "(?i)endorse"
 
 #: Rule -> (licence, ordered sentence identifiers; others may stand between them).
 RULES = {
@@ -118,14 +148,30 @@ RULES = {
     "cc0-notice": ("CC0-1.0", ["cc0.notice"]),
     "unlicense-text": ("Unlicense", ["unlicense.free"]),
     "all-rights-reserved": ("LicenseRef-all-rights-reserved", ["reserved"]),
+    "mit-title": ("MIT", ["mit.title"]),
+    "lgpl21-header": ("LGPL-2.1-or-later", ["lgpl.terms", "lgpl21.either", "lgpl.details"]),
+    "lgpl3-header": ("LGPL-3.0-or-later", ["lgpl3.terms", "lgpl.details"]),
+    "lgpl3-header-either": ("LGPL-3.0-or-later", ["lgpl.terms", "gpl3.either", "lgpl.details"]),
+    "agpl3-header": ("AGPL-3.0-or-later", ["agpl3.terms", "agpl.details"]),
+    "zlib-text": ("Zlib", ["zlib.asis", "zlib.grant"]),
+    "bsl-notice": ("BSL-1.0", ["bsl.notice"]),
+    "epl2-notice": ("EPL-2.0", ["epl2.terms"]),
+    "epl2-notice-v": ("EPL-2.0", ["epl.v", "epl2.which"]),
 }
+RULES |= {f"spdx-{x.lower()}": (x, [f"spdx.{x.lower()}"]) for x in SPDX}
 
-#: A rule that gives way where another matches, as the other's text holds its own: rule -> others.
+#: A match that gives way where another rule matches from the same sentence on, as the other's text
+#: holds its own: rule -> others (with the same first sentence).
 GIVES_WAY = {"bsd2-text": ["bsd3-text", "bsd4-text"], "bsd3-text": ["bsd4-text"]}
 
-#: A sentence ends at . ! ? ; or : before blank space or the end, or at a blank line.
-SENTENCE_END = r"[.!?;:]+(?:\s+|$)|\n\s*\n"
+#: A sentence ends at . ! ? ; or : before blank space or the end, or at a line without a letter or
+#: digit (blank, or a comment sign alone).
+SENTENCE_END = r"[.!?;:]+(?:\s+|$)|\n[^A-Za-z0-9\n]*\n"
 NOT_WORD = r"[^a-z0-9]+"
+#: A tag is a sentence of its own.
+TAG, TAG_SENTENCE = r"(?i)spdx-license-identifier:[ \t]*([A-Za-z0-9.+-]+)", "\nspdx-license-identifier {}. \n"
+#: A text without any of these words matches no rule (fixed values; every rule has a sentence with one).
+SIGNAL = "(?i)licen[cs]|reserved|permission|redistribut|unencumbered"
 
 
 def normalise(sentence: Column) -> Column:
@@ -134,98 +180,130 @@ def normalise(sentence: Column) -> Column:
     return F.trim(F.regexp_replace(low, NOT_WORD, " "))
 
 
-def sentences(text: Column, is_known) -> Column:
-    """The text's sentences. A known sentence may be wrapped over lines; any other part is cut at
-    its line breaks too, so a notice is found under a line that ends without a stop."""
-    parts = F.split(text, SENTENCE_END)
-    return F.flatten(F.transform(parts, lambda p: F.when(
-        F.contains(p, F.lit("\n")) & ~is_known(p), F.split(p, "\n")).otherwise(F.array(p))))
-
-
-def licence_sentences(docs: DataFrame, text: str, known: dict[str, str] = SENTENCES) -> DataFrame:
-    """``docs`` plus ``__hits``: array of (position, identifier) of the known sentences.
+def licence_sentences(docs: DataFrame, text: str, hits: str, known: dict[str, str] = SENTENCES) -> DataFrame:
+    """``docs`` with ``hits``: array of (pos, id) of the known sentences, in order.
 
-    The known sentences are a fixed table, so they travel inside the plan; a sentence is only
-    normalised if its length could belong to a known one (normalising never lengthens it).
+    Comment signs need no rule of their own: normalising drops them wherever they stand, and a line
+    that holds nothing else ends a sentence as a blank line does. A sentence may be wrapped over lines.
+    Where a part of several lines is not known as a whole, it is looked at line by line: the longest run
+    of lines from each line on that is a known sentence counts, so a notice is found under or above a
+    line that ends without a stop. ``pos`` counts parts, and lines of such parts.
     """
-    shortest = min(map(len, known.values()))
+    shortest, longest = min(map(len, known.values())), max(map(len, known.values()))
+    lines_of = max(len(v.split()) for v in known.values())  # a run of more lines is longer than any sentence
     ids = F.create_map(*[F.lit(x) for k, v in known.items() for x in (v, k)])
 
-    def by_end(s):
-        n = normalise(s)
-        return F.coalesce(*[F.when(F.endswith(n, F.lit(end)), k) for end, k in ENDINGS.items()])
+    def identify(n):
+        """The identifier of a normalised sentence."""
+        ends = [F.when(F.endswith(n, F.lit(end)), k) for end, k in ENDINGS.items()]
+        return F.when(F.length(n) >= shortest, F.coalesce(F.try_element_at(ids, n), *ends))
 
-    def identify(s):
-        return F.when(F.length(s) >= shortest, F.coalesce(
-            F.try_element_at(ids, normalise(s)), F.when(F.rlike(s, F.lit(ENDING_SIGN)), by_end(s))))
+    # each step is a transform of its own: what a lambda is given is computed once per element
+    def of_part(p):
+        known_whole = identify(p["words"])
+        several = F.contains(p["part"], F.lit("\n")) & known_whole.isNull()
+        lines = F.filter(F.transform(F.split(p["part"], "\n"), normalise), lambda x: x != "")
+        return F.struct(known_whole.alias("id"), F.when(several, lines).alias("lines"))
 
-    units = sentences(F.col(text), lambda p: identify(p).isNotNull())
-    found = F.transform(units, lambda s, i: F.struct(i.cast("long").alias("pos"), identify(s).alias("id")))
-    return docs.withColumn("__hits", F.filter(found, lambda h: h["id"].isNotNull()))
+    def of_lines(p):
+        def from_line(line, i):
+            runs = F.transform(F.sequence(F.lit(1), F.least(F.size(p["lines"]) - i, F.lit(lines_of))),
+                               lambda n: F.array_join(F.slice(p["lines"], i + 1, n), " "))
+            named = F.filter(F.transform(runs, lambda r: F.when(F.length(r).between(shortest, longest), F.try_element_at(ids, r))), lambda x: x.isNotNull())
+            # an ending is looked for on single lines only: a longer run would take in what stands before
+            ends = [F.when(F.endswith(line, F.lit(end)), k) for end, k in ENDINGS.items()]
+            return F.coalesce(F.try_element_at(named, F.lit(-1)), *ends)
+        return F.when(p["lines"].isNull(), F.array(p["id"])).otherwise(F.transform(p["lines"], from_line))
+
+    tagged = F.regexp_replace(F.col(text), TAG, TAG_SENTENCE.format("$1"))
+    parts = F.transform(F.split(tagged, SENTENCE_END), lambda p: F.struct(p.alias("part"), normalise(p).alias("words")))
+    own = fresh(docs, "parts")
+    parted = (docs.withColumn(own, F.when(F.rlike(F.col(text), F.lit(SIGNAL)), F.transform(parts, of_part)))
+              .where(F.col(own).isNotNull()))
+    units = F.flatten(F.transform(own, of_lines))
+    found = F.transform(units, lambda x, i: F.struct(i.cast("long").alias("pos"), x.alias("id")))
+    return parted.withColumn(hits, F.filter(found, lambda h: h["id"].isNotNull())).drop(own)
 
 
 def scan(docs: DataFrame, text: str = "text", known: dict[str, str] = SENTENCES,
          rules: dict[str, tuple[str, list[str]]] = RULES) -> DataFrame:
     """One row per document and matched rule: the columns of ``docs`` without ``text``, then
-    ``licence``, ``rule``, ``first_sentence`` (0-based position of the first place where the
-    rule's first sentence stands) and ``sentence_ids`` (all identifiers in order).
+    ``licence``, ``rule``, ``first_sentence`` (0-based position of the sentence where the rule's first
+    match begins) and ``sentence_ids`` (all identifiers in order).
 
-    A rule matches if its identifiers occur in this order, with any known or unknown sentences
-    between them, and no rule that it gives way to matches. Null or empty text: no row. Repeated
-    rows give repeated results. Columns of ``docs`` with the names of results are replaced. Nothing is shuffled.
+    A rule matches from a place of its first identifier on if its others follow in this order before the
+    first stands again, with any sentences between them, and no rule that it gives way to matches from
+    that place. Null or empty text: no row. Repeated rows give repeated results. Columns of ``docs`` with
+    the names of results are replaced. Nothing is shuffled.
     """
     out = ["licence", "rule", "first_sentence", "sentence_ids"]
     keep = [c for c in docs.columns if c != text and c not in out]
-    hits = licence_sentences(docs, text, known).where(F.size("__hits") > 0)
-    joined = F.concat(F.lit("|"), F.array_join(F.col("__hits.id"), "|"), F.lit("|"))
-
-    def like(ids):
-        # each identifier is followed by "|", shared with the next one's leading "|"
-        pattern = "%" + "%".join(f"|{i}|" if k == 0 else f"{i}|" for k, i in enumerate(ids)) + "%"
-        return F.col("__joined").like(pattern.replace("_", r"\_"))
-
-    def match(name, licence, ids):
-        first = F.filter(F.col("__hits"), lambda h: h["id"] == ids[0])[0]["pos"]
-        matched = like(ids)
-        for other in GIVES_WAY.get(name, []):
-            if other in rules:
-                matched = matched & ~like(rules[other][1])
-        return F.when(matched,
-                      F.struct(F.lit(licence).alias("licence"), F.lit(name).alias("rule"),
-                               first.alias("first_sentence")))
-
-    found = [match(name, licence, ids) for name, (licence, ids) in rules.items()]
-    hits = hits.withColumn("__joined", joined).withColumn("__m", F.explode(F.array_compact(F.array(*found))))
-    return hits.select(*keep, F.col("__m.licence").alias("licence"), F.col("__m.rule").alias("rule"),
-                       F.col("__m.first_sentence").alias("first_sentence"),
-                       F.array_join(F.col("__hits.id"), " ").alias("sentence_ids"))
+    docs = docs.select(*keep, text)
+    hits, joined, match = fresh(docs, "hits"), fresh(docs, "joined"), fresh(docs, "match")
+    rows = licence_sentences(docs, text, hits, known).where(F.size(hits) > 0).select(*keep, hits)
+    rows = rows.withColumn(joined, F.concat(F.lit("|"), F.array_join(F.col(f"{hits}.id"), "||"), F.lit("|")))
+
+    def like(piece, ids):
+        return piece.like("%" + "%".join(f"|{i}|" for i in ids[1:]) + "%") if len(ids) > 1 else F.lit(True)
+
+    def found(name, licence, ids):
+        starts = F.filter(F.col(hits), lambda h: h["id"] == ids[0])
+        pieces = F.split(F.col(joined), re.escape(f"|{ids[0]}|"))  # what follows each start, up to the next
+        others = [rules[o][1] for o in GIVES_WAY.get(name, []) if o in rules]
+        good = F.transform(F.slice(pieces, 2, F.size(pieces)), lambda p: reduce(lambda a, o: a & ~like(p, o), others, like(p, ids)))
+        at = F.array_position(good, True).cast("int")
+        row = F.struct(F.lit(licence).alias("licence"), F.lit(name).alias("rule"), F.get(starts, at - 1)["pos"].alias("first_sentence"))
+        return F.when(F.contains(F.col(joined), F.lit(f"|{ids[0]}|")), F.when(at > 0, row))
+
+    every = F.array_compact(F.array(*[found(name, licence, ids) for name, (licence, ids) in rules.items()]))
+    rows = rows.withColumn(match, F.explode(every))
+    return rows.select(*keep, F.col(f"{match}.licence").alias("licence"), F.col(f"{match}.rule").alias("rule"),
+                       F.col(f"{match}.first_sentence").alias("first_sentence"),
+                       F.array_join(F.col(f"{hits}.id"), " ").alias("sentence_ids"))
 
 
 def oracle(table: str = "documents") -> str:
-    """The same in DuckDB SQL, but for ``ENDINGS`` and ``GIVES_WAY`` (BSD-3 and BSD-4), which it lacks."""
+    """The same in DuckDB SQL."""
     quote = lambda s: "'" + s.replace("'", "''") + "'"
     known = ", ".join(f"({quote(v)}, {quote(k)})" for k, v in SENTENCES.items())
+    endings = ", ".join(f"({quote(e)}, {quote(k)})" for e, k in ENDINGS.items())
+    pattern = lambda ids: quote("%" + "%".join(f"|{i}|" for i in ids[1:]) + "%")
     rows = ", ".join(
-        f"({quote(name)}, {quote(lic)}, {quote(ids[0])}, "
-        + quote("%" + "%".join(f"|{i}|" if k == 0 else f"{i}|" for k, i in enumerate(ids)) + "%") + ")"
-        for name, (lic, ids) in RULES.items())
+        f"({quote(name)}, {quote(lic)}, {quote(ids[0])}, {pattern(ids)}, "
+        f"CAST([{', '.join(pattern(RULES[o][1]) for o in GIVES_WAY.get(name, []))}] AS VARCHAR[]))" for name, (lic, ids) in RULES.items())
+    words = r"trim(regexp_replace(translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^a-z0-9]+', ' ', 'g'))"
+    reach = max(len(v.split()) for v in SENTENCES.values())
     return rf"""
-WITH d AS (SELECT row_number() OVER () AS r, doc_id, source, text FROM {table}),
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, source, text FROM {table}),
 k(s, id) AS (VALUES {known}),
+e(s, id) AS (VALUES {endings}),
+x AS (SELECT r, regexp_replace(text, 'spdx-license-identifier:[ \t]*([A-Za-z0-9.+-]+)', chr(10) || 'spdx-license-identifier \1. ' || chr(10), 'gi') AS t
+      FROM d WHERE regexp_matches(text, 'licen[cs]|reserved|permission|redistribut|unencumbered', 'i')),
 p AS (SELECT r, unnest(parts) AS part, generate_subscripts(parts, 1) AS i
-      FROM (SELECT r, regexp_split_to_array(text, '[.!?;:]+(?:\s+|$)|\n\s*\n') AS parts FROM d)),
-q AS (SELECT r, i, CASE WHEN trim(regexp_replace(translate(part, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^a-z0-9]+', ' ', 'g')) IN (SELECT s FROM k)
-                   THEN [part] ELSE string_split(part, chr(10)) END AS units FROM p),
-u1 AS (SELECT r, i, unnest(units) AS unit, generate_subscripts(units, 1) AS j FROM q),
-n AS (SELECT r, row_number() OVER (PARTITION BY r ORDER BY i, j) - 1 AS pos,
-             trim(regexp_replace(translate(unit, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^a-z0-9]+', ' ', 'g')) AS s FROM u1),
-h AS (SELECT r, pos, id FROM n JOIN k USING (s)),
-j AS (SELECT r, '|' || string_agg(id, '|' ORDER BY pos) || '|' AS joined,
-             string_agg(id, ' ' ORDER BY pos) AS sentence_ids FROM h GROUP BY r),
-u(rule, licence, head, pattern) AS (VALUES {rows})
-SELECT d.doc_id, d.source, u.licence, u.rule,
-       (SELECT min(h.pos) FROM h WHERE h.r = j.r AND h.id = u.head) AS first_sentence, j.sentence_ids
-FROM j JOIN u ON j.joined LIKE u.pattern JOIN d ON d.r = j.r
+      FROM (SELECT r, regexp_split_to_array(t, '[.!?;:]+(?:\s+|$)|
+[^A-Za-z0-9
+]*
+') AS parts FROM x)),
+w AS MATERIALIZED (SELECT r, i, part, {words.format('part')} AS s FROM p),
+known_part AS MATERIALIZED (SELECT w.r, w.i, w.part, coalesce(k.id, e.id) AS id FROM w LEFT JOIN k ON w.s = k.s LEFT JOIN e ON ends_with(w.s, e.s)),
+ln AS (SELECT r, i, list_filter(list_transform(string_split(part, chr(10)), lambda z: {words.format('z')}), lambda z: z <> '') AS lines
+       FROM known_part WHERE id IS NULL AND contains(part, chr(10))),
+li AS MATERIALIZED (SELECT r, i, lines, unnest(range(1, len(lines) + 1)) AS j FROM ln),
+ru AS (SELECT r, i, j, n, array_to_string(lines[j:j + n - 1], ' ') AS s
+       FROM (SELECT *, unnest(range(1, least(len(lines) - j + 1, {reach}) + 1)) AS n FROM li)),
+hit AS (SELECT ru.r, ru.i, ru.j, max_by(k.id, ru.n) AS id FROM ru JOIN k ON ru.s = k.s GROUP BY ALL),
+u AS (SELECT r, i, 1 AS j, id FROM known_part WHERE id IS NOT NULL OR NOT contains(part, chr(10))
+      UNION ALL
+      SELECT li.r, li.i, li.j, coalesce(hit.id, e.id) FROM li LEFT JOIN hit ON li.r = hit.r AND li.i = hit.i AND li.j = hit.j
+      LEFT JOIN e ON ends_with(li.lines[li.j], e.s)),
+h AS (SELECT * FROM (SELECT r, row_number() OVER (PARTITION BY r ORDER BY i, j) - 1 AS pos, id FROM u) WHERE id IS NOT NULL),
+j AS (SELECT r, '|' || string_agg(id, '||' ORDER BY pos) || '|' AS joined, string_agg(id, ' ' ORDER BY pos) AS sentence_ids,
+             list(id ORDER BY pos) AS ids, list(pos ORDER BY pos) AS places FROM h GROUP BY r),
+rules(rule, licence, head, pattern, others) AS (VALUES {rows}),
+m AS (SELECT j.*, rules.*, list_position(list_transform(string_split(joined, '|' || head || '|')[2:],
+        lambda s: s LIKE pattern AND len(list_filter(others, lambda o: s LIKE o)) = 0), true) AS nth,
+        list_filter(list_zip(ids, places), lambda z: z[1] = head) AS starts FROM j JOIN rules ON contains(joined, '|' || head || '|'))
+SELECT d.doc_id, d.source, m.licence, m.rule, m.starts[m.nth][2] AS first_sentence, m.sentence_ids FROM m JOIN d ON m.r = d.r WHERE m.nth > 0
 """
 
 
