@@ -4,7 +4,8 @@ Unit vectors are at least as similar as a cosine ``c`` exactly if they are at mo
 ``r = sqrt(2 - 2c)`` apart. Pivots cut the vectors of a label into cells (each vector belongs to
 its nearest pivot). Two vectors of different cells that are within ``r`` lie within ``r`` of the
 plane half way between the pivots, by the triangle inequality; a vector that near to a cell's
-border is copied into the cell. Then every cell finds the links of its own vectors by itself.
+border is copied into the cell, unless it lies farther from the pivot than the cell's covering radius
+and ``r`` together. Then every cell finds the links of its own vectors by itself.
 """
 
 from __future__ import annotations
@@ -21,14 +22,17 @@ from .common import ship, stored
 from .components import components, local_roots
 
 COSINE = 0.98
-#: Distinct vectors of a label for each pivot, and the most pivots of a label.
+#: Distinct vectors of a label for each pivot. From ``MANY`` pivots on their number grows with the
+#: square root of the vectors: finding a vector's cell and comparing a cell then cost about the same.
 PER_PIVOT = 2048
-MOST_PIVOTS = 512
+MANY = 512
 #: Vectors that one task assigns to pivots, and rows of a block that a cell is compared in.
 DEAL = 16384
 BLOCK = 2048
 #: Rounding of a squared distance between unit vectors, allowed for at cell borders.
 SLACK = 1e-9
+#: The same for a distance that is added to another: its square is off by much less.
+ROUND = 1e-12
 
 
 def unit(vectors) -> np.ndarray:
@@ -45,16 +49,30 @@ def border(to_pivot: np.ndarray, pivots: np.ndarray, r: float) -> np.ndarray:
     return to_pivot - to_pivot[np.arange(len(home)), home][:, None] <= 2 * r * apart + SLACK
 
 
+def _farthest(vectors: pd.DataFrame, pivots: pd.DataFrame) -> pd.DataFrame:
+    """For each cell: the largest distance of one of these vectors that is at home in it."""
+    if not len(vectors) or not len(pivots):
+        return pd.DataFrame({"label": [], "dim": [], "cell": [], "radius": []})
+    p = unit(pivots.sort_values("rank")["embedding"])
+    radius = np.full(len(p), -1.0)
+    for lo in range(0, len(vectors), 4096):
+        far = np.maximum(2 - 2 * unit(vectors["embedding"].iloc[lo:lo + 4096]) @ p.T, 0)
+        np.maximum.at(radius, far.argmin(axis=1), np.sqrt(far.min(axis=1) + ROUND))
+    cell = np.flatnonzero(radius >= 0)
+    return pd.DataFrame({"label": vectors["label"].iloc[0], "dim": vectors["dim"].iloc[0], "cell": cell, "radius": radius[cell]})
+
+
 def _assign(r: float):
     def run(vectors: pd.DataFrame, pivots: pd.DataFrame) -> pd.DataFrame:
         out = {"label": [], "dim": [], "cell": [], "home": [], "id": [], "weight": [], "embedding": []}
         if len(vectors) and len(pivots):
-            p = unit(pivots.sort_values("rank")["embedding"])
+            pivots = pivots.sort_values("rank")
+            p, cover = unit(pivots["embedding"]), pivots["radius"].to_numpy() + r
             for lo in range(0, len(vectors), 4096):
                 some = vectors.iloc[lo:lo + 4096]
                 x = unit(some["embedding"])
                 far = np.maximum(2 - 2 * x @ p.T, 0)
-                i, cell = np.nonzero(border(far, p, r))
+                i, cell = np.nonzero(border(far, p, r) & (far <= cover * cover + SLACK))
                 out["home"].append(far.argmin(axis=1)[i] == cell)
                 out["cell"].append(cell)
                 for c in ("label", "dim", "id", "weight", "embedding"):
@@ -89,22 +107,30 @@ def links(classes: DataFrame, cosine: float = COSINE) -> DataFrame:
     ship(spark)
     r = math.sqrt(2 - 2 * cosine)
     group = ["label", "dim"]
-    size = (classes.groupBy(*group).agg(F.count("*").alias("n"))
-            .withColumn("pivots", F.least(F.ceil(F.col("n") / PER_PIVOT), F.lit(MOST_PIVOTS)).cast("int"))
-            .withColumn("deals", F.ceil(F.col("n") / DEAL).cast("int")))
+    n = F.col("n")
+    wanted = F.when(n <= MANY * PER_PIVOT, n / PER_PIVOT).otherwise(F.sqrt(n.cast("double")) * math.sqrt(MANY / PER_PIVOT))
+    size = (classes.groupBy(*group).agg(F.count("*").alias("n"), F.min(F.struct(F.xxhash64("id"), "id"))["id"].alias("least"))
+            .withColumn("every", F.greatest(F.floor(n / F.greatest(wanted, F.lit(1.0))), F.lit(1)))
+            .withColumn("deals", F.ceil(n / DEAL).cast("int")))
     size = stored(size, "sizes")
-    # pivots: the vectors with the smallest hash; the constant bound is applied before the shuffle
-    rank = F.row_number().over(Window.partitionBy(*group).orderBy(F.xxhash64("id"), "id"))
-    ranked = (classes.select(*group, "id").withColumn("rank", rank).where(F.col("rank") <= MOST_PIVOTS)
-              .join(size, group).where("rank <= pivots")
-              .select("id", "rank", "deals"))
-    pivots = ranked.join(classes, "id").withColumn("deal", F.explode(F.sequence(F.lit(0), F.col("deals") - 1)))
-    pivots = pivots.select(*group, "deal", "rank", "embedding")
-    dealt = (classes.join(size.select(*group, "deals"), group)
-             .withColumn("deal", F.pmod(F.xxhash64("id"), F.col("deals")).cast("int")).drop("deals"))
+    # pivots: every so many-th vector by hash, and one at least; their number is that of the cells
+    chosen = (classes.join(size.select(*group, "every", "least", "deals"), group)
+              .where((F.pmod(F.xxhash64("id"), F.col("every")) == 0) | (F.col("id") == F.col("least"))))
+    rank = F.row_number().over(Window.partitionBy(*group).orderBy("id")) - 1
+    chosen = stored(chosen.select(*group, "id", "deals", "embedding").withColumn("rank", rank), "pivots")
+    deal = F.explode(F.sequence(F.lit(0), F.col("deals") - 1)).alias("deal")
+    dealt = stored(classes.join(size.select(*group, "deals"), group)
+                   .withColumn("deal", F.pmod(F.xxhash64("id"), F.col("deals")).cast("int")).drop("deals"), "dealt")
     keys = [*group, "deal"]
+    pivots = chosen.select(*group, deal, "rank", "embedding")
+    radius = (dealt.groupBy(*keys).cogroup(pivots.groupBy(*keys)).applyInPandas(_farthest, "label string, dim int, cell int, radius double")
+              .groupBy(*group, F.col("cell").alias("rank")).agg(F.max("radius").alias("radius")))
+    # a cell in which no vector is at home (its pivot is the twin of another) takes none
+    covered = stored(chosen.join(radius, [*group, "rank"], "left").withColumn("radius", F.coalesce("radius", F.lit(-r))), "covered")
+    pivots = covered.select(*group, deal, "rank", "embedding", "radius")
+    kind = classes.schema["embedding"].dataType.simpleString()
     celled = stored(dealt.groupBy(*keys).cogroup(pivots.groupBy(*keys)).applyInPandas(
-        _assign(r), "label string, dim int, cell int, home boolean, id long, weight long, embedding array<float>"), "cells")
+        _assign(r), f"label string, dim int, cell int, home boolean, id long, weight long, embedding {kind}"), "cells")
 
     cell = [*group, "cell"]
     blocks = (celled.groupBy(*cell).agg(F.count("*").alias("all"), F.count_if("home").alias("own"))
@@ -133,8 +159,9 @@ def near_duplicates(vectors: DataFrame, key: str = "vec_id", embedding: str = "e
     Equal vectors of a label are one class with a weight, so a group of copies is compared once.
     A cell is compared in blocks of bounded size whatever its share of the rows.
     """
+    kind = vectors.select(embedding).schema[0].dataType.simpleString()  # floats stay floats, all else is compared as doubles
     v = vectors.select(F.col(key).cast("long").alias("key"), F.col(label).cast("string").alias("label"),
-                       F.col(embedding).cast("array<float>").alias("embedding"))
+                       F.col(embedding).cast(kind if kind == "array<float>" else "array<double>").alias("embedding"))
     bad = F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     some = F.exists("embedding", lambda x: x != 0)
     good = F.coalesce(F.col("key").isNotNull() & F.col("label").isNotNull() & ~bad & some, F.lit(False))

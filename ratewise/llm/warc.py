@@ -4,9 +4,14 @@
 type and headers from the headers alone, and only decodes the payloads of records that pass, and
 only if the payload column is asked for. ``df.write.format("warc")`` writes one archive per task.
 
-Every record is a gzip member of its own whose extra field ``sl`` holds the member's compressed
-length (as the WARC standard's annex on compression proposes). A reader inflates a record's
+Every record is written as a gzip member of its own whose extra field ``sl`` holds the member's
+compressed length (as the WARC standard's annex on compression proposes). A reader inflates a record's
 headers first and steps over a payload that it does not want without inflating it.
+
+Other archives are read too: a folder without a manifest is any number of ``.warc`` and ``.warc.gz``
+files, one partition each, whose records are found by their ``Content-Length``; gzip members are
+inflated one after the other to find their end. A record that is cut off, has a wrong checksum or
+does not begin as one raises an error in its task; nothing is passed over.
 """
 
 from __future__ import annotations
@@ -76,39 +81,58 @@ def parse_headers(head: bytes) -> dict[str, str]:
     return {k.lower(): v.strip() for k, _, v in (x.partition(":") for x in lines[1:])}
 
 
+def _values(head: bytes) -> dict:
+    got = parse_headers(head)
+    row = {c: got.get(h.lower()) for c, h in _HEADERS.items()}
+    for c in _NUMBERS:
+        row[c] = int(row[c]) if row[c] is not None else None
+    return row
+
+
+def _some(file, n: int) -> bytes:
+    """At least one byte, at most ``n``; an end here is a fault."""
+    data = file.read(n)
+    if not data:
+        raise ValueError("the archive ends within a record")
+    return data
+
+
 def records(file, start: int, end: int, wanted, payloads: bool) -> Iterator[tuple[dict, str | None]]:
-    """(column values, payload) of the wanted records whose members start in [start, end)."""
+    """(column values, payload) of the wanted records whose members start in [start, end), for
+    archives of this module. A payload that is decoded is checked against its member's checksum."""
     file.seek(start)
     at = start
     while at < end:
         fixed = file.read(10 + _EXTRA.size)
-        if len(fixed) < 10 + _EXTRA.size:
+        if not fixed:
             return
+        if len(fixed) < 10 + _EXTRA.size:
+            raise ValueError("the archive ends within a record")
         if fixed[:4] != b"\x1f\x8b\x08\x04" or fixed[12:14] != b"sl":
-            raise ValueError("a gzip member without its length: write the archive with this module")
+            raise ValueError("a gzip member without its length in an archive with a manifest")
         size = _EXTRA.unpack(fixed[10:])[3]
         left = size - len(fixed) - 8
-        inflate, head, first = zlib.decompressobj(-15), b"", min(left, 1024)
-        data = file.read(first)
-        left -= first
-        head += inflate.decompress(data, 2048)
-        while b"\r\n\r\n" not in head:  # long headers
+        inflate, head = zlib.decompressobj(-15), b""
+        while b"\r\n\r\n" not in head:
             more = inflate.unconsumed_tail
             if not more:
-                more = file.read(min(left, 4096))
+                if inflate.eof or left <= 0:
+                    raise ValueError("a record without the blank line after its headers")
+                more = _some(file, min(left, 1024 if not head else 4096))
                 left -= len(more)
             head += inflate.decompress(more, 4096)
         cut = head.index(b"\r\n\r\n")
-        got = parse_headers(head[:cut])
-        row = {c: got.get(h.lower()) for c, h in _HEADERS.items()}
-        for c in _NUMBERS:
-            row[c] = int(row[c]) if row[c] is not None else None
+        row = _values(head[:cut])
         if wanted(row):
             payload = None
             if payloads:
                 rest = file.read(left)
-                left = 0
                 block = head + inflate.decompress(inflate.unconsumed_tail + rest) + inflate.flush()
+                trailer = file.read(8)
+                if len(rest) < left or len(trailer) < 8 or not inflate.eof:
+                    raise ValueError("the archive ends within a record")
+                if struct.unpack("<LL", trailer) != (zlib.crc32(block), len(block) & 0xFFFFFFFF):
+                    raise ValueError(f"record {row['record_id']}: wrong checksum")
                 body = block[cut + 4:-4]
                 if len(body) != row["content_length"]:
                     raise ValueError(f"record {row['record_id']}: {len(body)} bytes, {row['content_length']} announced")
@@ -118,6 +142,64 @@ def records(file, start: int, end: int, wanted, payloads: bool) -> Iterator[tupl
         file.seek(at)
 
 
+class _Inflated:
+    """The bytes of a file of gzip members as one stream; zlib checks every member's checksum."""
+
+    def __init__(self, file):
+        self.file, self.inflate, self.raw, self.fresh = file, zlib.decompressobj(31), b"", True
+
+    def read(self, n: int) -> bytes:
+        while True:
+            if not self.raw:
+                self.raw = self.file.read(1 << 16)
+                if not self.raw:
+                    if not self.fresh:
+                        raise ValueError("the archive ends within a gzip member")
+                    return b""
+            try:
+                data = self.inflate.decompress(self.raw, n)
+            except zlib.error as e:
+                raise ValueError(f"a damaged gzip member: {e}") from e
+            self.fresh = False
+            if self.inflate.eof:
+                self.raw, self.inflate, self.fresh = self.inflate.unused_data, zlib.decompressobj(31), True
+            else:
+                self.raw = self.inflate.unconsumed_tail
+            if data:
+                return data
+
+
+def any_records(file, compressed: bool, wanted, payloads: bool) -> Iterator[tuple[dict, str | None]]:
+    """(column values, payload) of the wanted records of any archive, from its beginning. Unwanted
+    payloads are stepped over piece by piece. Bytes of a payload that are no UTF-8 become U+FFFD."""
+    source, held = (_Inflated(file) if compressed else file), b""
+    while True:
+        while not held.strip(b"\r\n"):  # blank lines between records
+            held = source.read(1 << 16)
+            if not held:
+                return
+        held = held.lstrip(b"\r\n")
+        while b"\r\n\r\n" not in held:
+            if len(held) >= 5 and not held.startswith(b"WARC/") or len(held) > 1 << 24:
+                raise ValueError(f"not a WARC record: {held[:40]!r}")
+            held += _some(source, 1 << 16)
+        head, _, held = held.partition(b"\r\n\r\n")
+        row = _values(head)
+        if row["content_length"] is None:
+            raise ValueError(f"record {row['record_id']}: no Content-Length")
+        want, parts, left = wanted(row), [], row["content_length"]
+        while True:
+            if want and payloads:
+                parts.append(held[:left])
+            used = min(left, len(held))
+            held, left = held[used:], left - used
+            if not left:
+                break
+            held = _some(source, 1 << 16)
+        if want:
+            yield row, b"".join(parts).decode("utf-8", "replace") if payloads else None
+
+
 _TESTS = {EqualTo: lambda x, v: x == v, In: lambda x, v: x in v, GreaterThan: lambda x, v: x > v,
           GreaterThanOrEqual: lambda x, v: x >= v, LessThan: lambda x, v: x < v, LessThanOrEqual: lambda x, v: x <= v,
           IsNotNull: lambda x, v: True}
@@ -128,6 +210,7 @@ class Stretch(InputPartition):
     path: str
     start: int
     end: int
+    own: bool = True
 
 
 class WarcReader(DataSourceReader):
@@ -146,7 +229,14 @@ class WarcReader(DataSourceReader):
                 yield f
 
     def partitions(self):
-        """Stretches of about ``splitBytes``, cut at offsets that the manifest names."""
+        """Stretches of about ``splitBytes``, cut at offsets that the manifest names; without a manifest
+        every archive of the folder (or the one file) is a partition."""
+        if not os.path.exists(os.path.join(self.path, MANIFEST)):
+            found = [self.path] if os.path.isfile(self.path) else sorted(
+                os.path.join(top, x) for top, _, names in os.walk(self.path) for x in names if x.endswith((".warc", ".warc.gz")))
+            if not os.path.exists(self.path):
+                raise FileNotFoundError(self.path)
+            return [Stretch(x, 0, os.path.getsize(x), False) for x in found] or [Stretch("", 0, 0)]
         with open(os.path.join(self.path, MANIFEST)) as f:
             files = json.load(f)["files"]
         out = []
@@ -166,7 +256,9 @@ class WarcReader(DataSourceReader):
             return
         payloads = "payload" in self.columns
         with open(partition.path, "rb") as f:
-            for row, payload in records(f, partition.start, partition.end, self.wanted, payloads):
+            found = (records(f, partition.start, partition.end, self.wanted, payloads) if partition.own
+                     else any_records(f, partition.path.endswith(".gz"), self.wanted, payloads))
+            for row, payload in found:
                 yield tuple(payload if c == "payload" else row[c] for c in self.columns)
 
 

@@ -8,6 +8,7 @@ import os
 import zlib
 
 import numpy as np
+import pytest
 
 import __spark_entry__ as entry
 import corpus_pipeline
@@ -64,6 +65,28 @@ def test_metric_join_matches_brute_force_over_many_cells(spark, monkeypatch):
     assert metricjoin.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_vectors_are_compared_in_double_precision(spark):
+    rows = [(1, [1.0, 0.0], 1), (2, [1e300, 0.0], 1), (3, [1e-60, 0.0], 1), (4, [2e-60, 1e-70], 1), (5, [0.0, 1.0], 1)]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in metricjoin.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()}
+    assert got == {1: (3, 1), 2: (3, 1), 3: (3, 1), 4: (3, 1), 5: (0, 5)}
+
+
+def test_cells_take_what_their_radius_and_border_allow(spark, monkeypatch):
+    """In many dimensions borders alone keep almost nothing out of a cell."""
+    monkeypatch.setattr(metricjoin, "PER_PIVOT", 16)
+    rnd = np.random.default_rng(5)
+    centres = metricjoin.unit(rnd.normal(size=(24, 64)))
+    x = metricjoin.unit(centres[rnd.integers(24, size=600)] + rnd.normal(size=(600, 64)) * 0.02)
+    rows = [(i, [float(c) for c in v], 1) for i, v in enumerate(x)]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in metricjoin.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()}
+    assert got == brute_vectors(rows)
+    p = x[:24]
+    far = np.maximum(2 - 2 * x @ p.T, 0)
+    radius = np.array([np.sqrt(far.min(axis=1)[far.argmin(axis=1) == j].max(initial=0)) for j in range(24)])
+    both = metricjoin.border(far, p, 0.2) & (far <= (radius + 0.2) ** 2 + metricjoin.SLACK)
+    assert both.sum() < 0.7 * metricjoin.border(far, p, 0.2).sum()
+
+
 def test_border_copies_every_near_vector():
     rnd = np.random.default_rng(2)
     p = metricjoin.unit(rnd.normal(size=(9, 5)))
@@ -204,3 +227,67 @@ def test_every_operator_is_registered():
         assert any(x.startswith(f"op{n}_") for x in names), n
     assert "pipeline" in names
     assert neardup.PERCENT == 80 and packing.CAPACITY == 2048
+
+
+# ---- any archive
+
+def warc_text(kind, body, headers=()):
+    head = [b"WARC/1.0", f"WARC-Type: {kind}".encode(), b"WARC-Record-ID: <urn:uuid:" + kind.encode() + b">",
+            b"WARC-Target-URI: http://example.org/", *headers, b"Content-Length: " + str(len(body)).encode()]
+    return b"\r\n".join(head) + b"\r\n\r\n" + body + b"\r\n\r\n"
+
+
+def test_archives_of_others_are_read(spark, tmp):
+    import gzip
+    body = "HTTP/1.1 200 OK\r\n\r\n<html>é</html>".encode() + b"x" * 200_000
+    parts = [warc_text("warcinfo", b"software: x"), warc_text("response", body), warc_text("request", b"GET /"), warc_text("response", b""),
+             warc_text("metadata", b"\xff\xfe", [b"WARC-Date: 2020-01-01T00:00:00Z", b"X-Long: " + b"y" * 5000])]
+    os.makedirs(f"{tmp}/any/below")
+    with open(f"{tmp}/any/plain.warc", "wb") as f:
+        f.write(b"".join(parts))
+    with open(f"{tmp}/any/below/members.warc.gz", "wb") as f:  # a member for each record, as public crawls have
+        f.write(b"".join(gzip.compress(p) for p in parts))
+    with open(f"{tmp}/any/one.warc.gz", "wb") as f:  # all in one member
+        f.write(gzip.compress(b"".join(parts)))
+    with open(f"{tmp}/any/empty.warc", "wb") as f:
+        pass
+    df = warc.read(spark, f"{tmp}/any")
+    assert df.rdd.getNumPartitions() == 4 and df.count() == 15
+    got = df.where("record_type = 'response'").collect()
+    assert len(got) == 6 and {len(r.payload) for r in got} == {0, len(body.decode())} and {r.target_uri for r in got} == {"http://example.org/"}
+    assert {r.payload for r in df.where("record_type = 'metadata'").collect()} == {"\ufffd\ufffd"}
+    narrow = warc.read(spark, f"{tmp}/any", "record_type string, content_length long").where("content_length > 100000").collect()
+    assert [r.content_length for r in narrow] == [len(body)] * 3
+    assert warc.read(spark, f"{tmp}/any/plain.warc").count() == 5
+
+
+@pytest.mark.parametrize("fault", ["cut", "member", "crc", "junk", "no blank", "no length"])
+def test_damaged_archives_raise(spark, tmp, fault):
+    import gzip
+    good = gzip.compress(warc_text("response", b"payload " * 500))
+    data = {"cut": warc_text("response", b"payload")[:-9], "member": good + good[:-30], "crc": good[:-8] + b"\0\0\0\0" + good[-4:],
+            "junk": b"hello world, no record at all", "no blank": b"WARC/1.0\r\nWARC-Type: response\r\n",
+            "no length": b"WARC/1.0\r\nWARC-Type: response\r\n\r\n"}[fault]
+    os.makedirs(f"{tmp}/bad")
+    with open(f"{tmp}/bad/x.warc" + (".gz" if fault in ("member", "crc") else ""), "wb") as f:
+        f.write(data)
+    with pytest.raises(Exception, match="archive ends|damaged gzip|not a WARC|no Content-Length"):
+        warc.read(spark, f"{tmp}/bad").collect()
+
+
+def test_own_archives_are_checked():
+    row = {c: None for c in warc._HEADERS} | {"record_id": "<urn:page:1>", "record_type": "response", "payload": "hello " * 100}
+    data = bytearray(warc.record(row))
+    every = lambda d: list(warc.records(io.BytesIO(bytes(d)), 0, len(d), lambda r: True, True))
+    assert every(data)[0][1] == "hello " * 100
+    wrong = data.copy()
+    wrong[-6] ^= 1  # the checksum
+    cut = data[:-40]
+    block = b"WARC/1.1\r\nno blank line"
+    pack = zlib.compressobj(1, zlib.DEFLATED, -15)
+    body = pack.compress(block) + pack.flush()
+    endless = (warc._HEAD.pack(b"\x1f\x8b\x08\x04", 0, 0, 255) + warc._EXTRA.pack(12, b"sl", 8, 10 + warc._EXTRA.size + len(body) + 8, len(block))
+               + body + b"\0" * 8)
+    for bad, said in ((wrong, "checksum"), (cut, "ends within"), (endless, "blank line"), (data[:5], "ends within")):
+        with pytest.raises(ValueError, match=said):
+            every(bad)
