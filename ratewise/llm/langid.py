@@ -149,8 +149,13 @@ def lattices(words: list[str], pieces: Pieces, most: int = 2048):
 class Model:
     """Piece probabilities ``p[piece, language]``, with a memory of scored words."""
 
-    def __init__(self, pieces: dict[str, int], langs: list[str], p: np.ndarray, most: int = 800_000):
-        self.pieces, self.langs, self.p, self.most = pieces, langs, p, most
+    def __init__(self, pieces: dict[str, int], langs: list[str], p: np.ndarray, letters: list[str] | None = None, most: int = 800_000):
+        self.pieces, self.langs, self.p = pieces, langs, p
+        #: by language: the letters of the texts it was fitted on
+        self.letters = letters or [""] * len(langs)
+        self.own = {lang: set(x) for lang, x in zip(langs, self.letters)}
+        #: words held: the table and the words themselves take about 256 MB at most, whatever the languages
+        self.most = min(most, (256 << 20) // (8 * max(len(langs), 1) + 120))
         self.index = Pieces(pieces)
         self.forget()
 
@@ -196,6 +201,15 @@ class Model:
             yield self.langs[best], float(1 / np.exp(ll).sum())
 
 
+    def familiar(self, text: str | None, lang: str) -> float:
+        """The share of a text's letters that stand in texts of the language: an absolute measure, where
+        the posterior only compares the languages that were learned."""
+        low = unicodedata.normalize("NFC", text or "").lower()
+        counts = {c: low.count(c) for c in set(low) if c.isalpha()}
+        own = self.own.get(lang, ())
+        return sum(n for c, n in counts.items() if c in own) / max(sum(counts.values()), 1)
+
+
 def vocabulary(path: str) -> list[str]:
     """The pieces of a public sentencepiece model, without its control and byte pieces."""
     import sentencepiece
@@ -278,13 +292,15 @@ def fit(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", lan
         counts = np.zeros((len(pieces), len(langs)))
         counts[got["piece"], got["lang"]] = got["n"]
         p = _probabilities(counts)
-    return Model(pieces, langs, p)
+    letters = seen.select("lang", F.explode(F.array_distinct(F.split("word", ""))).alias("c")).groupBy("lang").agg(F.collect_set("c").alias("cs"))
+    own = {r["lang"]: "".join(sorted(c for c in r["cs"] if c.isalpha())) for r in letters.collect()}  # an alphabet a language
+    return Model(pieces, langs, p, [own.get(x, "") for x in langs])
 
 
 _MODELS: dict[str, Model] = {}
 
 
-def _score(shared, keep, text):
+def _score(shared, keep, text, familiar):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = _MODELS.get(shared.value[0])
         if model is None:  # one model at a time, with its memory, for all tasks of a worker
@@ -295,21 +311,26 @@ def _score(shared, keep, text):
             got = [x for i in range(0, len(texts), 256) for x in model.predict(texts[i:i + 256])]
             columns = [b.column(c) for c in keep]
             columns += [pa.array([x for x, _ in got], pa.string()), pa.array([s for _, s in got], pa.float64())]
-            yield pa.RecordBatch.from_arrays(columns, [*keep, "lang_pred", "score"])
+            if familiar:
+                columns.append(pa.array([model.familiar(t, x) for t, (x, _) in zip(texts, got)], pa.float64()))
+            yield pa.RecordBatch.from_arrays(columns, [*keep, "lang_pred", "score", *["familiar"] * familiar])
     return run
 
 
-def identify(docs: DataFrame, model: Model, keep: list[str] | None = None, text: str = "text") -> DataFrame:
+def identify(docs: DataFrame, model: Model, keep: list[str] | None = None, text: str = "text", familiar: bool = False) -> DataFrame:
     """The columns ``keep`` (``doc_id`` by default), ``lang_pred`` and ``score``, one row per row of
     ``docs``: a language of the model and its posterior probability; ``und`` and 0 if the text is
-    null or has no letter, or the model knows no language. Ties go to the first language by name.
+    null or has no letter, or the model knows no language. Ties go to the first language by name. With
+    ``familiar`` there is a column of that name: the share of the text's letters that the predicted
+    language has, which is near 0 for a script that was not learned, however sure the score.
     Null keys and repeated rows are scored like any other. Columns of ``docs`` called ``lang_pred``
     or ``score`` are replaced, other columns are ignored."""
     import uuid
 
     spark = docs.sparkSession
     ship(spark)
-    keep = [c for c in keep or ["doc_id"] if c not in ("lang_pred", "score")]
-    shared = spark.sparkContext.broadcast((uuid.uuid4().hex, model.pieces, model.langs, model.p))
-    schema = StructType([*[docs.schema[c] for c in keep], StructField("lang_pred", StringType()), StructField("score", DoubleType())])
-    return docs.select(*dict.fromkeys([*keep, text])).mapInArrow(_score(shared, keep, text), schema)
+    added = ["lang_pred", "score", *["familiar"] * familiar]
+    keep = [c for c in keep or ["doc_id"] if c not in added]
+    shared = spark.sparkContext.broadcast((uuid.uuid4().hex, model.pieces, model.langs, model.p, model.letters))
+    schema = StructType([*[docs.schema[c] for c in keep], *[StructField(c, StringType() if c == "lang_pred" else DoubleType()) for c in added]])
+    return docs.select(*dict.fromkeys([*keep, text])).mapInArrow(_score(shared, keep, text, familiar), schema)

@@ -64,7 +64,7 @@ def targets(cell: DataFrame, dim: str, temperature: float, shares: dict | DataFr
     the present shares to the power ``temperature``."""
     if shares is not None:
         if isinstance(shares, dict):
-            shares = cell.sparkSession.createDataFrame(list(shares.items()), "k string, share double")
+            shares = cell.sparkSession.createDataFrame([(k, float(x)) for k, x in shares.items()], "k string, share double")
         total = cell.agg(F.sum("base").alias("all")).join(F.broadcast(shares.agg(F.sum("share").alias("shares"))))  # one row
         return shares.join(F.broadcast(total)).select("k", (F.col("share") / F.col("shares") * F.col("all")).alias("goal"))
     now = cell.groupBy(dim).agg(F.sum("base").alias("b"))

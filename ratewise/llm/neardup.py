@@ -3,7 +3,9 @@
 Each distinct shingle set gets one signature per tree, a short sequence of min-hashes. Sorting the
 documents by a tree's signature puts documents with a long common prefix beside each other; a run
 with the same prefix is a region. Regions start at depth ``DEPTHS[0]``; where a region holds many
-documents the depth grows, so that its documents meet their closest neighbours first.
+documents the depth grows, so that its documents meet their closest neighbours first; where a document
+has no neighbour at that depth in any tree, the depth falls to ``SHALLOW`` for it, and it meets those
+with which its longest common prefixes are shorter.
 
 The work is linear in the documents even inside a group of thousands of near copies:
 
@@ -12,10 +14,12 @@ The work is linear in the documents even inside a group of thousands of near cop
    the region reaches; the pairs are confirmed on full sets and joined to components;
 3. pairs of one region that are still in different components are compared exhaustively: in small
    regions as rows, whose likely pairs are confirmed on full sets; in large ones as blocks of full
-   sets, each of which hands on a star for every linked set and not all its links.
+   sets, each of which hands on a star for every linked set and not all its links;
+4. a class that is alone at depth 4 in all trees is paired with all that share its shallow regions.
 
-Step 3 leaves no pair of a region out, so a link is lost only if its documents share no region in
-any tree: at similarity 0.8 that is (1 - 0.8**4)**16 = 0.02 %, at 0.85 0.0008 %.
+Steps 3 and 4 leave no pair of a region out, so a link is lost only if its documents share no region
+of depth 4 and one of them another's, which is less than (1 - 0.8**4)**16 = 0.02 % at similarity 0.8
+and 0.0008 % at 0.85, or both are alone and share no shallow region: (1 - 0.8**2)**16, less than 1e-7.
 """
 
 from __future__ import annotations
@@ -36,6 +40,8 @@ from .components import components, local_roots
 TREES = 16
 #: Region depths in min-hashes; the last is the length of a tree's signature.
 DEPTHS = (4, 6, 8)
+#: Depth for classes without a neighbour at ``DEPTHS[0]`` in any tree.
+SHALLOW = 2
 #: A region with more classes than this goes deeper, and is compared in blocks.
 LARGE = 32
 #: Classes in a block.
@@ -129,6 +135,23 @@ def regions(classes: DataFrame, members: DataFrame | None, level: int) -> DataFr
     return stored(rows.join(size, "region"), f"regions{level}")
 
 
+def lonely_pairs(classes: DataFrame, deep: DataFrame) -> DataFrame:
+    """Pairs (a, b) of classes that share a region of depth ``SHALLOW``, one of which at least has no
+    region of depth ``DEPTHS[0]`` (``deep``) with another class.
+
+    A class with many neighbours of some likeness has one at the greater depth too, so regions that hold
+    a lonely class are small, and all their pairs with it are made."""
+    alone = stored(classes.join(deep.select("id").distinct(), "id", "left_anti").select("id", F.lit(True).alias("alone")), "alone")
+    width, depth = 4 * DEPTHS[-1], 4 * SHALLOW
+    rows = classes.join(alone, "id", "left").select("id", "alone", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"), "sig")
+    rows = rows.select("id", "alone", F.xxhash64("tree", F.expr(f"substring(sig, tree * {width} + 1, {depth})")).alias("region"))
+    some = rows.groupBy("region").agg(F.count("*").alias("n"), F.bool_or("alone").alias("any")).where("n > 1 AND any").select("region")
+    rows = stored(rows.join(some, "region"), "shallow")
+    pairs = (rows.where("alone").select("region", F.col("id").alias("x"))
+             .join(rows.select("region", F.col("id").alias("y")), "region").where("x <> y"))
+    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+
+
 @pandas_udf(DoubleType())
 def _likeness(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([np.mean(np.frombuffer(x, "<u4") == np.frombuffer(y, "<u4")) for x, y in zip(a, b)], dtype="float64")
@@ -283,7 +306,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     links = stored(confirmed(_likely(stars, classes), named, reps, words), "links")
     comp = components(links, "a", "b").select(F.col("node").alias("id"), "root")
 
-    rest = _likely(_small_cross(levels[0], comp).distinct(), classes)
+    rest = _likely(_small_cross(levels[0], comp).union(lonely_pairs(classes, levels[0])).distinct(), classes)
     links = (links.union(confirmed(rest, named, reps, words))
              .union(_large_cross(levels[0], comp, named, reps, words)))
     # rows that repeat a key with other texts are one document: the key links their classes
