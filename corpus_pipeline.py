@@ -14,21 +14,25 @@ from ratewise.llm.common import stored, table
 from ratewise.llm.queries import PIECES, WORD_TOKENIZER
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
-#: A language is accepted from this posterior probability on.
+#: A language is accepted from this posterior probability on ...
 LEAST_SCORE = 0.5
+#: ... if at least this share of the text's letters are letters of it: the posterior only compares the
+#: languages that were learned, and is sure of one of them for any text in a script of none.
+LEAST_FAMILIAR = 0.5
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without an accepted language go; a null ``lang`` is filled with the prediction.
 
-    Text that is null or has no letter has no language. The model is fitted on the documents that
+    Text that is null or has no letter, or is mostly in letters that the language does not have, has no
+    accepted language. The model is fitted on the documents that
     have a ``lang``; if none has, nothing can be identified and nothing is rejected.
     """
     model = langid.fit(docs, PIECES)
     if not model.langs:
         return docs.select(*COLUMNS)
-    found = langid.identify(docs, model, keep=COLUMNS)
-    return (found.where((F.col("lang_pred") != langid.UNDETERMINED) & (F.col("score") >= LEAST_SCORE))
+    found = langid.identify(docs, model, keep=COLUMNS, familiar=True)
+    return (found.where((F.col("lang_pred") != langid.UNDETERMINED) & (F.col("score") >= LEAST_SCORE) & (F.col("familiar") >= LEAST_FAMILIAR))
             .withColumn("lang", F.coalesce("lang", "lang_pred")).select(*COLUMNS))
 
 
@@ -56,12 +60,15 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents sampled so that the token shares of sources, languages and topics meet the
-    targets, ``mixing.KEEP`` of the tokens. The sample is the stage's purpose; nothing else is dropped."""
+    targets, ``mixing.KEEP`` of the tokens. The sample is the stage's purpose; nothing else is dropped.
+    Text that is null or blank has no token, belongs to no cell and is not sampled; a null source or
+    language is a value of its own; rows that repeat an id are sampled together."""
     return mixing.mix(docs, sweeps=None, keep=mixing.KEEP).where("sampled").select(*COLUMNS)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of the documents and their places in the training sequences."""
+    """The pieces of the documents and their places in the training sequences. Null or empty text is one
+    piece, the end id alone; rows that repeat an id are packed each; an empty table gives no rows."""
     return packing.pack(docs, WORD_TOKENIZER)
 
 
