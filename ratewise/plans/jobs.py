@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import porter2
 from ..functions import text as tx
 from ..operators import dedup, density, prep, stats, terms
 from ..operators import recommend as rc
@@ -44,23 +45,33 @@ def load_job(spark: SparkSession, src: str, out: str, rejects: str | None = None
             "written": got["distinct"] - got["rejected"]}
 
 
-def clean_reviews(df: DataFrame) -> DataFrame:
+def clean_reviews(df: DataFrame, stemmer: str = "plural") -> DataFrame:
     """F2 transform: required fields present, verified only, summary merged into the text, feedback
     label, one row per (asin, reviewer, time) - which exact duplicates share, so they need no step
     of their own -, vote parsed and filled with the global mean, text lower-cased, tokenised and
-    stemmed."""
+    stemmed.
+
+    ``stemmer="plural"`` folds plurals token by token in place (no shuffle); ``"english"`` is the full
+    English stemmer (T10): stems of the vocabulary, joined to the tokens."""
+    if stemmer not in ("plural", "english"):
+        raise ValueError(f"unknown stemmer {stemmer}")
     df = prep.drop_incomplete(df, REQUIRED)
     df = prep.label_feedback(prep.merge_summary(prep.only_verified(df)))
     df = dedup.drop_duplicate_reviews(df)
     df = prep.fill_vote_global(df)
-    return df.withColumn("reviewText", tx.clean_text("reviewText", "stem"))
-
-
-def clean_load_job(spark: SparkSession, src: str, out: str) -> DataFrame:
-    """read, clean, check, write clustered by reviewer (fast per-user reads). Returns the
-    rejected rows."""
-    df = clean_reviews(io.read_reviews(spark, src))
-    return io.write_table(df, out, contract=CLEAN_CONTRACT, cluster_by="reviewerID")
+    if stemmer == "plural":
+        return df.withColumn("reviewText", tx.clean_text("reviewText", "stem"))
+    names = df.columns
+    tokens = cut_lineage(df.withColumns({"_tokens": tx.tokenize(tx.lower("reviewText")), "_key": F.struct(*dedup.REVIEW_KEY)}).drop("reviewText"))
+    mapped = terms.map_terms(tokens, "_key", "_tokens", porter2.english_mapping(terms.vocabulary(tokens, "_tokens")))
+    return mapped.withColumn("reviewText", tx.join_tokens("_tokens")).select(*names)
+
+
+def clean_load_job(spark: SparkSession, src: str, out: str, stemmer: str = "plural") -> DataFrame:
+    """read, clean, check, write clustered by reviewer and indexed (fast per-user reads). Returns
+    the rejected rows."""
+    df = clean_reviews(io.read_reviews(spark, src), stemmer)
+    return io.write_table(df, out, contract=CLEAN_CONTRACT, cluster_by="reviewerID", index=["reviewerID"])
 
 
 def density_filter_job(spark: SparkSession, src: str, out: str, since_ts: int = prep.SINCE_2013,

@@ -16,7 +16,7 @@ from . import jobs
 from .language_queries import _COUNTS, _vocabulary
 from .profile_queries import R
 from .recommend_queries import _ratings, _requested, _split
-from .registry import oracle, query
+from .registry import ORACLES, oracle, query
 from .stream_queries import BIAS_TOP10_SQL, _decoded_rows
 
 VOTE_SQL = "try_cast(replace(vote, ',', '') AS DOUBLE)"
@@ -164,3 +164,37 @@ def q_sample_user_history(spark, sf):
     ratings = _ratings(spark, sf)
     user = rc.sample_user(ratings).first()["reviewerID"]
     return prep.to_float32(prep.history_of(ratings, user)).select("reviewerID", "asin", "overall", "unixReviewTime")
+
+
+#: Tables of the profile job with the query that states each, its columns, and which of them are doubles.
+PROFILE = {
+    "top_products": ("top_products", "asin n", ""),
+    "verified_counts": ("verified_counts", "verified n", ""),
+    "rating_histogram": ("rating_histogram", "bin lower upper n", "lower upper"),
+    "vote_histogram": ("vote_histogram", "bin lower upper n", "lower upper"),
+    "review_length_histogram": ("review_length_histogram", "bin lower upper n", "lower upper"),
+    "mean_rating": ("mean_rating", "mean_rating", "mean_rating"),
+    "best_rated": ("best_rated", "asin reviewerID overall unixReviewTime", "overall"),
+    "worst_rated": ("worst_rated", "asin reviewerID overall unixReviewTime", "overall"),
+    "top_terms_by_rating": ("top_terms_by_rating", "overall term n rank", "overall"),
+    "term_cloud": ("term_cloud_weights", "word n rank weight", "weight"),
+    "top_terms": ("top_terms", "term n rank", ""),
+    "top_bigrams": ("top_bigrams", "bigram n rank", ""),
+}
+
+
+def _line_sql(table_: str) -> str:
+    of, columns, doubles = PROFILE[table_]
+    parts = [f"CAST(CAST({c} AS DECIMAL(20, 6)) AS VARCHAR)" if c in doubles.split() else f"CAST({c} AS VARCHAR)" for c in columns.split()]
+    return f"SELECT '{table_}' AS tbl, concat_ws('|', {', '.join(parts)}) AS line FROM ({ORACLES[of]})"
+
+
+@query("eda_job", "\nUNION ALL ".join(map(_line_sql, PROFILE)))
+def q_eda_job(spark, sf):
+    """the tables of the profile job as lines."""
+    made, out = jobs.eda_tables(R(spark, sf, True)), None
+    for name, (_, columns, doubles) in PROFILE.items():
+        parts = [F.col(c).cast("decimal(20,6)").cast("string") if c in doubles.split() else F.col(c).cast("string") for c in columns.split()]
+        lines = made[name].select(F.lit(name).alias("tbl"), F.concat_ws("|", *parts).alias("line"))
+        out = lines if out is None else out.unionByName(lines)
+    return out

@@ -93,3 +93,13 @@ def test_likelihood_ratio_is_dunnings(spark):
     df = spark.createDataFrame(rows, "k double, a double, b double, n double")
     got = [r.x for r in df.select(sentences.log_likelihood(*map(F.col, "kabn")).alias("x")).collect()]
     assert all(abs(g - plain(*r)) < 1e-9 for g, r in zip(got, rows))
+
+
+def test_the_clean_job_stems_with_either_stemmer(spark):
+    from ratewise.plans import jobs
+    rows = [("A", "U1", 1, 5.0, True, "Running dogs' happily", "Generously", "3"), ("A", "U2", 2, 1.0, True, "", None, None), ("B", "U1", 3, 4.0, False, "x", "y", "1")]
+    df = spark.createDataFrame(rows, "asin string, reviewerID string, unixReviewTime int, overall double, verified boolean, reviewText string, summary string, vote string")
+    for stemmer, want in (("plural", "running dogs' happily generously"), ("english", "run dog happili generous")):
+        out = jobs.clean_reviews(df, stemmer)
+        got = {r.reviewerID: r.reviewText for r in out.collect()}
+        assert got == {"U1": want, "U2": ""} and out.columns == jobs.clean_reviews(df).columns
