@@ -16,6 +16,7 @@ from pyspark.sql.window import Window
 from ..session import scratch_path
 
 _SHIPPED: set[str] = set()
+_STORED: list[str] = []
 
 
 def ship(spark: SparkSession) -> None:
@@ -44,10 +45,26 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    _STORED.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stored_so_far() -> int:
+    """A mark for :func:`drop_stored`."""
+    return len(_STORED)
+
+
+def drop_stored(spark: SparkSession, since: int, keep: int = 0) -> None:
+    """Delete the tables that :func:`stored` has written since the mark, but the last ``keep`` of them.
+    For callers that have written what was made from them; nothing else is ever deleted."""
+    gone = _STORED[since:len(_STORED) - keep]
+    del _STORED[since:len(_STORED) - keep]
+    for name in gone:
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """``name``, or with as many underscores as it takes, so that ``df`` has no such column."""
     taken = {c.lower() for c in df.columns}

@@ -23,7 +23,7 @@ LAW = "bytes"
 #: Groups above total / (shards * SINGLE) bytes are scheduled one by one: fewer than shards * SINGLE.
 SINGLE = 500
 #: Below this a class is one exact size; above, sizes that agree in their leading 9 bits
-#: (0.2 % apart): fewer than 30,000 classes for any corpus.
+#: (0.4 % apart): fewer than 15,000 classes for any corpus.
 EXACT = 1 << 9
 #: Groups with more than 1 / HOT of all rows, fewer than HOT, reach their rows by broadcast.
 HOT = 1000
