@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratewise.llm import langid, linededup, mixing, neardup, packing
-from ratewise.llm.common import stored, table
+from ratewise.llm.common import drop_stored, stored, stored_so_far, table
 from ratewise.llm.queries import PIECES, WORD_TOKENIZER
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -81,9 +81,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select(*COLUMNS)
+    docs, mark = table(spark, sf_dir, "documents").select(*COLUMNS), stored_so_far()
     for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k + 1 < len(STAGES):
             docs = stored(docs, f"pipeline-{name}")
+            drop_stored(spark, mark, keep=1)  # the stage's own tables and its input are not read again
     return docs
