@@ -12,7 +12,7 @@ from ..session import scratch_path
 from ..sources import reviews as io
 from ..sources.fixtures import table
 from ..streaming import messages as ms
-from . import jobs
+from . import job_queries, jobs
 from .language_queries import _COUNTS, _vocabulary
 from .profile_queries import R
 from .recommend_queries import _ratings, _requested, _split
@@ -166,6 +166,26 @@ def q_sample_user_history(spark, sf):
     return prep.to_float32(prep.history_of(ratings, user)).select("reviewerID", "asin", "overall", "unixReviewTime")
 
 
+@query("quarantined_rows", oracle("""
+SELECT asin, reviewerID, unixReviewTime FROM reviews WHERE substr(md5(reviewerID), 1, 1) = '0'""", text=True))
+def q_quarantined_rows(spark, sf):
+    """The lines that are set aside, by the fields that stand in them."""
+    _, bad = io.read_reviews(spark, job_queries._dump(spark, sf), quarantine=True)
+    return bad.select(F.regexp_extract("line", r'^\{"asin":"(B[0-9]+)"', 1).alias("asin"), F.regexp_extract("line", '"reviewerID":"(U[0-9]+)"', 1).alias("reviewerID"),
+                      F.regexp_extract("line", '"unixReviewTime":(-?[0-9]+)[^"]*("vote":"[^"]*")?[^"]*$', 1).cast("int").alias("unixReviewTime"))
+
+
+@query("loaded_rows", oracle(f"""
+SELECT DISTINCT asin, overall, verified, reviewerID, summary, unixReviewTime, vote, md5(reviewText) AS text_md5 FROM reviews
+WHERE {job_queries._FULL}""", text=True))
+def q_loaded_rows(spark, sf):
+    """the rows that the load job stores."""
+    out = scratch_path(spark, "loaded")
+    jobs.load_job(spark, job_queries._dump(spark, sf), out)
+    return spark.read.parquet(out).select("asin", "overall", "verified", "reviewerID", "summary", "unixReviewTime", "vote",
+                                          F.md5("reviewText").alias("text_md5"))
+
+
 #: Tables of the profile job with the query that states each, its columns, and which of them are doubles.
 PROFILE = {
     "top_products": ("top_products", "asin n", ""),
