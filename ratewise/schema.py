@@ -31,13 +31,6 @@ FILTERED_CONTRACT = {
     "asin": T.StringType(), "overall": T.DoubleType(), "reviewerID": T.StringType(),
 }
 
-RECOMMENDATION_SCHEMA = T.StructType([
-    T.StructField("reviewerID", T.StringType(), True),
-    T.StructField("rank", T.IntegerType(), True),
-    T.StructField("asin", T.StringType(), True),
-    T.StructField("score", T.DoubleType(), True),
-])
-
 MESSAGE_SCHEMA = T.StructType([
     T.StructField("asin", T.ArrayType(T.StringType()), True),
     T.StructField("overall", T.ArrayType(T.DoubleType()), True),
