@@ -86,22 +86,22 @@ def consume(spark: SparkSession, source: str, fmt: str = "json", topic: str = TO
 
     ``latest`` holds for the first start with a checkpoint only: messages that are published while the
     consumer is down are read after it. Kafka keeps that in its offsets. Files are told apart by their
-    modification time and the time of the first start, kept beside ``checkpoint``, which is then
-    required. ``fmt="log"`` reads a folder log (``folder_log.py``), whose offsets are positions."""
+    modification time and the time of the first start, kept beside ``checkpoint``; without one, every start
+    is a first start. ``fmt="log"`` reads a folder log (``folder_log.py``), whose offsets are positions."""
     if starting_offsets not in ("latest", "earliest"):
         raise ValueError(f"starting_offsets: {starting_offsets}")
     if fmt == "kafka":
         return (spark.readStream.format("kafka").option("kafka.bootstrap.servers", source)
                 .option("subscribe", topic).option("startingOffsets", starting_offsets).options(**options).load()
                 .select(F.col("key").cast("string"), F.col("value").cast("string")))
-    if starting_offsets == "latest" and not checkpoint:
-        raise ValueError("consuming from the latest message on needs the checkpoint of the query, to keep the start")
     if fmt == "log":
         from . import folder_log
+        if starting_offsets == "latest" and not checkpoint:
+            raise ValueError("reading a log from the latest message on needs the checkpoint of the query, to keep the start")
         return folder_log.read_stream(spark, source, starting_offsets, checkpoint)
     stream = spark.readStream.schema("key string, value string").format(fmt).options(**options).load(source)
     if starting_offsets == "latest":
-        start = F.timestamp_millis(F.lit(first_start(spark, checkpoint)))
+        start = F.timestamp_millis(F.lit(first_start(spark, checkpoint) if checkpoint else int(time.time() * 1000)))
         stream = stream.where(F.col("_metadata.file_modification_time") >= start)
     return stream.select("key", "value")
 

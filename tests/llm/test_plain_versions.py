@@ -198,3 +198,17 @@ def test_columns_with_the_names_of_steps_do_not_clash_in_mixing_and_lines(spark)
     assert all(mixed[c] == 7 for c in names) and mixed.tokens == 3
     lines = linededup.drop_boilerplate(df).collect()
     assert {r.text for r in lines} == {f"text {i}" for i in range(10)} and all(r[c] == 7 for r in lines for c in names)
+
+
+def test_very_long_texts_pass_through_mixing_lines_licences_and_archives(spark):
+    from ratewise.llm import licenses, linededup, warc
+    F = mixing.F
+    long = "x" * 2_000_000 + "\n" + "word " * 200_000 + "\nAll rights reserved.\nmenu"
+    rows = [(1, long)] + [(10 + i, f"menu\ntext {i}") for i in range(9)]
+    frame = docs(spark, rows)
+    assert {r.doc_id: r.tokens for r in mixing.mix(frame, sweeps=2).select("doc_id", "tokens").collect()}[1] == 200_005
+    out = {r.doc_id: r.n for r in linededup.drop_boilerplate(frame).select("doc_id", F.length("text").alias("n")).collect()}
+    assert out[1] == len(long) - len("\nmenu")
+    assert [(r.doc_id, r.rule) for r in licenses.scan(frame).collect()] == [(1, "all-rights-reserved")]
+    pages = frame.select(F.col("doc_id").alias("page_id"), F.lit("u").alias("url"), F.col("text").alias("html"))
+    assert {r.page_id: r.payload_bytes for r in warc.round_trip(pages).collect()}[1] == len(long)

@@ -224,7 +224,7 @@ def test_log_segments_are_whole_and_numbered(spark, tmp):
     with pytest.raises(ValueError):
         folder_log.end("s3a://bucket/log")
     with pytest.raises(ValueError):
-        ms.consume(spark, f"{tmp}/log")
+        ms.consume(spark, f"{tmp}/log", fmt="log")
 
 
 def test_null_entries_are_rejected(spark):
