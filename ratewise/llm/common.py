@@ -90,6 +90,8 @@ def numbered(rows: DataFrame, by: str, order: list[str], name: str) -> DataFrame
             .withColumn(name, F.col("place_") + F.col("shift_")).select(*rows.columns, name))
 
 
+#: Rows that a Python step sees at once.
+PART_ROWS = 1024
 _ARROW = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "boolean": pa.bool_(),
           "string": pa.string(), "binary": pa.binary(), "array<int>": pa.list_(pa.int32()), "array<long>": pa.list_(pa.int64())}
 
@@ -102,7 +104,9 @@ def map_frames(df: DataFrame, fn, schema: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         target = pa.schema([(name, _ARROW[kind]) for name, kind in fields])
         whole = {pa.int64(): pd.Int64Dtype()}
-        for out in fn(b.to_pandas(types_mapper=whole.get) for b in batches):
+        # a batch may hold thousands of long texts: they become Python objects in smaller parts
+        parts = (b.slice(lo, PART_ROWS) for b in batches for lo in range(0, b.num_rows, PART_ROWS))
+        for out in fn(b.to_pandas(types_mapper=whole.get) for b in parts):
             yield from pa.Table.from_pandas(out[target.names], target, preserve_index=False).to_batches()
 
     return df.mapInArrow(run, schema)

@@ -5,7 +5,7 @@ documents by a tree's signature puts documents with a long common prefix beside
 with the same prefix is a region. Regions start at depth ``DEPTHS[0]``; where a region holds many
 documents the depth grows, so that its documents meet their closest neighbours first; where a document
 has no neighbour at that depth in any tree, the depth falls to ``SHALLOW`` for it, and it meets those
-with which its longest common prefixes are shorter.
+beside it in the sorted orders, with which its common prefixes are the longest.
 
 The work is linear in the documents even inside a group of thousands of near copies:
 
@@ -15,11 +15,13 @@ The work is linear in the documents even inside a group of thousands of near cop
 3. pairs of one region that are still in different components are compared exhaustively: in small
    regions as rows, whose likely pairs are confirmed on full sets; in large ones as blocks of full
    sets, each of which hands on a star for every linked set and not all its links;
-4. a class that is alone at depth 4 in all trees is paired with all that share its shallow regions.
+4. a class that is alone at depth 4 in all trees is paired with its neighbours in the sorted orders of
+   the trees, down to a common prefix of ``SHALLOW``.
 
-Steps 3 and 4 leave no pair of a region out, so a link is lost only if its documents share no region
-of depth 4 and one of them another's, which is less than (1 - 0.8**4)**16 = 0.02 % at similarity 0.8
-and 0.0008 % at 0.85, or both are alone and share no shallow region: (1 - 0.8**2)**16, less than 1e-7.
+Step 3 leaves no pair of a region out, so a link is lost only if its documents share no region of
+depth 4 in any tree - (1 - 0.8**4)**16 = 0.02 % at similarity 0.8, 0.0008 % at 0.85 - and step 4 does
+not bring them together: one of them has another neighbour at depth 4, or others lie between them in
+all the trees.
 """
 
 from __future__ import annotations
@@ -34,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import DoubleType
 
-from .common import map_frames, ship, stored
+from .common import map_frames, numbered, ship, stored
 from .components import components, local_roots
 
 TREES = 16
@@ -136,20 +138,24 @@ def regions(classes: DataFrame, members: DataFrame | None, level: int) -> DataFr
 
 
 def lonely_pairs(classes: DataFrame, deep: DataFrame) -> DataFrame:
-    """Pairs (a, b) of classes that share a region of depth ``SHALLOW``, one of which at least has no
-    region of depth ``DEPTHS[0]`` (``deep``) with another class.
+    """Pairs (a, b) for classes that share no region of depth ``DEPTHS[0]`` (``deep``) with another class:
+    their neighbours in each tree's sorted signatures, where the longest common prefixes are, if these
+    are ``SHALLOW`` min-hashes or more. At most two a tree and class, so the work stays linear.
 
-    A class with many neighbours of some likeness has one at the greater depth too, so regions that hold
-    a lonely class are small, and all their pairs with it are made."""
+    Only runs of equal shallow prefixes that hold a lonely class are sorted. They are numbered in order,
+    and rows meet the next number, so a run of any size is spread over many tasks."""
     alone = stored(classes.join(deep.select("id").distinct(), "id", "left_anti").select("id", F.lit(True).alias("alone")), "alone")
     width, depth = 4 * DEPTHS[-1], 4 * SHALLOW
-    rows = classes.join(alone, "id", "left").select("id", "alone", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"), "sig")
-    rows = rows.select("id", "alone", F.xxhash64("tree", F.expr(f"substring(sig, tree * {width} + 1, {depth})")).alias("region"))
+    part = lambda t, lo, n: F.substring("sig", t * width + 1 + lo, n)
+    trees = F.array(*[F.struct(F.xxhash64(F.lit(t), part(t, 0, depth)).alias("region"), part(t, depth, width - depth).alias("rest"))
+                      for t in range(TREES)])
+    rows = (classes.select("id", trees.alias("trees")).join(alone, "id", "left")
+            .select("id", F.col("alone").isNotNull().alias("alone"), F.inline("trees")))
     some = rows.groupBy("region").agg(F.count("*").alias("n"), F.bool_or("alone").alias("any")).where("n > 1 AND any").select("region")
-    rows = stored(rows.join(some, "region"), "shallow")
-    pairs = (rows.where("alone").select("region", F.col("id").alias("x"))
-             .join(rows.select("region", F.col("id").alias("y")), "region").where("x <> y"))
-    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    order = stored(numbered(rows.join(some, "region"), "region", ["rest", "id"], "place").select("region", "place", "id", "alone"), "order")
+    after = order.select("region", (F.col("place") - 1).alias("place"), F.col("id").alias("next"), F.col("alone").alias("next_alone"))
+    pairs = order.join(after, ["region", "place"]).where("alone OR next_alone")
+    return pairs.select(F.least("id", "next").alias("a"), F.greatest("id", "next").alias("b")).distinct()
 
 
 @pandas_udf(DoubleType())
