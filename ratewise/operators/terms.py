@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
-from ..session import cut_lineage
+from ..session import cut_lineage, ship
 from .stats import top_k_per_group
 
 
@@ -178,6 +178,7 @@ def normaliser_mapping(vocab: DataFrame, make, term: str = "term") -> DataFrame:
         for words in batches:
             yield pd.Series([fn(w) for w in words], dtype=object)
 
+    ship(vocab.sparkSession)
     distinct = cut_lineage(vocab.select(F.col(term).alias("term")).where(F.col(term).isNotNull()).distinct())
     return cut_lineage(distinct.select("term", run("term").alias("replacement")))
 

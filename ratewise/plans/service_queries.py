@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import unicodedata
-
 from pyspark.sql import functions as F
 
 from ..operators import dedup, density, prep, stats, terms
@@ -12,7 +10,7 @@ from ..session import scratch_path
 from ..sources import reviews as io
 from ..sources.fixtures import table
 from ..streaming import messages as ms
-from . import job_queries, jobs
+from . import job_queries, jobs, profile_queries, text_queries  # noqa: F401  the profile job's SQL is theirs
 from .language_queries import _COUNTS, _vocabulary
 from .profile_queries import R
 from .recommend_queries import _ratings, _requested, _split
@@ -68,18 +66,19 @@ def q_described_columns(spark, sf):
                                              F.round("p50", 4).alias("median"), F.col("max").alias("high"))
 
 
-def _folded():
-    def fold(word: str) -> str:
-        return "".join(c for c in unicodedata.normalize("NFD", word) if not unicodedata.combining(c))
-    return fold
-
-
 @query("accent_folded_counts", oracle(f"""
 SELECT strip_accents(term) AS term, CAST(sum(n) AS BIGINT) AS n FROM ({_COUNTS}) GROUP BY 1"""))
 def q_accent_folded_counts(spark, sf):
     """A user's normaliser on the vocabulary."""
+    def make():
+        import unicodedata
+
+        def fold(word: str) -> str:
+            return "".join(c for c in unicodedata.normalize("NFD", word) if not unicodedata.combining(c))
+        return fold
+
     counts = _vocabulary(spark, sf)
-    return terms.map_vocabulary(counts, terms.normaliser_mapping(counts, _folded))
+    return terms.map_vocabulary(counts, terms.normaliser_mapping(counts, make))
 
 
 @query("recommendation_runs", oracle("SELECT run, reviewerID, rank, asin, score FROM (" + BIAS_TOP10_SQL.strip().replace(

@@ -7,6 +7,8 @@ joins (the size check is AQE's, against ``spark.sql.autoBroadcastJoinThreshold``
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 
@@ -64,6 +66,23 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers once per application, so that operators with a
+    Python step also work where the workers cannot see the driver's import path."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    top = os.path.dirname(os.path.abspath(__file__))
+    name = os.path.basename(top)
+    stage = tempfile.mkdtemp(prefix="ratewise-ship-")
+    shutil.copytree(top, os.path.join(stage, name), ignore=shutil.ignore_patterns("__pycache__"))
+    sc.addPyFile(shutil.make_archive(os.path.join(stage, f"{name}-src"), "zip", stage, name))
+    _SHIPPED.add(sc.applicationId)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the checkpoint folder, for tables written between jobs."""
     base = checkpoint_dir(spark).rstrip("/")

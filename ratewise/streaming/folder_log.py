@@ -11,13 +11,20 @@ from __future__ import annotations
 
 import json
 import os
+import sys
 import uuid
 from collections.abc import Iterator
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
 
+from ..session import ship
+
+# the process that plans a streaming source does not see files sent to the workers: the source goes to it whole
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 FORMAT = "ratewise_log"
 SCHEMA = "key string, value string"
 
@@ -57,6 +64,7 @@ def _publish(part: str, folder: str) -> None:
 def append(messages: DataFrame, path: str) -> None:
     """Publish (key, value) messages: tasks write the parts, the driver numbers them when all are whole.
     An attempt that fails leaves a part without a number, which no reader sees."""
+    ship(messages.sparkSession)
     folder, run = _local(path), uuid.uuid4().hex
     os.makedirs(folder, exist_ok=True)
 
@@ -138,6 +146,7 @@ class LogSource(DataSource):
 
 def read_stream(spark: SparkSession, path: str, starting_offsets: str = "latest", checkpoint: str | None = None) -> DataFrame:
     """(key, value) messages of a log. ``latest``: those after the first start with ``checkpoint``."""
+    ship(spark)
     spark.dataSource.register(LogSource)
     reader = spark.readStream.format(FORMAT).option("path", path).option("start", starting_offsets)
     if checkpoint:
