@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import shutil
-import tempfile
 from collections.abc import Iterator
 
 import pandas as pd
@@ -13,26 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..session import scratch_path
+from ..session import scratch_path, ship  # noqa: F401
 
-_SHIPPED: set[str] = set()
 _STORED: list[str] = []
 
 
-def ship(spark: SparkSession) -> None:
-    """Send this package to the Python workers once per application, so that operators with a
-    Python step also work where the workers cannot see the driver's import path."""
-    sc = spark.sparkContext
-    if sc.applicationId in _SHIPPED:
-        return
-    top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    name = os.path.basename(top)
-    stage = tempfile.mkdtemp(prefix="ratewise-ship-")
-    shutil.copytree(top, os.path.join(stage, name), ignore=shutil.ignore_patterns("__pycache__"))
-    sc.addPyFile(shutil.make_archive(os.path.join(stage, f"{name}-src"), "zip", stage, name))
-    _SHIPPED.add(sc.applicationId)
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
