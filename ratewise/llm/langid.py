@@ -154,8 +154,8 @@ class Model:
         #: by language: the letters of the texts it was fitted on
         self.letters = letters or [""] * len(langs)
         self.own = {lang: set(x) for lang, x in zip(langs, self.letters)}
-        #: words held: the table and the words themselves take about 256 MB at most, whatever the languages
-        self.most = min(most, (256 << 20) // (8 * max(len(langs), 1) + 120))
+        #: words held: the table and the words themselves take about 64 MB at most, whatever the languages
+        self.most = min(most, (64 << 20) // (8 * max(len(langs), 1) + 120))
         self.index = Pieces(pieces)
         self.forget()
 

@@ -63,7 +63,7 @@ _P = np.uint64(0x9E3779B97F4A7C15)
 _Q = np.uint64(0xD6E8FEB86659FD93)
 
 _WORD_HASH: dict[bytes, int] = {}
-_WORD_HASH_MOST = 400_000
+_WORD_HASH_MOST = 150_000
 
 
 def _word_hashes(words: list[bytes]) -> np.ndarray:

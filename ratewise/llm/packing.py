@@ -31,8 +31,9 @@ END_ID = 1
 #: them (all but the apostrophe, which starts contractions).
 SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
-#: Chunks whose ids are gathered at once.
-PART_CHUNKS = 1 << 20
+#: Texts that are split and coded at once, and chunks whose ids are gathered at once: both bound memory.
+PART_ROWS = 2048
+PART_CHUNKS = 1 << 17
 
 
 def _gather(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -61,7 +62,7 @@ class WordIds:
     remembered over columns; the memory is forgotten when it has ``most`` entries.
     """
 
-    def __init__(self, path: str, most: int = 600_000):
+    def __init__(self, path: str, most: int = 250_000):
         import os
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -172,7 +173,8 @@ def _cut(path: str, capacity: int, end_id: int):
         end = np.array([end_id], "<u4").tobytes()
         for b in batches:
             docs, at = b.column(0).to_pylist(), 0
-            for ids, offsets in words.columns(b.column(1)):
+            columns = (b.column(1).slice(lo, PART_ROWS) for lo in range(0, b.num_rows, PART_ROWS))
+            for ids, offsets in (x for c in columns for x in words.columns(c)):
                 rows = []
                 for lo, hi in zip(offsets[:-1].tolist(), offsets[1:].tolist()):
                     raw = ids[lo:hi].tobytes() + end
