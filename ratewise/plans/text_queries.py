@@ -143,12 +143,12 @@ def q_top_bigrams(spark, sf):
 
 @query("review_length_histogram", oracle(histogram_sql(f"len({EDA_SQL})", 20), text=True))
 def q_review_length_histogram(spark, sf):
-    return stats.histogram(R(spark, sf, True), F.size(tx.clean_tokens("reviewText", "eda")).cast("double"), 20)
+    return stats.histogram(R(spark, sf, True), tx.cleaned_length("reviewText"), 20)
 
 
 @query("review_length_kde", oracle(kde_sql(f"CAST(len({EDA_SQL}) AS DOUBLE)", 100), text=True))
 def q_review_length_kde(spark, sf):
-    return stats.kde(R(spark, sf, True), F.size(tx.clean_tokens("reviewText", "eda")).cast("double"), 100)
+    return stats.kde(R(spark, sf, True), tx.cleaned_length("reviewText"), 100)
 
 
 _VOCAB_SQL = f"""counts AS (SELECT term, count(*) AS n FROM (
