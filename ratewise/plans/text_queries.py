@@ -137,8 +137,7 @@ WITH c AS (SELECT bigram, count(*) AS n FROM (
 SELECT bigram, n, CAST(row_number() OVER (ORDER BY n DESC, bigram) AS INTEGER) AS rank FROM c ORDER BY n DESC, bigram LIMIT 25""",
                                   text=True))
 def q_top_bigrams(spark, sf):
-    df = R(spark, sf, True).select(tx.clean_tokens("reviewText", "eda").alias("tokens"))
-    return terms.top_bigrams(df, "tokens", 25, 10)
+    return terms.top_bigrams(R(spark, sf, True), k=25, min_count=10, text="reviewText")
 
 
 @query("review_length_histogram", oracle(histogram_sql(f"len({EDA_SQL})", 20), text=True))
