@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..session import scratch_path, ship  # noqa: F401
+from ..session import drop_folder, scratch_path, ship, shuffles_removed  # noqa: F401
 
 _STORED: list[str] = []
 
@@ -23,12 +23,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared scratch folder and read it back.
 
     Cuts the lineage: a lost executor makes Spark read the table again, not rebuild it, and a
-    step with Python or sampling in it runs exactly once.
+    step with Python or sampling in it runs exactly once. The shuffle files of the write go with it.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
     _STORED.append(path)
-    df.write.parquet(path)
+    with shuffles_removed(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -43,8 +44,7 @@ def drop_stored(spark: SparkSession, since: int, keep: int = 0) -> None:
     gone = _STORED[since:len(_STORED) - keep]
     del _STORED[since:len(_STORED) - keep]
     for name in gone:
-        path = spark._jvm.org.apache.hadoop.fs.Path(name)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        drop_folder(spark, name)
 
 
 def fresh(df: DataFrame, name: str) -> str:
