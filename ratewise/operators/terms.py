@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..session import cut_lineage, ship
-from . import pieces
+from . import coded, pieces
 from .stats import top_k_per_group
 
 
@@ -196,14 +196,21 @@ def normaliser_mapping(vocab: DataFrame, make, term: str = "term") -> DataFrame:
 
 
 def map_terms(df: DataFrame, key: str, tokens: str, mapping: DataFrame, out: str | None = None) -> DataFrame:
-    """T9-T11 on token arrays with a user table: explode with position, left-join the mapping,
-    rebuild each array in position order. Each group is one text (bounded by its length)."""
+    """T9-T11 on token arrays with a user table: the distinct terms of each chunk of rows are left-joined to
+    the mapping, and the arrays are rebuilt from their codes (``coded.py``); no token becomes a row.
+
+    Rows of the same key have the terms of all of them, by position and term; a null key has none."""
     out = out or tokens
-    exploded = df.select(key, F.posexplode(tokens).alias("pos", "term"))
-    mapped = exploded.join(mapping, "term", "left").select(
-        key, "pos", F.coalesce(F.col("replacement"), F.col("term")).alias("term"))
-    rebuilt = mapped.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("pos", "term"))).alias("_p"))
-    rebuilt = rebuilt.select(key, F.transform("_p", lambda s: s["term"]).alias(out))
-    base = df.drop(out) if out in df.columns else df
-    return (base.join(rebuilt, key, "left")
-            .withColumn(out, F.coalesce(F.col(out), F.array().cast("array<string>"))))
+    others = [c for c in df.columns if c not in (key, out)]
+    df = df.select(key, *others, F.when(F.col(key).isNotNull(), F.col(tokens)).alias("_tokens"))
+    rows, found = coded.encode(df, "_tokens")
+    words = found.join(mapping.select("term", "replacement"), "term", "left").select(
+        "_chunk", "_code", F.coalesce(F.col("replacement"), F.col("term")).alias("_word"))
+    mapped = coded.decode(rows, words, out)
+    twice = cut_lineage(rows.where(F.col(key).isNotNull()).groupBy(key).count().where("count > 1").select(key))
+    if twice.isEmpty():
+        return mapped
+    again = (mapped.join(twice, key, "left_semi").select(key, F.posexplode(out).alias("pos", "term"))
+             .groupBy(key).agg(F.array_sort(F.collect_list(F.struct("pos", "term"))).alias("_p")))
+    again = again.select(key, F.transform("_p", lambda s: s["term"]).alias("_all"))
+    return mapped.join(again, key, "left").withColumn(out, F.coalesce("_all", out)).drop("_all")
