@@ -2,8 +2,9 @@
 
 The published algorithm works on the marks of two regions, R1 and R2: a suffix is only cut if it lies
 in one of them. Both are offsets into the term that no step moves, so a step is an expression on (term,
-r1, r2), and each step is a projection of its own; no row leaves the JVM. Use it on a vocabulary and
-apply the resulting (term, replacement) table, so that every distinct word is stemmed once.
+r1, r2), and each step is a projection of its own; no row leaves the JVM. All steps together are more code
+than the JVM compiles as one method, so they are run apart and the stems are stored. Use it on a vocabulary
+and apply the resulting (term, replacement) table, so that every distinct word is stemmed once.
 """
 
 from __future__ import annotations
@@ -11,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import code_in_parts, stored
+
 # Fixed values of the published algorithm.
 VOWELS = "aeiouy"
 DOUBLES = ("bb", "dd", "ff", "gg", "mm", "nn", "pp", "rr", "tt")
@@ -115,7 +118,8 @@ def english_stem(terms: DataFrame, term: str = "term", out: str = "stem") -> Dat
     df = then(df, _by_suffix(w, four))
     e = _within(w, "r2_", "e") | (_within(w, "r1_", "e") & ~_cut(w, 1).rlike(_SHORT_END))
     df = then(df, F.when(w.endswith("e") & e, _cut(w, 1)).when(w.endswith("ll") & _within(w, "r2_", "l"), _cut(w, 1)).otherwise(w))
-    return df.select(*names, F.when(F.col("done_"), w).otherwise(F.lower(w)).alias(out))
+    with code_in_parts(terms.sparkSession):
+        return stored(df.select(*names, F.when(F.col("done_"), w).otherwise(F.lower(w)).alias(out)), "stems")
 
 
 def english_mapping(vocab: DataFrame, term: str = "term") -> DataFrame:

@@ -92,18 +92,29 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_LONGEST_METHOD = "spark.sql.codegen.hugeMethodLimit"
 
 
 @contextmanager
-def shuffles_removed(spark: SparkSession) -> Iterator[None]:
-    """Queries that are run inside delete their shuffle files when they end, not when the driver
-    collects garbage. For writes: what is written is read again, never the shuffles it came from."""
-    before = spark.conf.get(_CLEANUP, "false")
-    spark.conf.set(_CLEANUP, "true")
+def _set(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.set(_CLEANUP, before)
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
+def shuffles_removed(spark: SparkSession):
+    """Queries that are run inside delete their shuffle files when they end, not when the driver
+    collects garbage. For writes: what is written is read again, never the shuffles it came from."""
+    return _set(spark, _CLEANUP, "true")
+
+
+def code_in_parts(spark: SparkSession):
+    """For writes of long chains of expressions: a stage whose code as one method has more than 8,000 bytes,
+    which the JVM only interprets, is run operator by operator, whose code Spark cuts into short methods."""
+    return _set(spark, _LONGEST_METHOD, "8000")
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
