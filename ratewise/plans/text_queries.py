@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
-from ..operators import stats, terms
+from ..operators import cleaning, stats, terms
 from ..sources.fixtures import table
 from .profile_queries import R, histogram_sql, kde_sql
 from .registry import oracle, query
@@ -147,7 +147,7 @@ def q_review_length_histogram(spark, sf):
 
 @query("review_length_kde", oracle(kde_sql(f"CAST(len({EDA_SQL}) AS DOUBLE)", 100), text=True))
 def q_review_length_kde(spark, sf):
-    return stats.kde(R(spark, sf, True), tx.cleaned_length("reviewText"), 100)
+    return stats.kde(cleaning.cleaned_lengths(R(spark, sf, True)), "length", 100)
 
 
 _VOCAB_SQL = f"""counts AS (SELECT term, count(*) AS n FROM (

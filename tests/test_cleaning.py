@@ -1,0 +1,95 @@
+"""Texts that are cleaned and counted by their bytes are those of the column expressions."""
+
+import random
+
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from ratewise.functions import text as tx
+from ratewise.functions.stopwords import ENGLISH
+from ratewise.operators import cleaning
+
+BITS = ["the", "The", "THE", "a", "cats", "Cats,", "dog's", "don't", "naïve", "für", "ÄPFEL", "ÉS", "és", "ées", "İstanbul", "K", "theK", "٣", "the٣", "3", "3rd",
+        "--", "-", "_", "'tis", "\t", "a\tb", "cats\tdogs", "the of", "<", "<b>", "a<b", "c>d", "“quote”", "it’s", "日本", "日本s", "ſo", "é", "\x1c", "\x00", "a\x00",
+        "Straße", "𝒳", "😀", "ies", "ties", "aies", "ladies", "eies", "buses", "bus", "boss", "oes", "toes", "as", "ªs", "½", "¿que", "×", "×s", "\xa0", "a\xa0b",
+        "ourselves", "Themselves", "ourselvesx", "yourselves!", "ΑΣ", "αΣ1", "µs", "ÿs", "x…", "a–b", "they", "them", "th", "1the2"]
+
+
+def _texts(n=700):
+    rnd = random.Random(7)
+    return [rnd.choice(["", " ", "\n"]) + "".join(rnd.choice(BITS) + rnd.choice([" ", " ", "\n", "  ", ", ", "", "."]) for _ in range(rnd.randint(0, 25)))
+            for _ in range(n)] + [None, "", " ", "the", "the of", "\n\n"]
+
+
+def _same(spark, texts):
+    df = spark.createDataFrame([(i, t, float(i)) for i, t in enumerate(texts)], "i int, t string, d double").coalesce(2)
+    made = cleaning.cleaned_lengths(df, "t").groupBy("length").count()
+    assert sorted(map(str, made.collect())) == sorted(map(str, df.select(tx.cleaned_length("t").alias("length")).groupBy("length").count().collect()))
+    for profile in ("eda", "notebook", "stem"):
+        got = cleaning.clean_texts(df, "t", profile)
+        assert got.columns == df.columns
+        want = df.withColumn("t", tx.clean_text("t", profile)).orderBy("i").collect()
+        for a, b in zip(got.orderBy("i").collect(), want, strict=True):
+            assert a == b, (profile, texts[b.i])
+
+
+def test_odd_texts(spark):
+    _same(spark, _texts())
+
+
+def test_every_character(spark):
+    chars = [chr(c) for c in [*range(0x0, 0xD800), *range(0xE000, 0x10000), 0x10400, 0x1D7D8, 0x1F600, 0x20000]]
+    some = [f"A{c}S the{c} {c}The b{c}ies {c}s{c}" for c in chars]
+    _same(spark, [" ".join(some[i:i + 40]) if i < 0x3100 else "".join(some[i:i + 400]) for i in [*range(0, 0x3100, 40), *range(0x3100, len(some), 400)]])
+    df = spark.createDataFrame([(c, f"A{c}S the{c} {c}The b{c}ies {c}s{c}") for c in chars[:0x3100]], "c string, t string").repartition(4)
+    told = cleaning.clean_texts(df.withColumn("u", F.col("t")), "u", "eda").where(F.col("u") != tx.clean_text("t", "eda"))
+    assert told.collect() == []
+
+
+@pytest.mark.parametrize("size", [1, 40, 1 << 24])
+def test_parts_and_slices(monkeypatch, size):
+    from ratewise.operators import pieces
+    monkeypatch.setattr(pieces, "PART_BYTES", size)
+    texts = [None if i % 9 == 0 else f"The cats {i} of ladies " * (i % 5) for i in range(60)]
+    b = pa.RecordBatch.from_arrays([pa.array(range(60)), pa.array(texts)], ["i", "t"]).slice(3, 50)
+    words = cleaning._Words(ENGLISH)
+    got = pa.Table.from_batches(cleaning._clean(cleaning._DELETED, words, 1, ["i", "t"])(iter([b]))).to_pylist()
+    assert [r["t"] for r in got] == [None if i % 9 == 0 else " ".join(["cat lady"] * (i % 5)) for i in range(3, 53)]
+    assert [r["i"] for r in got] == list(range(3, 53)) and not any(r["_rest"] for r in got)
+    known = pa.Table.from_batches(cleaning._lengths(words)(iter([b.select(["t"])]))).to_pylist()
+    assert [r["known"] for r in known] == [None if i % 9 == 0 else 2 * (i % 5) for i in range(3, 53)]
+
+
+def test_no_token_becomes_an_object_in_ordinary_texts():
+    """What is left for the column expressions, which work token by token, is the odd text only."""
+    batch = pa.RecordBatch.from_arrays([pa.array(["The café’s “best” déjà vu – 3 stars!", "odd\tblank", "日本"])], ["t"])
+    words = cleaning._Words(ENGLISH)
+    (made,) = cleaning._clean(cleaning._DELETED, words, 0, ["t"])(iter([batch]))
+    assert made.column("_rest").to_pylist() == [None, "odd\tblank", "日本"]
+    (counted,) = cleaning._lengths(words)(iter([batch]))
+    assert counted.to_pylist() == [{"known": 6, "rest": None}, {"known": 0, "rest": "odd\tblank "}, {"known": 1, "rest": None}]
+
+
+def test_texts_that_are_no_utf8_go_on_whole():
+    bad = pa.array([b"fine", b"\xff\xfe", None, b"\xc3("], pa.binary()).view(pa.string())
+    words = cleaning._Words(ENGLISH)
+    (made,) = cleaning._lengths(words)(iter([pa.RecordBatch.from_arrays([bad], ["t"])]))
+    assert made.column("known").to_pylist() == [0, 0, None, 0] and made.column("rest").null_count == 1
+
+
+def test_the_profile_and_the_cleaning_jobs_do_not_clean_token_by_token(spark):
+    from ratewise.plans import jobs, text_queries
+    from ratewise.operators import stats
+    asked = []
+    before = stats._value_counts
+    try:
+        stats._value_counts = lambda df, value: asked.append(df) or before(df, value)
+        text_queries.q_review_length_kde(spark, "/root/testdata/sf0.001")
+        text_queries.q_review_length_histogram(spark, "/root/testdata/sf0.001")
+    finally:
+        stats._value_counts = before
+    df = spark.createDataFrame([("B1", 5.0, True, "good cats", "U1", "s", 1, "3")],
+                               "asin string, overall double, verified boolean, reviewText string, reviewerID string, summary string, unixReviewTime int, vote string")
+    for made in (*asked, jobs.notebook_clean(df), jobs.clean_reviews(df)):
+        assert "MapInArrow" in made._jdf.queryExecution().optimizedPlan().toString()
