@@ -142,7 +142,7 @@ def q_top_bigrams(spark, sf):
 
 @query("review_length_histogram", oracle(histogram_sql(f"len({EDA_SQL})", 20), text=True))
 def q_review_length_histogram(spark, sf):
-    return stats.histogram(R(spark, sf, True), tx.cleaned_length("reviewText"), 20)
+    return stats.histogram(cleaning.cleaned_lengths(R(spark, sf, True)), "length", 20)
 
 
 @query("review_length_kde", oracle(kde_sql(f"CAST(len({EDA_SQL}) AS DOUBLE)", 100), text=True))

@@ -29,8 +29,10 @@ def reviews_view(spark: SparkSession, sf_dir: str, with_text: bool = True) -> Da
         docs = table(spark, sf_dir, "documents").select("doc_id", "text")
         n_docs = docs.select(F.count(F.lit(1))).scalar()
         df = df.withColumn("_doc", (F.col("l_orderkey") * 7 + F.col("l_linenumber")) % n_docs)
-        # dealt by the join key: co-located with the documents where those are too many to broadcast
-        df = df.repartition("_doc").join(docs, F.col("_doc") == docs.doc_id)
+        # dealt by the join key: co-located with the documents where those are too many to broadcast. The number of
+        # partitions is the session's: by the bytes of these narrow rows, AQE would put long texts into few tasks
+        parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        df = df.repartition(parts, "_doc").join(docs, F.col("_doc") == docs.doc_id)
         text = F.col("text")
     else:
         text = F.lit(None).cast("string")
