@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions import porter2
 from ..functions import text as tx
-from ..operators import dedup, density, longtext, prep, stats, terms
+from ..operators import cleaning, dedup, density, longtext, prep, stats, terms
 from ..operators import recommend as rc
 from ..schema import CLEAN_CONTRACT, FILTERED_CONTRACT, LOAD_CONTRACT
 from ..session import cut_lineage, stored
@@ -124,7 +124,7 @@ def notebook_clean(df: DataFrame) -> DataFrame:
     df = prep.label_feedback(prep.merge_summary(prep.fill_text(df)))
     slim, texts = longtext.set_aside(df)
     df = longtext.put_back(prep.fill_vote_by_product(dedup.drop_duplicate_reviews(slim, texts=texts)), texts)
-    return df.withColumn("reviewText", tx.clean_text("reviewText", "notebook"))
+    return cleaning.clean_texts(df, "reviewText", "notebook")
 
 
 def notebook_tables(df: DataFrame) -> dict[str, DataFrame]:
