@@ -169,7 +169,7 @@ def q_sample_user_history(spark, sf):
 SELECT asin, reviewerID, unixReviewTime FROM reviews WHERE substr(md5(reviewerID), 1, 1) = '0'""", text=True))
 def q_quarantined_rows(spark, sf):
     """The lines that are set aside, by the fields that stand in them."""
-    _, bad = io.read_reviews(spark, job_queries._dump(spark, sf), quarantine=True)
+    _, bad = io.read_reviews(spark, job_queries._dump(spark, sf, job_queries.FASTEST), quarantine=True)
     return bad.select(F.regexp_extract("line", r'^\{"asin":"(B[0-9]+)"', 1).alias("asin"), F.regexp_extract("line", '"reviewerID":"(U[0-9]+)"', 1).alias("reviewerID"),
                       F.regexp_extract("line", '"unixReviewTime":(-?[0-9]+)[^"]*("vote":"[^"]*")?[^"]*$', 1).cast("int").alias("unixReviewTime"))
 
