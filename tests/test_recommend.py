@@ -126,3 +126,33 @@ def test_ids_do_not_depend_on_exchange_reuse(spark):
             assert compare(spark, "/root/testdata/sf0.001", name, entry)
     finally:
         spark.conf.unset("spark.sql.exchange.reuse")
+
+
+def test_als_has_more_blocks_where_there_are_many_ratings(spark, monkeypatch):
+    from pyspark.ml.recommendation import ALS
+    asked = []
+    real = ALS.fit
+    monkeypatch.setattr(ALS, "fit", lambda self, df: asked.append((self.getNumUserBlocks(), self.getNumItemBlocks())) or real(self, df))
+    train = spark.createDataFrame([(u, i, float((u + i) % 2)) for u in range(9) for i in range(7)], "user int, item int, y double")
+    rc.fit_als(train, 2, 1)
+    monkeypatch.setattr(rc, "ALS_RATINGS", 3)
+    rc.fit_als(train, 2, 1)
+    assert asked == [(10, 10), (21, 21)]
+    assert rc.als_blocks(0) == 10
+
+
+def test_users_are_scored_some_at_a_time(spark, monkeypatch):
+    import numpy as np
+    rng = np.random.default_rng(2)
+    u, i = rng.normal(size=(30, 3)), rng.normal(size=(40, 3))
+    users = spark.createDataFrame([(n, [float(x) for x in w], 0.1) for n, w in enumerate(u)], "user int, w array<double>, b double")
+    items = spark.createDataFrame([(n, [float(x) for x in w], 0.0) for n, w in enumerate(i)], "item int, w array<double>, b double")
+    seen = spark.createDataFrame([(n, (n * 7) % 40) for n in range(30)], "user int, item int")
+    key = lambda df: sorted((r.user, r["rank"], r.item, round(r.score, 9)) for r in df.collect())
+    whole = key(rc.recommend(users, users, items, seen, 4, item_block=16))
+    monkeypatch.setattr(rc, "USERS_AT_ONCE", 4)
+    monkeypatch.setattr(rc, "USER_BLOCK", 30)
+    assert key(rc.recommend(users, users, items, seen, 4, item_block=16)) == whole and len(whole) == 120
+    z = u @ i.T
+    z[np.arange(30), (np.arange(30) * 7) % 40] = -np.inf
+    assert [(a, b, c) for a, b, c, _ in whole] == [(n, k + 1, int(x)) for n in range(30) for k, x in enumerate(np.argsort(-z[n])[:4])]
