@@ -114,6 +114,33 @@ class _Counts:
                 yield some >> 32, some & 0xFFFFFFFF, counts[lo:lo + OUT_ROWS]
 
 
+def _add_pieces(held: _Counts, by: list[pa.Array], coded: pa.DictionaryArray, bare: pa.Array, per_row: np.ndarray) -> None:
+    """Count the pieces of some texts, per row of ``by``; ``bare`` has the distinct ones without what ends them."""
+    key, size = coded.indices.to_numpy(), len(coded.dictionary)
+    # the groups of the rows, numbered within the part and for the task
+    group, total = np.zeros(len(per_row), np.int64), 1
+    values = [pc.dictionary_encode(c, null_encoding="encode") for c in by]
+    for d in values:
+        _, group = np.unique(group * len(d.dictionary) + d.indices.to_numpy(), return_inverse=True)
+        total = int(group.max()) + 1
+    _, row = np.unique(group, return_index=True)
+    tuples = zip(*[c.take(pa.array(row)).to_pylist() for c in by]) if by else [()]
+    number = np.array([held.groups.setdefault(t, len(held.groups)) for t in tuples], np.int64)
+    if total > 1:
+        key = np.repeat(group * size, per_row) + key
+    if total * size <= 4 * len(key) + 1024:
+        n = np.bincount(key)
+        keys = np.flatnonzero(n)
+        n = n[keys]
+    else:
+        keys, n = np.unique(key, return_counts=True)
+    bare = pc.dictionary_encode(bare)
+    code = held.codes(bare.dictionary)[bare.indices.to_numpy()]
+    some = pc.not_equal(bare.dictionary, "").to_numpy(zero_copy_only=False)[bare.indices.to_numpy()][keys % size]
+    keys, n = keys[some], n[some]
+    held.add(code[keys % size], number[keys // size], n)
+
+
 def _count(names: list[str]):
     """Counts per group (all columns but the last) and piece of the last column."""
     def given(held: _Counts, types: list[pa.DataType]) -> Iterator[pa.RecordBatch]:
@@ -132,29 +159,7 @@ def _count(names: list[str]):
                 if not len(pieces):
                     continue
                 coded = pc.dictionary_encode(pieces)
-                key, size = coded.indices.to_numpy(), len(coded.dictionary)
-                # the groups of the rows, numbered within the part and for the task
-                group, total = np.zeros(part.num_rows, np.int64), 1
-                values = [pc.dictionary_encode(part.column(i), null_encoding="encode") for i in range(last)]
-                for d in values:
-                    _, group = np.unique(group * len(d.dictionary) + d.indices.to_numpy(), return_inverse=True)
-                    total = int(group.max()) + 1
-                _, row = np.unique(group, return_index=True)
-                tuples = zip(*[part.column(i).take(pa.array(row)).to_pylist() for i in range(last)]) if last else [()]
-                number = np.array([held.groups.setdefault(t, len(held.groups)) for t in tuples], np.int64)
-                if total > 1:
-                    key = np.repeat(group * size, per_row) + key
-                if total * size <= 4 * len(key) + 1024:
-                    n = np.bincount(key)
-                    keys = np.flatnonzero(n)
-                    n = n[keys]
-                else:
-                    keys, n = np.unique(key, return_counts=True)
-                bare = pc.dictionary_encode(pc.ascii_rtrim(coded.dictionary, " \n"))
-                code = held.codes(bare.dictionary)[bare.indices.to_numpy()]
-                some = pc.not_equal(bare.dictionary, "").to_numpy(zero_copy_only=False)[bare.indices.to_numpy()][keys % size]
-                keys, n = keys[some], n[some]
-                held.add(code[keys % size], number[keys // size], n)
+                _add_pieces(held, [part.column(i) for i in range(last)], coded, pc.ascii_rtrim(coded.dictionary, " \n"), per_row)
                 if held.full():
                     yield from given(held, types)
                     held = _Counts()
@@ -193,6 +198,33 @@ def settle_cloud(pieces: pa.Array, words: list[str]) -> tuple[pa.Array, np.ndarr
     return pc.if_else(ascii_, clean, pieces), np.where(ascii_.to_numpy(zero_copy_only=False), known, other)
 
 
+def _add_spans(held: _Counts, clean: pa.Array, state: np.ndarray, at: np.ndarray, per_row: np.ndarray) -> None:
+    """Count the spans of some texts: the piece at each place is ``clean[at]``, ``state`` tells what it is."""
+    distinct = pc.dictionary_encode(clean)
+    code, row = distinct.indices.to_numpy()[at], np.repeat(np.arange(len(per_row)), per_row)
+    stays = np.flatnonzero(state != GONE)
+    if not len(stays):
+        return
+    code, state, row = code[stays], state[stays], row[stays]
+    first = np.concatenate([[True], row[1:] != row[:-1]])
+    starts = np.flatnonzero(first | (state >= SURE))
+    sizes = np.diff(np.append(starts, len(code)))
+    plain = np.zeros(len(distinct.dictionary), bool)
+    plain[code[state == PLAIN]] = True
+    known = held.codes(distinct.dictionary, plain)
+    head, tail = known[code[starts]], np.full(len(starts), -1, np.int64)
+    same = np.flatnonzero(~first[starts[1:]])
+    tail[same] = head[same + 1]
+    long = np.flatnonzero(sizes > 1)
+    if len(long):
+        ends = np.cumsum(sizes[long])
+        where = np.repeat(starts[long] - (ends - sizes[long]), sizes[long]) + np.arange(int(ends[-1]))
+        lists = pa.ListArray.from_arrays(pa.array(np.append(0, ends).astype(np.int32)), distinct.dictionary.take(pa.array(code[where])))
+        joined = pc.dictionary_encode(pc.binary_join(lists, " "))
+        head[long] = held.codes(joined.dictionary, np.zeros(len(joined.dictionary), bool))[joined.indices.to_numpy()]
+    held.add(head, tail + 1)
+
+
 def _spans(settle, words: list[str]):
     def given(held: _Counts) -> Iterator[pa.RecordBatch]:
         for head, tail, n in held.out():
@@ -208,30 +240,8 @@ def _spans(settle, words: list[str]):
                 pieces, per_row = cut(b.column(0).slice(lo, hi - lo))
                 coded = pc.dictionary_encode(pieces)
                 clean, state = settle(pc.ascii_rtrim(coded.dictionary, " \n"), words)
-                distinct = pc.dictionary_encode(clean)
                 at = coded.indices.to_numpy()
-                code, state, row = distinct.indices.to_numpy()[at], state[at], np.repeat(np.arange(len(per_row)), per_row)
-                stays = np.flatnonzero(state != GONE)
-                if not len(stays):
-                    continue
-                code, state, row = code[stays], state[stays], row[stays]
-                first = np.concatenate([[True], row[1:] != row[:-1]])
-                starts = np.flatnonzero(first | (state >= SURE))
-                sizes = np.diff(np.append(starts, len(code)))
-                plain = np.zeros(len(distinct.dictionary), bool)
-                plain[code[state == PLAIN]] = True
-                known = held.codes(distinct.dictionary, plain)
-                head, tail = known[code[starts]], np.full(len(starts), -1, np.int64)
-                same = np.flatnonzero(~first[starts[1:]])
-                tail[same] = head[same + 1]
-                long = np.flatnonzero(sizes > 1)
-                if len(long):
-                    ends = np.cumsum(sizes[long])
-                    where = np.repeat(starts[long] - (ends - sizes[long]), sizes[long]) + np.arange(int(ends[-1]))
-                    lists = pa.ListArray.from_arrays(pa.array(np.append(0, ends).astype(np.int32)), distinct.dictionary.take(pa.array(code[where])))
-                    joined = pc.dictionary_encode(pc.binary_join(lists, " "))
-                    head[long] = held.codes(joined.dictionary, np.zeros(len(joined.dictionary), bool))[joined.indices.to_numpy()]
-                held.add(head, tail + 1)
+                _add_spans(held, clean, state[at], at, per_row)
                 if held.full():
                     yield from given(held)
                     held = _Counts()
@@ -249,7 +259,11 @@ def neighbour_counts(df: DataFrame, text: Column, settle, words_of, words: list[
     one; whatever stands between the two and may hold words is handed over as it is. Spans are counted in
     the tasks; their words are made once per span that is given out: all of the head and the first of the tail."""
     ship(df.sparkSession)
-    spans = df.select(text.alias("text")).mapInArrow(_spans(settle, list(words)), "head string, tail string, plain boolean, n long")
+    return pairs_of(df.select(text.alias("text")).mapInArrow(_spans(settle, list(words)), "head string, tail string, plain boolean, n long"), words_of)
+
+
+def pairs_of(spans: DataFrame, words_of) -> DataFrame:
+    """The second half of :func:`neighbour_counts`: the words of spans (head, tail, plain, n)."""
     plain, tail = F.col("plain"), F.col("tail")
     none = F.array().cast("array<string>")
     spans = spans.select("head", "tail", "plain", "n", F.when(~plain, words_of(F.col("head"))).alias("w"),
@@ -257,3 +271,76 @@ def neighbour_counts(df: DataFrame, text: Column, settle, words_of, words: list[
     made = F.transform("w", lambda a, i: F.struct(a.alias("a"), F.coalesce(F.get(F.col("w"), i + 1), F.when(i + 1 == F.size("w"), F.get(F.col("t"), F.lit(0)))).alias("b")))
     pairs = F.when(plain, F.array(F.struct(F.col("head").alias("a"), tail.alias("b")))).otherwise(made)
     return spans.select(F.explode_outer(pairs).alias("p"), "n").where("p IS NOT NULL").select("p.a", "p.b", "n")
+
+
+#: What a row of :func:`profile` is.
+LENGTH, PIECE, SPAN = range(3)
+_SPACES = "[\t\x0b\f\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+_PROFILE = "kind int, head string, tail string, plain boolean, rating double, use int, n long"
+_PROFILE_TYPES = [pa.int32(), pa.string(), pa.string(), pa.bool_(), pa.float64(), pa.int32(), pa.int64()]
+
+
+def _profile(words: list[str]):
+    def rows(kind: int, n: np.ndarray | pa.Array, **columns: pa.Array) -> pa.RecordBatch:
+        names = [c.split()[0] for c in _PROFILE.split(", ")]
+        columns |= {"kind": pa.array(np.full(len(n), kind, np.int32)), "n": pa.array(n, pa.int64())}
+        return pa.RecordBatch.from_arrays([columns[c] if c in columns else pa.nulls(len(n), t) for c, t in zip(names, _PROFILE_TYPES)], names)
+
+    def given(pieces_: _Counts, spans: _Counts) -> Iterator[pa.RecordBatch]:
+        rating, use = (pa.array(values, kind) for values, kind in zip(zip(*pieces_.groups), (pa.float64(), pa.int32()))) if pieces_.groups else (None, None)
+        for code, group, n in pieces_.out():
+            yield rows(PIECE, n, head=pieces_.names.take(pa.array(code)), rating=rating.take(pa.array(group)), use=use.take(pa.array(group)))
+        for head, tail, n in spans.out():
+            none, tail = tail == 0, np.maximum(tail, 1) - 1
+            yield rows(SPAN, n, head=spans.names.take(pa.array(head)), tail=spans.names.take(pa.array(tail, mask=none)),
+                       plain=pa.array(spans.plain[head] & (none | spans.plain[tail])))
+
+    def lengths(texts: pa.Array, bare: pa.Array, state: np.ndarray, at: np.ndarray, per_row: np.ndarray, wanted: np.ndarray) -> pa.RecordBatch:
+        one = state == PLAIN
+        one |= (state == SURE) & ~pc.match_substring_regex(bare, _SPACES).to_numpy(zero_copy_only=False)
+        ends = np.cumsum(per_row)
+        upto = np.concatenate([[0], np.cumsum(one[at])])
+        known = upto[ends] - upto[ends - per_row]
+        open_ = np.flatnonzero((~one & (state != GONE))[at])
+        offsets = np.searchsorted(open_, np.concatenate([[0], ends])).astype(np.int32)
+        rest = pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets), bare.take(pa.array(at[open_]))), " ")
+        rest = pc.if_else(pa.array(np.diff(offsets) > 0), rest, None)
+        null = texts.is_null().to_numpy(zero_copy_only=False)
+        return rows(LENGTH, pa.array(known, mask=null), head=rest).filter(pa.array(wanted))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, spans = _Counts(), _Counts()
+        for b in batches:
+            for lo, hi in parts(b.column(2)):
+                part = b.slice(lo, hi - lo)
+                wanted = (np.asarray(part.column(1)) & 1) > 0
+                pieces_, per_row = cut(part.column(2))
+                coded = pc.dictionary_encode(pieces_)
+                at, bare = coded.indices.to_numpy(), pc.ascii_rtrim(coded.dictionary, " \n")
+                clean, state = settle_eda(bare, words)
+                yield lengths(part.column(2), bare, state, at, per_row, wanted)
+                if not len(pieces_):
+                    continue
+                _add_pieces(held, [part.column(0), part.column(1)], coded, bare, per_row)
+                _add_spans(spans, clean, np.where(np.repeat(wanted, per_row), state[at], GONE), at, per_row)
+                if held.full() or spans.full():
+                    yield from given(held, spans)
+                    held, spans = _Counts(), _Counts()
+        yield from given(held, spans)
+    return run
+
+
+def profile(df: DataFrame, text: Column, bare: Column, rating: Column, words: list[str]) -> DataFrame:
+    """All that the profile tables need of the texts, in one pass over them; rows by ``kind``:
+
+    * ``LENGTH``, one for each text: ``n`` tokens of the ``eda`` profile beside those of the pieces in ``head``.
+    * ``PIECE``: ``head`` stands ``n`` times in texts with that ``rating``. ``use`` is 3 for texts that are the same with
+      and without tags; the others are counted without tags (1, ``bare``) and with them (2).
+    * ``SPAN``: as :func:`pairs_of` takes them, of the texts without tags."""
+    ship(df.sparkSession)
+
+    def form(use: int, c: Column) -> Column:
+        return F.struct(rating.cast("double").alias("rating"), F.lit(use).alias("use"), c.alias("text"))
+    forms = F.when(F.contains(text, F.lit("<")), F.array(form(1, bare), form(2, text))).otherwise(F.array(form(3, text)))
+    rows = df.select(F.explode(forms).alias("r")).select("r.rating", "r.use", "r.text")
+    return rows.mapInArrow(_profile(list(words)), _PROFILE)

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
-from ..session import cut_lineage, ship
+from ..session import cut_lineage, ship, stored
 from . import coded, pieces
 from .stats import top_k_per_group
 
@@ -38,11 +38,16 @@ def term_counts(df: DataFrame, text: str, profile: str = "eda", by: list[str] |
     ``<`` at all) and the pieces are counted, in Arrow columns (``pieces.py``); all other steps - deletions, other white space,
     lower case, stop words, stemmer -, which look at single characters or words, work once per distinct
     piece and group; the counts are added up again."""
+    by = by or []
+    return counts_of_pieces(pieces.piece_counts(df, tx.untagged(text, profile), by, term), profile, by, stem, words, term)
+
+
+def counts_of_pieces(raw: DataFrame, profile: str = "eda", by: list[str] | None = None, stem: bool = True, words=None, term: str = "term") -> DataFrame:
+    """The second half of :func:`term_counts`, from the counts of pieces (by..., term, n)."""
     from ..functions.stopwords import ENGLISH
     by = by or []
     words = ENGLISH if words is None else words
     t = F.col(term)
-    raw = pieces.piece_counts(df, tx.untagged(text, profile), by, term)
     low = raw.select(*by, F.explode(tx.blank_split(tx.prepared_piece(t, profile))).alias(term), "n").where(t != "")
     low = low.select(*by, F.lower(t).alias(term), "n")
     if profile in ("eda", "raw"):
@@ -78,13 +83,14 @@ def fold_plurals(counts: DataFrame, word: str = "word") -> DataFrame:
             .groupBy(word).agg(F.sum("n").alias("n")))
 
 
-def term_cloud_weights(df: DataFrame, text: str = "reviewText", k: int = 200) -> DataFrame:
+def term_cloud_weights(df: DataFrame, text: str = "reviewText", k: int = 200, counted: DataFrame | None = None) -> DataFrame:
     """The ``k`` most frequent cloud words with weight ``n / max(n)``. Numbers are left out and
-    plurals folded; word pairs are not counted."""
+    plurals folded; word pairs are not counted. ``counted`` has the pieces of the texts (piece, n), where they are counted."""
     from ..functions.stopwords import ENGLISH
     # blank-cut pieces are counted first, then raw words: no word goes over a blank. Possessives, numbers
     # and stop words are seen to once per word
-    raw = (pieces.piece_counts(df, F.col(text), term="piece").select(F.explode(tx.cloud_words("piece")).alias("w"), "n")
+    counted = pieces.piece_counts(df, F.col(text), term="piece") if counted is None else counted
+    raw = (counted.select(F.explode(tx.cloud_words("piece")).alias("w"), "n")
            .groupBy("w").agg(F.sum("n").alias("n")))
     words = (raw.select(F.regexp_replace("w", "'s$", "").alias("word"), "n")
              .where(~F.col("word").rlike(f"^{tx.DIGITS_PATTERN}$") & ~F.col("word").isin(ENGLISH)))
@@ -148,8 +154,12 @@ def bigram_counts(df: DataFrame, text: str, words=None) -> DataFrame:
     from ..functions.stopwords import ENGLISH
     words = list(ENGLISH if words is None else words)
     pairs = pieces.neighbour_counts(df, tx.untagged(text, "eda"), pieces.settle_eda,
-                                    lambda c: tx.untagged_tokens(c, words), words).where("b IS NOT NULL")
-    return (pairs.select(F.concat(tx.s_stem(F.col("a")), F.lit(" "), tx.s_stem(F.col("b"))).alias("bigram"), "n")
+                                    lambda c: tx.untagged_tokens(c, words), words)
+    return _stemmed_pairs(pairs)
+
+
+def _stemmed_pairs(pairs: DataFrame) -> DataFrame:
+    return (pairs.where("b IS NOT NULL").select(F.concat(tx.s_stem(F.col("a")), F.lit(" "), tx.s_stem(F.col("b"))).alias("bigram"), "n")
             .groupBy("bigram").agg(F.sum("n").alias("n")))
 
 
@@ -163,6 +173,26 @@ def top_bigrams(df: DataFrame, tokens: str = "tokens", k: int = 25, min_count: i
     return rank_top(counts.where(F.col("n") >= min_count), k, ["bigram"])
 
 
+def text_profile(df: DataFrame, text: str = "reviewText", rating: str = "overall") -> dict[str, DataFrame]:
+    """What the profile job needs of the texts, all made in one pass over them and stored: ``lengths`` (length: tokens of
+    the ``eda`` profile), ``by_rating`` (overall, term, n: its terms in texts rated 1 to 5), ``raw`` (term, n), ``pieces`` (piece,
+    n: for the term cloud) and ``bigrams`` (bigram, n)."""
+    from ..functions.stopwords import ENGLISH
+    rated = F.when(F.col(rating).isin(1, 2, 3, 4, 5), F.col(rating))
+    rows = stored(pieces.profile(df, F.col(text), tx.untagged(text, "eda"), rated, list(ENGLISH)), "profile")
+    # what a session says of the length of null is asked of it
+    none = F.size(F.lit(None).cast("array<string>"))
+    more = F.when(F.col("head").isNotNull(), F.size(tx.untagged_tokens("head"))).otherwise(F.lit(0))
+    lengths = rows.where(F.col("kind") == pieces.LENGTH).select(F.when(F.col("n").isNull(), none).otherwise(F.col("n") + more).cast("double").alias("length"))
+    found = rows.where(F.col("kind") == pieces.PIECE)
+    by_rating = (found.where("use <> 2 AND rating IS NOT NULL").groupBy(F.col("rating").cast(df.schema[rating].dataType).alias(rating), F.col("head").alias("term"))
+                 .agg(F.sum("n").alias("n")))
+    whole = found.where("use <> 1").groupBy(F.col("head").alias("term")).agg(F.sum("n").alias("n"))
+    spans = rows.where(F.col("kind") == pieces.SPAN).select("head", "tail", "plain", "n")
+    return {"lengths": lengths, "by_rating": counts_of_pieces(by_rating, "eda", [rating]), "raw": counts_of_pieces(whole, "raw"),
+            "pieces": whole.withColumnRenamed("term", "piece"), "bigrams": _stemmed_pairs(pieces.pairs_of(spans, tx.untagged_tokens))}
+
+
 def stem_mapping(vocab: DataFrame, term: str = "term") -> DataFrame:
     """Default (term, replacement) table: the S stemmer over distinct terms."""
     return vocab.select(term).distinct().select(F.col(term).alias("term"),

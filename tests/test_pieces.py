@@ -98,3 +98,40 @@ def test_the_profile_job_stores_lengths_not_tokens(spark, monkeypatch):
                                "asin string, overall double, verified boolean, reviewText string, reviewerID string, summary string, unixReviewTime int, vote string")
     jobs.eda_tables(df)
     assert [d.dtypes for d in kept] == [[("length", "double")]]
+
+
+@pytest.mark.parametrize("limits", [{}, {"MOST": 8}, {"PART_BYTES": 30}])
+def test_one_pass_gives_what_the_tables_need_of_the_texts(spark, monkeypatch, limits):
+    for name, value in limits.items():
+        monkeypatch.setattr(pieces, name, value)
+    rows = [(t, None if i % 7 == 0 else float(i % 8)) for i, t in enumerate(_texts(300))]
+    df = spark.createDataFrame(rows, "reviewText string, overall double").coalesce(2)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "50")
+    if limits:  # in this process, where the limits hold
+        batch = pa.RecordBatch.from_arrays([pa.array([r for _, r in rows]), pa.array([3] * len(rows), pa.int32()), pa.array([t for t, _ in rows])], ["rating", "use", "text"])
+        made = pa.Table.from_batches(pieces._profile(list(ENGLISH))(iter([batch])))
+        counted = Counter()
+        for r in made.to_pylist():
+            counted[r["kind"], r["head"], r["tail"], r["rating"]] += r["n"] or 0
+        for name in limits:
+            monkeypatch.undo()
+        whole = Counter()
+        for r in pa.Table.from_batches(pieces._profile(list(ENGLISH))(iter([batch]))).to_pylist():
+            whole[r["kind"], r["head"], r["tail"], r["rating"]] += r["n"] or 0
+        assert counted == whole
+        return
+    got = terms.text_profile(df)
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert _rows(got["lengths"]) == _rows(df.select(tx.cleaned_length("reviewText").alias("length")))
+    assert _rows(got["by_rating"]) == _rows(terms.term_counts(df.where(F.col("overall").isin(1, 2, 3, 4, 5)), "reviewText", "eda", by=["overall"]))
+    assert _rows(got["raw"]) == _rows(terms.term_counts(df, "reviewText", "raw"))
+    assert _rows(got["pieces"]) == _rows(pieces.piece_counts(df, F.col("reviewText"), term="piece"))
+    assert _rows(got["bigrams"]) == _rows(terms.bigram_counts(df, "reviewText"))
+
+
+def test_the_profile_job_goes_through_the_texts_once(spark):
+    df = spark.createDataFrame([("B1", 5.0, True, "good cats and dogs", "U1", "s", 1, "3")],
+                               "asin string, overall double, verified boolean, reviewText string, reviewerID string, summary string, unixReviewTime int, vote string")
+    for name, made in jobs.eda_tables(df).items():
+        if name != "info":
+            assert "reviewText" not in made._jdf.queryExecution().optimizedPlan().toString(), name
