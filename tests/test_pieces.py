@@ -135,3 +135,13 @@ def test_the_profile_job_goes_through_the_texts_once(spark):
     for name, made in jobs.eda_tables(df).items():
         if name != "info":
             assert "reviewText" not in made._jdf.queryExecution().optimizedPlan().toString(), name
+
+
+def test_the_words_of_cloud_pairs_meet_no_pattern_if_they_begin_with_a_letter(spark, monkeypatch):
+    kept = []
+    monkeypatch.setattr(terms, "cut_lineage", lambda df: kept.append(df) or df.sparkSession.createDataFrame(df.collect(), df.schema))
+    texts = ["red fox's red fox", "red foxs 12 it's 't's x's's 12's ٣٣ red fox 1a", "the 's of"] * 9
+    got = {r.word: r.n for r in terms.term_cloud_pairs(spark.createDataFrame([(t,) for t in texts], "reviewText string"), k=50, least=1e9).collect()}
+    assert got == {"red": 36, "fox": 36, "x's": 9, "1a": 9}
+    plan = kept[1]._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_replace" not in plan and "CASE WHEN" in plan
